@@ -50,14 +50,14 @@ def q_epd(spark, sf):
 
 
 # Bot filter with a threshold low enough to bite on the test data (F6 + J2).
-@register("drop_bots_threshold3", with_(CLEAN) + f"""
+@register("drop_bots_threshold2", with_(CLEAN) + f"""
 SELECT {CS_COLS} FROM cl_price WHERE user_id NOT IN (
   SELECT user_id FROM (SELECT user_id, avg(n) AS a FROM (
     SELECT user_id, CAST(event_time AS DATE) AS d, count(*) AS n FROM cl_price GROUP BY 1, 2)
-  GROUP BY user_id) WHERE a > 3)""")
+  GROUP BY user_id) WHERE a > 2)""")
 def q_bots(spark, sf):
     df = C.price_floor(C.near_dedup(C.exact_dedup(_filled(spark, sf))))
-    return C.drop_bots(df, threshold=3)
+    return C.drop_bots(df, threshold=2)
 
 
 @register("clean_events", with_(CLEAN) + f"\nSELECT {CS_COLS} FROM clean")
@@ -70,9 +70,16 @@ def q_kcore3(spark, sf):
     return C.kcore(C.clean_events(clickstream(spark, sf)), k=3)
 
 
-@register("kcore_k40", with_(CLEAN, kcore_sql("clean", 40)) + f"\nSELECT {CS_COLS} FROM kc10")
-def q_kcore40(spark, sf):
-    return C.kcore(C.clean_events(clickstream(spark, sf)), k=40)
+# Needs three rounds before it is stable.
+@register("kcore_k34", with_(CLEAN, kcore_sql("clean", 34)) + f"\nSELECT {CS_COLS} FROM kc10")
+def q_kcore34(spark, sf):
+    return C.kcore(C.clean_events(clickstream(spark, sf)), k=34)
+
+
+# Shrinks for five rounds, then empties the table.
+@register("kcore_k36_empties", with_(CLEAN, kcore_sql("clean", 36)) + f"\nSELECT {CS_COLS} FROM kc10")
+def q_kcore36(spark, sf):
+    return C.kcore(C.clean_events(clickstream(spark, sf)), k=36)
 
 
 def _report_sql(k: int, rounds: int) -> str:

@@ -119,3 +119,26 @@ FROM {src} GROUP BY user_id, product_id"""
 
 def with_(*ctes: str) -> str:
     return "WITH " + ",\n".join(c.strip().rstrip(",") for c in ctes if c.strip())
+
+
+ORDER_EVENTS = """
+oi AS (
+  SELECT o.o_custkey AS user_id, l.l_partkey AS product_id, o.o_orderdate AS event_time,
+         l.l_extendedprice AS price,
+         CASE l.l_returnflag WHEN 'N' THEN 'view' WHEN 'A' THEN 'cart' ELSE 'purchase' END AS event_type,
+         l.l_orderkey, l.l_linenumber
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+)"""
+
+SPLIT_VAL = "2024-01-22 00:00:00"
+SPLIT_TEST = "2024-01-26 00:00:00"
+
+SPLITS = CLEAN + f""",
+labelled AS (
+  SELECT *, CASE WHEN event_time < TIMESTAMP '{SPLIT_VAL}' THEN 'train'
+                 WHEN event_time < TIMESTAMP '{SPLIT_TEST}' THEN 'val' ELSE 'test' END AS split
+  FROM clean
+),
+train AS (SELECT * EXCLUDE (split) FROM labelled WHERE split = 'train'),
+val AS (SELECT * EXCLUDE (split) FROM labelled WHERE split = 'val'),
+test AS (SELECT * EXCLUDE (split) FROM labelled WHERE split = 'test')"""
