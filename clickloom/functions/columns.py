@@ -98,3 +98,27 @@ def cyclic_dow(dow: Column) -> tuple[Column, Column]:
     d = (dow - 1).cast("double")
     ang = d * (2 * math.pi / 7)
     return F.sin(ang), F.cos(ang)
+
+
+def rnd(col, digits: int = 0) -> Column:
+    """Round half away from zero on the binary value: ``round(x * 10^d) / 10^d``.
+
+    ``F.round`` rounds the shortest decimal text of a double (HALF_UP), which
+    splits decimal ties differently from SQL engines that scale the binary
+    value; this form gives the same double as those engines."""
+    c = F.col(col) if isinstance(col, str) else col
+    m = float(10 ** digits)
+    return F.signum(c) * F.floor(F.abs(c) * F.lit(m) + F.lit(0.5)) / F.lit(m)
+
+
+def exact_mean(col, decimals: int = 2, when: Column | None = None) -> Column:
+    """Mean of a fixed-point quantity (prices in cents, ...) from an exact
+    integer sum: independent of summation order, so every engine and every
+    partitioning yields the same double. ``when`` restricts the rows (the
+    conditional ``AVG(CASE WHEN ...)``); no qualifying row gives null."""
+    c = F.col(col) if isinstance(col, str) else col
+    if when is not None:
+        c = F.when(when, c)
+    m = float(10 ** decimals)
+    units = F.round(c * F.lit(m)).cast("long")
+    return F.try_divide(F.sum(units).cast("double"), F.count(c) * F.lit(m))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from clickloom.functions.columns import rnd
+
 # Confidence weights per event type.
 W_PURCHASE = 4
 W_CART = 2
@@ -42,11 +44,11 @@ def interaction_quality(inter: DataFrame, user_col: str = "user_id",
                 (F.col("unique_users") * F.col("unique_items"))) * 100
     return agg.select(
         "total_pairs", "unique_users", "unique_items",
-        F.round("avg_score", 6).alias("avg_score"), "max_score",
-        F.round(sparsity, 6).alias("sparsity_pct"),
-        F.round(F.col("score_eq_1") * 100.0 / F.col("total_pairs"), 6).alias("pct_score_1"),
-        F.round(F.col("score_eq_2") * 100.0 / F.col("total_pairs"), 6).alias("pct_score_2"),
-        F.round(F.col("score_ge_4") * 100.0 / F.col("total_pairs"), 6).alias("pct_score_ge4"),
+        rnd("avg_score", 6).alias("avg_score"), "max_score",
+        rnd(sparsity, 6).alias("sparsity_pct"),
+        rnd(F.col("score_eq_1") * 100.0 / F.col("total_pairs"), 6).alias("pct_score_1"),
+        rnd(F.col("score_eq_2") * 100.0 / F.col("total_pairs"), 6).alias("pct_score_2"),
+        rnd(F.col("score_ge_4") * 100.0 / F.col("total_pairs"), 6).alias("pct_score_ge4"),
         (sparsity > 99).alias("sparsity_gate_pass"))
 
 

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickloom.functions.columns import bucket_label, category_level
+from clickloom.functions.columns import bucket_label, category_level, rnd
 from clickloom.operators.ordering import exact_quantiles, previous_row
 
 
@@ -21,7 +21,7 @@ def with_share(df: DataFrame, count_col: str, out: str, digits: int = 6) -> Data
     """W4 (``count / sum(count) over ()``): joins the one-row total."""
     total = df.agg(F.sum(count_col).alias("_tot"))
     return (df.crossJoin(total)
-            .withColumn(out, F.round(F.col(count_col) * 100.0 / F.col("_tot"), digits))
+            .withColumn(out, rnd(F.col(count_col) * 100.0 / F.col("_tot"), digits))
             .drop("_tot"))
 
 
@@ -33,9 +33,9 @@ def monthly_volume(df: DataFrame, ts_col: str = "event_time", user_col: str = "u
     return (df.groupBy(F.date_format(ts_col, "yyyy-MM").alias("month"))
             .agg(n.alias("n_events"), F.count_distinct(user_col).alias("n_users"),
                  F.count_distinct(item_col).alias("n_items"),
-                 F.round(F.count_if(t == "view") * 100.0 / n, 6).alias("view_pct"),
-                 F.round(F.count_if(t == "cart") * 100.0 / n, 6).alias("cart_pct"),
-                 F.round(F.count_if(t == "purchase") * 100.0 / n, 6).alias("purchase_pct")))
+                 rnd(F.count_if(t == "view") * 100.0 / n, 6).alias("view_pct"),
+                 rnd(F.count_if(t == "cart") * 100.0 / n, 6).alias("cart_pct"),
+                 rnd(F.count_if(t == "purchase") * 100.0 / n, 6).alias("purchase_pct")))
 
 
 def null_audit(df: DataFrame, cols: Sequence[str] = ("category_code", "brand", "user_session"),
@@ -77,16 +77,16 @@ def price_summary(df: DataFrame, col: str = "price") -> DataFrame:
                   F.count_if(p == 0).alias("n_zero"), F.count_if(p < 1).alias("n_below_1"))
     outl = df.crossJoin(base.select("_avg", "_sd")).agg(
         F.count_if(p > F.col("_avg") + 3 * F.col("_sd")).alias("n_above_3sd"))
-    return base.crossJoin(outl).select("min_price", "max_price", F.round("_avg", 6).alias("avg_price"),
-                                       F.round("_sd", 6).alias("std_price"), "n_zero", "n_below_1",
+    return base.crossJoin(outl).select("min_price", "max_price", rnd("_avg", 6).alias("avg_price"),
+                                       rnd("_sd", 6).alias("std_price"), "n_zero", "n_below_1",
                                        "n_above_3sd")
 
 
 def percentiles(df: DataFrame, col: str, probs: Sequence[float], metric: str) -> DataFrame:
     """Exact percentiles as rows ``(metric, prob, value)`` (distributed, see ordering)."""
     q = exact_quantiles(df, col, probs)
-    return q.select(F.lit(metric).alias("metric"), F.round("prob", 6).alias("prob"),
-                    F.round("value", 6).alias("value"))
+    return q.select(F.lit(metric).alias("metric"), rnd("prob", 6).alias("prob"),
+                    rnd("value", 6).alias("value"))
 
 
 # Bucket edges of the histograms (lower bounds, inclusive).
@@ -136,7 +136,7 @@ def k_survival(df: DataFrame, thresholds: Sequence[int] = K_THRESHOLDS, user_col
     w = Window.orderBy("min_interactions")  # k table: len(thresholds) rows
     return (counts.crossJoin(mx)
             .select("min_interactions", "n_users",
-                    F.round(F.col("n_users") * 100.0 / F.col("_mx"), 6).alias("pct_of_max"),
+                    rnd(F.col("n_users") * 100.0 / F.col("_mx"), 6).alias("pct_of_max"),
                     (F.lag("n_users").over(w) - F.col("n_users")).alias("marginal_loss")))
 
 
@@ -175,7 +175,7 @@ def session_duration_stats(df: DataFrame) -> DataFrame:
                                    F.count_if(d == 0).alias("n_zero"),
                                    F.count_if(d > 3600).alias("n_over_1h"),
                                    F.count_if(d > 8 * 3600).alias("n_over_8h"),
-                                   F.round(F.avg(d), 6).alias("avg_duration_s"))
+                                   rnd(F.avg(d), 6).alias("avg_duration_s"))
 
 
 def funnel(df: DataFrame, user_col: str = "user_id", type_col: str = "event_type") -> DataFrame:
@@ -189,8 +189,8 @@ def funnel(df: DataFrame, user_col: str = "user_id", type_col: str = "event_type
                        F.sum("p").cast("long").alias("purchased"),
                        F.count_if((F.col("v") == 1) & (F.col("c") == 1)).alias("viewed_and_carted"),
                        F.count_if((F.col("c") == 1) & (F.col("p") == 1)).alias("carted_and_purchased"))
-    return agg.select("*", F.round(F.col("carted") * 100.0 / F.col("viewed"), 6).alias("cart_pct_of_viewers"),
-                      F.round(F.col("purchased") * 100.0 / F.col("viewed"), 6).alias("purchase_pct_of_viewers"))
+    return agg.select("*", rnd(F.col("carted") * 100.0 / F.col("viewed"), 6).alias("cart_pct_of_viewers"),
+                      rnd(F.col("purchased") * 100.0 / F.col("viewed"), 6).alias("purchase_pct_of_viewers"))
 
 
 def conversion_rates(df: DataFrame, min_views: int = 10, user_col: str = "user_id",
@@ -273,7 +273,7 @@ def category_item_counts(df: DataFrame, level: int = 2, item_col: str = "product
         F.count(F.lit(1)).alias("n_items"))
     catalog = df.agg(F.count_distinct(item_col).alias("_cat"))
     return (per.crossJoin(catalog)
-            .select("category", "n_items", F.round(F.col("n_items") * 100.0 / F.col("_cat"), 6).alias("pct_catalog")))
+            .select("category", "n_items", rnd(F.col("n_items") * 100.0 / F.col("_cat"), 6).alias("pct_catalog")))
 
 
 def item_first_seen(df: DataFrame, cutoff_col: Column, item_col: str = "product_id",
@@ -281,8 +281,8 @@ def item_first_seen(df: DataFrame, cutoff_col: Column, item_col: str = "product_
     """First event per item, days to the cutoff and its log1p."""
     first = df.groupBy(item_col).agg(F.min(ts_col).alias("first_seen"))
     days = (F.unix_timestamp(cutoff_col) - F.unix_timestamp("first_seen")) / 86400.0
-    return first.select(item_col, "first_seen", F.round(days, 6).alias("days_to_cutoff"),
-                        F.round(F.log1p(F.greatest(days, F.lit(0.0))), 6).alias("log_days_to_cutoff"))
+    return first.select(item_col, "first_seen", rnd(days, 6).alias("days_to_cutoff"),
+                        rnd(F.log1p(F.greatest(days, F.lit(0.0))), 6).alias("log_days_to_cutoff"))
 
 
 def popularity_share(df: DataFrame, item_col: str = "product_id", weight: Column | None = None) -> DataFrame:

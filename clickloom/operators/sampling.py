@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clickloom.functions.columns import rnd
+
 
 def hash_key(col: str, seed: int | None = None) -> Column:
     """Deterministic order key: md5 of the id as text (same in SQL engines)."""
@@ -106,7 +108,7 @@ def split_overlap(train: DataFrame, test: DataFrame, user_col: str = "user_id",
     b = te.agg(F.count(F.lit(1)).alias("test_users"))
     c = tr.join(te, user_col, "inner").agg(F.count(F.lit(1)).alias("overlap_users"))
     out = a.crossJoin(b).crossJoin(c)
-    pct = F.round(F.col("overlap_users") * 100.0 / F.col("test_users"), 6)
+    pct = rnd(F.col("overlap_users") * 100.0 / F.col("test_users"), 6)
     return out.select("train_users", "test_users", "overlap_users", pct.alias("overlap_pct"),
                       ((pct >= gate[0]) & (pct <= gate[1])).alias("gate_pass"))
 
@@ -130,9 +132,9 @@ def sample_profile(frames: dict[str, DataFrame], type_col: str = "event_type",
     out = None
     for label, df in frames.items():
         total = F.count(F.lit(1))
-        aggs = [F.round(F.count_if(F.col(type_col) == t) * 100.0 / total, 6).alias(f"pct_{t}")
+        aggs = [rnd(F.count_if(F.col(type_col) == t) * 100.0 / total, 6).alias(f"pct_{t}")
                 for t in ("view", "cart", "purchase")]
-        aggs += [F.round(F.count_if(F.col(c).isNull()) * 100.0 / total, 6).alias(f"pct_null_{c}")
+        aggs += [rnd(F.count_if(F.col(c).isNull()) * 100.0 / total, 6).alias(f"pct_null_{c}")
                  for c in null_cols]
         one = df.agg(total.alias("n_events"), *aggs).select(F.lit(label).alias("label"), "*")
         out = one if out is None else out.unionByName(one)

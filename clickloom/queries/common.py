@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import cached_property
 
 from pyspark.sql import functions as F
 
 from clickloom.operators import cleaning as C
+from clickloom.operators import features as Fe
 from clickloom.operators import interactions as I
 from clickloom.operators import sampling as S
 from clickloom.sources.testdata import clickstream, order_interactions  # noqa: F401
@@ -30,3 +32,60 @@ def split(spark, sf, name):
 
 def train_interactions(spark, sf):
     return I.interactions(split(spark, sf, "train"))
+
+
+class features:  # noqa: N801 - used like a function returning a bundle
+    """Feature tables of the test data (mirrors ``sql_base.FEATURES``), built
+    lazily so a query only pays for what it uses."""
+
+    def __init__(self, spark, sf):
+        self.spark, self.sf = spark, sf
+
+    @cached_property
+    def clean(self):
+        return clean(self.spark, self.sf)
+
+    @cached_property
+    def train(self):
+        return split(self.spark, self.sf, "train")
+
+    @cached_property
+    def inter(self):
+        return I.interactions(self.train)
+
+    @cached_property
+    def items(self):
+        return Fe.item_features(self.clean, self.inter)
+
+    @cached_property
+    def users(self):
+        return Fe.user_features(self.train, self.items)
+
+    @cached_property
+    def item_vocab(self):
+        return Fe.id_vocab(self.items, "product_id", "item_idx", start=1)
+
+    @cached_property
+    def user_vocab(self):
+        return Fe.id_vocab(self.inter, "user_id", "user_idx", start=0)
+
+    @cached_property
+    def vocabs(self):
+        return {k: Fe.string_vocab(self.items, k, "idx") for k in ("cat_l1", "cat_l2", "brand")}
+
+    @cached_property
+    def top_vocab(self):
+        return Fe.string_vocab(self.users, "top_category", "idx")
+
+    @cached_property
+    def items_enc(self):
+        v = self.vocabs
+        return Fe.encode_items(self.items, self.item_vocab, v["cat_l1"], v["cat_l2"], v["brand"])
+
+    @cached_property
+    def users_enc(self):
+        return Fe.encode_users(self.users, self.user_vocab, self.top_vocab)
+
+    @cached_property
+    def pairs(self):
+        return Fe.train_pairs(self.inter, self.user_vocab, self.item_vocab)

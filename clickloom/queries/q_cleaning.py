@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from clickloom.functions.columns import rnd
+
 from clickloom.operators import cleaning as C
 from clickloom.queries import register
 from clickloom.queries.sql_base import CLEAN, kcore_sql, with_
@@ -45,7 +47,7 @@ GROUP BY user_id""")
 def q_epd(spark, sf):
     df = C.price_floor(C.near_dedup(C.exact_dedup(_filled(spark, sf))))
     daily = df.groupBy("user_id", F.to_date("event_time").alias("d")).agg(F.count(F.lit(1)).alias("n"))
-    return daily.groupBy("user_id").agg(F.round(F.avg("n"), 6).alias("avg_events_per_day"),
+    return daily.groupBy("user_id").agg(rnd(F.avg("n"), 6).alias("avg_events_per_day"),
                                         F.count(F.lit(1)).alias("active_days"))
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from clickloom.functions.columns import rnd
+
 from clickloom.operators import cleaning as C
 from clickloom.operators import interactions as I
 from clickloom.queries import register
@@ -70,4 +72,4 @@ FROM b""")
 def q_weights(spark, sf):
     pairs = clean_interactions(spark, sf).withColumn("batch_id", F.to_date("last_interaction"))
     out = I.normalised_weights(pairs, "batch_id")
-    return out.select("user_id", "product_id", "batch_id", F.round("weight", 6).alias("weight"))
+    return out.select("user_id", "product_id", "batch_id", rnd("weight", 6).alias("weight"))

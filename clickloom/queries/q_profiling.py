@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from clickloom.functions.columns import bucket_sql
+from clickloom.functions.columns import bucket_sql, rnd
 from clickloom.operators import profiling as P
 from clickloom.queries import register
 from clickloom.queries.common import TEST_START, clean, order_interactions
@@ -268,4 +268,4 @@ SELECT product_id, CAST(n AS DOUBLE) AS weight, round(n * 1.0 / sum(n) OVER (),
 FROM (SELECT product_id, count(*) AS n FROM clean GROUP BY product_id)""")
 def q_pop_share(spark, sf):
     out = P.popularity_share(clean(spark, sf))
-    return out.select("product_id", "weight", F.round("share", 6).alias("share"))
+    return out.select("product_id", "weight", rnd("share", 6).alias("share"))

@@ -142,3 +142,94 @@ labelled AS (
 train AS (SELECT * EXCLUDE (split) FROM labelled WHERE split = 'train'),
 val AS (SELECT * EXCLUDE (split) FROM labelled WHERE split = 'val'),
 test AS (SELECT * EXCLUDE (split) FROM labelled WHERE split = 'test')"""
+
+
+def scaled(expr: str, name: str, src_digits: int = 6) -> str:
+    """Population z-score over all rows; zero std divides by 1 (oracle of standard_scale)."""
+    sd = f"stddev_pop({expr}) OVER ()"
+    return (f"round(({expr} - avg({expr}) OVER ()) / CASE WHEN coalesce({sd}, 0) = 0 THEN 1 ELSE {sd} END, "
+            f"{src_digits}) AS {name}")
+
+
+def str_vocab(src: str, col: str, name: str) -> str:
+    return (f"{name} AS (SELECT {col} AS k, row_number() OVER (ORDER BY {col}) AS idx FROM "
+            f"(SELECT DISTINCT {col} FROM {src} WHERE {col} IS NOT NULL AND {col} <> 'unknown') "
+            f"UNION ALL SELECT 'unknown' AS k, 0 AS idx)")
+
+
+def exact_mean_sql(expr: str, decimals: int, cond: str | None = None) -> str:
+    """Oracle of ``functions.columns.exact_mean``."""
+    e = f"CASE WHEN {cond} THEN {expr} END" if cond else expr
+    m = f"{10 ** decimals}.0"
+    return (f"(CASE WHEN count({e}) = 0 THEN NULL ELSE "
+            f"CAST(sum(CAST(round(({e}) * {m}) AS BIGINT)) AS DOUBLE) / (count({e}) * {m}) END)")
+
+
+FEATURES = SPLITS + ",\ninter_train AS (" + INTERACTIONS_OF.format(src="train") + """),
+if_base AS (SELECT product_id, max(category_code) AS cc, max(brand) AS br, """ + exact_mean_sql("price", 2) + """ AS ap
+            FROM clean GROUP BY product_id),
+if_stats AS (SELECT product_id, sum(confidence_score) AS conf,
+                    CASE WHEN sum(n_views) = 0 THEN NULL ELSE sum(n_purchases) / sum(n_views) END AS rate
+             FROM inter_train GROUP BY product_id),
+item_feats AS (
+  SELECT b.product_id,
+         coalesce(nullif(split_part(coalesce(cc, 'unknown'), '.', 1), ''), 'unknown') AS cat_l1,
+         coalesce(nullif(split_part(coalesce(cc, 'unknown'), '.', 2), ''), 'unknown') AS cat_l2,
+         coalesce(br, 'unknown') AS brand,
+         CASE WHEN ap < 10 THEN 0 WHEN ap < 50 THEN 1 WHEN ap < 100 THEN 2 WHEN ap < 200 THEN 3
+              WHEN ap < 500 THEN 4 WHEN ap < 1000 THEN 5 WHEN ap < 2000 THEN 6 ELSE 7 END AS price_bucket,
+         round(ap, 4) AS avg_price,
+         CAST(coalesce(conf, 0) AS BIGINT) AS item_total_confidence,
+         coalesce(rate, 0.0) AS item_purchase_rate
+  FROM if_base b LEFT JOIN if_stats s USING (product_id)),
+uf_base AS (
+  SELECT user_id, count(*) AS total_events, count(DISTINCT strftime(event_time, '%Y-%m')) AS months_active,
+         round(count_if(event_type = 'purchase') / count(*), 4) AS purchase_rate,
+         round(count_if(event_type = 'cart') / count(*), 4) AS cart_rate,
+         count(DISTINCT user_session) AS n_sessions,
+         CAST(floor(avg(hour(event_time)) / 6) AS INTEGER) AS peak_hour_bucket,
+         CAST(round(avg(dayofweek(event_time) + 1)) AS INTEGER) AS preferred_dow
+  FROM train GROUP BY user_id),
+uf_enr AS (SELECT t.user_id, t.event_type, f.cat_l1, f.avg_price FROM train t JOIN item_feats f USING (product_id)),
+uf_cat AS (SELECT user_id, cat_l1, row_number() OVER (PARTITION BY user_id ORDER BY count(*) DESC, cat_l1) AS rn
+           FROM uf_enr GROUP BY user_id, cat_l1),
+uf_price AS (SELECT user_id, """ + exact_mean_sql("avg_price", 4, "event_type = 'purchase'") + """ AS pp,
+                    """ + exact_mean_sql("avg_price", 4) + """ AS vp, CAST(count_if(event_type = 'purchase') > 0 AS INTEGER) AS has_purchase_history
+             FROM uf_enr GROUP BY user_id),
+user_feats AS (
+  SELECT b.user_id, b.total_events, b.months_active, b.purchase_rate, b.cart_rate, b.n_sessions,
+         b.peak_hour_bucket, b.preferred_dow, coalesce(c.cat_l1, 'unknown') AS top_category,
+         round(coalesce(p.pp, p.vp), 6) AS avg_purchase_price, p.has_purchase_history
+  FROM uf_base b LEFT JOIN uf_cat c ON c.user_id = b.user_id AND c.rn = 1
+  LEFT JOIN uf_price p ON p.user_id = b.user_id),
+item_vocab AS (SELECT product_id, row_number() OVER (ORDER BY product_id) AS item_idx FROM item_feats),
+user_vocab AS (SELECT user_id, row_number() OVER (ORDER BY user_id) - 1 AS user_idx
+               FROM (SELECT DISTINCT user_id FROM inter_train)),
+""" + str_vocab("item_feats", "cat_l1", "v_cat_l1") + ",\n" + str_vocab("item_feats", "cat_l2", "v_cat_l2") + \
+    ",\n" + str_vocab("item_feats", "brand", "v_brand") + ",\n" + str_vocab("user_feats", "top_category", "v_top") + """,
+ie_base AS (
+  SELECT f.*, v.item_idx, coalesce(a.idx, 0) AS cat_l1_idx, coalesce(b.idx, 0) AS cat_l2_idx,
+         coalesce(c.idx, 0) AS brand_idx
+  FROM item_feats f JOIN item_vocab v USING (product_id)
+  LEFT JOIN v_cat_l1 a ON a.k = f.cat_l1 LEFT JOIN v_cat_l2 b ON b.k = f.cat_l2 LEFT JOIN v_brand c ON c.k = f.brand),
+items_enc AS (
+  SELECT product_id, item_idx, cat_l1_idx, cat_l2_idx, brand_idx, price_bucket,
+         """ + scaled("avg_price", "avg_price_scaled") + """,
+         """ + scaled("ln(1 + item_total_confidence)", "log_confidence_scaled") + """,
+         """ + scaled("item_purchase_rate", "purchase_rate_scaled") + """
+  FROM ie_base),
+ue_base AS (
+  SELECT u.*, v.user_idx, coalesce(t.idx, 0) AS top_cat_idx
+  FROM user_feats u JOIN user_vocab v USING (user_id) LEFT JOIN v_top t ON t.k = u.top_category),
+users_enc AS (
+  SELECT user_id, user_idx, top_cat_idx, peak_hour_bucket, preferred_dow - 1 AS preferred_dow, has_purchase_history,
+         """ + scaled("ln(1 + total_events)", "log_total_events") + """,
+         """ + scaled("CAST(months_active AS DOUBLE)", "months_active") + """,
+         """ + scaled("purchase_rate", "purchase_rate") + """,
+         """ + scaled("cart_rate", "cart_rate") + """,
+         """ + scaled("ln(1 + n_sessions)", "log_n_sessions") + """,
+         """ + scaled("avg_purchase_price", "avg_purchase_price_scaled") + """
+  FROM ue_base),
+pairs AS (
+  SELECT v.user_idx, i.item_idx, t.confidence_score
+  FROM inter_train t JOIN user_vocab v USING (user_id) JOIN item_vocab i USING (product_id))"""
