@@ -11,6 +11,7 @@ from clickloom.operators import cleaning as C
 from clickloom.operators import features as Fe
 from clickloom.operators import interactions as I
 from clickloom.operators import sampling as S
+from clickloom.session import cut_lineage
 from clickloom.sources.testdata import clickstream, order_interactions  # noqa: F401
 
 # Fixed split points of the one-month test clickstream.
@@ -41,25 +42,35 @@ class features:  # noqa: N801 - used like a function returning a bundle
     def __init__(self, spark, sf):
         self.spark, self.sf = spark, sf
 
+    # Shared intermediate tables are checkpointed into the shared checkpoint
+    # folder: each is computed once per query and later plans start from it.
+
+    @cached_property
+    def labelled(self):
+        return cut_lineage(labelled(self.spark, self.sf))
+
     @cached_property
     def clean(self):
-        return clean(self.spark, self.sf)
+        return self.labelled.drop("split")
 
     @cached_property
     def train(self):
-        return split(self.spark, self.sf, "train")
+        return self.split("train")
+
+    def split(self, name):
+        return self.labelled.filter(F.col("split") == name).drop("split")
 
     @cached_property
     def inter(self):
-        return I.interactions(self.train)
+        return cut_lineage(I.interactions(self.train))
 
     @cached_property
     def items(self):
-        return Fe.item_features(self.clean, self.inter)
+        return cut_lineage(Fe.item_features(self.clean, self.inter))
 
     @cached_property
     def users(self):
-        return Fe.user_features(self.train, self.items)
+        return cut_lineage(Fe.user_features(self.train, self.items))
 
     @cached_property
     def item_vocab(self):
@@ -80,12 +91,12 @@ class features:  # noqa: N801 - used like a function returning a bundle
     @cached_property
     def items_enc(self):
         v = self.vocabs
-        return Fe.encode_items(self.items, self.item_vocab, v["cat_l1"], v["cat_l2"], v["brand"])
+        return cut_lineage(Fe.encode_items(self.items, self.item_vocab, v["cat_l1"], v["cat_l2"], v["brand"]))
 
     @cached_property
     def users_enc(self):
-        return Fe.encode_users(self.users, self.user_vocab, self.top_vocab)
+        return cut_lineage(Fe.encode_users(self.users, self.user_vocab, self.top_vocab))
 
     @cached_property
     def pairs(self):
-        return Fe.train_pairs(self.inter, self.user_vocab, self.item_vocab)
+        return cut_lineage(Fe.train_pairs(self.inter, self.user_vocab, self.item_vocab))

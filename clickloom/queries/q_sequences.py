@@ -10,7 +10,7 @@ from clickloom.functions.columns import rnd
 from clickloom.operators import sequences as Sq
 from clickloom.operators.profiling import percentiles
 from clickloom.queries import register
-from clickloom.queries.common import features, labelled
+from clickloom.queries.common import features
 from clickloom.queries.sql_base import FEATURES, with_
 
 ORD = "event_time, item_idx, event_idx"
@@ -50,12 +50,11 @@ class _Seq:
         return Sq.map_to_vocab(df, self.f.user_vocab, self.f.item_vocab)
 
     def sessions(self, name):
-        split = labelled(self.spark, self.sf).filter(F.col("split") == name).drop("split")
-        return Sq.session_sequences(self.mapped(split))
+        return Sq.session_sequences(self.mapped(self.f.split(name)))
 
     @cached_property
     def all_splits(self):
-        return Sq.session_sequences(self.mapped(labelled(self.spark, self.sf)), extra_group=["split"])
+        return Sq.session_sequences(self.mapped(self.f.labelled), extra_group=["split"])
 
 
 @register("session_sequences_train", with_(SEQ) + "\nSELECT * FROM s_train")
@@ -104,8 +103,7 @@ SELECT user_idx, item_idx, event_type, product_id, event_time, user_id FROM (
 WHERE rk = 1""")
 def q_val_targets(spark, sf):
     s = _Seq(spark, sf)
-    val = labelled(spark, sf).filter(F.col("split") == "val").drop("split")
-    return Sq.val_targets(s.mapped(val))
+    return Sq.val_targets(s.mapped(s.f.split("val")))
 
 
 PAD20 = "list_concat(list_resize([]::BIGINT[], {n} - len({a}), 0), {a})"
