@@ -1 +1,143 @@
-"""Queries (to be filled)."""
+"""Drift queries."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from clickloom.functions.columns import rnd
+from clickloom.operators import drift as D
+from clickloom.operators import ranking as Rk
+from clickloom.queries import register
+from clickloom.queries.common import features
+from clickloom.queries.sql_base import FEATURES, secs, with_
+
+WEEK1 = dt.datetime(2024, 1, 1)
+N_WEEKS = 4
+
+COUNTS = """,
+cr AS (SELECT product_id AS item, count(*) AS n FROM train GROUP BY 1),
+cn AS (SELECT product_id AS item, count(*) AS n FROM test GROUP BY 1),
+tr AS (SELECT item, row_number() OVER (ORDER BY n DESC, item) AS rank FROM cr QUALIFY rank <= 50),
+tn AS (SELECT item, row_number() OVER (ORDER BY n DESC, item) AS rank FROM cn QUALIFY rank <= 50)"""
+
+
+@register("drift_report_train_test", with_(FEATURES) + COUNTS + """,
+al AS (SELECT coalesce(a.item, b.item) AS item, coalesce(a.n, 0) AS n_p, coalesce(b.n, 0) AS n_q
+       FROM cr a FULL OUTER JOIN cn b ON a.item = b.item),
+tt AS (SELECT sum(n_p) AS t_p, sum(n_q) AS t_q, count(*) AS n_union FROM al),
+pq AS (SELECT (n_p / t_p + 1e-10) / (1.0 + n_union * 1e-10) AS p, (n_q / t_q + 1e-10) / (1.0 + n_union * 1e-10) AS q
+       FROM al CROSS JOIN tt),
+js AS (SELECT sum(0.5 * (p * ln(p / ((p + q) / 2)) + q * ln(q / ((p + q) / 2)))) / ln(2) AS jsd FROM pq)
+SELECT CAST((SELECT sum(n) FROM cr) AS BIGINT) AS n_ref_events, CAST((SELECT sum(n) FROM cn) AS BIGINT) AS n_new_events,
+       round(jsd, 6) AS jsd,
+       round((SELECT count(*) FROM tr WHERE item IN (SELECT item FROM tn)) * 100.0 / 50, 6) AS top_n_overlap_pct,
+       round((SELECT count(*) FROM cn WHERE item IN (SELECT item FROM cr)) * 100.0 / (SELECT count(*) FROM cn), 6)
+         AS coverage_pct,
+       jsd >= 0.1 AS alert,
+       (SELECT list(item ORDER BY rank) FROM tr WHERE rank <= 20) AS top_ref,
+       (SELECT list(item ORDER BY rank) FROM tn WHERE rank <= 20) AS top_new
+FROM js""")
+def q_drift(spark, sf):
+    f = features(spark, sf)
+    return D.drift_report(f.train, f.split("test"))
+
+
+@register("drift_rank_comparison", with_(FEATURES) + COUNTS + """
+SELECT coalesce(a.item, b.item) AS item, a.rank AS ref_rank, b.rank AS new_rank, a.rank - b.rank AS rank_gain,
+       CASE WHEN a.rank IS NULL THEN 'entered' WHEN b.rank IS NULL THEN 'dropped' ELSE 'both' END AS status
+FROM (SELECT * FROM tr WHERE rank <= 20) a FULL OUTER JOIN (SELECT * FROM tn WHERE rank <= 20) b ON a.item = b.item""")
+def q_rank_cmp(spark, sf):
+    f = features(spark, sf)
+    return D.rank_comparison(f.train, f.split("test"))
+
+
+TAGGED = f""",
+tagged AS (SELECT * FROM (
+  SELECT *, CAST(floor(({secs('event_time')} - epoch(TIMESTAMP '2024-01-01')) / 604800) + 1 AS INTEGER) AS week
+  FROM clean) WHERE week BETWEEN 1 AND {N_WEEKS}),
+wc AS (SELECT week, product_id AS item, count(*) AS n FROM tagged GROUP BY 1, 2),
+wj AS (SELECT coalesce(a.week, b.week) AS week, coalesce(a.n_p, 0) AS n_p, coalesce(b.n_q, 0) AS n_q
+       FROM (SELECT week + 1 AS week, item, n AS n_p FROM wc) a
+       FULL OUTER JOIN (SELECT week, item, n AS n_q FROM wc) b ON a.week = b.week AND a.item = b.item),
+wt AS (SELECT wj.*, sum(n_p) OVER (PARTITION BY week) AS t_p, sum(n_q) OVER (PARTITION BY week) AS t_q
+       FROM wj WHERE week IN (SELECT week FROM tagged)),
+wpq AS (SELECT week, t_p, CASE WHEN t_p > 0 THEN n_p / t_p ELSE 0.0 END AS p,
+               CASE WHEN t_q > 0 THEN n_q / t_q ELSE 0.0 END AS q FROM wt),
+wjsd AS (SELECT week, CASE WHEN max(t_p) > 0 THEN least(greatest(sum(
+            0.5 * CASE WHEN p > 0 AND (p + q) / 2 > 0 THEN p * ln(p / ((p + q) / 2)) ELSE 0.0 END
+          + 0.5 * CASE WHEN q > 0 AND (p + q) / 2 > 0 THEN q * ln(q / ((p + q) / 2)) ELSE 0.0 END), 0.0), ln(2))
+          / ln(2) END AS jsd
+         FROM wpq GROUP BY week)"""
+
+
+def _weekly_ndcg_sql() -> str:
+    from clickloom.queries.q_ranking import gains_sql
+    parts, sels = [gains_sql(20)], []
+    for w in range(1, N_WEEKS):
+        parts.append(f"""h{w} AS (SELECT user_id, product_id,
+      count_if(event_type = 'purchase') * 4 + count_if(event_type = 'cart') * 2 + count_if(event_type = 'view')
+        AS confidence_score FROM tagged WHERE week <= {w} GROUP BY 1, 2),
+p{w} AS (SELECT product_id, row_number() OVER (ORDER BY sum(confidence_score) DESC, product_id) AS pop_rank
+         FROM h{w} GROUP BY 1),
+g{w} AS (SELECT DISTINCT user_id, product_id FROM tagged WHERE week = {w + 1} AND event_type IN ('cart', 'purchase')
+         AND user_id IN (SELECT user_id FROM h{w})),
+r{w} AS (SELECT * FROM (SELECT u.user_id, p.product_id, row_number() OVER (PARTITION BY u.user_id ORDER BY p.pop_rank)
+           AS rank FROM (SELECT DISTINCT user_id FROM g{w}) u CROSS JOIN p{w} p
+           WHERE NOT EXISTS (SELECT 1 FROM h{w} s WHERE s.user_id = u.user_id AND s.product_id = p.product_id))
+         WHERE rank <= 20),
+m{w} AS (SELECT g.user_id, coalesce(h.dcg, 0.0) / i.idcg AS ndcg
+  FROM (SELECT user_id, least(count(*), 20) AS n_ideal FROM g{w} GROUP BY 1) g
+  LEFT JOIN (SELECT r.user_id, sum(gn.gain) AS dcg FROM r{w} r JOIN g{w} USING (user_id, product_id)
+             JOIN gains_20 gn ON gn.rank = r.rank GROUP BY 1) h USING (user_id)
+  JOIN gains_20 i ON i.rank = g.n_ideal)""")
+        sels.append(f"SELECT {w} AS week, avg(ndcg) AS ndcg FROM m{w}")
+    parts.append("wndcg AS (" + " UNION ALL ".join(sels) + ")")
+    return ",\n" + ",\n".join(parts)
+
+
+WEEKLY = TAGGED + _weekly_ndcg_sql()
+
+
+def _spark_weekly(spark, sf):
+    f = features(spark, sf)
+    tagged = D.weekly_windows(f.clean, WEEK1, N_WEEKS)
+    return tagged, D.weekly_jsd(tagged), D.weekly_popularity_ndcg(tagged, N_WEEKS)
+
+
+@register("weekly_drift_metrics", with_(FEATURES) + WEEKLY + """
+SELECT j.week, round(j.jsd, 6) AS jsd, round(n.ndcg, 6) AS ndcg FROM wjsd j LEFT JOIN wndcg n USING (week)""")
+def q_weekly(spark, sf):
+    _, j, n = _spark_weekly(spark, sf)
+    return j.join(n, "week", "left").select("week", rnd("jsd", 6).alias("jsd"), rnd("ndcg", 6).alias("ndcg"))
+
+
+@register("weekly_retrain_gate", "WITH RECURSIVE " + with_(FEATURES)[len("WITH "):] + WEEKLY + """,
+wk AS (SELECT j.week, j.jsd, n.ndcg FROM wjsd j LEFT JOIN wndcg n USING (week)),
+g AS (
+  SELECT week, jsd, ndcg, TRUE AS retrained,
+         coalesce(ndcg >= CAST(0.0 AS DOUBLE) + CAST(0.0005 AS DOUBLE), FALSE) AS promoted,
+         CASE WHEN coalesce(ndcg >= CAST(0.0 AS DOUBLE) + CAST(0.0005 AS DOUBLE), FALSE) THEN ndcg
+              ELSE CAST(0.0 AS DOUBLE) END AS best_after
+  FROM wk WHERE week = 1
+  UNION ALL
+  SELECT w.week, w.jsd, w.ndcg,
+         (w.week = 1 OR coalesce(w.jsd >= CAST(0.1 AS DOUBLE), FALSE)) AS retrained,
+         (w.week = 1 OR coalesce(w.jsd >= CAST(0.1 AS DOUBLE), FALSE))
+           AND coalesce(w.ndcg >= g.best_after + CAST(0.0005 AS DOUBLE), FALSE) AS promoted,
+         CASE WHEN (w.week = 1 OR coalesce(w.jsd >= CAST(0.1 AS DOUBLE), FALSE))
+                   AND coalesce(w.ndcg >= g.best_after + CAST(0.0005 AS DOUBLE), FALSE) THEN w.ndcg
+              ELSE g.best_after END AS best_after
+  FROM g JOIN wk w ON w.week = g.week + 1)
+SELECT week, round(jsd, 6) AS jsd, round(ndcg, 6) AS ndcg, retrained, promoted, round(best_after, 6) AS best_after
+FROM g""")
+def q_gate(spark, sf):
+    _, j, n = _spark_weekly(spark, sf)
+    weekly = j.join(n, "week", "left").select("week", F.col("jsd").cast("double"), F.col("ndcg").cast("double"))
+    g = D.weekly_gate(weekly)
+    return g.select("week", rnd("jsd", 6).alias("jsd"), rnd("ndcg", 6).alias("ndcg"), "retrained", "promoted",
+                    rnd("best_after", 6).alias("best_after"))
+
+
+__all__ = ["Rk"]
