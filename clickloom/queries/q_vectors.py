@@ -1 +1,136 @@
-"""Queries (to be filled)."""
+"""Vector retrieval queries (R1-R3, R7, R19, R20, A28) over the ``embeddings`` table.
+
+Item vectors: ``embeddings.vec_id`` is the item (product) id. For the
+clickstream items (products 0..99) the same id selects their vector.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from clickloom.functions.columns import rnd
+from clickloom.operators import ranking as Rk
+from clickloom.operators import vectors as V
+from clickloom.operators.sequences import eval_prefix_target
+from clickloom.queries import register
+from clickloom.queries.common import features
+from clickloom.queries.q_ranking import gains_sql
+from clickloom.queries.q_sequences import SEQ, _Seq
+from clickloom.queries.sql_base import with_
+from clickloom.sources.testdata import table
+
+DIM = 64
+
+
+def _emb(spark, sf):
+    return table(spark, sf, "embeddings").select(F.col("vec_id"), F.col("embedding").alias("vec"), "label")
+
+
+def _round_arr(c):
+    return F.transform(c, lambda x: rnd(x, 6))
+
+
+TOPK_SQL = """
+SELECT query_id, item_id, round(score, 6) AS score, rank FROM (
+  SELECT a.vec_id AS query_id, b.vec_id AS item_id, {f}(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) AS score,
+         row_number() OVER (PARTITION BY a.vec_id ORDER BY {f}(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) DESC,
+                            b.vec_id) AS rank
+  FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id)
+WHERE rank <= 10"""
+
+
+@register("vector_topk_exact", TOPK_SQL.format(f="list_inner_product"))
+def q_topk(spark, sf):
+    e = _emb(spark, sf)
+    out = V.exact_topk(e.select(F.col("vec_id").alias("query_id"), "vec"),
+                       e.select(F.col("vec_id").alias("item_id"), "vec"), 10, metric="ip", exclude_self=True)
+    return out.select("query_id", "item_id", rnd("score", 6).alias("score"), "rank")
+
+
+@register("vector_topk_cosine", TOPK_SQL.format(f="list_cosine_similarity"))
+def q_topk_cos(spark, sf):
+    e = _emb(spark, sf)
+    out = V.exact_topk(e.select(F.col("vec_id").alias("query_id"), "vec"),
+                       e.select(F.col("vec_id").alias("item_id"), "vec"), 10, metric="cosine", exclude_self=True)
+    return out.select("query_id", "item_id", rnd("score", 6).alias("score"), "rank")
+
+
+def _ivf(spark, sf):
+    e = _emb(spark, sf)
+    q = e.select(F.col("vec_id").alias("query_id"), "vec")
+    it = e.select(F.col("vec_id").alias("item_id"), "vec")
+    return q, it, V.ivf_topk(q, it, 10, n_lists=16, n_probe=4, exclude_self=True)
+
+
+# KMeans centroids are not SQL-expressible: rows-only check.
+@register("vector_topk_ivf", None)
+def q_ivf(spark, sf):
+    return _ivf(spark, sf)[2]
+
+
+@register("ivf_concordance", None)
+def q_conc(spark, sf):
+    q, it, approx = _ivf(spark, sf)
+    exact = V.exact_topk(q, it, 10, exclude_self=True)
+    return V.concordance(exact, approx, 10)
+
+
+@register("user_embedding_centroids", with_(SEQ) + f""",
+good AS (SELECT user_id, product_id FROM inter_train WHERE confidence_score >= 2),
+ex AS (SELECT g.user_id, i.i, e.embedding[i.i] AS x
+       FROM good g JOIN embeddings e ON e.vec_id = g.product_id CROSS JOIN range(1, {DIM + 1}) i(i)),
+c AS (SELECT user_id, list(m ORDER BY i) AS vec FROM (SELECT user_id, i, avg(x) AS m FROM ex GROUP BY 1, 2)
+      GROUP BY user_id)
+SELECT u.user_id, list_transform(coalesce(c.vec, list_resize([]::DOUBLE[], {DIM}, 0.0)), lambda x: round(x, 6)) AS vec
+FROM (SELECT DISTINCT user_id FROM inter_train) u LEFT JOIN c USING (user_id)""")
+def q_centroids(spark, sf):
+    f = features(spark, sf)
+    vecs = _emb(spark, sf).select(F.col("vec_id").alias("product_id"), "vec")
+    out = V.user_centroids(f.inter, vecs, f.inter, DIM, user_col="user_id", item_col="product_id")
+    return out.select("user_id", _round_arr(F.col("vec")).alias("vec"))
+
+
+@register("embedding_cosine_moments", """
+SELECT count(DISTINCT a.vec_id) AS n, round(avg(c), 6) AS mean_cosine, round(stddev_pop(c), 6) AS std_cosine
+FROM (SELECT a.vec_id, list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) AS c
+      FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id) a""")
+def q_moments(spark, sf):
+    out = V.offdiagonal_cosine_moments(_emb(spark, sf), DIM)
+    return out.select("n", rnd("mean_cosine", 6).alias("mean_cosine"), rnd("std_cosine", 6).alias("std_cosine"))
+
+
+def _session_query_sql() -> str:
+    return f""",
+iv AS (SELECT v.item_idx, e.embedding FROM item_vocab v JOIN embeddings e ON e.vec_id = v.product_id),
+pref AS (SELECT session_idx, item_seq[-1] AS target_item, unnest(item_seq[1:len(item_seq) - 1]) AS item_idx
+         FROM s_test),
+qx AS (SELECT p.session_idx, i.i, avg(iv.embedding[i.i]) AS m FROM pref p JOIN iv USING (item_idx)
+       CROSS JOIN range(1, {DIM + 1}) i(i) GROUP BY 1, 2),
+qv AS (SELECT session_idx, list(m ORDER BY i) AS vec FROM qx GROUP BY 1),
+recs AS (SELECT * FROM (
+  SELECT q.session_idx, iv.item_idx,
+         row_number() OVER (PARTITION BY q.session_idx ORDER BY list_cosine_similarity(q.vec, iv.embedding::DOUBLE[])
+                            DESC, iv.item_idx) AS rank
+  FROM qv q CROSS JOIN iv) WHERE rank <= 20),
+tg AS (SELECT session_idx, item_seq[-1] AS item_idx FROM s_test),
+{gains_sql(20)}"""
+
+
+@register("session_recs_embedding_hr_ndcg", with_(SEQ) + _session_query_sql() + """
+SELECT count(*) AS n, round(avg(CASE WHEN r.rank IS NOT NULL THEN 1.0 ELSE 0.0 END), 6) AS hr_at_20,
+       round(avg(coalesce(g.gain, 0.0)), 6) AS ndcg_at_20
+FROM tg LEFT JOIN recs r USING (session_idx, item_idx) LEFT JOIN gains_20 g ON g.rank = r.rank""")
+def q_session_recs(spark, sf):
+    s = _Seq(spark, sf)
+    f = s.f
+    vecs = _emb(spark, sf).select(F.col("vec_id").alias("product_id"), "vec")
+    item_vecs = f.item_vocab.join(vecs, "product_id").select("item_idx", "vec")
+    sessions = s.sessions("test")
+    ev = eval_prefix_target(sessions)
+    prefix = sessions.select("session_idx", F.explode(F.slice("item_seq", 1, F.size("item_seq") - 1)).alias("item_idx"))
+    qv = V.mean_vectors(prefix, item_vecs, "session_idx", "item_idx", DIM)
+    recs = V.exact_topk(qv.select(F.col("session_idx").alias("query_id"), "vec"),
+                        item_vecs.select(F.col("item_idx").alias("item_id"), "vec"), 20, metric="cosine")
+    recs = recs.select(F.col("query_id").alias("session_idx"), F.col("item_id").alias("item_idx"), "rank")
+    targets = ev.select("session_idx", F.col("target_item").alias("item_idx"))
+    return Rk.single_target_metrics(recs, targets, 20)
