@@ -1 +1,117 @@
-"""Queries (to be filled)."""
+"""Negative sampling queries."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from clickloom.functions.columns import rnd
+from clickloom.operators import negatives as N
+from clickloom.operators.profiling import percentiles
+from clickloom.queries import register
+from clickloom.queries.common import features
+from clickloom.queries.sql_base import FEATURES, with_
+
+
+def _items(f):
+    return f.items_enc.select("item_idx", "cat_l2_idx", "price_bucket", "brand_idx")
+
+
+# Hash-seeded draws (xxhash64) have no SQL twin: rows-only; properties are unit-tested.
+@register("hard_negatives", None)
+def q_hard(spark, sf):
+    f = features(spark, sf)
+    return N.hard_negatives(f.pairs, _items(f))
+
+
+@register("uniform_negatives", None)
+def q_uniform(spark, sf):
+    f = features(spark, sf)
+    n_items = f.items_enc.agg(F.max("item_idx")).first()[0] + 1
+    return N.uniform_negatives(f.pairs.select("user_idx", "item_idx"), ["user_idx", "item_idx"], n_items, 5)
+
+
+POOL = """,
+cn AS (SELECT cat_l2_idx, count(*) AS cat_n FROM items_enc WHERE cat_l2_idx <> 0 GROUP BY 1),
+bn AS (SELECT price_bucket, count(*) AS b_n FROM items_enc GROUP BY 1),
+ps AS (SELECT p.user_idx, p.item_idx, CASE WHEN i.cat_l2_idx <> 0 THEN cn.cat_n ELSE bn.b_n END - 1 AS pool_size
+       FROM pairs p JOIN items_enc i USING (item_idx) LEFT JOIN cn USING (cat_l2_idx) JOIN bn USING (price_bucket))"""
+
+
+@register("hard_negative_pool_sizes", with_(FEATURES) + POOL + "\nSELECT * FROM ps")
+def q_pool(spark, sf):
+    f = features(spark, sf)
+    return N.pool_sizes(f.pairs, _items(f))
+
+
+@register("hard_negative_pool_quantiles", with_(FEATURES) + POOL + """
+SELECT 'pool_size' AS metric, round(unnest([0.1, 0.5, 0.9]::DOUBLE[]), 6) AS prob,
+       round(unnest(quantile_cont(pool_size, [0.1, 0.5, 0.9]::DOUBLE[])), 6) AS value FROM ps""")
+def q_pool_q(spark, sf):
+    f = features(spark, sf)
+    return percentiles(N.pool_sizes(f.pairs, _items(f)), "pool_size", [0.1, 0.5, 0.9], "pool_size")
+
+
+SESS_NEG = """,
+per AS (SELECT c.user_session, c.product_id, max(CAST(c.event_type = 'view' AS INTEGER)) AS viewed,
+               max(CAST(c.event_type IN ('cart', 'purchase') AS INTEGER)) AS pos
+        FROM train c GROUP BY 1, 2),
+perc AS (SELECT per.*, f.cat_l2 AS cat FROM per LEFT JOIN item_feats f USING (product_id)),
+possess AS (SELECT DISTINCT user_session FROM perc WHERE pos = 1),
+poscat AS (SELECT DISTINCT user_session, cat FROM perc WHERE pos = 1),
+vo AS (SELECT v.user_session, v.product_id,
+              CASE WHEN EXISTS (SELECT 1 FROM poscat q WHERE q.user_session = v.user_session AND q.cat = v.cat)
+                   THEN 1 END AS sc
+       FROM perc v WHERE v.viewed = 1 AND v.pos = 0 AND v.user_session IN (SELECT user_session FROM possess)),
+sn AS (SELECT s.user_session, coalesce(x.pool_size, 0) AS pool_size, coalesce(x.same_category, 0) AS same_category
+       FROM possess s LEFT JOIN (SELECT user_session, count(*) AS pool_size, count(sc) AS same_category FROM vo
+                                 GROUP BY 1) x USING (user_session))"""
+
+
+@register("session_negatives", with_(FEATURES) + SESS_NEG + "\nSELECT * FROM sn")
+def q_sess_neg(spark, sf):
+    f = features(spark, sf)
+    return N.session_negatives(f.train, f.items)
+
+
+@register("session_negative_summary", with_(FEATURES) + SESS_NEG + """
+SELECT count(*) AS positive_sessions, count_if(pool_size >= 1) AS qualifying_sessions,
+       round(count_if(pool_size >= 3) * 100.0 / count_if(pool_size >= 1), 6) AS pct_ge3_of_qualifying,
+       round(count_if(pool_size >= 3) * 100.0 / count(*), 6) AS pct_ge3_of_positive,
+       round(sum(same_category) * 100.0 / sum(pool_size), 6) AS pct_same_category
+FROM sn""")
+def q_sess_neg_sum(spark, sf):
+    f = features(spark, sf)
+    sn = N.session_negatives(f.train, f.items)
+    return sn.agg(F.count(F.lit(1)).alias("positive_sessions"),
+                  F.count_if(F.col("pool_size") >= 1).alias("qualifying_sessions"),
+                  rnd(F.count_if(F.col("pool_size") >= 3) * 100.0 / F.count_if(F.col("pool_size") >= 1), 6)
+                  .alias("pct_ge3_of_qualifying"),
+                  rnd(F.count_if(F.col("pool_size") >= 3) * 100.0 / F.count(F.lit(1)), 6).alias("pct_ge3_of_positive"),
+                  rnd(F.sum("same_category") * 100.0 / F.sum("pool_size"), 6).alias("pct_same_category"))
+
+
+@register("false_negative_risk", None)
+def q_fn_risk(spark, sf):
+    f = features(spark, sf)
+    negs = N.hard_negatives(f.pairs, _items(f))
+    return N.false_negative_risk(negs, _items(f), f.pairs)
+
+
+@register("in_batch_negative_difficulty", with_(FEATURES) + """,
+b AS (SELECT p.user_idx, p.item_idx, ((p.user_idx * 7919 + p.item_idx * 104729) % 16 + 16) % 16 AS batch,
+             i.cat_l2_idx FROM pairs p JOIN items_enc i USING (item_idx)),
+pc AS (SELECT batch, cat_l2_idx, count(*) AS n_c FROM b GROUP BY 1, 2),
+same AS (SELECT batch, sum(n_c * (n_c - 1)) AS same_pairs, sum(n_c) AS size FROM pc GROUP BY 1),
+pop AS (SELECT item_idx, row_number() OVER (ORDER BY count(*) DESC, item_idx) AS r FROM pairs GROUP BY 1),
+top AS (SELECT item_idx FROM pop WHERE r <= ceil((SELECT count(*) FROM pop) * 0.1)),
+popular AS (SELECT batch, count(t.item_idx) AS n_popular FROM b LEFT JOIN top t USING (item_idx) GROUP BY 1)
+SELECT s.batch, s.size,
+       round(CASE WHEN s.size > 1 THEN s.same_pairs / (s.size * (s.size - 1)) ELSE 0.0 END, 6) AS same_category_pair_rate,
+       round(p.n_popular / s.size, 6) AS popular_share
+FROM same s JOIN popular p USING (batch)""")
+def q_batch(spark, sf):
+    f = features(spark, sf)
+    out = N.in_batch_difficulty(f.pairs, _items(f), 16)
+    return out.select(F.col("batch").cast("long"), F.col("size").cast("long"),
+                      rnd("same_category_pair_rate", 6).alias("same_category_pair_rate"),
+                      rnd("popular_share", 6).alias("popular_share"))
