@@ -56,8 +56,9 @@ def check_bad_records(df: DataFrame, max_bad: int = 1000) -> int:
 
 
 def months_from_file_stem(df: DataFrame, months: Sequence[str], exclude: bool = True) -> DataFrame:
-    """Route hold-out months away by the source file name (``2020-Jan``-style stems)."""
-    stem = F.regexp_extract(F.input_file_name(), r"([^/]+)\.csv(\.gz)?$", 1)
+    """Route hold-out months away by the source file name (``2020-Jan``-style stems).
+    Apply directly on the scan: a cached frame no longer knows its files."""
+    stem = F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.csv(\.gz)?$", 1)
     hit = stem.isin(list(months))
     return df.filter(~hit if exclude else hit)
 
