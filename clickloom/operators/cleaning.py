@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.operators.ordering import previous_row
+from clickloom.operators.ordering import previous_within
 from clickloom.session import cut_lineage
 
 # Fixed values of the cleaning job.
@@ -56,13 +56,14 @@ def near_dedup(df: DataFrame, group: Sequence[str] = NEAR_DUP_GROUP,
     event of the group. The comparison is with the previous *input* row, so a
     chain 1 s apart collapses to its first row.
 
-    The lag is split by time bucket (``ordering.previous_row``) so a hot
-    (user, item, type) group is spread over many tasks.
+    One window pass over (user, item, type, hour bucket) with the last
+    second of each bucket copied into the next (``ordering.previous_within``):
+    a hot (user, item, type) group is spread over its hours, no self-join.
     """
     secs = F.unix_timestamp(F.col(ts_col))
     base = df.withColumn("_secs", secs)
-    prev = previous_row(base, list(group), ts_col, list(tiebreak), ["_secs"], out="_p",
-                        bucket_seconds=bucket_seconds)
+    prev = previous_within(base, list(group), ts_col, list(tiebreak), ["_secs"], max_gap_seconds, out="_p",
+                           bucket_seconds=bucket_seconds)
     keep = F.col("_p").isNull() | ((F.col("_secs") - F.col("_p._secs")) > max_gap_seconds)
     return prev.filter(keep).select(*df.columns)
 
@@ -124,6 +125,7 @@ def kcore(df: DataFrame, k: int = KCORE_K, max_rounds: int = KCORE_MAX_ROUNDS,
     folder, which bounds the lineage and survives executor loss.
     ``history`` (optional list) receives ``(round, rows, users, items)``.
     """
+    df = cut_lineage(df)  # the pre-k-core table: read twice (pairs, final filter), computed once
     pairs = df.groupBy(user_col, item_col).agg(F.count(F.lit(1)).alias("_w"))
     current = cut_lineage(pairs)
     prev_rows = current.agg(F.sum("_w")).first()[0] or 0

@@ -179,3 +179,33 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float],
     res = lo_v.join(hi_v, lo_v.prob == hi_v._p2)
     value = F.col("_lo") + F.col("frac") * (F.col("_hi") - F.col("_lo"))
     return want.select("prob").join(res.select("prob", value.alias("value")), "prob", "left")
+
+
+def previous_within(df: DataFrame, keys: Sequence[str] | str, ts_col: str, tiebreak: Sequence[str] | str,
+                    values: Sequence[str] | str, max_gap_seconds: int, out: str = "_prev",
+                    bucket_seconds: int | None = None) -> DataFrame:
+    """The previous row of the group, for rules that only look back at most
+    ``max_gap_seconds`` (whole seconds): one window pass, no self-join.
+
+    Rows are partitioned by (group, time bucket). Each row lying in the last
+    ``max_gap_seconds`` of its bucket is also emitted once more (``explode``,
+    same pass) as a "ghost" into the next bucket, so every predecessor within
+    the gap sits in the same window partition as its successor. The struct
+    ``out`` is exact whenever the true previous row is within the gap; when it
+    is further back the result is that row or null, and either way the gap
+    test of the caller gives the same answer. A hot group is spread over its
+    time buckets.
+    """
+    keys, tiebreak, values = _cols(keys), _cols(tiebreak), _cols(values)
+    bsize = bucket_seconds or max(3600, 2 * max_gap_seconds)
+    if bsize < max_gap_seconds:
+        raise ValueError("bucket_seconds must be >= max_gap_seconds")
+    secs = F.unix_timestamp(F.col(ts_col))
+    b = F.floor(secs / F.lit(bsize)).cast("long")
+    near_end = secs >= (b + 1) * F.lit(bsize) - F.lit(max_gap_seconds)
+    tags = F.when(near_end, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    tagged = df.select("*", b.alias(_B), F.explode(tags).alias("_ghost"))
+    tagged = tagged.withColumn(_B, F.col(_B) + F.col("_ghost"))
+    w = Window.partitionBy(*keys, _B).orderBy(*([ts_col] + tiebreak))
+    lagged = tagged.withColumn(out, F.lag(F.struct(*[F.col(v) for v in values])).over(w))
+    return lagged.filter(F.col("_ghost") == 0).drop("_ghost")

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickloom.functions.columns import bucket_label, category_level, rnd
-from clickloom.operators.ordering import exact_quantiles, previous_row
+from clickloom.operators.ordering import exact_quantiles, previous_within
 
 
 def with_share(df: DataFrame, count_col: str, out: str, digits: int = 6) -> DataFrame:
@@ -58,7 +58,8 @@ def duplicate_profile(df: DataFrame, keys: Sequence[str] = ("event_time", "event
     (user, item, type), for each ``g``."""
     n_distinct = df.select(*keys).distinct().agg(F.count(F.lit(1)).alias("n_distinct"))
     secs = F.unix_timestamp(F.col(ts_col))
-    lagged = previous_row(df.withColumn("_s", secs), list(group), ts_col, list(tiebreak), ["_s"], out="_p")
+    lagged = previous_within(df.withColumn("_s", secs), list(group), ts_col, list(tiebreak), ["_s"], max(gaps),
+                             out="_p")
     gap = F.col("_s") - F.col("_p._s")
     near = lagged.agg(F.count(F.lit(1)).alias("n_rows"),
                       *[F.count_if(F.col("_p").isNotNull() & (gap <= g)).alias(f"near_dup_le_{g}s")

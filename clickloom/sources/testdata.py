@@ -21,7 +21,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.operators.ordering import previous_row, running_sum
+from clickloom.operators.ordering import previous_within, running_sum
+from clickloom.session import cut_lineage
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -54,14 +55,15 @@ def sessionize(df: DataFrame, user_col: str, ts_col: str, tiebreak: list[str] |
     """Numbers sessions per user: a new session starts at a user's first event
     or after more than ``gap_seconds`` of inactivity (whole-second gaps).
 
-    Skew-safe: the lag and the running count are computed per (user, time
-    bucket) and stitched through a per-bucket summary (see ``ordering``).
+    Skew-safe: the gap test is one window pass per (user, time bucket) with
+    the bucket tails copied forward (``previous_within``); the running count
+    is per (user, bucket) plus a per-bucket summary (``running_sum``).
     """
-    bucket = bucket_seconds or max(gap_seconds, 3600)
+    bucket = bucket_seconds or max(2 * gap_seconds, 3600)
     tb = [tiebreak] if isinstance(tiebreak, str) else list(tiebreak)
     secs = F.unix_timestamp(F.col(ts_col))
-    with_prev = previous_row(df.withColumn("_secs", secs), user_col, ts_col, tb, ["_secs"],
-                             out="_p", bucket_seconds=bucket)
+    with_prev = previous_within(df.withColumn("_secs", secs), user_col, ts_col, tb, ["_secs"], gap_seconds,
+                                out="_p", bucket_seconds=bucket)
     start = (F.col("_p").isNull() | ((F.col("_secs") - F.col("_p._secs")) > gap_seconds)).cast("long")
     return (running_sum(with_prev, user_col, ts_col, tb, start, out, bucket_seconds=bucket)
             .drop("_p", "_secs", "_tb"))
@@ -90,7 +92,9 @@ def clickstream(spark: SparkSession, sf_dir: str,
                           F.concat(F.col("user_id").cast("string"), F.lit("-"),
                                    F.col("session_no").cast("string")))
     cols = CLICKSTREAM_COLUMNS + (["event_id"] if keep_event_id else [])
-    return out.select(*cols)
+    # materialised once: every later step (and every self-join in it) starts
+    # from this table instead of re-running the scan, join and sessionization
+    return cut_lineage(out.select(*cols))
 
 
 def order_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
