@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickloom.functions.columns import rnd
+from clickloom.session import cut_lineage
 from clickloom.operators.sampling import time_range
 
 # Fixed values of the drift monitor.
@@ -189,7 +190,7 @@ def weekly_popularity_ndcg(tagged: DataFrame, n_weeks: int, k: int = 20, user_co
     out = None
     for w in range(1, n_weeks):
         hist = tagged.filter(F.col("week") <= w)
-        pairs = I.interactions(hist, user_col, item_col)
+        pairs = cut_lineage(I.interactions(hist, user_col, item_col))
         nxt = tagged.filter((F.col("week") == w + 1) & F.col("event_type").isin("cart", "purchase"))
         gt = nxt.join(pairs.select(user_col).distinct(), user_col, "left_semi").select(user_col, item_col).distinct()
         ranks = Rt.popularity_ranks(pairs, item_col)

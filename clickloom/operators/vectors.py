@@ -90,10 +90,12 @@ def exact_topk(queries: DataFrame, items: DataFrame, k: int, metric: str = "ip",
                       .alias("vec"))
     n_items = it.count()
     n_blocks = max(1, math.ceil(n_items / block_rows))
-    numbered = dense_index(it.select("item_id"), "item_id", "_pos", start=0).join(it, "item_id")
+    if n_blocks > 1:
+        numbered = dense_index(it.select("item_id"), "item_id", "_pos", start=0).join(it, "item_id")
     partials = None
     for b in range(n_blocks):
-        blk = numbered.filter((F.col("_pos") >= b * block_rows) & (F.col("_pos") < (b + 1) * block_rows))
+        blk = it if n_blocks == 1 else numbered.filter(
+            (F.col("_pos") >= b * block_rows) & (F.col("_pos") < (b + 1) * block_rows))
         rows = blk.select("item_id", "vec").toPandas()  # at most block_rows rows: bounded broadcast
         ids = rows["item_id"].to_numpy().astype(np.int64)
         mat = np.stack(rows["vec"].to_numpy()).astype(np.float64) if len(rows) else np.zeros((0, 1))
@@ -202,3 +204,51 @@ def offdiagonal_cosine_moments(vectors: DataFrame, dim: int, vec_col: str = "vec
     mean_sq = (F.col("g2") - F.col("self4")) / pairs
     return t.select("n", mean.alias("mean_cosine"),
                     F.sqrt(F.greatest(mean_sq - mean * mean, F.lit(0.0))).alias("std_cosine"))
+
+
+def _label_sums(items: DataFrame, dim: int) -> DataFrame:
+    """Per label the element-wise sum of unit item vectors and the item count."""
+    ex = items.select("label", F.posexplode("u").alias("p", "x"))
+    sums = ex.groupBy("label", "p").agg(F.sum("x").alias("s"))
+    vec = sums.groupBy("label").agg(F.transform(F.array_sort(F.collect_list(F.struct("p", "s"))),
+                                                lambda t: t["s"]).alias("s_label"))
+    counts = items.groupBy("label").agg(F.count(F.lit(1)).alias("n_label"))
+    return vec.join(counts, "label")
+
+
+def score_gaps(pairs: DataFrame, items: DataFrame, users: DataFrame, dim: int) -> DataFrame:
+    """R20 (paired rows) + R21: for every positive (user, item) pair, cosine of
+    user->positive, mean cosine of the positive item and of the user to the
+    other items of the same category and to the items of other categories;
+    means over all pairs and the gaps between them.
+
+    Exact without forming (pair, item) rows: a mean of dot products with a
+    set of unit vectors is a dot product with their sum, so only per-category
+    sums (one row per category) are needed.
+    ``pairs``: (user_id, item_id); ``items``: (item_id, label, vec); ``users``: (user_id, vec).
+    """
+    it = items.select("item_id", "label", l2_normalize("vec").alias("u"))
+    ls = _label_sums(it, dim)
+    total = ls.select(F.posexplode("s_label").alias("p", "x"), "label").groupBy("p").agg(F.sum("x").alias("t")) \
+        .agg(F.transform(F.array_sort(F.collect_list(F.struct("p", "t"))), lambda t: t["t"]).alias("s_total"))
+    n_all = it.agg(F.count(F.lit(1)).alias("n_total"))
+    us = users.select("user_id", l2_normalize("vec").alias("w"))
+    # ls has one row per category and total/n_all one row: bounded joins
+    j = (pairs.select("user_id", "item_id").join(it, "item_id").join(us, "user_id")
+         .join(F.broadcast(ls), "label").crossJoin(F.broadcast(total)).crossJoin(F.broadcast(n_all)))
+    s_other = F.zip_with("s_total", "s_label", lambda a, b: a - b)
+    s_same_wo = F.zip_with("s_label", "u", lambda a, b: a - b)
+    n_same = F.col("n_label") - 1
+    n_diff = F.col("n_total") - F.col("n_label")
+    per = j.select(
+        dot("w", "u").alias("user_pos"),
+        F.try_divide(dot("u", s_same_wo), n_same).alias("item_same"),
+        F.try_divide(dot("u", s_other), n_diff).alias("item_diff"),
+        F.try_divide(dot("w", s_same_wo), n_same).alias("user_same"),
+        F.try_divide(dot("w", s_other), n_diff).alias("user_diff"))
+    m = per.agg(F.count(F.lit(1)).alias("n_pairs"), *[F.avg(c).alias(c) for c in
+                                                      ("user_pos", "item_same", "item_diff", "user_same", "user_diff")])
+    return m.select("*", (F.col("user_pos") - F.col("user_same")).alias("gap_pos_vs_same"),
+                    (F.col("user_same") - F.col("user_diff")).alias("gap_same_vs_diff"),
+                    (F.col("user_pos") - F.col("user_diff")).alias("gap_pos_vs_diff"),
+                    (F.col("item_same") - F.col("item_diff")).alias("item_gap"))

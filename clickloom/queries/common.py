@@ -35,7 +35,20 @@ def train_interactions(spark, sf):
     return I.interactions(split(spark, sf, "train"))
 
 
-class features:  # noqa: N801 - used like a function returning a bundle
+_BUNDLES: dict = {}
+
+
+def features(spark, sf):
+    """The feature bundle of (application, input directory), shared by queries:
+    its tables are checkpointed once and read by every later query."""
+    import os
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf))
+    if key not in _BUNDLES:
+        _BUNDLES[key] = _Features(spark, sf)
+    return _BUNDLES[key]
+
+
+class _Features:
     """Feature tables of the test data (mirrors ``sql_base.FEATURES``), built
     lazily so a query only pays for what it uses."""
 

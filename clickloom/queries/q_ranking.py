@@ -101,7 +101,19 @@ def summary_sql(m: str, k: int, labels: str = "") -> str:
             f"round(avg(hit) * 100, 6) AS hit_rate_pct_at_{k} FROM {m}")
 
 
-class _Eval:
+_EVALS: dict = {}
+
+
+def _eval(spark, sf):
+    """The evaluation bundle of (application, input directory), shared by queries."""
+    import os
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf))
+    if key not in _EVALS:
+        _EVALS[key] = _EvalBundle(spark, sf)
+    return _EVALS[key]
+
+
+class _EvalBundle:
     def __init__(self, spark, sf):
         self.spark, self.sf = spark, sf
         self.f = features(spark, sf)
@@ -121,6 +133,12 @@ class _Eval:
     def pop_recs(self, k=K):
         return Rt.popularity_recs(self.users, self.f.pairs, self.ranks, k)
 
+    @cached_property
+    def all_recs(self):
+        """Each strategy's top-K list, materialised once and scored at several k."""
+        return {"popularity": cut_lineage(self.pop_recs()), "category_popularity": cut_lineage(self.cat_recs()),
+                "cooccurrence": cut_lineage(self.co_recs())}
+
     @cached_property
     def item_cat(self):
         return self.f.items_enc.select("item_idx", "cat_l2_idx")
@@ -134,41 +152,41 @@ class _Eval:
 
 @register("ground_truth_test", with_(EVAL) + "\nSELECT * FROM gt")
 def q_gt(spark, sf):
-    return _Eval(spark, sf).gt
+    return _eval(spark, sf).gt
 
 
 @register("popularity_ranks", with_(EVAL) + "\nSELECT * FROM pop")
 def q_pop_ranks(spark, sf):
-    return _Eval(spark, sf).ranks
+    return _eval(spark, sf).ranks
 
 
 @register("popularity_recs_top20", with_(EVAL) + "\nSELECT * FROM pop_recs")
 def q_pop_recs(spark, sf):
-    return _Eval(spark, sf).pop_recs()
+    return _eval(spark, sf).pop_recs()
 
 
 @register("category_popularity_recs_top20", with_(EVAL) + "\nSELECT * FROM cat_recs")
 def q_cat_recs(spark, sf):
-    return _Eval(spark, sf).cat_recs()
+    return _eval(spark, sf).cat_recs()
 
 
 @register("cooccurrence_counts", with_(EVAL) + "\nSELECT rep_item, item_idx, cooc FROM cooc")
 def q_cooc(spark, sf):
-    e = _Eval(spark, sf)
+    e = _eval(spark, sf)
     reps = e.users.join(Rt.representative_items(e.f.pairs), "user_idx")
     return Rt.cooccurrence_counts(e.f.pairs, reps)
 
 
 @register("cooccurrence_recs_top20", with_(EVAL) + "\nSELECT * FROM co_recs")
 def q_co_recs(spark, sf):
-    return _Eval(spark, sf).co_recs()
+    return _eval(spark, sf).co_recs()
 
 
 @register("per_user_metrics_popularity_at_20", with_(EVAL, metrics_sql("pop_recs", 20, "m")) + """
 SELECT user_idx, gt_size, hits, round(recall, 6) AS recall, round(precision, 6) AS precision,
        round(ndcg, 6) AS ndcg, hit FROM m""")
 def q_user_metrics(spark, sf):
-    e = _Eval(spark, sf)
+    e = _eval(spark, sf)
     m = Rk.user_metrics(e.pop_recs(), e.gt, 20)
     return m.select("user_idx", "gt_size", "hits", rnd("recall", 6).alias("recall"),
                     rnd("precision", 6).alias("precision"), rnd("ndcg", 6).alias("ndcg"), "hit")
@@ -176,7 +194,7 @@ def q_user_metrics(spark, sf):
 
 @register("popularity_metrics_at_10", with_(EVAL, metrics_sql("pop_recs", 10, "m")) + "\n" + summary_sql("m", 10))
 def q_pop_m10(spark, sf):
-    e = _Eval(spark, sf)
+    e = _eval(spark, sf)
     return Rk.summarize(Rk.user_metrics(e.pop_recs(), e.gt, 10), 10)
 
 
@@ -195,10 +213,9 @@ def _comparison_sql() -> str:
 
 @register("recommender_comparison", _comparison_sql())
 def q_compare(spark, sf):
-    e = _Eval(spark, sf)
+    e = _eval(spark, sf)
     out = None
-    for strat, recs in (("popularity", e.pop_recs()), ("category_popularity", e.cat_recs()),
-                        ("cooccurrence", e.co_recs())):
+    for strat, recs in e.all_recs.items():
         for k in (10, 20):
             m = Rk.user_metrics(recs, e.gt, k, recall_denominator="gt")
             row = m.agg(F.count(F.lit(1)).alias("n_users"), rnd(F.avg("recall"), 6).alias("recall"),
@@ -224,7 +241,7 @@ SELECT g.cohort, coalesce(a.n_users, 0) AS n_users, coalesce(a.recall_at_20, 0.0
        coalesce(a.ndcg_at_20, 0.0) AS ndcg_at_20, coalesce(a.hit_rate_pct_at_20, 0.0) AS hit_rate_pct_at_20
 FROM (VALUES ('overall'), ('cold'), ('medium'), ('warm')) g(cohort) LEFT JOIN agg a ON a.c = g.cohort""")
 def q_strat(spark, sf):
-    e = _Eval(spark, sf)
+    e = _eval(spark, sf)
     return Rk.stratified_metrics(Rk.user_metrics(e.pop_recs(), e.gt, 20), e.f.pairs, 20)
 
 
@@ -236,7 +253,7 @@ ex AS (SELECT 'overall' AS c, fl.* FROM fl UNION ALL
 SELECT c AS cohort, count(*) AS gt_items, count(seen) AS gt_seen, round(count(seen) * 100.0 / count(*), 6) AS pct_gt_seen
 FROM ex GROUP BY c""")
 def q_seen_diag(spark, sf):
-    e = _Eval(spark, sf)
+    e = _eval(spark, sf)
     return Rk.seen_filter_diagnostic(e.gt, e.f.pairs, e.f.pairs)
 
 
@@ -247,7 +264,7 @@ SELECT '1_buyers' AS stage, count(*) AS n_users FROM b UNION ALL
 SELECT '2_in_vocab', count(*) FROM v UNION ALL
 SELECT '3_has_features', count(*) FROM v WHERE user_idx IN (SELECT user_idx FROM users_enc)""")
 def q_waterfall(spark, sf):
-    e = _Eval(spark, sf)
+    e = _eval(spark, sf)
     return Rk.coverage_waterfall(e.f.split("test"), e.f.user_vocab, e.f.users_enc)
 
 
@@ -256,7 +273,7 @@ SELECT coalesce(c.cohort, 'under_3') AS cohort, count(*) AS n_users, round(avg(m
        round(avg(m.hit) * 100, 6) AS hit_rate_pct, count_if(m.hits = 0 AND m.gt_size <= 5) AS zero_hit_small_gt
 FROM m LEFT JOIN coh c USING (user_idx) GROUP BY 1""")
 def q_user_diag(spark, sf):
-    e = _Eval(spark, sf)
+    e = _eval(spark, sf)
     return Rk.per_user_diagnostics(Rk.user_metrics(e.pop_recs(), e.gt, 20), e.f.pairs)
 
 
@@ -281,5 +298,5 @@ SELECT count(*) AS n_users, round(avg(gt_size), 6) AS mean_gt_per_user,
        count_if(first_hit_rank <= 10) AS users_hit_top_10, count_if(first_hit_rank <= 20) AS users_hit_top_20,
        count_if(first_hit_rank <= 100) AS users_hit_top_100 FROM per""")
 def q_first_hit(spark, sf):
-    e = _Eval(spark, sf)
+    e = _eval(spark, sf)
     return Rk.first_hit_ranks(e.pop_recs(100), e.gt)

@@ -134,3 +134,46 @@ def q_session_recs(spark, sf):
     recs = recs.select(F.col("query_id").alias("session_idx"), F.col("item_id").alias("item_idx"), "rank")
     targets = ev.select("session_idx", F.col("target_item").alias("item_idx"))
     return Rk.single_target_metrics(recs, targets, 20)
+
+
+GAP_COLS = ("user_pos", "item_same", "item_diff", "user_same", "user_diff", "gap_pos_vs_same", "gap_same_vs_diff",
+            "gap_pos_vs_diff", "item_gap")
+
+
+@register("embedding_score_gaps", with_(SEQ) + f""",
+iv AS (SELECT e.vec_id AS product_id, e.label, e.embedding::DOUBLE[] AS v FROM embeddings e
+       WHERE e.vec_id IN (SELECT product_id FROM item_vocab)),
+good AS (SELECT user_id, product_id FROM inter_train WHERE confidence_score >= 2),
+ex AS (SELECT g.user_id, i.i, e.embedding[i.i] AS x
+       FROM good g JOIN embeddings e ON e.vec_id = g.product_id CROSS JOIN range(1, {DIM + 1}) i(i)),
+uc AS (SELECT user_id, list(m ORDER BY i) AS w FROM (SELECT user_id, i, avg(x) AS m FROM ex GROUP BY 1, 2)
+       GROUP BY user_id),
+pos AS (SELECT t.user_id, t.product_id FROM inter_train t JOIN uc USING (user_id)
+        WHERE t.product_id IN (SELECT product_id FROM iv)),
+per AS (
+  SELECT p.user_id, p.product_id,
+         any_value(list_cosine_similarity(u.w, a.v)) AS user_pos,
+         avg(CASE WHEN b.label = a.label THEN list_cosine_similarity(a.v, b.v) END) AS item_same,
+         avg(CASE WHEN b.label <> a.label THEN list_cosine_similarity(a.v, b.v) END) AS item_diff,
+         avg(CASE WHEN b.label = a.label THEN list_cosine_similarity(u.w, b.v) END) AS user_same,
+         avg(CASE WHEN b.label <> a.label THEN list_cosine_similarity(u.w, b.v) END) AS user_diff
+  FROM pos p JOIN iv a ON a.product_id = p.product_id JOIN uc u USING (user_id)
+  JOIN iv b ON b.product_id <> a.product_id
+  GROUP BY p.user_id, p.product_id),
+m AS (SELECT count(*) AS n_pairs, avg(user_pos) AS user_pos, avg(item_same) AS item_same,
+             avg(item_diff) AS item_diff, avg(user_same) AS user_same, avg(user_diff) AS user_diff FROM per)
+SELECT n_pairs, round(user_pos, 6) AS user_pos, round(item_same, 6) AS item_same, round(item_diff, 6) AS item_diff,
+       round(user_same, 6) AS user_same, round(user_diff, 6) AS user_diff,
+       round(user_pos - user_same, 6) AS gap_pos_vs_same, round(user_same - user_diff, 6) AS gap_same_vs_diff,
+       round(user_pos - user_diff, 6) AS gap_pos_vs_diff, round(item_same - item_diff, 6) AS item_gap FROM m""")
+def q_gaps(spark, sf):
+    f = features(spark, sf)
+    emb = _emb(spark, sf)
+    items = (f.item_vocab.join(emb.withColumnRenamed("vec_id", "product_id"), "product_id")
+             .select(F.col("product_id").alias("item_id"), "label", "vec"))
+    vecs = emb.select(F.col("vec_id").alias("product_id"), "vec")
+    good = f.inter.filter(F.col("confidence_score") >= 2)
+    users = V.mean_vectors(good, vecs, "user_id", "product_id", DIM)
+    pairs = f.inter.select("user_id", F.col("product_id").alias("item_id"))
+    out = V.score_gaps(pairs, items, users, DIM)
+    return out.select("n_pairs", *[rnd(c, 6).alias(c) for c in GAP_COLS])

@@ -69,9 +69,23 @@ def sessionize(df: DataFrame, user_col: str, ts_col: str, tiebreak: list[str] |
             .drop("_p", "_secs", "_tb"))
 
 
+_MATERIALISED: dict = {}
+
+
 def clickstream(spark: SparkSession, sf_dir: str,
                 gap_seconds: int = DEFAULT_SESSION_GAP_SECONDS, keep_event_id: bool = False) -> DataFrame:
-    """Events of the test tables in the clickstream schema."""
+    """Events of the test tables in the clickstream schema.
+
+    The adapted table is materialised once per Spark application and input
+    directory (checkpoint folder) and reused by later queries, like a stored
+    upstream table of a pipeline."""
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), gap_seconds, keep_event_id)
+    if key not in _MATERIALISED:
+        _MATERIALISED[key] = _build_clickstream(spark, sf_dir, gap_seconds, keep_event_id)
+    return _MATERIALISED[key]
+
+
+def _build_clickstream(spark: SparkSession, sf_dir: str, gap_seconds: int, keep_event_id: bool) -> DataFrame:
     ev = (table(spark, sf_dir, "events")
           .select("event_id", "ts", "user_id", "event_type", "value", "props")
           .filter(F.col("event_type").isin(list(EVENT_TYPE_RENAME)))
