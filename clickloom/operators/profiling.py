@@ -293,3 +293,14 @@ def popularity_share(df: DataFrame, item_col: str = "product_id", weight: Column
     total = per.agg(F.sum("n").alias("_t"))
     return per.crossJoin(total).select(item_col, F.col("n").alias("weight"),
                                        (F.col("n") / F.col("_t")).alias("share"))
+
+
+def month_overlap_matrix(long: DataFrame) -> DataFrame:
+    """A19 (matrix form): the symmetric month x month table of shared users,
+    pivoted from :func:`month_overlap`. The pivot values are the calendar
+    months (bounded by the calendar), listed explicitly so no extra pass is
+    needed to discover them."""
+    months = sorted(r[0] for r in long.select("month_a").union(long.select("month_b")).distinct().collect())
+    both = long.unionByName(long.filter(F.col("month_a") != F.col("month_b")).select(
+        F.col("month_b").alias("month_a"), F.col("month_a").alias("month_b"), "n_users"))
+    return both.groupBy("month_a").pivot("month_b", months).agg(F.first("n_users")).fillna(0)

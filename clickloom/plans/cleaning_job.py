@@ -19,8 +19,9 @@ def run(events: DataFrame, out_path: str, pre_kcore_path: str, k: int = C.KCORE_
         max_rounds: int = C.KCORE_MAX_ROUNDS, n_files: int | None = None) -> dict:
     spark = events.sparkSession
     obs_clean = Observation("clean")
+    # observed metrics allow non-distinct aggregates only
     cleaned = C.clean_events(events).observe(obs_clean, F.count(F.lit(1)).alias("rows_clean"),
-                                             F.count_distinct("user_id").alias("users_clean"))
+                                             F.sum("price").alias("price_sum_clean"))
     write_parquet(cleaned, pre_kcore_path)
     history: list = []
     core = C.kcore(spark.read.parquet(pre_kcore_path), k=k, max_rounds=max_rounds, history=history)

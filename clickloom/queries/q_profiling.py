@@ -269,3 +269,9 @@ FROM (SELECT product_id, count(*) AS n FROM clean GROUP BY product_id)""")
 def q_pop_share(spark, sf):
     out = P.popularity_share(clean(spark, sf))
     return out.select("product_id", "weight", rnd("share", 6).alias("share"))
+
+
+# Dynamic pivot columns (one per calendar month): rows-only check; the long form above is oracle-checked.
+@register("month_overlap_matrix_orders", None)
+def q_overlap_matrix(spark, sf):
+    return P.month_overlap_matrix(P.month_overlap(order_interactions(spark, sf)))

@@ -113,3 +113,21 @@ def write_json(df: DataFrame, path: str) -> None:
 def load_bundle(spark: SparkSession, directory: str, names: Sequence[str]) -> dict[str, DataFrame]:
     """The Parquet artifacts of a directory, by name."""
     return {n: spark.read.parquet(os.path.join(directory, n)) for n in names}
+
+
+def read_month_in_vocab(spark: SparkSession, paths: Sequence[str] | str, user_vocab: DataFrame,
+                        item_vocab: DataFrame, fmt: str = RAW_TIME_FORMAT) -> DataFrame:
+    """S3: a month of raw CSV (plain or gzip, Spark splits it into tasks) with
+    ids read as text and coerced (``try_cast``: dirty ids become null and are
+    dropped), restricted to known users and items by semi joins, then mapped
+    to dense indices."""
+    text = T.StructType([T.StructField(f.name, T.StringType()) for f in RAW_SCHEMA.fields])
+    raw = spark.read.schema(text).option("header", True).option("mode", "PERMISSIVE").csv(
+        list(paths) if not isinstance(paths, str) else paths)
+    typed = raw.select(F.try_to_timestamp(F.col("event_time"), F.lit(fmt)).alias("event_time"), "event_type",
+                       F.expr("try_cast(product_id AS BIGINT)").alias("product_id"),
+                       F.expr("try_cast(user_id AS BIGINT)").alias("user_id"),
+                       F.expr("try_cast(price AS DOUBLE)").alias("price"), "user_session")
+    clean = typed.filter(F.col("user_id").isNotNull() & F.col("product_id").isNotNull()
+                         & F.col("event_time").isNotNull())
+    return clean.join(user_vocab, "user_id").join(item_vocab, "product_id")
