@@ -10,14 +10,12 @@ from __future__ import annotations
 
 import datetime as dt
 import math
-from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickloom.functions.columns import rnd
 from clickloom.session import cut_lineage
-from clickloom.operators.sampling import time_range
 
 # Fixed values of the drift monitor.
 JSD_EPS = 1e-10
@@ -174,9 +172,6 @@ def weekly_gate(weekly: DataFrame, alert: float = JSD_ALERT, min_gain: float = P
     return folded.select(F.explode("_f.hist").alias("h")).select("h.*")
 
 
-__all__ = ["jsd_smoothed", "jsd_masked", "drift_report", "rank_comparison", "week_calendar",
-           "weekly_windows", "weekly_jsd", "weekly_gate", "time_range", "Sequence"]
-
 
 def weekly_popularity_ndcg(tagged: DataFrame, n_weeks: int, k: int = 20, user_col: str = "user_id",
                            item_col: str = "product_id") -> DataFrame:

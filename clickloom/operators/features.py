@@ -8,7 +8,6 @@ join), so nothing but a single row is ever broadcast.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -197,7 +196,3 @@ def log_sampling_frequency(pairs: DataFrame, items_enc: DataFrame) -> DataFrame:
             .select("item_idx", F.when(F.col("_c").isNull(), F.log(1.0 / F.col("_n")))
                     .otherwise(F.log(F.col("_c") / F.col("_t"))).alias("log_q")))
 
-
-__all__ = ["item_features", "user_features", "id_vocab", "string_vocab", "standard_scale", "encode_items",
-           "encode_users", "train_pairs", "dropped_pairs", "cyclic_day_features", "augment_items",
-           "log_sampling_frequency", "Sequence"]

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from clickloom.functions.columns import rnd
 from clickloom.operators import drift as D
-from clickloom.operators import ranking as Rk
 from clickloom.queries import register
 from clickloom.queries.common import features
 from clickloom.queries.sql_base import FEATURES, secs, with_
@@ -139,5 +138,3 @@ def q_gate(spark, sf):
     return g.select("week", rnd("jsd", 6).alias("jsd"), rnd("ndcg", 6).alias("ndcg"), "retrained", "promoted",
                     rnd("best_after", 6).alias("best_after"))
 
-
-__all__ = ["Rk"]

@@ -1,5 +1,3 @@
-from pyspark.sql import functions as F
-
 from clickloom.operators import cleaning as C
 from tests.helpers import events
 

@@ -1,7 +1,6 @@
 import math
 
 import pytest
-from pyspark.sql import functions as F
 
 from clickloom.operators import drift as D
 from clickloom.operators import ranking as Rk
