@@ -25,21 +25,26 @@ def register(name: str, sql: str | None):
     return deco
 
 
+_LOADED: list[bool] = []
+
+
 def _load() -> None:
-    # Import for side effects (registration). Order = catalogue order.
+    # Import for side effects (registration). Order = catalogue order. A flag,
+    # not "registry empty": importing one query module first must not hide the rest.
+    if _LOADED:
+        return
     from clickloom.queries import (  # noqa: F401
         q_sources, q_cleaning, q_sampling, q_interactions, q_profiling, q_features,
         q_sequences, q_ranking, q_drift, q_vectors, q_negatives, q_analysis, q_quality,
     )
+    _LOADED.append(True)
 
 
 def all_queries() -> dict[str, QueryFn]:
-    if not REGISTRY:
-        _load()
+    _load()
     return {k: v[0] for k, v in REGISTRY.items()}
 
 
 def all_oracles() -> dict[str, str]:
-    if not REGISTRY:
-        _load()
+    _load()
     return {k: v[1] for k, v in REGISTRY.items() if v[1] is not None}
