@@ -68,6 +68,52 @@ def user_metrics(recs: DataFrame, gt: DataFrame, k: int, recall_denominator: str
                       (F.col("hits") > 0).cast("int").alias("hit"))
 
 
+def compare_strategies(recs: dict[str, DataFrame], gt: DataFrame, ks: Sequence[int],
+                       recall_denominator: str = "gt", user_col: str = "user_idx",
+                       item_col: str = "item_idx") -> DataFrame:
+    """Mean recall / NDCG / hit rate of several recommenders at several
+    cutoffs, one row per (strategy, k).
+
+    One pass instead of one join per (strategy, k): the strategies' lists are
+    tagged and unioned, joined once with the ground truth, and hits and DCG at
+    every cutoff are conditional sums of the same grouped aggregate. Gains and
+    ideal DCGs are literal arrays indexed by rank (k values, no join)."""
+    ks = sorted(set(ks))
+    kmax = ks[-1]
+    table = gains(kmax)
+    gain_at = F.element_at(F.array(*[F.lit(g) for _, g, _ in table]), F.col("rank"))
+    idcg_at = F.array(*[F.lit(i) for _, _, i in table])
+    tagged = None
+    for name, r in recs.items():
+        t = r.filter(F.col("rank") <= kmax).select(F.lit(name).alias("strategy"), user_col, item_col, "rank")
+        tagged = t if tagged is None else tagged.unionByName(t)
+    sums = []
+    for k in ks:
+        at_k = F.col("rank") <= k
+        sums += [F.sum(F.when(at_k, 1).otherwise(0)).alias(f"_h{k}"),
+                 F.sum(F.when(at_k, gain_at).otherwise(0.0)).alias(f"_d{k}")]
+    hits = tagged.join(gt, [user_col, item_col]).groupBy("strategy", user_col).agg(*sums)
+    names = F.array(*[F.lit(n) for n in recs])
+    per = (gt.groupBy(user_col).agg(F.count(F.lit(1)).alias("gt_size"))
+           .select(user_col, "gt_size", F.explode(names).alias("strategy"))
+           .join(hits, ["strategy", user_col], "left"))
+    aggs = []
+    for k in ks:
+        h = F.coalesce(F.col(f"_h{k}"), F.lit(0))
+        n_ideal = F.least(F.col("gt_size"), F.lit(k)).cast("int")
+        den = n_ideal if recall_denominator == "min" else F.col("gt_size")
+        aggs += [F.avg(h / den).alias(f"_r{k}"),
+                 F.avg(F.coalesce(F.col(f"_d{k}"), F.lit(0.0)) / F.element_at(idcg_at, n_ideal)).alias(f"_n{k}"),
+                 F.avg((h > 0).cast("int")).alias(f"_t{k}")]
+    out = per.groupBy("strategy").agg(F.count(F.lit(1)).alias("n_users"), *aggs)
+    rows = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col(f"_r{k}").alias("r"),
+                                        F.col(f"_n{k}").alias("n"), F.col(f"_t{k}").alias("t"))
+                               for k in ks])).alias("_m")
+    return (out.select("strategy", "n_users", rows)
+            .select("strategy", F.col("_m.k").alias("k"), "n_users", rnd(F.col("_m.r"), 6).alias("recall"),
+                    rnd(F.col("_m.n"), 6).alias("ndcg"), rnd(F.col("_m.t") * 100, 6).alias("hit_rate_pct")))
+
+
 def summarize(per_user: DataFrame, k: int, label_cols: dict[str, object] | None = None) -> DataFrame:
     """Means of per-user metrics as one row (rounded to 6 places)."""
     lab = [F.lit(v).alias(n) for n, v in (label_cols or {}).items()]

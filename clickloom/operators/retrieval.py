@@ -30,14 +30,30 @@ def seen_counts(seen: DataFrame, user_col: str = "user_idx") -> DataFrame:
     return seen.groupBy(user_col).agg(F.count(F.lit(1)).alias("_n_seen"))
 
 
+# Fixed bound: rows of a global rank table's head that are looked up by broadcast.
+HEAD_RANKS = 4096
+
+
 def _unseen_top_k(users: DataFrame, seen: DataFrame, ranked: DataFrame, k: int, rank_col: str,
                   key_cols: list[str], user_col: str, item_col: str, extra: int = 0) -> DataFrame:
     """Per user (with its key columns, e.g. a category) the first ``k`` ranked
-    items not in ``seen``; exact via explode(1..k+extra+n_seen) + equi join."""
+    items not in ``seen``; exact via explode(1..k+extra+n_seen) + equi join.
+
+    Every user asks for ranks 1..k+extra, so in a shuffle join those rank
+    numbers would be keys as hot as the user count. For a global ranking
+    (no key columns; ranks are dense and unique) the first ``HEAD_RANKS``
+    ranks are a table of at most that many rows: they are looked up by
+    broadcast, and only ranks past the head (wanted by users with long
+    histories) take the shuffle join."""
     u = (users.join(seen_counts(seen, user_col), user_col, "left")
          .withColumn("_bound", F.lit(k + extra) + F.coalesce(F.col("_n_seen"), F.lit(0))))
     exploded = u.select(user_col, *key_cols, F.explode(F.sequence(F.lit(1), F.col("_bound"))).alias(rank_col))
-    cand = exploded.join(ranked, key_cols + [rank_col])
+    if key_cols:
+        cand = exploded.join(ranked, key_cols + [rank_col])
+    else:
+        head = F.col(rank_col) <= HEAD_RANKS
+        cand = (exploded.filter(head).join(F.broadcast(ranked.filter(head)), rank_col)
+                .unionByName(exploded.filter(~head).join(ranked.filter(~head), rank_col)))
     cand = cand.join(seen.select(user_col, item_col), [user_col, item_col], "left_anti")
     return cand
 

@@ -214,15 +214,7 @@ def _comparison_sql() -> str:
 @register("recommender_comparison", _comparison_sql())
 def q_compare(spark, sf):
     e = _eval(spark, sf)
-    out = None
-    for strat, recs in e.all_recs.items():
-        for k in (10, 20):
-            m = Rk.user_metrics(recs, e.gt, k, recall_denominator="gt")
-            row = m.agg(F.count(F.lit(1)).alias("n_users"), rnd(F.avg("recall"), 6).alias("recall"),
-                        rnd(F.avg("ndcg"), 6).alias("ndcg"), rnd(F.avg("hit") * 100, 6).alias("hit_rate_pct"))
-            row = row.select(F.lit(strat).alias("strategy"), F.lit(k).alias("k"), "*")
-            out = row if out is None else out.unionByName(row)
-    return out
+    return Rk.compare_strategies(e.all_recs, e.gt, (10, 20), recall_denominator="gt")
 
 
 COH = """

@@ -76,3 +76,23 @@ def test_popularity_recs_exclude_seen_and_history_unbounded(spark):
     got = {(r.user_idx, r.rank): r.item_idx for r in recs.collect()}
     assert (1, 1) not in got  # user 1 has seen every item
     assert [got[(2, i)] for i in (1, 2, 3)] == [2, 3, 4]
+
+
+@pytest.mark.parametrize("head", [2, 5, 4096])
+def test_popularity_recs_head_broadcast_and_tail_join_agree(spark, monkeypatch, head):
+    # Ranks inside the broadcast head and past it (shuffle join) give the brute-force answer.
+    monkeypatch.setattr(Rt, "HEAD_RANKS", head)
+    rows = [(u, i, (u * 7 + i * 3) % 5 + 1) for u in range(1, 7) for i in range(1, 13) if (u + i) % 3 != 0]
+    pairs = spark.createDataFrame(rows, "user_idx long, item_idx long, confidence_score long")
+    ranks = Rt.popularity_ranks(pairs)
+    users = spark.createDataFrame([(u,) for u in range(1, 8)], "user_idx long")
+    got = {(r.user_idx, r.rank): r.item_idx for r in Rt.popularity_recs(users, pairs, ranks, k=4).collect()}
+    order = [r.item_idx for r in ranks.orderBy("pop_rank").collect()]
+    seen = {}
+    for u, i, _ in rows:
+        seen.setdefault(u, set()).add(i)
+    want = {}
+    for u in range(1, 8):
+        for n, i in enumerate([i for i in order if i not in seen.get(u, set())][:4], start=1):
+            want[(u, n)] = i
+    assert got == want
