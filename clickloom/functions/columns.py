@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Event-type codes of the sequence tensors (0 is padding).
@@ -122,3 +122,11 @@ def exact_mean(col, decimals: int = 2, when: Column | None = None) -> Column:
     m = float(10 ** decimals)
     units = F.round(c * F.lit(m)).cast("long")
     return F.try_divide(F.sum(units).cast("double"), F.count(c) * F.lit(m))
+
+
+def attach(df: DataFrame, *one_row: DataFrame) -> DataFrame:
+    """Adds the columns of one-row global aggregates (totals, counts, packed
+    bounded arrays) to every row of ``df`` as uncorrelated scalar subqueries:
+    no join, each aggregate runs once (Spark merges subqueries over the same
+    plan) and its value is inlined into the projection."""
+    return df.select("*", *[o.select(c).scalar().alias(c) for o in one_row for c in o.columns])

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.functions.columns import rnd, safe_divide
+from clickloom.functions.columns import attach, rnd, safe_divide
 from clickloom.operators.ordering import dense_index
 
 # Quintile labels, concentration cuts, price-tier classes, decision thresholds.
@@ -35,7 +35,7 @@ def quintile_bins(stats: DataFrame, metric: str, n_bins: int = 5) -> DataFrame:
     (ties by product id): rank r of N falls in bin #{j : r > 1 + (N-1) j / n_bins}."""
     ranked = dense_index(stats.select(metric, "product_id"), [metric, "product_id"], "_r", start=1)
     n = stats.agg(F.count(F.lit(1)).alias("_n"))
-    r = ranked.crossJoin(n)
+    r = attach(ranked, n)
     b = sum((F.col("_r") > F.lit(1) + (F.col("_n") - 1) * j / n_bins).cast("int") for j in range(1, n_bins))
     labels = F.array(*[F.lit(x) for x in BIN_LABELS])
     binned = stats.join(r.select("product_id", b.alias("bin")), "product_id")
@@ -59,7 +59,7 @@ def purchase_concentration(stats: DataFrame, thresholds=(0.5, 0.8, 0.9)) -> Data
     out = None
     for t in thresholds:
         need = F.ceil((F.lit(t) * F.col("_tot") - F.col("cum_before")) / F.col("n"))
-        cand = (g.crossJoin(tot)
+        cand = (attach(g, tot)
                 .withColumn("_j", F.greatest(need, F.lit(1)))
                 .filter(F.col("_j") <= F.col("c"))
                 .agg(F.min(F.col("items_before") + F.col("_j")).alias("rank"), F.max("_items").alias("_items")))

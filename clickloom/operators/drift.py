@@ -14,7 +14,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickloom.functions.columns import rnd
+from clickloom.functions.columns import attach, rnd
 from clickloom.session import cut_lineage
 
 # Fixed values of the drift monitor.
@@ -35,7 +35,7 @@ def _aligned(ref: DataFrame, new: DataFrame) -> DataFrame:
     b = new.select("item", F.col("n").alias("n_q"))
     j = a.join(b, "item", "full_outer").fillna(0, ["n_p", "n_q"])
     tot = j.agg(F.sum("n_p").alias("t_p"), F.sum("n_q").alias("t_q"), F.count(F.lit(1)).alias("n_union"))
-    return j.crossJoin(tot)
+    return attach(j, tot)
 
 
 def jsd_smoothed(ref: DataFrame, new: DataFrame, eps: float = JSD_EPS) -> DataFrame:
@@ -86,12 +86,12 @@ def drift_report(ref_events: DataFrame, new_events: DataFrame, item_col: str = "
         (F.count(F.lit(1)) * 100.0 / F.lit(overlap_n)).alias("top_n_overlap_pct"))
     cov = cn.agg(F.count(F.lit(1)).alias("_t"))
     covered = cn.join(cr.select("item"), "item", "left_semi").agg(F.count(F.lit(1)).alias("_c"))
-    coverage = cov.crossJoin(covered).select(
+    coverage = attach(cov, covered).select(
         F.when(F.col("_t") > 0, F.col("_c") * 100.0 / F.col("_t")).otherwise(F.lit(0.0)).alias("coverage_pct"))
-    n_ev = cr.agg(F.sum("n").alias("n_ref_events")).crossJoin(cn.agg(F.sum("n").alias("n_new_events")))
+    n_ev = attach(cr.agg(F.sum("n").alias("n_ref_events")), cn.agg(F.sum("n").alias("n_new_events")))
     top_r = tr.filter(F.col("rank") <= report_n).agg(_top_array(tr).alias("top_ref"))
     top_n = tn.filter(F.col("rank") <= report_n).agg(_top_array(tn).alias("top_new"))
-    out = jsd.crossJoin(overlap).crossJoin(coverage).crossJoin(n_ev).crossJoin(top_r).crossJoin(top_n)
+    out = attach(jsd, overlap, coverage, n_ev, top_r, top_n)
     return out.select(F.col("n_ref_events").cast("long"), F.col("n_new_events").cast("long"),
                       rnd("jsd", 6).alias("jsd"), rnd("top_n_overlap_pct", 6).alias("top_n_overlap_pct"),
                       rnd("coverage_pct", 6).alias("coverage_pct"), (F.col("jsd") >= alert).alias("alert"),

@@ -12,7 +12,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.functions.columns import category_level, exact_mean, price_bucket, rnd, safe_divide
+from clickloom.functions.columns import attach, category_level, exact_mean, price_bucket, rnd, safe_divide
 from clickloom.operators.ordering import dense_index, top_k_per_group
 
 
@@ -93,7 +93,7 @@ def standard_scale(df: DataFrame, cols: dict[str, Column], digits: int | None =
     tmp = df.select("*", *[e.alias(f"_raw_{k}") for k, e in cols.items()])
     stats = tmp.agg(*[x for k in cols for x in (F.avg(f"_raw_{k}").alias(f"_m_{k}"),
                                                F.stddev_pop(f"_raw_{k}").alias(f"_s_{k}"))])
-    out = tmp.crossJoin(stats)
+    out = attach(tmp, stats)
     for k in cols:
         sd = F.col(f"_s_{k}")
         v = (F.col(f"_raw_{k}") - F.col(f"_m_{k}")) / F.when(sd.isNull() | (sd == 0), F.lit(1.0)).otherwise(sd)
@@ -154,7 +154,7 @@ def dropped_pairs(inter: DataFrame, user_vocab: DataFrame, item_vocab: DataFrame
         item_vocab.select("product_id"), "product_id", "left_semi")
     a = inter.agg(F.count(F.lit(1)).alias("n_before"))
     b = kept.agg(F.count(F.lit(1)).alias("n_after"))
-    return a.crossJoin(b).select("n_before", "n_after", (F.col("n_before") - F.col("n_after")).alias("n_dropped"))
+    return attach(a, b).select("n_before", "n_after", (F.col("n_before") - F.col("n_after")).alias("n_dropped"))
 
 
 def cyclic_day_features(users_enc: DataFrame, dow_col: str = "preferred_dow") -> DataFrame:
@@ -192,7 +192,7 @@ def log_sampling_frequency(pairs: DataFrame, items_enc: DataFrame) -> DataFrame:
     counts = pairs.groupBy("item_idx").agg(F.count(F.lit(1)).alias("_c"))
     tot = pairs.agg(F.count(F.lit(1)).alias("_t"))
     n_max = items_enc.agg((F.max("item_idx") + 1).alias("_n"))
-    return (items_enc.select("item_idx").join(counts, "item_idx", "left").crossJoin(tot).crossJoin(n_max)
+    return (attach(items_enc.select("item_idx").join(counts, "item_idx", "left"), tot, n_max)
             .select("item_idx", F.when(F.col("_c").isNull(), F.log(1.0 / F.col("_n")))
                     .otherwise(F.log(F.col("_c") / F.col("_t"))).alias("log_q")))
 

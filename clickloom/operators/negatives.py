@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from clickloom.functions.columns import attach
+
 from clickloom.operators.ordering import dense_index, top_k_per_group
 
 N_HARD = 3
@@ -65,7 +67,7 @@ def hard_negatives(pairs: DataFrame, items: DataFrame, n_neg: int = N_HARD, warm
     # categories folded into one row and exploded per warm user: at most
     # |categories| rows per user (the taxonomy bounds it), no row-pair join
     packed = cats.agg(F.collect_list(F.struct("cat", "n")).alias("_cats"))
-    anti = (warm_users.crossJoin(F.broadcast(packed)).select("user_idx", F.explode("_cats").alias("_c"))
+    anti = (attach(warm_users, packed).select("user_idx", F.explode("_cats").alias("_c"))
             .select("user_idx", "_c.cat", "_c.n")
             .join(touched, ["user_idx", "cat"], "left_anti"))
     anti = anti.withColumn("a_idx", F.row_number().over(Window.partitionBy("user_idx").orderBy("cat")) - 1)
@@ -137,7 +139,7 @@ def hard_negatives(pairs: DataFrame, items: DataFrame, n_neg: int = N_HARD, warm
     # free == 0: whole catalogue minus the positive itself (rejection on the positive only)
     catalog = dense_index(it.select("item_idx"), "item_idx", "c_pos", start=0)
     n_cat = it.select("item_idx").distinct().agg(F.count(F.lit(1)).alias("n_cat"))
-    empty = rest.filter(F.col("free") <= 0).select("user_idx", "item_idx").crossJoin(n_cat)
+    empty = attach(rest.filter(F.col("free") <= 0).select("user_idx", "item_idx"), n_cat)
     ed = empty.select("user_idx", "item_idx", "n_cat",
                       F.explode(F.sequence(F.lit(0), F.lit(n_neg + extra_draws - 1))).alias("draw"))
     ed = ed.withColumn("c_pos", F.pmod(_h(seed, F.col("user_idx"), F.col("item_idx"), F.col("draw"), F.lit(4)),
@@ -206,7 +208,7 @@ def in_batch_difficulty(pairs: DataFrame, items: DataFrame, n_batches: int, top_
     pop = pairs.groupBy("item_idx").agg(F.count(F.lit(1)).alias("n"))
     n_items = pop.agg(F.count(F.lit(1)).alias("_n"))
     ranked = dense_index(pop.select((-F.col("n")).alias("_neg"), "item_idx"), ["_neg", "item_idx"], "_r", start=1)
-    top = ranked.crossJoin(n_items).filter(F.col("_r") <= F.ceil(F.col("_n") * top_share)).select("item_idx")
+    top = attach(ranked, n_items).filter(F.col("_r") <= F.ceil(F.col("_n") * top_share)).select("item_idx")
     popular = b.join(top.withColumn("_top", F.lit(1)), "item_idx", "left").groupBy("batch").agg(
         F.count("_top").alias("n_popular"))
     out = same.join(popular, "batch")

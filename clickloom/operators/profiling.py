@@ -13,14 +13,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickloom.functions.columns import bucket_label, category_level, rnd
+from clickloom.functions.columns import attach, bucket_label, category_level, rnd
 from clickloom.operators.ordering import exact_quantiles, previous_within
 
 
 def with_share(df: DataFrame, count_col: str, out: str, digits: int = 6) -> DataFrame:
     """W4 (``count / sum(count) over ()``): joins the one-row total."""
     total = df.agg(F.sum(count_col).alias("_tot"))
-    return (df.crossJoin(total)
+    return (attach(df, total)
             .withColumn(out, rnd(F.col(count_col) * 100.0 / F.col("_tot"), digits))
             .drop("_tot"))
 
@@ -64,7 +64,7 @@ def duplicate_profile(df: DataFrame, keys: Sequence[str] = ("event_time", "event
     near = lagged.agg(F.count(F.lit(1)).alias("n_rows"),
                       *[F.count_if(F.col("_p").isNotNull() & (gap <= g)).alias(f"near_dup_le_{g}s")
                         for g in gaps])
-    out = near.crossJoin(n_distinct)
+    out = attach(near, n_distinct)
     return out.select("n_rows", (F.col("n_rows") - F.col("n_distinct")).alias("exact_dups"),
                       *[f"near_dup_le_{g}s" for g in gaps])
 
@@ -76,9 +76,9 @@ def price_summary(df: DataFrame, col: str = "price") -> DataFrame:
     base = df.agg(F.min(p).alias("min_price"), F.max(p).alias("max_price"),
                   F.avg(p).alias("_avg"), F.stddev_pop(p).alias("_sd"),
                   F.count_if(p == 0).alias("n_zero"), F.count_if(p < 1).alias("n_below_1"))
-    outl = df.crossJoin(base.select("_avg", "_sd")).agg(
+    outl = attach(df.select(p.alias(col)), base.select("_avg", "_sd")).agg(
         F.count_if(p > F.col("_avg") + 3 * F.col("_sd")).alias("n_above_3sd"))
-    return base.crossJoin(outl).select("min_price", "max_price", rnd("_avg", 6).alias("avg_price"),
+    return attach(base, outl).select("min_price", "max_price", rnd("_avg", 6).alias("avg_price"),
                                        rnd("_sd", 6).alias("std_price"), "n_zero", "n_below_1",
                                        "n_above_3sd")
 
@@ -135,7 +135,7 @@ def k_survival(df: DataFrame, thresholds: Sequence[int] = K_THRESHOLDS, user_col
     counts = grid.join(counts, "min_interactions", "left").fillna(0, ["n_users"])
     mx = counts.agg(F.max("n_users").alias("_mx"))
     w = Window.orderBy("min_interactions")  # k table: len(thresholds) rows
-    return (counts.crossJoin(mx)
+    return (attach(counts, mx)
             .select("min_interactions", "n_users",
                     rnd(F.col("n_users") * 100.0 / F.col("_mx"), 6).alias("pct_of_max"),
                     (F.lag("n_users").over(w) - F.col("n_users")).alias("marginal_loss")))
@@ -273,7 +273,7 @@ def category_item_counts(df: DataFrame, level: int = 2, item_col: str = "product
     per = df.select(c.alias("category"), item_col).distinct().groupBy("category").agg(
         F.count(F.lit(1)).alias("n_items"))
     catalog = df.agg(F.count_distinct(item_col).alias("_cat"))
-    return (per.crossJoin(catalog)
+    return (attach(per, catalog)
             .select("category", "n_items", rnd(F.col("n_items") * 100.0 / F.col("_cat"), 6).alias("pct_catalog")))
 
 
@@ -291,7 +291,7 @@ def popularity_share(df: DataFrame, item_col: str = "product_id", weight: Column
     w = weight if weight is not None else F.lit(1)
     per = df.groupBy(item_col).agg(F.sum(w).cast("double").alias("n"))
     total = per.agg(F.sum("n").alias("_t"))
-    return per.crossJoin(total).select(item_col, F.col("n").alias("weight"),
+    return attach(per, total).select(item_col, F.col("n").alias("weight"),
                                        (F.col("n") / F.col("_t")).alias("share"))
 
 

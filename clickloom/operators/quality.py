@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.functions.columns import rnd
+from clickloom.functions.columns import attach, rnd
 
 ITEM_ENCODED_COLUMNS = ("product_id", "item_idx", "cat_l1_idx", "cat_l2_idx", "brand_idx", "price_bucket",
                         "avg_price_scaled", "log_confidence_scaled", "purchase_rate_scaled")
@@ -56,7 +56,7 @@ def vocab_round_trip(df: DataFrame, vocab: DataFrame, key: str, idx: str, start:
     b = vocab.agg(F.count(F.lit(1)).alias("vocab_size"), F.min(idx).alias("min_idx"), F.max(idx).alias("max_idx"),
                   F.count_distinct(idx).alias("distinct_idx"))
     c = back.agg(F.count_if(F.col("_k") > 1).alias("idx_with_many_keys"))
-    out = a.crossJoin(b).crossJoin(c)
+    out = attach(a, b, c)
     return out.withColumn("dense_ok", (F.col("min_idx") == start) &
                           (F.col("max_idx") == F.col("vocab_size") + start - 1) &
                           (F.col("distinct_idx") == F.col("vocab_size")))
@@ -79,7 +79,7 @@ def merge_alignment(left: DataFrame, merged: DataFrame, key: str, float_cols: Se
                    F.count_if(_any_null(float_cols) | F.exists(F.array(*[F.col(c) for c in float_cols]),
                                                                lambda x: F.isnan(x))).alias("rows_nan_or_null"))
     lost = left.select(key).join(merged.select(key), key, "left_anti").agg(F.count(F.lit(1)).alias("keys_lost"))
-    return a.crossJoin(b).crossJoin(lost)
+    return attach(a, b, lost)
 
 
 def encoded_checks(items_enc: DataFrame, users_enc: DataFrame, item_vocab: DataFrame,
@@ -99,6 +99,6 @@ def encoded_checks(items_enc: DataFrame, users_enc: DataFrame, item_vocab: DataF
                       F.count_if((F.col("preferred_dow") < 0) | (F.col("preferred_dow") > 6)).alias("bad_dow"))
     v = item_vocab.agg(F.count(F.lit(1)).alias("item_vocab_size"))
     unk = brand_vocab.agg(F.count_if((F.col("brand") == "unknown") & (F.col("idx") == 0)).alias("unknown_is_zero"))
-    out = cols_ok.crossJoin(i).crossJoin(u).crossJoin(v).crossJoin(unk)
+    out = attach(cols_ok, i, u, v, unk)
     return out.withColumn("item_idx_dense", F.col("distinct_item_idx") == F.col("item_vocab_size")).withColumn(
         "pad_free", F.col("min_item_idx") >= 1)

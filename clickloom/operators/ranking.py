@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.functions.columns import rnd
+from clickloom.functions.columns import attach, rnd
 
 # User cohorts by number of training pairs (inclusive bounds).
 COHORTS = (("cold", 3, 10), ("medium", 11, 50), ("warm", 51, 1_000_000_000))
@@ -208,7 +208,7 @@ def item_coverage(test_items: DataFrame, train_items: DataFrame, item_col: str =
     a = t.agg(F.count(F.lit(1)).alias("n_test_items"))
     b = t.join(tr, item_col, "left_semi").agg(F.count(F.lit(1)).alias("n_in_train"))
     c = t.join(tr, item_col, "left_anti").agg(F.count(F.lit(1)).alias("n_new"))
-    return a.crossJoin(b).crossJoin(c).select(
+    return attach(a, b, c).select(
         "*", rnd(F.col("n_in_train") * 100.0 / F.col("n_test_items"), 6).alias("pct_covered"))
 
 

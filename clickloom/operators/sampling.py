@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.functions.columns import rnd
+from clickloom.functions.columns import attach, rnd
 
 
 def hash_key(col: str, seed: int | None = None) -> Column:
@@ -107,7 +107,7 @@ def split_overlap(train: DataFrame, test: DataFrame, user_col: str = "user_id",
     a = tr.agg(F.count(F.lit(1)).alias("train_users"))
     b = te.agg(F.count(F.lit(1)).alias("test_users"))
     c = tr.join(te, user_col, "inner").agg(F.count(F.lit(1)).alias("overlap_users"))
-    out = a.crossJoin(b).crossJoin(c)
+    out = attach(a, b, c)
     pct = rnd(F.col("overlap_users") * 100.0 / F.col("test_users"), 6)
     return out.select("train_users", "test_users", "overlap_users", pct.alias("overlap_pct"),
                       ((pct >= gate[0]) & (pct <= gate[1])).alias("gate_pass"))

@@ -21,6 +21,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clickloom.functions.columns import attach
+
 from clickloom.operators.ordering import dense_index, top_k_per_group
 
 SCORE_BUDGET = 20_000_000  # scores materialised per matmul chunk (~160 MB of float64)
@@ -124,7 +126,7 @@ def nearest_clusters(df: DataFrame, centroids: DataFrame, n: int, id_col: str, v
     a 1-row join, and scored inside the row with ``transform``: no row pairs
     are formed and the attached table is bounded by ``nlist``."""
     packed = centroids.agg(F.collect_list(F.struct("cluster", "centroid")).alias("_cents"))
-    scored = df.select(id_col, vec_col).crossJoin(F.broadcast(packed)).select(
+    scored = attach(df.select(id_col, vec_col), packed).select(
         id_col, F.transform("_cents", lambda c: F.struct((-dot(F.col(vec_col), c["centroid"])).alias("neg"),
                                                          c["cluster"].alias("cluster"))).alias("_sc"))
     best = scored.select(id_col, F.explode(F.slice(F.array_sort("_sc"), 1, n)).alias("_c"))
@@ -198,7 +200,7 @@ def offdiagonal_cosine_moments(vectors: DataFrame, dim: int, vec_col: str = "vec
     gram = ex.select("d", F.posexplode("u").alias("e", "y"), "x").groupBy("d", "e").agg(
         F.sum(F.col("x") * F.col("y")).alias("g"))
     g2 = gram.agg(F.sum(F.col("g") * F.col("g")).alias("g2"))
-    t = n_and_self.crossJoin(s2).crossJoin(g2)
+    t = attach(n_and_self, s2, g2)
     pairs = F.col("n") * (F.col("n") - 1)
     mean = (F.col("s2") - F.col("n")) / pairs
     mean_sq = (F.col("g2") - F.col("self4")) / pairs
@@ -235,7 +237,8 @@ def score_gaps(pairs: DataFrame, items: DataFrame, users: DataFrame, dim: int) -
     us = users.select("user_id", l2_normalize("vec").alias("w"))
     # ls has one row per category and total/n_all one row: bounded joins
     j = (pairs.select("user_id", "item_id").join(it, "item_id").join(us, "user_id")
-         .join(F.broadcast(ls), "label").crossJoin(F.broadcast(total)).crossJoin(F.broadcast(n_all)))
+         .join(F.broadcast(ls), "label"))
+    j = attach(j, total, n_all)
     s_other = F.zip_with("s_total", "s_label", lambda a, b: a - b)
     s_same_wo = F.zip_with("s_label", "u", lambda a, b: a - b)
     n_same = F.col("n_label") - 1
