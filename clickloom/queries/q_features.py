@@ -82,7 +82,7 @@ def q_cyclic(spark, sf):
                       rnd("dow_cos", 6).alias("dow_cos"))
 
 
-@register("items_augmented", with_(FEATURES) + """,
+AUG_CTES = (""",
 m0 AS (SELECT e.product_id, e.item_idx, e.cat_l2_idx, greatest(coalesce(f.avg_price, 0.0), 0.0) AS avg_price
        FROM items_enc e LEFT JOIN item_feats f USING (product_id)),
 m1 AS (SELECT *, avg(avg_price) OVER (PARTITION BY cat_l2_idx) AS cm FROM m0),
@@ -91,7 +91,10 @@ m2 AS (SELECT m1.*, (avg_price - cm) / CASE WHEN cm = 0 THEN 1 ELSE cm END AS re
               coalesce(ln(1 + greatest((epoch(TIMESTAMP '2024-01-26') - floor(epoch(fs.fs))) / 86400.0, 0.0)), 0.0) AS rec
        FROM m1 LEFT JOIN fs USING (product_id)),
 aug AS (SELECT product_id, """ + scaled("rel", "price_relative_to_cat_avg_scaled") + ", " +
-          scaled("rec", "product_recency_log_scaled") + """ FROM m2)
+          scaled("rec", "product_recency_log_scaled") + """ FROM m2)""")
+
+
+@register("items_augmented", with_(FEATURES) + AUG_CTES + """
 SELECT e.*, a.price_relative_to_cat_avg_scaled, a.product_recency_log_scaled
 FROM items_enc e JOIN aug a USING (product_id)""")
 def q_aug(spark, sf):

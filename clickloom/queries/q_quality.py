@@ -8,6 +8,7 @@ from clickloom.operators import features as Fe
 from clickloom.operators import quality as Q
 from clickloom.queries import register
 from clickloom.queries.common import TEST_START, features
+from clickloom.queries.q_features import AUG_CTES
 from clickloom.queries.sql_base import FEATURES, with_
 
 
@@ -62,7 +63,14 @@ def q_sanity(spark, sf):
                             ["avg_price_scaled", "log_confidence_scaled", "purchase_rate_scaled"])
 
 
-@register("augmented_merge_alignment", None)
+@register("augmented_merge_alignment", with_(FEATURES) + AUG_CTES + """,
+merged AS (SELECT e.product_id, a.price_relative_to_cat_avg_scaled AS r, a.product_recency_log_scaled AS q
+           FROM items_enc e JOIN aug a USING (product_id))
+SELECT (SELECT count(*) FROM items_enc) AS rows_before,
+       (SELECT count(*) FROM merged) AS rows_after,
+       (SELECT count_if(r IS NULL OR q IS NULL OR isnan(r) OR isnan(q)) FROM merged) AS rows_nan_or_null,
+       (SELECT count(*) FROM items_enc e WHERE NOT EXISTS (SELECT 1 FROM merged m WHERE m.product_id = e.product_id))
+         AS keys_lost""")
 def q_align(spark, sf):
     f = features(spark, sf)
     cutoff = F.lit(TEST_START.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
