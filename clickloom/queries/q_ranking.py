@@ -135,9 +135,10 @@ class _EvalBundle:
 
     @cached_property
     def all_recs(self):
-        """Each strategy's top-K list, materialised once and scored at several k."""
-        return {"popularity": cut_lineage(self.pop_recs()), "category_popularity": cut_lineage(self.cat_recs()),
-                "cooccurrence": cut_lineage(self.co_recs())}
+        """Each strategy's top-K list; the comparison reads each one once (every
+        cutoff is scored in the same pass), so they are not materialised."""
+        return {"popularity": self.pop_recs(), "category_popularity": self.cat_recs(),
+                "cooccurrence": self.co_recs()}
 
     @cached_property
     def item_cat(self):
