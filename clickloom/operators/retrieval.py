@@ -32,6 +32,10 @@ def seen_counts(seen: DataFrame, user_col: str = "user_idx") -> DataFrame:
 
 # Fixed bound: rows of a global rank table's head that are looked up by broadcast.
 HEAD_RANKS = 4096
+# Co-occurrence salting: users with more distinct items than HOT_USER_ITEMS
+# have their pair work split over COOC_SALTS tasks.
+HOT_USER_ITEMS = 10_000
+COOC_SALTS = 32
 
 
 def _unseen_top_k(users: DataFrame, seen: DataFrame, ranked: DataFrame, k: int, rank_col: str,
@@ -129,7 +133,17 @@ def cooccurrence_counts(pairs: DataFrame, reps: DataFrame, user_col: str = "user
     ui = pairs.select(user_col, item_col).distinct()
     rep_set = reps.select(F.col("rep_item").alias(item_col)).distinct()
     left = ui.join(rep_set, item_col, "left_semi").select(user_col, F.col(item_col).alias("rep_item"))
-    joined = left.join(ui, user_col).filter(F.col(item_col) != F.col("rep_item"))
+    # Hot users (more than HOT_USER_ITEMS distinct items) are salted: their
+    # (user, rep) rows go to one of COOC_SALTS buckets by rep item and their
+    # (user, item) rows are copied into every bucket, so one user's pair work
+    # is split over COOC_SALTS tasks; each (user, rep, item) still meets once.
+    hot = (ui.groupBy(user_col).agg(F.count(F.lit(1)).alias("_n"))
+           .filter(F.col("_n") > HOT_USER_ITEMS).select(user_col, F.lit(True).alias("_hot")))
+    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64("rep_item"), F.lit(COOC_SALTS))).otherwise(F.lit(0))
+    left = left.join(hot, user_col, "left").select(user_col, "rep_item", salt.cast("int").alias("_salt"))
+    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(COOC_SALTS - 1))).otherwise(F.array(F.lit(0)))
+    right = ui.join(hot, user_col, "left").select(user_col, item_col, F.explode(copies).alias("_salt"))
+    joined = left.join(right, [user_col, "_salt"]).filter(F.col(item_col) != F.col("rep_item"))
     return joined.groupBy("rep_item", item_col).agg(F.count(F.lit(1)).alias("cooc"))
 
 

@@ -96,3 +96,24 @@ def test_popularity_recs_head_broadcast_and_tail_join_agree(spark, monkeypatch,
         for n, i in enumerate([i for i in order if i not in seen.get(u, set())][:4], start=1):
             want[(u, n)] = i
     assert got == want
+
+
+@pytest.mark.parametrize("hot_items,salts", [(2, 3), (10_000, 32)])
+def test_cooccurrence_counts_salted_hot_users_exact(spark, monkeypatch, hot_items, salts):
+    # Salting hot users (here: users with more than 2 items) leaves every count exact.
+    monkeypatch.setattr(Rt, "HOT_USER_ITEMS", hot_items)
+    monkeypatch.setattr(Rt, "COOC_SALTS", salts)
+    rows = [(u, i, 1) for u in range(1, 6) for i in range(1, 9) if (u * i) % 4 != 0 or u == 1]
+    pairs = spark.createDataFrame(rows, "user_idx long, item_idx long, confidence_score long")
+    reps = spark.createDataFrame([(1, 2), (2, 3), (3, 1)], "user_idx long, rep_item long")
+    got = {(r.rep_item, r.item_idx): r.cooc for r in Rt.cooccurrence_counts(pairs, reps).collect()}
+    items = {}
+    for u, i, _ in rows:
+        items.setdefault(u, set()).add(i)
+    want = {}
+    for rep in (1, 2, 3):
+        for its in items.values():
+            if rep in its:
+                for i in its - {rep}:
+                    want[(rep, i)] = want.get((rep, i), 0) + 1
+    assert got == want
