@@ -32,6 +32,8 @@ def seen_counts(seen: DataFrame, user_col: str = "user_idx") -> DataFrame:
 
 # Fixed bound: rows of a global rank table's head that are looked up by broadcast.
 HEAD_RANKS = 4096
+# Buckets of the salted (key, rank) lookup of per-key rankings.
+RANK_SALTS = 8
 # Co-occurrence salting: users with more distinct items than HOT_USER_ITEMS
 # have their pair work split over COOC_SALTS tasks.
 HOT_USER_ITEMS = 10_000
@@ -53,7 +55,12 @@ def _unseen_top_k(users: DataFrame, seen: DataFrame, ranked: DataFrame, k: int,
          .withColumn("_bound", F.lit(k + extra) + F.coalesce(F.col("_n_seen"), F.lit(0))))
     exploded = u.select(user_col, *key_cols, F.explode(F.sequence(F.lit(1), F.col("_bound"))).alias(rank_col))
     if key_cols:
-        cand = exploded.join(ranked, key_cols + [rank_col])
+        # per-key rankings (e.g. per category): a popular key makes (key, 1..k)
+        # hot, so the lookup is salted by user; the rank table (one row per
+        # item) is copied into each of RANK_SALTS buckets, the user side is not
+        salted = exploded.withColumn("_salt", F.pmod(F.xxhash64(user_col), F.lit(RANK_SALTS)).cast("int"))
+        copies = ranked.select("*", F.explode(F.sequence(F.lit(0), F.lit(RANK_SALTS - 1))).alias("_salt"))
+        cand = salted.join(copies, key_cols + [rank_col, "_salt"]).drop("_salt")
     else:
         head = F.col(rank_col) <= HEAD_RANKS
         cand = (exploded.filter(head).join(F.broadcast(ranked.filter(head)), rank_col)
