@@ -9,7 +9,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from clickloom.llm import bpe, grace, pii
+from clickloom.llm import bpe, gbt_quality, grace, html_text, kn_toxicity, pii
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -48,3 +48,20 @@ FROM d WINDOW w AS (PARTITION BY norm)
 """)
 def op6_grace_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grace.dedup(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op4_html_line_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+@query()
+def op8_kneser_ney_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return kn_toxicity.score(docs, kn_toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
+@query()
+def op7_gbt_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return gbt_quality.judge(docs, gbt_quality.fit(docs, table(spark, sf_dir, "labels")))
