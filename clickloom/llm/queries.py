@@ -9,7 +9,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from clickloom.llm import bpe, gbt_quality, grace, html_text, kn_toxicity, pii
+from clickloom.llm import bloom_cascade, bpe, chat_trees, gbt_quality, grace, html_text, kn_toxicity, pii
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -65,3 +65,56 @@ def op8_kneser_ney_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_gbt_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return gbt_quality.judge(docs, gbt_quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
+@query(r"""
+WITH p AS (
+  SELECT page_id, coalesce(url, '') AS u FROM pages
+), h AS (
+  SELECT page_id,
+         translate(regexp_extract(u, '^.*?://([^/?#]*)([^?#]*)', 1, 's'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(u, '^.*?://([^/?#]*)([^?#]*)', 2, 's') AS path
+  FROM p
+), rules(verdict, rhost, rpath) AS (
+  VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'),
+         ('allow', 'com', '/fr/'), ('block', 'com', '/de/')
+), fit AS (
+  SELECT page_id, arg_max(rhost || rpath, length(rhost || rpath)) AS rule, arg_max(verdict, length(rhost || rpath)) AS verdict
+  FROM h JOIN rules ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath)
+  GROUP BY page_id
+), hosts AS (
+  SELECT DISTINCT host FROM h
+), keys AS (
+  SELECT host, array_to_string(string_split(host, '.')[i:], '.') AS key
+  FROM hosts, LATERAL (SELECT unnest(range(1, len(string_split(host, '.')) + 1)) AS i)
+), blocked AS (
+  SELECT DISTINCT host FROM keys
+  WHERE contains(key, '.') AND list_has_any(string_split(string_split(key, '.')[1], '-'),
+                                           ['adult', 'ads', 'bets', 'casino', 'farm', 'pills', 'spam'])
+)
+SELECT h.page_id, h.host, h.path, fit.rule,
+       coalesce(fit.verdict, CASE WHEN blocked.host IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict
+FROM h LEFT JOIN fit USING (page_id) LEFT JOIN blocked ON h.host = blocked.host
+""")
+def op9_bloom_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bloom_cascade.judge(table(spark, sf_dir, "pages"))
+
+
+@query(r"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')
+), e AS (
+  SELECT *, length('<s>[ROLE]  [/ROLE]  </s>')
+            + length(regexp_replace(role, '([<\[])(\\*)(/?(?:s>|INST\]|ROLE\]))', '\1\\\2\3', 'g'))
+            + length(regexp_replace(text, '([<\[])(\\*)(/?(?:s>|INST\]|ROLE\]))', '\1\\\2\3', 'g')) AS n
+  FROM c
+), g AS (
+  SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn) AS said,
+         coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '') AS loss, CAST(sum(n) AS BIGINT) AS formatted_chars
+  FROM e GROUP BY conv_id
+)
+SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars FROM g
+""")
+def op10_chat_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_trees.read_back(chat_trees.format_conversations(table(spark, sf_dir, "conversations")))
