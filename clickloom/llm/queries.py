@@ -9,7 +9,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from clickloom.llm import bloom_cascade, bpe, chat_trees, gbt_quality, grace, html_text, kn_toxicity, pii
+from clickloom.llm import bloom_cascade, bpe, chat_trees, gbt_quality, grace, html_text, kn_toxicity, packing, pii
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -118,3 +118,9 @@ SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(loss) AS loss_char
 """)
 def op10_chat_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_trees.read_back(chat_trees.format_conversations(table(spark, sf_dir, "conversations")))
+
+
+@query()
+def op5_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
+                                  public_tokenizers.PATTERN)
