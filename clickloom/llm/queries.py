@@ -9,7 +9,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from clickloom.llm import bloom_cascade, bpe, chat_trees, gbt_quality, grace, html_text, kn_toxicity, packing, pii
+from clickloom.llm import bloom_cascade, bpe, chat_trees, gbt_quality, grace, html_text, kn_toxicity, packing, pii, probminhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -124,3 +124,8 @@ def op10_chat_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
                                   public_tokenizers.PATTERN)
+
+
+@query()
+def op2_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return probminhash.classes(table(spark, sf_dir, "documents"))
