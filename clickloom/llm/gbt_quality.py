@@ -224,7 +224,7 @@ def sample(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Da
     part = F.when(F.col("quality") == 1, share[1]).otherwise(share[0])
     chosen = known.where(draw < part).select(F.col("doc_id").alias("_id"), "quality", (1 / part).alias("weight"))
     # at most about 2 * per_class ids: a proven bound for the broadcast
-    return (docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))
+    return (docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))
             .select(F.coalesce("text", F.lit("")).alias("text"), "quality", "weight"))
 
 

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.llm.textops import map_batches
+from clickloom.llm.textops import fresh, map_batches
 
 #: bytes of distinct contents one table may hold before it spills
 TABLE_BYTES = 48 << 20
@@ -212,7 +212,10 @@ def dedup(docs: DataFrame, table_bytes: int = TABLE_BYTES) -> DataFrame:
 
 def keep_one(docs: DataFrame, table_bytes: int = TABLE_BYTES) -> DataFrame:
     """The rows of ``docs`` that stay, all columns: one for each distinct text."""
-    kept = groups(docs, table_bytes).select(F.col("keep_id").alias("_keep"), F.col("text_sha256").alias("_sha")).distinct()
-    sha = F.sha2(F.translate(F.coalesce("text", F.lit("")), UPPER, LOWER), 256)
-    found = docs.withColumn("_sha", sha).join(kept, (F.col("doc_id") == F.col("_keep")) & (F.col("_sha") == kept["_sha"]), "left_semi")
-    return found.dropDuplicates(["doc_id", "_sha"]).select(*docs.columns)
+    sha, keep, kept_sha = fresh(docs, "sha", "keep", "kept_sha")
+    kept = groups(docs, table_bytes).select(F.col("keep_id").alias(keep), F.col("text_sha256").alias(kept_sha)).distinct()
+    digest = F.sha2(F.translate(F.coalesce("text", F.lit("")), UPPER, LOWER), 256)
+    # a group whose doc_ids are all null is kept under the least long
+    same = (F.coalesce("doc_id", F.lit(-(1 << 63))) == F.col(keep)) & (F.col(sha) == F.col(kept_sha))
+    found = docs.withColumn(sha, digest).join(kept, same, "left_semi")
+    return found.dropDuplicates(["doc_id", sha]).select(*docs.columns)

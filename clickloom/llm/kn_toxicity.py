@@ -191,7 +191,7 @@ def sample(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Da
         F.col("doc_id").alias("_id"), "toxic",
         (F.pmod(F.xxhash64(F.lit("curve part"), "doc_id"), F.lit(CURVE_PART)) == 0).alias("curve"))
     # at most about 2 * per_class ids: a proven bound for the broadcast
-    return (docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))
+    return (docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))
             .select(F.coalesce("text", F.lit("")).alias("text"), "toxic", "curve")
             .groupBy("text").agg(F.max("toxic").alias("toxic"), F.max("curve").alias("curve")))
 

@@ -34,10 +34,15 @@ def map_batches(df: DataFrame, fn, schema: str) -> DataFrame:
     return df.mapInArrow(fn, schema)
 
 
-def pieces(batch: pa.RecordBatch, rows: int = BATCH_ROWS) -> Iterator[pa.RecordBatch]:
-    """Slices of at most ``rows`` rows (for sessions that fix a larger batch)."""
-    for at in range(0, batch.num_rows, rows):
-        yield batch.slice(at, rows)
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with underscores added until ``df`` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
 
 
 def mix(x: np.ndarray) -> np.ndarray:
