@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from clickloom.operators import cleaning as C
+from clickloom.session import scratch_scope
 from clickloom.sources.files import write_parquet
 
 
@@ -24,7 +25,8 @@ def run(events: DataFrame, out_path: str, pre_kcore_path: str, k: int = C.KCORE_
                                              F.sum("price").alias("price_sum_clean"))
     write_parquet(cleaned, pre_kcore_path)
     history: list = []
-    core = C.kcore(spark.read.parquet(pre_kcore_path), k=k, max_rounds=max_rounds, history=history)
     obs_out = Observation("out")
-    write_parquet(core.observe(obs_out, F.count(F.lit(1)).alias("rows_out")), out_path, n_files)
+    with scratch_scope(spark):
+        core = C.kcore(spark.read.parquet(pre_kcore_path), k=k, max_rounds=max_rounds, history=history)
+        write_parquet(core.observe(obs_out, F.count(F.lit(1)).alias("rows_out")), out_path, n_files)
     return {"clean": obs_clean.get, "kcore_rounds": history, "output": obs_out.get}

@@ -12,10 +12,17 @@ from clickloom.operators import features as Fe
 from clickloom.operators import interactions as I
 from clickloom.operators import sampling as S
 from clickloom.operators import sequences as Sq
+from clickloom.session import scratch_scope
 from clickloom.sources.files import write_parquet
 
 
 def run(clean: DataFrame, out_dir: str, n_users: int, val_start: dt.datetime, test_start: dt.datetime) -> dict:
+    """Everything is written under ``out_dir``; no intermediate table is left behind."""
+    with scratch_scope(clean.sparkSession):
+        return _run(clean, out_dir, n_users, val_start, test_start)
+
+
+def _run(clean: DataFrame, out_dir: str, n_users: int, val_start: dt.datetime, test_start: dt.datetime) -> dict:
     sample = S.hash_user_sample(clean, n_users)
     labelled = S.split_label(sample, val_start, test_start)
     write_parquet(labelled, os.path.join(out_dir, "events"), partition_by=["split"])
