@@ -1,15 +1,16 @@
 """Vector retrieval and embedding statistics.
 
-Exact search scores every query against every item, so the item matrix is
-cut into blocks of at most ``block_rows`` rows (a proven size bound); each
-block is broadcast once and the queries are scored partition by partition
-with an Arrow-batched numpy matmul (``mapInPandas``), keeping only a partial
-top-k per query and block. Partials are merged with a per-query limit that
-Spark applies before the shuffle. Nothing query-side is ever collected.
-
-Approximate search (inverted file) clusters items with Spark ML KMeans and
-joins each query's ``nprobe`` nearest clusters to the items of those clusters
-with an equi-join on the cluster id.
+Exact search scores every query against every item in blocks: both sides are
+cut into numbered blocks of at most about ``block_rows`` rows, a query block
+meets every item block in a co-grouped Arrow/numpy matrix product, and each
+pair of blocks hands on a partial top-k per query. Partials are merged with a
+per-query limit that Spark applies before the shuffle. Neither side is ever
+collected, and a query's ties are broken by item id before any cut, so the
+result is the same for every block size.
+
+Approximate search (inverted file) clusters items with Spark ML KMeans; a
+query meets the items of its ``nprobe`` nearest lists in the same block product,
+one group per (list, salt).
 """
 
 from __future__ import annotations
@@ -17,13 +18,14 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.functions.columns import attach
-
-from clickloom.operators.ordering import dense_index, top_k_per_group
+from clickloom.operators.ordering import top_k_per_group
+from clickloom.session import cut_lineage
 
 SCORE_BUDGET = 20_000_000  # scores materialised per matmul chunk (~160 MB of float64)
 
@@ -44,66 +46,120 @@ def dot(a, b) -> F.Column:
                        lambda acc, x: acc + x)
 
 
-def _score_block_fn(block_ids: np.ndarray, block_mat: np.ndarray, k: int, exclude_self: bool):
-    bc_ids, bc_mat = block_ids, block_mat
-
-    def fn(it):
-        for pdf in it:
-            if pdf.empty:
-                continue
-            q = np.stack(pdf["vec"].to_numpy()).astype(np.float64)
-            qids = pdf["query_id"].to_numpy()
-            chunk = max(1, SCORE_BUDGET // max(1, len(bc_ids)))
-            out_q, out_i, out_s = [], [], []
-            for s in range(0, len(q), chunk):
-                sc = q[s:s + chunk] @ bc_mat.T
-                ids = qids[s:s + chunk]
-                if exclude_self:
-                    sc = np.where(ids[:, None] == bc_ids[None, :], -np.inf, sc)
-                kk = min(k, sc.shape[1])
-                if kk == 0:
-                    continue
-                part = np.argpartition(-sc, kk - 1, axis=1)[:, :kk]
-                vals = np.take_along_axis(sc, part, axis=1)
-                keep = np.isfinite(vals)
-                out_q.append(np.broadcast_to(ids[:, None], part.shape)[keep])
-                out_i.append(bc_ids[part][keep])
-                out_s.append(vals[keep])
-            if out_q:
-                yield pd.DataFrame({"query_id": np.concatenate(out_q), "item_id": np.concatenate(out_i),
-                                    "score": np.concatenate(out_s)})
-    return fn
+def block_top_k(q: np.ndarray, qids: np.ndarray, m: np.ndarray, ids: np.ndarray, k: int,
+                exclude_self: bool = False, seen: tuple[np.ndarray, np.ndarray] | None = None
+                ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query id, item id, score) of each query's ``k`` best rows of ``m`` by
+    inner product, ties by item id; ``seen`` are (row of q, row of m) to leave out.
+
+    The matrix product only proposes: rows within a small margin of the k-th
+    score are scored again in a fixed order of summation, so equal vectors get
+    equal scores and a score does not depend on the block it was computed in."""
+    dim = q.shape[1]
+    kk = min(k, len(ids))
+    if not kk or not len(q):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+    norms = np.sqrt((m * m).sum(axis=1)).max(initial=0.0)
+    out, step = [], max(1, SCORE_BUDGET // len(ids))
+    for at in range(0, len(q), step):
+        part, pids = q[at:at + step], qids[at:at + step]
+        rough = part @ m.T
+        if seen is not None:
+            here = (seen[0] >= at) & (seen[0] < at + step)
+            rough[seen[0][here] - at, seen[1][here]] = -np.inf
+        if exclude_self:
+            rough[pids[:, None] == ids[None, :]] = -np.inf
+        kth = -np.partition(-rough, kk - 1, axis=1)[:, kk - 1]
+        margin = 1e-12 * dim * np.maximum(1e-300, norms * np.sqrt((part * part).sum(axis=1)))
+        row, col = np.nonzero((rough >= np.where(np.isfinite(kth), kth - margin, -np.inf)[:, None]) & np.isfinite(rough))
+        score = np.zeros(len(row))
+        for d in range(dim):
+            score += part[row, d] * m[col, d]
+        order = np.lexsort((ids[col], -score, row))
+        row, col, score = row[order], col[order], score[order]
+        place = np.arange(len(row)) - np.searchsorted(row, row)
+        best = place < kk
+        out.append((pids[row[best]], ids[col[best]], score[best]))
+    return tuple(np.concatenate(c) for c in zip(*out))
+
+
+_PARTIAL = "query_id long, item_id long, score double"
+
+
+def _matrix(column: pa.ChunkedArray) -> np.ndarray:
+    column = column.combine_chunks()
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1) if len(column) else np.zeros((0, 1))
+
+
+def _rows_of(ids: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(index into ``wanted``, row of ``ids``) of every wanted id that is there."""
+    order = np.argsort(ids, kind="stable")
+    at = np.searchsorted(ids[order], wanted)
+    there = at < len(ids)
+    there[there] = ids[order][at[there]] == wanted[there]
+    return np.flatnonzero(there), order[at[there]]
+
+
+def _block_product(queries: DataFrame, items: DataFrame, keys: list[str], k: int, exclude_self: bool) -> DataFrame:
+    """Partial top-k rows of every group that ``queries`` (query_id, vec) and
+    ``items`` (item_id, vec) share by ``keys``. Item rows with a ``seen_by``
+    carry no vector: they name a query that must not get the item."""
+    def run(q: pa.Table, it: pa.Table) -> pa.Table:
+        found = [], [], []
+        if len(q) and len(it):
+            is_item = pc.is_null(it["seen_by"])
+            pairs, it = it.filter(pc.invert(is_item)), it.filter(is_item)
+            qids, ids = q["query_id"].to_numpy(), it["item_id"].to_numpy()
+            seen = None
+            if len(pairs):
+                known, rows = _rows_of(qids, pairs["seen_by"].to_numpy())
+                also, cols = _rows_of(ids, pairs["item_id"].to_numpy()[known])
+                seen = rows[also], cols
+            if len(it):
+                found = block_top_k(_matrix(q["vec"]), qids, _matrix(it["vec"]), ids, k, exclude_self, seen)
+        return pa.table({"query_id": pa.array(found[0], pa.int64()), "item_id": pa.array(found[1], pa.int64()),
+                         "score": pa.array(found[2], pa.float64())})
+
+    if "seen_by" not in items.columns:
+        items = items.withColumn("seen_by", F.lit(None).cast("long"))
+    return queries.groupBy(*keys).cogroup(items.groupBy(*keys)).applyInArrow(run, _PARTIAL)
+
+
+def _numbered(df: DataFrame, id_col: str, block_rows: int, block: str) -> tuple[DataFrame, int]:
+    """``df`` with a block number by a hash of the id, and the number of blocks."""
+    n = max(1, math.ceil(df.count() / block_rows))
+    return df.withColumn(block, F.pmod(F.xxhash64(id_col), F.lit(n)).cast("int")), n
 
 
 def exact_topk(queries: DataFrame, items: DataFrame, k: int, metric: str = "ip", exclude_self: bool = False,
-               block_rows: int = 200_000, query_col: str = "query_id", item_col: str = "item_id",
-               vec_col: str = "vec") -> DataFrame:
+               block_rows: int = 50_000, query_col: str = "query_id", item_col: str = "item_id",
+               vec_col: str = "vec", seen: DataFrame | None = None) -> DataFrame:
     """Per query the ``k`` items with the highest inner product (or cosine
     when ``metric='cosine'``), ties by item id; ``rank`` 1..k.
 
-    ``items`` rows are scored in blocks of ``block_rows`` (broadcast size
-    bound). ``exclude_self`` drops the item equal to the query id.
+    ``items`` are the items that may be returned: padding and untrained items
+    are left out by the caller. Blocks hold about ``block_rows`` rows of either
+    side; a row is sent once for every block of the other side. ``exclude_self``
+    drops the item equal to the query id. Rows without a vector take no part.
+
+    R4: pairs of ``seen`` (query id, item id) are left out before the cut, so a
+    query gets ``k`` unseen items as long as there are any. A seen pair travels
+    to the one block product it belongs to.
     """
-    spark = queries.sparkSession
-    vq = l2_normalize(vec_col) if metric == "cosine" else F.col(vec_col)
-    q = queries.select(F.col(query_col).cast("long").alias("query_id"), vq.cast("array<double>").alias("vec"))
-    it = items.select(F.col(item_col).cast("long").alias("item_id"),
-                      (l2_normalize(vec_col) if metric == "cosine" else F.col(vec_col)).cast("array<double>")
-                      .alias("vec"))
-    n_items = it.count()
-    n_blocks = max(1, math.ceil(n_items / block_rows))
-    if n_blocks > 1:
-        numbered = dense_index(it.select("item_id"), "item_id", "_pos", start=0).join(it, "item_id")
-    partials = None
-    for b in range(n_blocks):
-        blk = it if n_blocks == 1 else numbered.filter(
-            (F.col("_pos") >= b * block_rows) & (F.col("_pos") < (b + 1) * block_rows))
-        rows = blk.select("item_id", "vec").toPandas()  # at most block_rows rows: bounded broadcast
-        ids = rows["item_id"].to_numpy().astype(np.int64)
-        mat = np.stack(rows["vec"].to_numpy()).astype(np.float64) if len(rows) else np.zeros((0, 1))
-        part = q.mapInPandas(_score_block_fn(ids, mat, k, exclude_self),
-                             "query_id long, item_id long, score double")
-        partials = part if partials is None else partials.unionByName(part)
+    unit = (lambda c: l2_normalize(c)) if metric == "cosine" else F.col
+    q = queries.where(F.col(vec_col).isNotNull()).select(F.col(query_col).cast("long").alias("query_id"), unit(vec_col).cast("array<double>").alias("vec"))
+    it = items.where(F.col(vec_col).isNotNull()).select(F.col(item_col).cast("long").alias("item_id"), unit(vec_col).cast("array<double>").alias("vec"))
+    q, n_q = _numbered(q, "query_id", block_rows, "qb")
+    it, n_i = _numbered(it, "item_id", block_rows, "ib")
+    q = q.withColumn("ib", F.explode(F.sequence(F.lit(0), F.lit(n_i - 1))))
+    it = it.withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(n_q - 1))))
+    if seen is not None:
+        block = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
+        pairs = seen.select(F.col(query_col).cast("long").alias("seen_by"), F.col(item_col).cast("long").alias("item_id")).dropna().distinct()
+        pairs = pairs.select("item_id", F.lit(None).cast("array<double>").alias("vec"), block("item_id", n_i).alias("ib"),
+                             block("seen_by", n_q).alias("qb"), "seen_by")
+        it = it.withColumn("seen_by", F.lit(None).cast("long")).unionByName(pairs)
+    partials = _block_product(q, it, ["qb", "ib"], k, exclude_self)
     out = top_k_per_group(partials, "query_id", [F.desc("score"), F.asc("item_id")], k, rank_col="rank")
     return out.select(F.col("query_id").alias(query_col), F.col("item_id").alias(item_col), "score", "rank")
 
@@ -112,42 +168,50 @@ def kmeans_centroids(items: DataFrame, n_clusters: int, seed: int = 42, vec_col:
                      max_iter: int = 20) -> DataFrame:
     """Cluster centroids (``cluster``, ``centroid``) with Spark ML KMeans."""
     from pyspark.ml.clustering import KMeans
-    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.functions import array_to_vector
     feats = items.select(array_to_vector(F.col(vec_col).cast("array<double>")).alias("features"))
     model = KMeans(k=n_clusters, seed=seed, maxIter=max_iter, initSteps=2).fit(feats)
     centers = [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
-    _ = vector_to_array
     return items.sparkSession.createDataFrame(centers, "cluster int, centroid array<double>")
 
 
 def nearest_clusters(df: DataFrame, centroids: DataFrame, n: int, id_col: str, vec_col: str = "vec") -> DataFrame:
-    """Each row's ``n`` nearest centroids by inner product. The ``nlist``
-    centroids are folded into ONE row (an array), attached to every row with
-    a 1-row join, and scored inside the row with ``transform``: no row pairs
-    are formed and the attached table is bounded by ``nlist``."""
-    packed = centroids.agg(F.collect_list(F.struct("cluster", "centroid")).alias("_cents"))
-    scored = attach(df.select(id_col, vec_col), packed).select(
-        id_col, F.transform("_cents", lambda c: F.struct((-dot(F.col(vec_col), c["centroid"])).alias("neg"),
-                                                         c["cluster"].alias("cluster"))).alias("_sc"))
-    best = scored.select(id_col, F.explode(F.slice(F.array_sort("_sc"), 1, n)).alias("_c"))
-    return best.select(id_col, F.col("_c.cluster").alias("cluster"))
+    """Each row's ``n`` nearest centroids by inner product, with its vector:
+    one matrix product a batch against the ``nlist`` centroids (a bounded table
+    that every task holds), ties by cluster number."""
+    rows = centroids.orderBy("cluster").collect()
+    ids = np.array([r["cluster"] for r in rows], np.int64)
+    mat = np.array([r["centroid"] for r in rows], float).reshape(len(rows), -1)
+
+    def run(batches):
+        for b in batches:
+            q = _matrix(pa.chunked_array([b.column("vec")]))
+            found = block_top_k(q, np.arange(len(q)), mat, ids, n) if len(q) else ([], [], [])
+            at = pa.array(found[0], pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column("id").take(at), b.column("vec").take(at), pa.array(found[1], pa.int64()).cast(pa.int32())],
+                                             ["id", "vec", "cluster"])
+
+    out = (df.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("vec"))
+           .mapInArrow(run, "id long, vec array<double>, cluster int"))
+    return out.withColumnsRenamed({"id": id_col, "vec": vec_col})
 
 
 def ivf_topk(queries: DataFrame, items: DataFrame, k: int, n_lists: int, n_probe: int, seed: int = 42,
              query_col: str = "query_id", item_col: str = "item_id", vec_col: str = "vec",
-             exclude_self: bool = False) -> DataFrame:
+             exclude_self: bool = False, block_rows: int = 50_000) -> DataFrame:
     """R2: inverted-file search by inner product: items live in their nearest
-    centroid's list; a query scores only the items of its ``n_probe``
-    nearest lists (equi-join on the list id), then keeps the top ``k``."""
-    q = queries.select(F.col(query_col).alias("query_id"), F.col(vec_col).cast("array<double>").alias("vec"))
-    it = items.select(F.col(item_col).alias("item_id"), F.col(vec_col).cast("array<double>").alias("ivec"))
-    cents = kmeans_centroids(it.select(F.col("ivec").alias("vec")), n_lists, seed)
-    item_list = nearest_clusters(it.withColumnRenamed("ivec", "vec"), cents, 1, "item_id")
-    q_lists = nearest_clusters(q, cents, n_probe, "query_id")
-    cand = (q_lists.join(item_list, "cluster").join(it, "item_id").join(q, "query_id")
-            .select("query_id", "item_id", dot("vec", "ivec").alias("score")))
-    if exclude_self:
-        cand = cand.filter(F.col("query_id") != F.col("item_id"))
+    centroid's list; a query scores only the items of its ``n_probe`` nearest
+    lists, then keeps the top ``k``. A list longer than ``block_rows`` is split
+    by a salt, so a crowded list is not one task's work."""
+    q = queries.select(F.col(query_col).alias("query_id"), F.col(vec_col).alias("vec"))
+    it = items.select(F.col(item_col).alias("item_id"), F.col(vec_col).alias("vec"))
+    cents = kmeans_centroids(it, n_lists, seed)
+    lists = cut_lineage(nearest_clusters(it, cents, 1, "item_id"))
+    longest = lists.groupBy("cluster").count().agg(F.max("count")).first()[0] or 0
+    salts = max(1, math.ceil(longest / block_rows))
+    lists = lists.withColumn("salt", F.pmod(F.xxhash64("item_id"), F.lit(salts)).cast("int"))
+    probes = nearest_clusters(q, cents, n_probe, "query_id").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    cand = _block_product(probes, lists, ["cluster", "salt"], k, exclude_self)
     out = top_k_per_group(cand, "query_id", [F.desc("score"), F.asc("item_id")], k, rank_col="rank")
     return out.select(F.col("query_id").alias(query_col), F.col("item_id").alias(item_col), "score", "rank")
 
@@ -162,17 +226,22 @@ def concordance(exact: DataFrame, approx: DataFrame, k: int, query_col: str = "q
     return per.agg(F.count(F.lit(1)).alias("n_queries"), F.avg(F.col("shared") / k).alias("concordance"))
 
 
+def vector_sums(rows: DataFrame, key_col: str, vec_col: str, kind: str = "mean") -> DataFrame:
+    """Element-wise ``mean`` or ``sum`` of the vectors of each key. Spark ML's
+    Summarizer keeps one running vector per key and combines map-side, so
+    nothing is exploded to scalars."""
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+    feats = rows.select(key_col, array_to_vector(F.col(vec_col).cast("array<double>")).alias("_v"))
+    agg = Summarizer.mean if kind == "mean" else Summarizer.sum
+    return feats.groupBy(key_col).agg(agg(F.col("_v")).alias("_m")).select(key_col, vector_to_array("_m").alias(vec_col))
+
+
 def mean_vectors(pairs: DataFrame, vectors: DataFrame, key_col: str, item_col: str, dim: int,
                  vec_col: str = "vec") -> DataFrame:
-    """Per key the element-wise mean of its items' vectors. Vectors are
-    exploded to (key, position) and averaged with a partial aggregation, so a
-    key with many items is combined map-side; the result is re-assembled in
-    position order (``dim`` elements per key)."""
+    """Per key the element-wise mean of its items' vectors."""
     ex = pairs.select(key_col, item_col).join(vectors.select(F.col(item_col), F.col(vec_col)), item_col)
-    pos = ex.select(key_col, F.posexplode(vec_col).alias("p", "x"))
-    avg = pos.groupBy(key_col, "p").agg(F.avg(F.col("x").cast("double")).alias("m"))
-    return avg.groupBy(key_col).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("p", "m"))), lambda s: s["m"]).alias(vec_col))
+    return vector_sums(ex, key_col, vec_col, "mean")
 
 
 def user_centroids(pairs: DataFrame, vectors: DataFrame, users: DataFrame, dim: int, min_conf: int = 2,
@@ -192,14 +261,23 @@ def offdiagonal_cosine_moments(vectors: DataFrame, dim: int, vec_col: str = "vec
     with unit vectors u_i, S = sum_i u_i and G = sum_i u_i u_i^T,
     sum_{i!=j} u_i.u_j = |S|^2 - n and sum_{i!=j} (u_i.u_j)^2 = |G|_F^2 - sum_i |u_i|^4."""
     u = vectors.select(l2_normalize(vec_col).alias("u"))
-    n_and_self = u.agg(F.count(F.lit(1)).alias("n"),
-                       F.sum(F.pow(dot("u", "u"), 2)).alias("self4"))
-    ex = u.select(F.posexplode("u").alias("d", "x"), "u")
-    sums = ex.groupBy("d").agg(F.sum("x").alias("s"))
-    s2 = sums.agg(F.sum(F.col("s") * F.col("s")).alias("s2"))
-    gram = ex.select("d", F.posexplode("u").alias("e", "y"), "x").groupBy("d", "e").agg(
-        F.sum(F.col("x") * F.col("y")).alias("g"))
-    g2 = gram.agg(F.sum(F.col("g") * F.col("g")).alias("g2"))
+
+    def partial(batches):
+        # a task's own count, sum of fourth powers, S and G: one short row each
+        n, self4, total, gram = 0, 0.0, np.zeros(dim), np.zeros((dim, dim))
+        for b in batches:
+            m = _matrix(pa.chunked_array([b.column("u")]))
+            if len(m):
+                n, self4 = n + len(m), self4 + float(((m * m).sum(axis=1) ** 2).sum())
+                total, gram = total + m.sum(axis=0), gram + m.T @ m
+        yield pa.RecordBatch.from_pydict({"n": [n], "self4": [self4], "v": [np.concatenate((total, gram.ravel())).tolist()]},
+                                         pa.schema([("n", pa.int64()), ("self4", pa.float64()), ("v", pa.list_(pa.float64()))]))
+
+    parts = cut_lineage(u.mapInArrow(partial, "n long, self4 double, v array<double>"))
+    n_and_self = parts.agg(F.sum("n").alias("n"), F.sum("self4").alias("self4"))
+    each = parts.select(F.posexplode("v").alias("p", "x")).groupBy("p").agg(F.sum("x").alias("x"))
+    s2 = each.where(F.col("p") < dim).agg(F.sum(F.col("x") * F.col("x")).alias("s2"))
+    g2 = each.where(F.col("p") >= dim).agg(F.sum(F.col("x") * F.col("x")).alias("g2"))
     t = attach(n_and_self, s2, g2)
     pairs = F.col("n") * (F.col("n") - 1)
     mean = (F.col("s2") - F.col("n")) / pairs
@@ -210,12 +288,8 @@ def offdiagonal_cosine_moments(vectors: DataFrame, dim: int, vec_col: str = "vec
 
 def _label_sums(items: DataFrame, dim: int) -> DataFrame:
     """Per label the element-wise sum of unit item vectors and the item count."""
-    ex = items.select("label", F.posexplode("u").alias("p", "x"))
-    sums = ex.groupBy("label", "p").agg(F.sum("x").alias("s"))
-    vec = sums.groupBy("label").agg(F.transform(F.array_sort(F.collect_list(F.struct("p", "s"))),
-                                                lambda t: t["s"]).alias("s_label"))
     counts = items.groupBy("label").agg(F.count(F.lit(1)).alias("n_label"))
-    return vec.join(counts, "label")
+    return vector_sums(items, "label", "u", "sum").withColumnRenamed("u", "s_label").join(counts, "label")
 
 
 def score_gaps(pairs: DataFrame, items: DataFrame, users: DataFrame, dim: int) -> DataFrame:
@@ -235,9 +309,10 @@ def score_gaps(pairs: DataFrame, items: DataFrame, users: DataFrame, dim: int) -
         .agg(F.transform(F.array_sort(F.collect_list(F.struct("p", "t"))), lambda t: t["t"]).alias("s_total"))
     n_all = it.agg(F.count(F.lit(1)).alias("n_total"))
     us = users.select("user_id", l2_normalize("vec").alias("w"))
-    # ls has one row per category and total/n_all one row: bounded joins
+    # one row per category: no hint, AQE broadcasts it when its measured size is
+    # small; total and n_all are one row each
     j = (pairs.select("user_id", "item_id").join(it, "item_id").join(us, "user_id")
-         .join(F.broadcast(ls), "label"))
+         .join(ls, "label"))
     j = attach(j, total, n_all)
     s_other = F.zip_with("s_total", "s_label", lambda a, b: a - b)
     s_same_wo = F.zip_with("s_label", "u", lambda a, b: a - b)

@@ -55,6 +55,46 @@ def q_topk_cos(spark, sf):
     return out.select("query_id", "item_id", rnd("score", 6).alias("score"), "rank")
 
 
+# Many ties: eight dimensions of +1 or -1, so scores are small integers and the
+# order rests on the item id.
+@register("vector_topk_tied", """
+WITH v AS (SELECT vec_id, list_transform(embedding[1:8], lambda x: CASE WHEN x > 0 THEN 1.0 ELSE -1.0 END)::DOUBLE[] AS e FROM embeddings)
+SELECT query_id, item_id, round(score, 6) AS score, rank FROM (
+  SELECT a.vec_id AS query_id, b.vec_id AS item_id, list_inner_product(a.e, b.e) AS score,
+         row_number() OVER (PARTITION BY a.vec_id ORDER BY list_inner_product(a.e, b.e) DESC, b.vec_id) AS rank
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id)
+WHERE rank <= 10""")
+def q_topk_tied(spark, sf):
+    sign = F.transform(F.slice("vec", 1, 8), lambda x: F.when(x > 0, 1.0).otherwise(-1.0))
+    e = _emb(spark, sf).select("vec_id", sign.alias("vec"))
+    out = V.exact_topk(e.select(F.col("vec_id").alias("query_id"), "vec"),
+                       e.select(F.col("vec_id").alias("item_id"), "vec"), 10, exclude_self=True, block_rows=100)
+    return out.select("query_id", "item_id", rnd("score", 6).alias("score"), "rank")
+
+
+# R4 over R1: each user's embedding retrieval with the items of the training
+# pairs removed before the cut.
+@register("user_recs_embedding_unseen", with_(SEQ) + f""",
+good AS (SELECT user_id, product_id FROM inter_train WHERE confidence_score >= 2),
+ex AS (SELECT g.user_id, i.i, avg(e.embedding[i.i]) AS m
+       FROM good g JOIN embeddings e ON e.vec_id = g.product_id CROSS JOIN range(1, {DIM + 1}) i(i) GROUP BY 1, 2),
+u AS (SELECT user_id, list(m ORDER BY i) AS w FROM ex GROUP BY 1),
+it AS (SELECT v.product_id, e.embedding::DOUBLE[] AS e FROM item_vocab v JOIN embeddings e ON e.vec_id = v.product_id)
+SELECT user_id, product_id, rank FROM (
+  SELECT u.user_id, it.product_id,
+         row_number() OVER (PARTITION BY u.user_id ORDER BY list_cosine_similarity(u.w, it.e) DESC, it.product_id) AS rank
+  FROM u CROSS JOIN it
+  WHERE NOT EXISTS (SELECT 1 FROM inter_train t WHERE t.user_id = u.user_id AND t.product_id = it.product_id))
+WHERE rank <= 20""")
+def q_unseen(spark, sf):
+    f = features(spark, sf)
+    vecs = _emb(spark, sf).select(F.col("vec_id").alias("product_id"), "vec")
+    users = V.mean_vectors(f.inter.filter(F.col("confidence_score") >= 2), vecs, "user_id", "product_id", DIM)
+    out = V.exact_topk(users, f.item_vocab.join(vecs, "product_id").select("product_id", "vec"), 20, metric="cosine",
+                       query_col="user_id", item_col="product_id", seen=f.inter.select("user_id", "product_id"))
+    return out.select("user_id", "product_id", "rank")
+
+
 def _ivf(spark, sf):
     e = _emb(spark, sf)
     q = e.select(F.col("vec_id").alias("query_id"), "vec")

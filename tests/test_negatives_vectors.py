@@ -89,3 +89,44 @@ def test_ivf_full_probe_equals_exact(spark):
     approx = V.ivf_topk(q, it, 5, n_lists=4, n_probe=4, exclude_self=True)
     exact = V.exact_topk(q, it, 5, exclude_self=True)
     assert V.concordance(exact, approx, 5).first().concordance == 1.0
+
+
+def test_topk_ties_do_not_depend_on_blocks(spark):
+    """Many equal scores: 1 and 7 blocks give the same rows, ties by item id."""
+    rng = np.random.default_rng(5)
+    mat = rng.choice([-1.0, 0.0, 1.0], size=(70, 4))
+    df = spark.createDataFrame([(i, [float(x) for x in mat[i]]) for i in range(70)], "id long, vec array<double>")
+    q = df.select(F.col("id").alias("query_id"), "vec")
+    it = df.select(F.col("id").alias("item_id"), "vec")
+    one, seven = ({tuple(r) for r in V.exact_topk(q, it, 6, exclude_self=True, block_rows=b).collect()} for b in (1000, 10))
+    assert one == seven
+    sc = mat @ mat.T
+    for i in range(70):
+        want = sorted((-sc[i, j], j) for j in range(70) if j != i)[:6]
+        assert [(r[1], r[2]) for r in sorted(one, key=lambda r: r[3]) if r[0] == i] == [(j, -s) for s, j in want]
+
+
+def test_topk_leaves_out_seen_items_before_the_cut(spark):
+    rng = np.random.default_rng(6)
+    mat = rng.normal(size=(30, 4))
+    df = spark.createDataFrame([(i, [float(x) for x in mat[i]]) for i in range(30)], "id long, vec array<double>")
+    q = df.select(F.col("id").alias("query_id"), "vec").where("query_id < 5")
+    it = df.select(F.col("id").alias("item_id"), "vec")
+    seen = [(0, j) for j in range(27)] + [(1, 3), (1, 3), (1, 99), (2, None)]
+    seen = spark.createDataFrame(seen, "query_id long, item_id long")
+    got = {}
+    for r in V.exact_topk(q, it, 5, block_rows=7, seen=seen).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.item_id))
+    sc = mat @ mat.T
+    skip = {0: set(range(27)), 1: {3}}
+    for i in range(5):
+        want = [j for j in np.argsort(-sc[i], kind="stable") if j not in skip.get(i, set())][:5]
+        assert [j for _, j in sorted(got[i])] == want
+    assert len(got[0]) == 3
+
+
+def test_exact_topk_collects_nothing(spark):
+    df = spark.createDataFrame([(1, [1.0]), (2, [2.0])], "id long, vec array<double>")
+    out = V.exact_topk(df.select(F.col("id").alias("query_id"), "vec"), df.select(F.col("id").alias("item_id"), "vec"), 1)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan and "Broadcast" not in plan
