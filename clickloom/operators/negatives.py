@@ -1,9 +1,10 @@
 """Negative sampling and negative-quality analyses.
 
-Random draws are hashes: ``xxhash64(seed, user, item, slot)`` modulo a pool
-size picks a position in an indexed pool (items numbered 0..n-1 inside each
-pool), so sampling is a handful of equi-joins per pair, reproducible and
-independent of partitioning. No pool is ever materialised per pair.
+A draw is the leading 60 bits of an md5 of (seed, keys, slot, purpose): the
+same in every engine, reproducible and independent of partitioning. A draw
+picks a position among what is free and the position is then moved past what is
+not (the user's positives, earlier draws), so nothing is rejected, every pair
+gets its full number of negatives, and no pool is ever enumerated per pair.
 """
 
 from __future__ import annotations
@@ -13,15 +14,36 @@ from pyspark.sql import functions as F
 
 from clickloom.functions.columns import attach
 
-from clickloom.operators.ordering import dense_index, top_k_per_group
+from clickloom.operators.ordering import dense_index
 
 N_HARD = 3
 WARM_THRESHOLD = 20
-EXTRA_DRAWS = 8
 
 
-def _h(seed: int, *cols: Column) -> Column:
-    return F.xxhash64(F.lit(seed), *cols)
+def draw(*parts: Column | str | int) -> Column:
+    """A reproducible integer below 2**60."""
+    text = F.concat_ws(":", *[(p if isinstance(p, Column) else F.lit(str(p))).cast("string") for p in parts])
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
+
+
+def draw_sql(*parts: str) -> str:
+    """``draw`` in the oracle's SQL; parts are expressions."""
+    return "CAST('0x' || substr(md5(concat_ws(':', " + ", ".join(f"CAST({p} AS VARCHAR)" for p in parts) + ")), 1, 15) AS BIGINT)"
+
+
+def past(index: Column, taken: Column) -> Column:
+    """The ``index``-th (from 0) position that is not in the ascending array ``taken``."""
+    return F.aggregate(taken, index, lambda at, t: F.when(t <= at, at + 1).otherwise(at))
+
+
+def draw_places(free: Column, n: int, *key: Column | str | int) -> Column:
+    """``n`` places below ``free``: distinct ones if there are enough, else each
+    on its own."""
+    def one(places: Column, slot: Column) -> Column:
+        d = draw(*key, slot)
+        return F.concat(places, F.array(F.when(free >= n, past(F.pmod(d, free - slot), F.array_sort(places))).otherwise(F.pmod(d, free))))
+
+    return F.aggregate(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")), F.array().cast("array<long>"), one)
 
 
 def indexed_pools(items: DataFrame) -> DataFrame:
@@ -38,128 +60,89 @@ def indexed_pools(items: DataFrame) -> DataFrame:
 
 
 def hard_negatives(pairs: DataFrame, items: DataFrame, n_neg: int = N_HARD, warm_threshold: int = WARM_THRESHOLD,
-                   seed: int = 42, extra_draws: int = EXTRA_DRAWS) -> DataFrame:
-    """``n_neg`` negatives per training pair (user_idx, item_idx).
-
-    * known category, cold user (< ``warm_threshold`` pairs): items of the
-      positive's category that the user never interacted with;
-    * known category, warm user: one uniformly drawn untouched category per
-      slot, then a uniform item of it (when the untouched categories hold at
-      least ``n_neg`` items; otherwise as cold);
-    * unknown category: items of the positive's price bucket minus the
-      user's positives;
-    * empty pool after exclusion: the whole catalogue minus the positive.
-    Without replacement when the pool has at least ``n_neg`` free items,
-    with replacement otherwise. Output: (user_idx, item_idx, slot, neg_item_idx, route).
+                   seed: int = 42) -> DataFrame:
+    """Exactly ``n_neg`` negatives per training pair (user_idx, item_idx).
+
+    * known category, warm user (at least ``warm_threshold`` pairs) whose
+      untouched categories hold at least ``n_neg`` items: for each slot a
+      category the user never touched, then an item of it;
+    * known category otherwise: items of the positive's category that the user
+      never interacted with;
+    * unknown category: items of the positive's price bucket, likewise;
+    * none free there: the whole catalogue but the positive.
+    Without replacement when at least ``n_neg`` items are free, else with. A
+    catalogue of the positive alone has no negative and gives no row.
+    Output: (user_idx, item_idx, slot, neg_item_idx, route).
     """
     it = items.select("item_idx", "cat_l2_idx", "price_bucket")
     p = pairs.select("user_idx", "item_idx")
-    n_train = p.groupBy("user_idx").agg(F.count(F.lit(1)).alias("n_train"))
-    pa = p.join(it, "item_idx").join(n_train, "user_idx")
     pools = indexed_pools(it)
     sizes = pools.select("kind", "key", "n").distinct()
 
-    # --- warm route: untouched categories (bounded by the category count per user)
-    cats = pools.filter(F.col("kind") == "cat").select(F.col("key").alias("cat"), "n").distinct()
-    warm_users = n_train.filter(F.col("n_train") >= warm_threshold).select("user_idx")
-    touched = p.join(it, "item_idx").filter(F.col("cat_l2_idx") != 0).select(
-        "user_idx", F.col("cat_l2_idx").cast("long").alias("cat")).distinct()
-    # categories folded into one row and exploded per warm user: at most
-    # |categories| rows per user (the taxonomy bounds it), no row-pair join
-    packed = cats.agg(F.collect_list(F.struct("cat", "n")).alias("_cats"))
-    anti = (attach(warm_users, packed).select("user_idx", F.explode("_cats").alias("_c"))
-            .select("user_idx", "_c.cat", "_c.n")
-            .join(touched, ["user_idx", "cat"], "left_anti"))
-    anti = anti.withColumn("a_idx", F.row_number().over(Window.partitionBy("user_idx").orderBy("cat")) - 1)
-    anti_stats = anti.groupBy("user_idx").agg(F.count(F.lit(1)).alias("a_n"), F.sum("n").alias("a_size"))
-    pa = pa.join(anti_stats, "user_idx", "left").fillna(0, ["a_n", "a_size"])
-    is_warm_route = ((F.col("cat_l2_idx") != 0) & (F.col("n_train") >= warm_threshold) &
-                     (F.col("a_n") > 0) & (F.col("a_size") >= n_neg))
-    warm_pairs = pa.filter(is_warm_route)
+    # what a user touched: a short array of category places and what they hold
+    cats = dense_index(pools.filter(F.col("kind") == "cat").select("key"), "key", "place", start=0)
+    cats = cats.join(sizes.filter(F.col("kind") == "cat").drop("kind"), "key")
+    totals = cats.agg(F.count(F.lit(1)).alias("n_cats"), F.coalesce(F.sum("n"), F.lit(0)).alias("n_known"))
+    of_cat = it.filter(F.col("cat_l2_idx") != 0).select("item_idx", F.col("cat_l2_idx").cast("long").alias("key")).join(cats, "key")
+    touched = p.join(of_cat, "item_idx").select("user_idx", "place", "n").distinct()
+    touched = touched.groupBy("user_idx").agg(F.array_sort(F.collect_list("place")).alias("touched"), F.sum("n").alias("n_touched"))
+    n_train = p.groupBy("user_idx").agg(F.count(F.lit(1)).alias("n_train"))
+    user = attach(n_train.join(touched, "user_idx", "left"), totals)
+    user = user.select("user_idx", "n_train", F.coalesce("touched", F.array().cast("array<long>")).alias("touched"),
+                       (F.col("n_cats") - F.coalesce(F.size("touched"), F.lit(0))).alias("n_untouched"),
+                       (F.col("n_known") - F.coalesce("n_touched", F.lit(0))).alias("n_untouched_items"))
+    pa = p.join(it, "item_idx").join(user, "user_idx")
+    warm = ((F.col("cat_l2_idx") != 0) & (F.col("n_train") >= warm_threshold) & (F.col("n_untouched") > 0) &
+            (F.col("n_untouched_items") >= n_neg))
+    u, i, slot = F.col("user_idx"), F.col("item_idx"), F.col("slot")
+
     slots = F.explode(F.sequence(F.lit(0), F.lit(n_neg - 1))).alias("slot")
-    wd = warm_pairs.select("user_idx", "item_idx", "a_n", slots)
-    wd = wd.withColumn("a_idx", F.pmod(_h(seed, F.col("user_idx"), F.col("item_idx"), F.col("slot"), F.lit(1)),
-                                       F.col("a_n")))
-    wd = wd.join(anti.select("user_idx", "a_idx", "cat", "n"), ["user_idx", "a_idx"])
-    wd = wd.withColumn("pos", F.pmod(_h(seed, F.col("user_idx"), F.col("item_idx"), F.col("slot"), F.lit(2)),
-                                     F.col("n")))
-    warm_out = wd.join(pools.filter(F.col("kind") == "cat").select(F.col("key").alias("cat"), "pos",
-                                                                   F.col("item_idx").alias("neg_item_idx")),
-                       ["cat", "pos"]).select("user_idx", "item_idx", "slot", "neg_item_idx",
-                                              F.lit("warm_anti_category").alias("route"))
-
-    # --- pool routes: same category (cold or warm fallback) or price bucket
-    rest = pa.filter(~is_warm_route).select(
-        "user_idx", "item_idx",
-        F.when(F.col("cat_l2_idx") != 0, F.lit("cat")).otherwise(F.lit("bucket")).alias("kind"),
-        F.when(F.col("cat_l2_idx") != 0, F.col("cat_l2_idx")).otherwise(F.col("price_bucket")).cast("long")
-        .alias("key"))
-    user_pool_pos = (p.join(pools, "item_idx").groupBy("user_idx", "kind", "key")
-                     .agg(F.count(F.lit(1)).alias("m")))
-    rest = (rest.join(sizes, ["kind", "key"]).join(user_pool_pos, ["user_idx", "kind", "key"], "left")
-            .fillna(0, ["m"]).withColumn("free", F.col("n") - F.col("m")))
-    positives = p.select("user_idx", F.col("item_idx").alias("neg_item_idx"))
-
-    # free >= n_neg: rejection draws without replacement, exact fallback when short
-    big = rest.filter(F.col("free") >= n_neg)
-    draws = big.select("user_idx", "item_idx", "kind", "key", "n",
-                       F.explode(F.sequence(F.lit(0), F.lit(n_neg + extra_draws - 1))).alias("draw"))
-    draws = draws.withColumn("pos", F.pmod(_h(seed, F.col("user_idx"), F.col("item_idx"), F.col("draw")), F.col("n")))
-    drawn = draws.join(pools.select("kind", "key", "pos", F.col("item_idx").alias("neg_item_idx")),
-                       ["kind", "key", "pos"])
-    drawn = drawn.join(positives, ["user_idx", "neg_item_idx"], "left_anti")
-    drawn = drawn.groupBy("user_idx", "item_idx", "neg_item_idx").agg(F.min("draw").alias("draw"))
-    picked = top_k_per_group(drawn, ["user_idx", "item_idx"], [F.asc("draw")], n_neg, rank_col="slot")
-    got = picked.groupBy("user_idx", "item_idx").agg(F.count(F.lit(1)).alias("_g"))
-    short = big.join(got, ["user_idx", "item_idx"], "left").filter(F.coalesce(F.col("_g"), F.lit(0)) < n_neg)
-    enum = (short.select("user_idx", "item_idx", "kind", "key")
-            .join(pools.select("kind", "key", F.col("item_idx").alias("neg_item_idx")), ["kind", "key"])
-            .join(positives, ["user_idx", "neg_item_idx"], "left_anti")
-            .withColumn("_o", _h(seed, F.col("user_idx"), F.col("item_idx"), F.col("neg_item_idx"))))
-    enum = top_k_per_group(enum, ["user_idx", "item_idx"], [F.asc("_o"), F.asc("neg_item_idx")], n_neg,
-                           rank_col="slot")
-    big_out = (picked.join(short.select("user_idx", "item_idx"), ["user_idx", "item_idx"], "left_anti")
-               .select("user_idx", "item_idx", (F.col("slot") - 1).alias("slot"), "neg_item_idx")
-               .unionByName(enum.select("user_idx", "item_idx", (F.col("slot") - 1).alias("slot"), "neg_item_idx"))
-               .withColumn("route", F.concat(F.lit("pool_"), F.lit("sampled"))))
-
-    # 0 < free < n_neg: with replacement from the (few) free items
-    small = rest.filter((F.col("free") > 0) & (F.col("free") < n_neg))
-    free_items = (small.select("user_idx", "item_idx", "kind", "key", "free")
-                  .join(pools.select("kind", "key", F.col("item_idx").alias("neg_item_idx")), ["kind", "key"])
-                  .join(positives, ["user_idx", "neg_item_idx"], "left_anti")
-                  .withColumn("f_idx", F.row_number().over(
-                      Window.partitionBy("user_idx", "item_idx").orderBy("neg_item_idx")) - 1))
-    small_d = small.select("user_idx", "item_idx", "free", slots).withColumn(
-        "f_idx", F.pmod(_h(seed, F.col("user_idx"), F.col("item_idx"), F.col("slot"), F.lit(3)), F.col("free")))
-    small_out = small_d.join(free_items.select("user_idx", "item_idx", "f_idx", "neg_item_idx"),
-                             ["user_idx", "item_idx", "f_idx"]).select(
-        "user_idx", "item_idx", "slot", "neg_item_idx", F.lit("pool_with_replacement").alias("route"))
-
-    # free == 0: whole catalogue minus the positive itself (rejection on the positive only)
-    catalog = dense_index(it.select("item_idx"), "item_idx", "c_pos", start=0)
-    n_cat = it.select("item_idx").distinct().agg(F.count(F.lit(1)).alias("n_cat"))
-    empty = attach(rest.filter(F.col("free") <= 0).select("user_idx", "item_idx"), n_cat)
-    ed = empty.select("user_idx", "item_idx", "n_cat",
-                      F.explode(F.sequence(F.lit(0), F.lit(n_neg + extra_draws - 1))).alias("draw"))
-    ed = ed.withColumn("c_pos", F.pmod(_h(seed, F.col("user_idx"), F.col("item_idx"), F.col("draw"), F.lit(4)),
-                                       F.col("n_cat")))
-    ed = (ed.join(catalog.select("c_pos", F.col("item_idx").alias("neg_item_idx")), "c_pos")
-          .filter(F.col("neg_item_idx") != F.col("item_idx"))
-          .groupBy("user_idx", "item_idx", "neg_item_idx").agg(F.min("draw").alias("draw")))
-    empty_out = top_k_per_group(ed, ["user_idx", "item_idx"], [F.asc("draw")], n_neg, rank_col="slot").select(
-        "user_idx", "item_idx", (F.col("slot") - 1).alias("slot"), "neg_item_idx",
-        F.lit("catalogue_fallback").alias("route"))
-
-    return warm_out.unionByName(big_out).unionByName(small_out).unionByName(empty_out)
+    wd = pa.filter(warm).select("user_idx", "item_idx", "touched", "n_untouched", slots)
+    wd = wd.withColumn("place", past(F.pmod(draw(seed, u, i, slot, "category"), F.col("n_untouched")), F.col("touched")))
+    wd = wd.join(cats, "place").withColumn("pos", F.pmod(draw(seed, u, i, slot, "item"), F.col("n")))
+    warm_out = (wd.join(pools.filter(F.col("kind") == "cat").select("key", "pos", F.col("item_idx").alias("neg_item_idx")), ["key", "pos"])
+                .select("user_idx", "item_idx", "slot", "neg_item_idx", F.lit("warm_anti_category").alias("route")))
+
+    # the positive's pool, and how much of it the user left free
+    known = F.col("cat_l2_idx") != 0
+    rest = pa.filter(~warm).select(
+        "user_idx", "item_idx", F.when(known, F.lit("cat")).otherwise(F.lit("bucket")).alias("kind"),
+        F.when(known, F.col("cat_l2_idx")).otherwise(F.col("price_bucket")).cast("long").alias("key"))
+    taken = p.join(pools.select("item_idx", "kind", "key", "pos"), "item_idx")
+    held = taken.groupBy("user_idx", "kind", "key").agg(F.count(F.lit(1)).alias("m"))
+    rest = (rest.join(sizes, ["kind", "key"]).join(held, ["user_idx", "kind", "key"], "left")
+            .withColumn("free", F.col("n") - F.coalesce("m", F.lit(0))))
+    places = F.posexplode(draw_places(F.col("free"), n_neg, seed, u, i)).alias("slot", "place")
+    drawn = rest.filter(F.col("free") > 0).select("user_idx", "item_idx", "kind", "key", "free", places)
+    # place among the free -> position in the pool: the number of positives before
+    # it, by one ordered pass over a user's draws and positives of a pool
+    order = Window.partitionBy("user_idx", "kind", "key").orderBy("pos")
+    before = taken.select("user_idx", "kind", "key", (F.col("pos") - F.row_number().over(order) + 1).alias("place"), F.lit(1).alias("one"))
+    both = drawn.withColumn("one", F.lit(0)).unionByName(before, allowMissingColumns=True)
+    along = (Window.partitionBy("user_idx", "kind", "key").orderBy("place", F.desc("one"))
+             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    moved = both.withColumn("pos", F.col("place") + F.sum("one").over(along)).filter(F.col("one") == 0)
+    pool_out = (moved.join(pools.select("kind", "key", "pos", F.col("item_idx").alias("neg_item_idx")), ["kind", "key", "pos"])
+                .select("user_idx", "item_idx", "slot", "neg_item_idx",
+                        F.when(F.col("free") >= n_neg, "pool_sampled").otherwise("pool_with_replacement").alias("route")))
+
+    # nothing free: the catalogue, past the positive's own position
+    catalog = dense_index(it.select("item_idx"), "item_idx", "pos", start=0)
+    empty = rest.filter(F.col("free") <= 0).select("user_idx", "item_idx").join(catalog.withColumnRenamed("pos", "own"), "item_idx")
+    empty = attach(empty, catalog.agg((F.count(F.lit(1)) - 1).alias("free"))).filter(F.col("free") > 0)
+    ed = empty.select("user_idx", "item_idx", "own", F.posexplode(draw_places(F.col("free"), n_neg, seed, u, i)).alias("slot", "place"))
+    ed = ed.withColumn("pos", F.col("place") + (F.col("place") >= F.col("own")).cast("long"))
+    empty_out = ed.join(catalog.select("pos", F.col("item_idx").alias("neg_item_idx")), "pos").select(
+        "user_idx", "item_idx", "slot", "neg_item_idx", F.lit("catalogue_fallback").alias("route"))
+    return warm_out.unionByName(pool_out).unionByName(empty_out)
 
 
 def uniform_negatives(rows: DataFrame, key_cols: list[str], n_items: int, n_neg: int, seed: int = 42) -> DataFrame:
     """``n_neg`` item indices uniform over [1, n_items) per row (0 = PAD
-    never drawn), from a hash of (seed, keys, slot)."""
+    never drawn), each from a draw of (seed, keys, slot)."""
     keys = [F.col(c) for c in key_cols]
     draws = F.transform(F.sequence(F.lit(0), F.lit(n_neg - 1)),
-                        lambda s: F.pmod(F.xxhash64(F.lit(seed), *keys, s), F.lit(n_items - 1)) + 1)
+                        lambda s: F.pmod(draw(seed, *keys, s), F.lit(n_items - 1)) + 1)
     return rows.withColumn("negatives", draws)
 
 
@@ -195,12 +178,14 @@ def session_negatives(events: DataFrame, items: DataFrame, session_col: str = "u
     return pos_sessions.join(stats, session_col, "left").fillna(0, ["pool_size", "same_category"])
 
 
-def in_batch_difficulty(pairs: DataFrame, items: DataFrame, n_batches: int, top_share: float = 0.1) -> DataFrame:
-    """Per batch (assigned by a fixed arithmetic spread of the pair) the
-    same-category pair rate sum_c n_c (n_c - 1) / (B (B - 1)) and the share of
-    items that are among the most popular ``top_share`` of the catalogue."""
-    b = pairs.select("user_idx", "item_idx",
-                     F.pmod(F.col("user_idx") * 7919 + F.col("item_idx") * 104729, F.lit(n_batches)).alias("batch"))
+def in_batch_difficulty(pairs: DataFrame, items: DataFrame, batch_size: int, top_share: float = 0.1) -> DataFrame:
+    """Per batch of about ``batch_size`` pairs (a fixed arithmetic spread of
+    the pair over as many batches as the pairs need) the same-category pair rate
+    sum_c n_c (n_c - 1) / (B (B - 1)) and the share of items that are among the
+    most popular ``top_share`` of the catalogue."""
+    n_batches = pairs.agg(F.ceil(F.count(F.lit(1)) / batch_size).alias("n_batches"))
+    spread = F.pmod(F.col("user_idx") * 7919 + F.col("item_idx") * 104729, F.col("n_batches"))
+    b = attach(pairs.select("user_idx", "item_idx"), n_batches).select("user_idx", "item_idx", spread.alias("batch"))
     b = b.join(items.select("item_idx", "cat_l2_idx"), "item_idx")
     per_cat = b.groupBy("batch", "cat_l2_idx").agg(F.count(F.lit(1)).alias("n_c"))
     same = per_cat.groupBy("batch").agg(F.sum(F.col("n_c") * (F.col("n_c") - 1)).alias("same_pairs"),

@@ -130,3 +130,25 @@ def test_exact_topk_collects_nothing(spark):
     out = V.exact_topk(df.select(F.col("id").alias("query_id"), "vec"), df.select(F.col("id").alias("item_id"), "vec"), 1)
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "FlatMapCoGroupsInArrow" in plan and "Broadcast" not in plan
+
+
+def test_hard_negatives_tiny_catalogues(spark):
+    """Always n_neg rows, even when the catalogue holds two or three items."""
+    for n_items, free in ((2, 1), (3, 2), (5, 4)):
+        items = spark.createDataFrame([(i, 1, 1, 0) for i in range(1, n_items + 1)], "item_idx long, cat_l2_idx long, price_bucket long, brand_idx long")
+        every = [(7, i) for i in range(1, n_items + 1)]  # the user took everything: only the catalogue is left
+        for pairs, left in ((every, n_items - 1), ([(7, 1)], free)):
+            got = N.hard_negatives(spark.createDataFrame(pairs, "user_idx long, item_idx long"), items).collect()
+            for u, i in pairs:
+                mine = [r for r in got if (r.user_idx, r.item_idx) == (u, i)]
+                assert sorted(r.slot for r in mine) == [0, 1, 2] and all(r.neg_item_idx != i for r in mine)
+                assert len({r.neg_item_idx for r in mine}) == 3 if left >= 3 else True
+    alone = spark.createDataFrame([(1, 1, 1, 0)], "item_idx long, cat_l2_idx long, price_bucket long, brand_idx long")
+    assert N.hard_negatives(spark.createDataFrame([(7, 1)], "user_idx long, item_idx long"), alone).count() == 0
+
+
+def test_draws_are_spread_evenly(spark):
+    free = 6
+    out = spark.range(3000).select(N.draw_places(F.lit(free), 3, 42, F.col("id")).alias("p")).collect()
+    hits = np.bincount([x for r in out for x in r.p], minlength=free)
+    assert all(len(set(r.p)) == 3 and max(r.p) < free for r in out) and abs(hits / 1500 - 1).max() < 0.1
