@@ -10,16 +10,17 @@ Jaccard similarity of their weighted shingles.
 
 Texts that agree in all slots of a band are candidates; a pair is a link when
 the Jaccard similarity of its shingle sets, computed exactly, is at least
-``SIMILARITY``. Classes are the components of the links.
-
-Scale: texts of equal words first fall together as one content. Inside a band's
-bucket pairs are never listed: a leader (the least id) is compared with the
-bucket's members, and what is connected to it is done with. Only buckets that
-still hold more than one class go on, with 4, 16, 64, ... leaders a round chosen
-at random, until no bucket holds two classes that were not compared. Every
-candidate pair is therefore either compared or already known to be of one
-class, whatever a bucket's size, and no task holds a bucket: leaders come from
-grouped minima and meet the members in a join that splits large keys.
+``SIMILAR`` / ``OF``. Classes are the components of the links.
+
+Scale: texts of equal words first fall together as one content. A band's bucket
+is compared in two steps, neither of which lists its pairs. First every member
+meets the bucket's leader (the least id, from a grouped minimum) in a join that
+splits large keys. What that leaves in more than one class is dealt in blocks:
+a bucket of m members gives about (m / ``BLOCK``) ** 2 / 2 groups of two blocks
+each, whose shingle sets are intersected by one matrix product a group, and a
+group returns only links between classes it does not yet know to be connected.
+Every candidate pair is so either compared or already known to be of one class,
+whatever a bucket's size, and no task holds a bucket.
 """
 
 from __future__ import annotations
@@ -35,7 +36,11 @@ from clickloom.llm.components import components
 from clickloom.llm.textops import SPACES, U64, Words, map_batches, mix, texts_of
 from clickloom.session import cut_lineage
 
-SHINGLE, SIMILARITY = 5, 0.8
+SHINGLE = 5
+#: least Jaccard similarity of a link, as a fraction
+SIMILAR, OF = 4, 5
+#: documents of a block, shingles of a block (in the mean), columns of a matrix product
+BLOCK, BLOCK_SHINGLES, COLUMNS = 512, 500_000, 8192
 #: at similarity 0.8 a pair misses every band with probability 5e-5
 BANDS, ROWS = 25, 5
 SLOTS = BANDS * ROWS
@@ -123,9 +128,67 @@ def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     one = sets.select(F.col("doc").alias("a"), F.col("shingles").alias("sa"))
     two = sets.select(F.col("doc").alias("b"), F.col("shingles").alias("sb"))
     both = pairs.join(one, "a").join(two, "b")
-    common = F.size(F.array_intersect("sa", "sb"))
+    common = F.size(F.array_intersect("sa", "sb")).cast("long")
     union = F.size("sa") + F.size("sb") - common
-    return both.where(common >= SIMILARITY * union).select("a", "b")
+    return both.where(OF * common >= SIMILAR * union).select("a", "b")
+
+
+def block_links(doc: np.ndarray, label: np.ndarray, block: np.ndarray, shingles: pa.ListArray) -> list[tuple[int, int]]:
+    """Links between rows of different blocks (of one block, if there is only
+    one) that connect classes not connected yet, by exact similarity."""
+    n = len(doc)
+    ends = np.asarray(shingles.offsets) - shingles.offsets[0].as_py()
+    size = np.diff(ends)
+    _, column, count = np.unique(np.asarray(shingles.flatten()), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(n), size)
+    # columns of shingles that two rows share, numbered anew
+    shared = count > 1
+    number = np.cumsum(shared) - 1
+    use = shared[column]
+    row, column = row[use], number[column[use]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    common = np.zeros((n, n), np.float32)
+    for at in range(0, int(shared.sum()), COLUMNS):
+        lo, hi = np.searchsorted(column, (at, at + COLUMNS))
+        part = np.zeros((n, min(COLUMNS, int(shared.sum()) - at)), np.float32)
+        part[row[lo:hi], column[lo:hi] - at] = 1
+        common += part @ part.T
+    common = common.astype(np.int64)
+    alike = OF * common >= SIMILAR * (size[:, None] + size[None, :] - common)
+    alike &= label[:, None] != label[None, :]
+    if block.min() != block.max():
+        alike &= block[:, None] != block[None, :]
+    into: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while into.get(x, x) != x:
+            x = into[x]
+        return x
+
+    out = []
+    for i, j in np.argwhere(np.triu(alike)):
+        a, b = top(int(label[i])), top(int(label[j]))
+        if a != b:
+            into[max(a, b)] = min(a, b)
+            out.append((int(doc[i]), int(doc[j])))
+    return out
+
+
+def _compare_blocks(state: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b) inside the buckets of ``state`` (key, doc, n, label)."""
+    sized = state.groupBy("key").agg(F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
+    rows = state.join(sized, "key").join(sets, "doc").withColumn("block", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"))
+    dealt = rows.select("key", "doc", "label", "shingles", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    dealt = dealt.select("key", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "doc", "label", "block", "shingles")
+
+    def run(group: pa.Table) -> pa.Table:
+        group = group.combine_chunks()
+        ids = [group.column(c).to_numpy() for c in ("doc", "label", "block")]
+        found = block_links(*ids, group.column("shingles").chunk(0)) if group.num_rows > 1 else []
+        return pa.table({"a": pa.array([f[0] for f in found], pa.int64()), "b": pa.array([f[1] for f in found], pa.int64())})
+
+    return dealt.groupBy("key", "lo", "hi").applyInArrow(run, "a long, b long").distinct()
 
 
 def classes(docs: DataFrame) -> DataFrame:
@@ -160,29 +223,24 @@ def _label(docs: DataFrame, members: DataFrame) -> DataFrame | None:
     if members.isEmpty():
         return None
     wanted = members.select("doc").distinct()
-    texts = (docs.select(F.col("doc_id").alias("doc"), "text").join(wanted, "doc", "left_semi"))
+    texts = docs.select(F.col("doc_id").alias("doc"), "text").join(wanted, "doc", "left_semi")
     sets = cut_lineage(shingle_sets(texts.dropDuplicates(["doc"])))
-    labels: DataFrame | None = None
-    leaders_a_bucket = 1
-    while True:
-        state = members.withColumn("label", F.col("doc")) if labels is None else (
-            members.join(labels.select(F.col("id").alias("doc"), "label"), "doc", "left").withColumn("label", F.coalesce("label", "doc")))
-        state = cut_lineage(state)
-        mixed = state.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where(F.col("lo") < F.col("hi")).select("key")
-        state = cut_lineage(state.join(mixed, "key"))
-        if state.isEmpty():
-            return labels
-        part = F.pmod(F.xxhash64("doc", F.lit(leaders_a_bucket)), F.lit(leaders_a_bucket))
-        leaders = cut_lineage(state.groupBy("key", part.alias("part")).agg(F.min(F.struct("doc", "label", "n")).alias("m"))
-                              .select("key", F.col("m.doc").alias("leader"), F.col("m.label").alias("leader_label"), F.col("m.n").alias("leader_n")))
-        fits = (F.least("n", "leader_n") >= SIMILARITY * F.greatest("n", "leader_n")) & (F.col("label") != F.col("leader_label"))
-        pairs = cut_lineage(state.join(leaders, "key").where(fits)
-                            .select(F.greatest("doc", "leader").alias("a"), F.least("doc", "leader").alias("b")).distinct())
-        links = cut_lineage(_links(pairs, sets))
-        if not links.isEmpty():
-            labels = _merge(labels, links)
-        members = state.join(leaders.select("key", F.col("leader").alias("doc")), ["key", "doc"], "left_anti").select("key", "doc", "n")
-        leaders_a_bucket *= 4
+    # every member against its bucket's leader
+    leaders = members.groupBy("key").agg(F.min(F.struct("doc", "n")).alias("m")).select("key", F.col("m.doc").alias("b"), F.col("m.n").alias("m"))
+    fits = (F.col("doc") != F.col("b")) & (OF * F.least("n", "m") >= SIMILAR * F.greatest("n", "m"))
+    pairs = members.join(leaders, "key").where(fits).select(F.col("doc").alias("a"), "b").distinct()
+    links = cut_lineage(_links(pairs, sets))
+    labels = None if links.isEmpty() else components(links)
+    # what is left in a bucket, its leader aside, with more than one class in it
+    rest = members.join(leaders.select("key", F.col("b").alias("doc")), ["key", "doc"], "left_anti")
+    if labels is None:
+        rest = rest.withColumn("label", F.col("doc"))
+    else:
+        rest = rest.join(labels.select(F.col("id").alias("doc"), "label"), "doc", "left").withColumn("label", F.coalesce("label", "doc"))
+    rest = cut_lineage(rest)
+    mixed = rest.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where(F.col("lo") < F.col("hi")).select("key")
+    more = cut_lineage(_compare_blocks(rest.join(mixed, "key"), sets))
+    return labels if more.isEmpty() else _merge(labels, more)
 
 
 def _merge(labels: DataFrame | None, links: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@ import random
 from collections import defaultdict
 
 import numpy as np
+import pytest
 
 from cases import awkward, documents, rows
 from clickloom.llm import grace, probminhash
@@ -110,8 +111,11 @@ def test_near_classes_equal_brute_force(spark):
     assert [got[i] for i in range(len(texts))] == want
 
 
-def test_near_large_bucket_of_unlike_texts(spark, monkeypatch):
+@pytest.mark.parametrize("block, columns", [(512, 8192), (16, 100)])
+def test_near_large_bucket_of_unlike_texts(spark, monkeypatch, block, columns):
     """One band key for all: every pair in the bucket must still be compared."""
+    monkeypatch.setattr(probminhash, "BLOCK", block)
+    monkeypatch.setattr(probminhash, "COLUMNS", columns)
     draw = random.Random(5)
     vocabulary = [f"w{i}" for i in range(400)]
     families = [[draw.choice(vocabulary) for _ in range(80)] for _ in range(12)]
