@@ -24,6 +24,16 @@ def _cols(names: Sequence[str] | str) -> list[str]:
     return [names] if isinstance(names, str) else list(names)
 
 
+def _join_null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Left join in which null keys match: a window groups null keys together,
+    and the summaries joined back must do the same."""
+    right = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_r_{k}"))
+    return left.join(right, same, "left").drop(*[f"_r_{k}" for k in keys])
+
+
 def with_time_bucket(df: DataFrame, ts_col: str, bucket_seconds: int) -> DataFrame:
     """Adds the integer time bucket of ``ts_col`` (works for TIMESTAMP and TIMESTAMP_NTZ)."""
     secs = F.unix_timestamp(F.col(ts_col))
@@ -54,7 +64,7 @@ def previous_row(df: DataFrame, keys: Sequence[str] | str, ts_col: str,
         *keys, _B,
         F.lag(F.struct(*[F.col(f"_last._v_{v}").alias(v) for v in values])).over(w_b)
         .alias("_lag_bucket"))
-    joined = b.join(summary, on=keys + [_B], how="left")
+    joined = _join_null_safe(b, summary, keys + [_B])
     return (joined
             .withColumn(out, F.when(F.col("_lag_in").isNotNull(), F.col("_lag_in"))
                         .otherwise(F.col("_lag_bucket")))
@@ -79,8 +89,8 @@ def running_sum(df: DataFrame, keys: Sequence[str] | str, ts_col: str,
     w_b = (Window.partitionBy(*keys).orderBy(_B)
            .rowsBetween(Window.unboundedPreceding, -1))
     totals = totals.select(*keys, _B, F.coalesce(F.sum("_tot").over(w_b), F.lit(0)).alias("_before"))
-    return (df.join(totals, on=keys + [_B], how="left")
-            .withColumn(out, F.col("_cum_in") + F.col("_before"))
+    return (_join_null_safe(df, totals, keys + [_B])
+            .withColumn(out, F.col("_cum_in") + F.coalesce("_before", F.lit(0)))
             .drop("_v", "_cum_in", "_before"))
 
 
@@ -126,6 +136,17 @@ def dense_index(df: DataFrame, key_cols: Sequence[str] | str, index_col: str,
             .select(*key_cols, (F.col("_off") + pos + F.lit(start)).cast("long").alias(index_col)))
 
 
+def first_n(df: DataFrame, key_cols: Sequence[str] | str, order_col: Column, n: int) -> DataFrame:
+    """The ``n`` distinct keys that come first by (``order_col``, keys).
+
+    Numbered by ``dense_index`` and filtered, so a large ``n`` is as spread out
+    as a small one: an ordered limit would merge every task's first ``n`` rows
+    in a single task."""
+    key_cols = _cols(key_cols)
+    ordered = df.select(order_col.alias("_order"), *key_cols)
+    return dense_index(ordered, ["_order", *key_cols], "_place").filter(F.col("_place") <= n).select(*key_cols)
+
+
 def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float],
                     num_partitions: int | None = None) -> DataFrame:
     """Exact linear-interpolation quantiles (``quantile_cont``) of ``col``,

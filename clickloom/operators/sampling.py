@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.functions.columns import attach, rnd
+from clickloom.operators.ordering import first_n
 
 
 def hash_key(col: str, seed: int | None = None) -> Column:
@@ -21,23 +22,21 @@ def hash_key(col: str, seed: int | None = None) -> Column:
 
 def hash_user_sample(df: DataFrame, n_users: int, user_col: str = "user_id",
                      seed: int | None = None) -> DataFrame:
-    """W2 + J3: the ``n_users`` users first in md5 order, with all their events.
+    """W2 + J3, and with a ``seed`` W9: exactly ``n_users`` users (all, if there
+    are fewer), the first in md5 order of their id, with all their events.
 
-    Reproducible and partition-count independent. The ordered limit runs as a
-    per-partition top-n then a merge (or a distributed sort for large n); the
-    sampled id list is joined back with a semi join.
+    Reproducible and partition-count independent; the users are numbered by a
+    distributed sort and joined back with a semi join.
     """
-    users = (df.select(user_col).distinct()
-             .withColumn("_h", hash_key(user_col, seed))
-             .orderBy("_h", user_col).limit(n_users).select(user_col))
+    users = first_n(df.where(F.col(user_col).isNotNull()), user_col, hash_key(user_col, seed), n_users)
     return df.join(users, user_col, "left_semi")
 
 
 def seeded_user_sample(df: DataFrame, fraction: float, seed: int = 42,
                        user_col: str = "user_id") -> DataFrame:
-    """W9 with a seed: each user kept with probability ``fraction`` decided by a
-    hash of (seed, user). No shuffle at all; stable across runs and layouts."""
-    u = F.xxhash64(F.lit(seed), F.col(user_col))
+    """Each user kept with probability ``fraction``, decided by an md5 of (seed,
+    user). No shuffle at all; stable across runs and layouts."""
+    u = F.conv(F.substring(hash_key(user_col, seed), 1, 15), 16, 10).cast("long")
     return df.filter(F.pmod(u, F.lit(1_000_000)) < F.lit(int(round(fraction * 1_000_000))))
 
 
@@ -50,9 +49,7 @@ def row_budget_sample(df: DataFrame, target_rows: int, min_events: int = 5,
     stats = per_user.agg(F.avg("_n").alias("m")).first()
     mean = stats["m"] or 1.0
     n_users = max(1, int(-(-target_rows // mean)))  # ceil
-    chosen = (per_user.withColumn("_h", hash_key(user_col, seed))
-              .orderBy("_h", user_col).limit(n_users).select(user_col))
-    return df.join(chosen, user_col, "left_semi")
+    return df.join(first_n(per_user, user_col, hash_key(user_col, seed), n_users), user_col, "left_semi")
 
 
 def month_start(month: str) -> dt.datetime:
@@ -114,15 +111,26 @@ def split_overlap(train: DataFrame, test: DataFrame, user_col: str = "user_id",
 
 
 def table_validation(df: DataFrame, user_col: str = "user_id", item_col: str = "product_id",
-                     ts_col: str = "event_time", price_col: str = "price",
-                     price_floor: float = 1.0) -> DataFrame:
-    """Users, events, items, time range and rows below the price floor."""
-    return df.agg(F.count_distinct(user_col).alias("n_users"),
-                  F.count(F.lit(1)).alias("n_events"),
-                  F.count_distinct(item_col).alias("n_items"),
-                  F.min(ts_col).alias("min_time"), F.max(ts_col).alias("max_time"),
-                  F.count_if(F.col(price_col) < price_floor).alias("n_below_price_floor"),
-                  F.count_if(F.col(user_col).isNull()).alias("n_null_users"))
+                     ts_col: str = "event_time", price_col: str = "price", session_col: str = "user_session",
+                     type_col: str = "event_type", price_floor: float = 1.0, bot_threshold: float = 300.0,
+                     null_cols: Sequence[str] = ("category_code", "brand"),
+                     types: Sequence[str] = ("view", "cart", "purchase")) -> DataFrame:
+    """One row of users, events, items, time range, rows below the price
+    floor, nulls by column, events by type (and of no known type), and the
+    number of users whose mean events a day exceed ``bot_threshold``."""
+    one = df.agg(F.count_distinct(user_col).alias("n_users"),
+                 F.count(F.lit(1)).alias("n_events"),
+                 F.count_distinct(item_col).alias("n_items"),
+                 F.min(ts_col).alias("min_time"), F.max(ts_col).alias("max_time"),
+                 F.count_if(F.col(price_col) < price_floor).alias("n_below_price_floor"),
+                 F.count_if(F.col(user_col).isNull()).alias("n_null_users"),
+                 F.count_if(F.col(session_col).isNull()).alias("n_null_sessions"),
+                 *[F.count_if(F.col(c).isNull()).alias(f"n_null_{c}") for c in null_cols],
+                 *[F.count_if(F.col(type_col) == t).alias(f"n_{t}") for t in types],
+                 F.count_if(F.coalesce(~F.col(type_col).isin(list(types)), F.lit(True))).alias("n_other_types"))
+    daily = df.groupBy(user_col, F.to_date(ts_col).alias("_d")).agg(F.count(F.lit(1)).alias("_n"))
+    bots = daily.groupBy(user_col).agg(F.avg("_n").alias("_a")).filter(F.col("_a") > bot_threshold)
+    return attach(one, bots.agg(F.count(F.lit(1)).alias("n_bot_users")))
 
 
 def sample_profile(frames: dict[str, DataFrame], type_col: str = "event_type",

@@ -14,12 +14,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.functions.columns import EVENT_CODES, event_code
-from clickloom.operators.ordering import dense_index, previous_row, top_k_per_group
+from clickloom.operators.ordering import dense_index, first_n, previous_row, running_sum, top_k_per_group
+from clickloom.session import cut_lineage
 
 PAD = 0
 MAX_SESSION_LEN = 20
 MIN_SESSION_LEN = 2
-MAX_USER_LEN = 50
+#: events of one array of a user's sequence; longer histories go on in further chunks
+USER_CHUNK = 10_000
 
 
 def map_to_vocab(events: DataFrame, user_vocab: DataFrame, item_vocab: DataFrame,
@@ -60,26 +62,26 @@ def session_sequences(mapped: DataFrame, max_len: int = MAX_SESSION_LEN, min_len
     last = top_k_per_group(dedup, group, _order(desc=True), max_len, rank_col=None)
     seqs = _collect_sorted(last, group).withColumn("seq_len", F.size("item_seq").cast("long"))
     seqs = seqs.filter(F.col("seq_len") >= min_len)
+    seqs = cut_lineage(seqs)  # read twice: for the numbering and for the rows
     idx = dense_index(seqs.select(*group), group, "session_idx", start=0)
     return seqs.join(idx, group).select(*extra_group, "session_idx", "user_idx", "item_seq", "event_seq", "seq_len")
 
 
-def user_sequences(mapped: DataFrame, max_len: int = MAX_USER_LEN, min_len: int = 2) -> DataFrame:
-    """M8: per user the chronological sequence (no repeat removal). ``seq_len``
-    is the full number of events; the arrays hold the last ``max_len`` of them
-    (the length the consumer truncates to), so no array grows with a user's
-    history. Users with fewer than ``min_len`` events are dropped."""
-    counts = mapped.groupBy("user_idx").agg(F.count(F.lit(1)).alias("seq_len"))
-    last = top_k_per_group(mapped, ["user_idx"], _order(desc=True), max_len, rank_col=None)
-    return (_collect_sorted(last, ["user_idx"]).join(counts, "user_idx")
-            .filter(F.col("seq_len") >= min_len)
-            .select("user_idx", "item_seq", "event_seq", "seq_len"))
+def user_sequences(mapped: DataFrame, min_len: int = 2, chunk: int = USER_CHUNK) -> DataFrame:
+    """M8: per user the whole chronological sequence (no repeat removal), in
+    arrays of at most ``chunk`` events numbered by ``chunk`` 0, 1, ...: a user
+    of ordinary length has one row, a user with very many events several, and
+    no array grows with a history. ``seq_len`` is the user's number of events;
+    users with fewer than ``min_len`` are dropped. Consumers truncate at load."""
+    placed = user_sequence_events(mapped).withColumn("chunk", F.floor((F.col("pos") - 1) / chunk).cast("long"))
+    counts = mapped.groupBy("user_idx").agg(F.count(F.lit(1)).alias("seq_len")).filter(F.col("seq_len") >= min_len)
+    return (_collect_sorted(placed, ["user_idx", "chunk"]).join(counts, "user_idx")
+            .select("user_idx", "chunk", "item_seq", "event_seq", "seq_len"))
 
 
 def user_sequence_events(mapped: DataFrame) -> DataFrame:
     """M8 (flat form): every event of every user with its 1-based position in
     the user's chronology; the unbounded sequence as rows, not one array."""
-    from clickloom.operators.ordering import running_sum
     return running_sum(mapped, "user_idx", "event_time", ["item_idx", "event_idx"], F.lit(1), "pos").drop("_tb")
 
 
@@ -128,17 +130,16 @@ def eval_prefix_target(sessions: DataFrame, max_len: int = MAX_SESSION_LEN) -> D
                            pad_left(prefix_events, max_len - 1).alias("prefix_events"))
 
 
-def replay_mix(new: DataFrame, history: DataFrame, ratio: float, cap: int, seed: int,
+def replay_mix(new: DataFrame, history: DataFrame, ratio: float, seed: int,
                key_cols: Sequence[str]) -> DataFrame:
-    """Appends ``min(int(n_new * r / (1 - r)), cap, n_history)`` history
-    rows chosen by a seeded hash order of ``key_cols``."""
-    n_new = new.count()
-    n = min(int(n_new * ratio / (1 - ratio)), cap)
+    """Appends ``min(int(n_new * r / (1 - r)), n_history)`` history rows
+    chosen by a seeded hash order of ``key_cols``, which identify a row."""
+    new, history = cut_lineage(new), cut_lineage(history)
+    n = int(new.count() * ratio / (1 - ratio))
     if n <= 0:
         return new
     key = F.md5(F.concat_ws(":", F.lit(str(seed)), *[F.col(c).cast("string") for c in key_cols]))
-    picked = history.withColumn("_h", key).orderBy("_h", *key_cols).limit(n).drop("_h")
-    return new.unionByName(picked)
+    return new.unionByName(history.join(first_n(history, list(key_cols), key, n), list(key_cols), "left_semi").select(*new.columns))
 
 
 def user_history(pairs: DataFrame, max_len: int = 20, order_col: str = "last_interaction") -> DataFrame:

@@ -21,12 +21,22 @@ def q_hash_sample(spark, sf):
     return S.hash_user_sample(clean(spark, sf), 50)
 
 
-# Seeded Bernoulli user sample; hash function differs between engines -> rows-only check.
-@register("seeded_user_sample_30pct", None)
+@register("seeded_user_sample_30pct", with_(CLEAN) + f"""
+SELECT {CS} FROM clean
+WHERE CAST('0x' || substr(md5('7:' || CAST(user_id AS VARCHAR)), 1, 15) AS BIGINT) % 1000000 < 300000""")
 def q_seeded(spark, sf):
     return S.seeded_user_sample(clean(spark, sf), 0.3, seed=7)
 
 
+# Exactly n users drawn with a seed, all their events.
+@register("random_users_40", with_(CLEAN) + f"""
+SELECT {CS} FROM clean WHERE user_id IN (
+  SELECT user_id FROM (SELECT DISTINCT user_id FROM clean)
+  ORDER BY md5('11:' || CAST(user_id AS VARCHAR)), user_id LIMIT 40)""")
+def q_random_users(spark, sf):
+    return S.hash_user_sample(clean(spark, sf), 40, seed=11)
+
+
 @register("row_budget_sample_2000", with_(CLEAN) + f""",
 pu AS (SELECT user_id, count(*) AS n FROM clean GROUP BY user_id HAVING count(*) >= 5),
 ranked AS (SELECT user_id, row_number() OVER (ORDER BY md5(CAST(user_id AS VARCHAR)), user_id) AS rn
@@ -91,11 +101,20 @@ def q_month_overlap(spark, sf):
     return S.split_overlap(tr, te)
 
 
-@register("table_validation", with_(CLEAN) + """
+VALIDATION = """
 SELECT count(DISTINCT user_id) AS n_users, count(*) AS n_events, count(DISTINCT product_id) AS n_items,
        min(event_time) AS min_time, max(event_time) AS max_time,
-       count_if(price < 1.0) AS n_below_price_floor, count_if(user_id IS NULL) AS n_null_users
-FROM clean""")
+       count_if(price < 1.0) AS n_below_price_floor, count_if(user_id IS NULL) AS n_null_users,
+       count_if(user_session IS NULL) AS n_null_sessions, count_if(category_code IS NULL) AS n_null_category_code,
+       count_if(brand IS NULL) AS n_null_brand, count_if(event_type = 'view') AS n_view,
+       count_if(event_type = 'cart') AS n_cart, count_if(event_type = 'purchase') AS n_purchase,
+       count_if(event_type IS NULL OR event_type NOT IN ('view', 'cart', 'purchase')) AS n_other_types,
+       (SELECT count(*) FROM (SELECT user_id FROM (SELECT user_id, CAST(event_time AS DATE) AS d, count(*) AS n FROM {src} GROUP BY 1, 2)
+                              GROUP BY user_id HAVING avg(n) > {bots})) AS n_bot_users
+FROM {src}"""
+
+
+@register("table_validation", with_(CLEAN) + VALIDATION.format(src="clean", bots=300))
 def q_validation(spark, sf):
     return S.table_validation(clean(spark, sf))
 

@@ -73,17 +73,25 @@ def q_sess_all(spark, sf):
     return _Seq(spark, sf).all_splits
 
 
-@register("user_sequences_train", with_(SEQ) + f""",
-um AS (SELECT * FROM s_train_m WHERE event_idx IS NOT NULL),
-cnt AS (SELECT user_idx, count(*) AS seq_len FROM um GROUP BY user_idx),
-lastn AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_idx ORDER BY {ORD_DESC}) AS rk FROM um)
-          WHERE rk <= 50)
-SELECT l.user_idx, list(item_idx ORDER BY {ORD}) AS item_seq, list(event_idx ORDER BY {ORD}) AS event_seq,
-       any_value(c.seq_len) AS seq_len
-FROM lastn l JOIN cnt c USING (user_idx) GROUP BY l.user_idx HAVING any_value(c.seq_len) >= 2""")
+@register("user_sequences_train", with_(SEQ) + f"""
+SELECT user_idx, CAST(0 AS BIGINT) AS chunk, list(item_idx ORDER BY {ORD}) AS item_seq, list(event_idx ORDER BY {ORD}) AS event_seq,
+       count(*) AS seq_len
+FROM s_train_m WHERE event_idx IS NOT NULL GROUP BY user_idx HAVING count(*) >= 2""")
 def q_user_seq(spark, sf):
     s = _Seq(spark, sf)
-    return Sq.user_sequences(s.mapped(s.f.train), max_len=50)
+    return Sq.user_sequences(s.mapped(s.f.train))
+
+
+# The same in short chunks, as a very long history would come.
+@register("user_sequences_chunked", with_(SEQ) + f""",
+um AS (SELECT *, row_number() OVER (PARTITION BY user_idx ORDER BY {ORD}) - 1 AS p, count(*) OVER (PARTITION BY user_idx) AS seq_len
+       FROM s_train_m WHERE event_idx IS NOT NULL)
+SELECT user_idx, p // 7 AS chunk, list(item_idx ORDER BY {ORD}) AS item_seq, list(event_idx ORDER BY {ORD}) AS event_seq,
+       any_value(seq_len) AS seq_len
+FROM um WHERE seq_len >= 2 GROUP BY 1, 2""")
+def q_user_seq_chunked(spark, sf):
+    s = _Seq(spark, sf)
+    return Sq.user_sequences(s.mapped(s.f.train), chunk=7)
 
 
 @register("user_sequence_positions", with_(SEQ) + f"""
@@ -139,10 +147,10 @@ h AS (SELECT *, row_number() OVER (ORDER BY md5(concat_ws(':', '42', CAST(user_i
       FROM s_train)
 SELECT session_idx, user_idx, item_seq, event_seq, seq_len FROM s_val
 UNION ALL
-SELECT session_idx, user_idx, item_seq, event_seq, seq_len FROM h WHERE rk <= least((SELECT n FROM n), 1000000)""")
+SELECT session_idx, user_idx, item_seq, event_seq, seq_len FROM h WHERE rk <= (SELECT n FROM n)""")
 def q_replay(spark, sf):
     s = _Seq(spark, sf)
-    return Sq.replay_mix(s.sessions("val"), s.sessions("train"), 0.3, 1_000_000, 42, ["user_idx", "session_idx"])
+    return Sq.replay_mix(s.sessions("val"), s.sessions("train"), 0.3, 42, ["user_idx", "session_idx"])
 
 
 @register("user_history_last20", with_(SEQ) + f""",
