@@ -43,25 +43,35 @@ def unescape(text: Column) -> Column:
 
 def _reach(nodes: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
     """(tree, id, root, depth, total) of every message that reaches a root, and
-    the pointer tables (tree, id, up) for 1, 2, 4, ... steps."""
+    the pointer tables (tree, id, up) for 1, 2, 4, ... steps. Trees that are
+    done leave the loop, so a few deep ones do not drag the others along."""
     pointers: list[DataFrame] = []
-    state = nodes.select("tree", "id", F.col("parent").alias("up"), F.col("id").alias("top"),
-                         F.when(F.col("parent").isNull(), 0).otherwise(1).cast("long").alias("depth"), F.col("score").alias("total"))
-    rounds = 1 + ceil(log2(max(2, nodes.count())))
-    for _ in range(rounds):
-        state = cut_lineage(state)
+    done: list[DataFrame] = []
+    state = cut_lineage(nodes.select(
+        "tree", "id", F.col("parent").alias("up"), F.col("id").alias("top"),
+        F.when(F.col("parent").isNull(), 0).otherwise(1).cast("long").alias("depth"), F.col("score").alias("total")))
+    # what still points upwards after so many doublings goes round in a circle
+    for _ in range(1 + ceil(log2(max(2, nodes.count())))):
         open_ = state.where(F.col("up").isNotNull())
-        pointers.append(open_.select("tree", "id", "up"))
+        trees = open_.select(F.col("tree").alias("t")).distinct()
+        done.append(state.join(trees, F.col("tree").eqNullSafe(F.col("t")), "left_anti"))
         if open_.isEmpty():
+            state = None
             break
-        above = state.select(F.col("tree").alias("t"), F.col("id").alias("i"), F.col("up").alias("up2"), F.col("top").alias("top2"),
-                             F.col("depth").alias("depth2"), F.col("total").alias("total2"))
-        joined = state.join(above, F.col("tree").eqNullSafe(F.col("t")) & (F.col("up") == F.col("i")), "left")
-        state = joined.select("tree", "id", F.col("up2").alias("up"), F.coalesce("top2", "top").alias("top"),
-                              (F.col("depth") + F.coalesce("depth2", F.lit(0))).alias("depth"),
-                              (F.col("total") + F.coalesce("total2", F.lit(0.0))).alias("total"))
-    # what still points upwards after that many doublings goes round in a circle
-    return state.where(F.col("up").isNull()).select("tree", "id", F.col("top").alias("root"), "depth", "total"), pointers
+        pointers.append(open_.select("tree", "id", "up"))
+        active = cut_lineage(state.join(trees, F.col("tree").eqNullSafe(F.col("t")), "left_semi"))
+        above = active.select(F.col("tree").alias("t"), F.col("id").alias("i"), F.col("up").alias("up2"), F.col("top").alias("top2"),
+                              F.col("depth").alias("depth2"), F.col("total").alias("total2"))
+        moved = active.where(F.col("up").isNotNull()).join(above, F.col("tree").eqNullSafe(F.col("t")) & (F.col("up") == F.col("i")))
+        moved = moved.select("tree", "id", F.col("up2").alias("up"), F.col("top2").alias("top"), (F.col("depth") + F.col("depth2")).alias("depth"),
+                             (F.col("total") + F.col("total2")).alias("total"))
+        state = cut_lineage(active.where(F.col("up").isNull()).unionByName(moved))
+    if state is not None:
+        done.append(state.where(F.col("up").isNull()))
+    out = done[0]
+    for part in done[1:]:
+        out = out.unionByName(part)
+    return out.select("tree", "id", F.col("top").alias("root"), "depth", "total"), pointers
 
 
 def paths(messages: DataFrame, branches: int = 1) -> DataFrame:
