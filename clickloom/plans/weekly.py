@@ -9,7 +9,5 @@ from pyspark.sql import DataFrame
 from clickloom.operators import drift as D
 
 
-def run(clean: DataFrame, week1: dt.datetime, n_weeks: int) -> DataFrame:
-    tagged = D.weekly_windows(clean, week1, n_weeks)
-    weekly = D.weekly_jsd(tagged).join(D.weekly_popularity_ndcg(tagged, n_weeks), "week", "left")
-    return D.weekly_gate(weekly.select("week", weekly.jsd.cast("double"), weekly.ndcg.cast("double")))
+def run(clean: DataFrame, week1: dt.datetime, baselines: list[D.Baseline], n_weeks: int | None = None) -> DataFrame:
+    return D.weekly_gate(D.weekly_report(clean, week1, baselines, n_weeks))

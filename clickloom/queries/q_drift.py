@@ -12,8 +12,11 @@ from clickloom.queries import register
 from clickloom.queries.common import features
 from clickloom.queries.sql_base import FEATURES, secs, with_
 
-WEEK1 = dt.datetime(2024, 1, 1)
-N_WEEKS = 4
+# The first week of January is the baseline of weeks 1 and 2, the two weeks after
+# it that of all later ones. Week 4 is the month's last two days.
+WEEK1 = dt.datetime(2024, 1, 8)
+BASELINES = [(2, dt.datetime(2024, 1, 1), WEEK1), (None, WEEK1, dt.datetime(2024, 1, 22))]
+N_WEEKS = 4  # of the oracle, which is unrolled; the query finds them in the data
 
 COUNTS = """,
 cr AS (SELECT product_id AS item, count(*) AS n FROM train GROUP BY 1),
@@ -34,7 +37,7 @@ SELECT CAST((SELECT sum(n) FROM cr) AS BIGINT) AS n_ref_events, CAST((SELECT sum
        round((SELECT count(*) FROM tr WHERE item IN (SELECT item FROM tn)) * 100.0 / 50, 6) AS top_n_overlap_pct,
        round((SELECT count(*) FROM cn WHERE item IN (SELECT item FROM cr)) * 100.0 / (SELECT count(*) FROM cn), 6)
          AS coverage_pct,
-       jsd >= 0.1 AS alert,
+       jsd > 0.1 AS alert,
        (SELECT list(item ORDER BY rank) FROM tr WHERE rank <= 20) AS top_ref,
        (SELECT list(item ORDER BY rank) FROM tn WHERE rank <= 20) AS top_new
 FROM js""")
@@ -54,21 +57,27 @@ def q_rank_cmp(spark, sf):
 
 TAGGED = f""",
 tagged AS (SELECT * FROM (
-  SELECT *, CAST(floor(({secs('event_time')} - epoch(TIMESTAMP '2024-01-01')) / 604800) + 1 AS INTEGER) AS week
-  FROM clean) WHERE week BETWEEN 1 AND {N_WEEKS}),
-wc AS (SELECT week, product_id AS item, count(*) AS n FROM tagged GROUP BY 1, 2),
-wj AS (SELECT coalesce(a.week, b.week) AS week, coalesce(a.n_p, 0) AS n_p, coalesce(b.n_q, 0) AS n_q
-       FROM (SELECT week + 1 AS week, item, n AS n_p FROM wc) a
-       FULL OUTER JOIN (SELECT week, item, n AS n_q FROM wc) b ON a.week = b.week AND a.item = b.item),
-wt AS (SELECT wj.*, sum(n_p) OVER (PARTITION BY week) AS t_p, sum(n_q) OVER (PARTITION BY week) AS t_q
-       FROM wj WHERE week IN (SELECT week FROM tagged)),
-wpq AS (SELECT week, t_p, CASE WHEN t_p > 0 THEN n_p / t_p ELSE 0.0 END AS p,
-               CASE WHEN t_q > 0 THEN n_q / t_q ELSE 0.0 END AS q FROM wt),
-wjsd AS (SELECT week, CASE WHEN max(t_p) > 0 THEN least(greatest(sum(
+  SELECT *, CAST(floor(({secs('event_time')} - epoch(TIMESTAMP '2024-01-08')) / 604800) + 1 AS INTEGER) AS week
+  FROM clean) WHERE week >= 1),
+wc AS (SELECT week, product_id AS item, count(*) AS n_q FROM tagged GROUP BY 1, 2),
+wb AS (SELECT DISTINCT week, CASE WHEN week <= 2 THEN TIMESTAMP '2024-01-01' ELSE TIMESTAMP '2024-01-08' END AS b_start,
+              CASE WHEN week <= 2 THEN TIMESTAMP '2024-01-08' ELSE TIMESTAMP '2024-01-22' END AS b_end FROM tagged),
+wr AS (SELECT week, product_id AS item, count(*) AS n_p FROM wb JOIN clean ON event_time >= b_start AND event_time < b_end GROUP BY 1, 2),
+wj AS (SELECT coalesce(a.week, b.week) AS week, coalesce(n_p, 0) AS n_p, coalesce(n_q, 0) AS n_q
+       FROM wr a FULL OUTER JOIN wc b ON a.week = b.week AND a.item = b.item),
+wt AS (SELECT wj.*, sum(n_p) OVER (PARTITION BY week) AS t_p, sum(n_q) OVER (PARTITION BY week) AS t_q FROM wj),
+wpq AS (SELECT week, CASE WHEN t_p > 0 THEN n_p / t_p ELSE 0.0 END AS p, CASE WHEN t_q > 0 THEN n_q / t_q ELSE 0.0 END AS q FROM wt),
+wjsd AS (SELECT week, least(greatest(sum(
             0.5 * CASE WHEN p > 0 AND (p + q) / 2 > 0 THEN p * ln(p / ((p + q) / 2)) ELSE 0.0 END
-          + 0.5 * CASE WHEN q > 0 AND (p + q) / 2 > 0 THEN q * ln(q / ((p + q) / 2)) ELSE 0.0 END), 0.0), ln(2))
-          / ln(2) END AS jsd
-         FROM wpq GROUP BY week)"""
+          + 0.5 * CASE WHEN q > 0 AND (p + q) / 2 > 0 THEN q * ln(q / ((p + q) / 2)) ELSE 0.0 END), 0.0), ln(2)) / ln(2) AS jsd
+         FROM wpq GROUP BY week),
+wl AS (SELECT *, lag(product_id) OVER (PARTITION BY week, user_id, user_session ORDER BY event_time, product_id, event_type) AS prev_item
+       FROM tagged),
+wsn AS (SELECT week, count(*) AS n_sessions FROM (
+          SELECT week, user_id, user_session FROM wl WHERE prev_item IS NULL OR prev_item <> product_id
+          GROUP BY 1, 2, 3 HAVING count(*) >= 2) GROUP BY 1),
+wvol AS (SELECT e.week, e.n_events, coalesce(s.n_sessions, 0) AS n_sessions
+         FROM (SELECT week, count(*) AS n_events FROM tagged GROUP BY 1) e LEFT JOIN wsn s USING (week))"""
 
 
 def _weekly_ndcg_sql() -> str:
@@ -99,42 +108,34 @@ m{w} AS (SELECT g.user_id, coalesce(h.dcg, 0.0) / i.idcg AS ndcg
 WEEKLY = TAGGED + _weekly_ndcg_sql()
 
 
-def _spark_weekly(spark, sf):
-    f = features(spark, sf)
-    tagged = D.weekly_windows(f.clean, WEEK1, N_WEEKS)
-    return tagged, D.weekly_jsd(tagged), D.weekly_popularity_ndcg(tagged, N_WEEKS)
+WK = """,
+wk AS (SELECT v.week, v.n_events, v.n_sessions, j.jsd, n.ndcg FROM wvol v LEFT JOIN wjsd j USING (week) LEFT JOIN wndcg n USING (week))"""
 
 
-@register("weekly_drift_metrics", with_(FEATURES) + WEEKLY + """
-SELECT j.week, round(j.jsd, 6) AS jsd, round(n.ndcg, 6) AS ndcg FROM wjsd j LEFT JOIN wndcg n USING (week)""")
+@register("weekly_drift_metrics", with_(FEATURES) + WEEKLY + WK + """
+SELECT week, n_events, n_sessions, round(jsd, 6) AS jsd, round(ndcg, 6) AS ndcg FROM wk""")
 def q_weekly(spark, sf):
-    _, j, n = _spark_weekly(spark, sf)
-    return j.join(n, "week", "left").select("week", rnd("jsd", 6).alias("jsd"), rnd("ndcg", 6).alias("ndcg"))
+    w = D.weekly_report(features(spark, sf).clean, WEEK1, BASELINES)
+    return w.select("week", "n_events", "n_sessions", rnd("jsd", 6).alias("jsd"), rnd("ndcg", 6).alias("ndcg"))
+
 
+def _gate_sql(best: str) -> str:
+    action = f"""CASE WHEN w.n_events < 100 THEN 'too_few_events' WHEN w.week <> 1 AND w.jsd < CAST(0.1 AS DOUBLE) THEN 'no_finetune'
+              WHEN w.n_sessions < 50 THEN 'too_few_sessions' WHEN w.ndcg IS NULL THEN 'trained_no_eval'
+              WHEN w.ndcg - {best} >= CAST(0.0005 AS DOUBLE) THEN 'promoted' ELSE 'not_promoted' END"""
+    return f"""w.week, w.jsd, w.ndcg, {action} AS action, CASE WHEN {action} = 'promoted' THEN w.ndcg ELSE {best} END AS best_after"""
 
-@register("weekly_retrain_gate", "WITH RECURSIVE " + with_(FEATURES)[len("WITH "):] + WEEKLY + """,
-wk AS (SELECT j.week, j.jsd, n.ndcg FROM wjsd j LEFT JOIN wndcg n USING (week)),
+
+@register("weekly_retrain_gate", "WITH RECURSIVE " + with_(FEATURES)[len("WITH "):] + WEEKLY + WK + f""",
 g AS (
-  SELECT week, jsd, ndcg, TRUE AS retrained,
-         coalesce(ndcg >= CAST(0.0 AS DOUBLE) + CAST(0.0005 AS DOUBLE), FALSE) AS promoted,
-         CASE WHEN coalesce(ndcg >= CAST(0.0 AS DOUBLE) + CAST(0.0005 AS DOUBLE), FALSE) THEN ndcg
-              ELSE CAST(0.0 AS DOUBLE) END AS best_after
-  FROM wk WHERE week = 1
+  SELECT {_gate_sql("CAST(0.0 AS DOUBLE)")} FROM wk w WHERE w.week = 1
   UNION ALL
-  SELECT w.week, w.jsd, w.ndcg,
-         (w.week = 1 OR coalesce(w.jsd >= CAST(0.1 AS DOUBLE), FALSE)) AS retrained,
-         (w.week = 1 OR coalesce(w.jsd >= CAST(0.1 AS DOUBLE), FALSE))
-           AND coalesce(w.ndcg >= g.best_after + CAST(0.0005 AS DOUBLE), FALSE) AS promoted,
-         CASE WHEN (w.week = 1 OR coalesce(w.jsd >= CAST(0.1 AS DOUBLE), FALSE))
-                   AND coalesce(w.ndcg >= g.best_after + CAST(0.0005 AS DOUBLE), FALSE) THEN w.ndcg
-              ELSE g.best_after END AS best_after
-  FROM g JOIN wk w ON w.week = g.week + 1)
-SELECT week, round(jsd, 6) AS jsd, round(ndcg, 6) AS ndcg, retrained, promoted, round(best_after, 6) AS best_after
+  SELECT {_gate_sql("g.best_after")} FROM g JOIN wk w ON w.week = g.week + 1)
+SELECT week, round(jsd, 6) AS jsd, round(ndcg, 6) AS ndcg, action,
+       action IN ('trained_no_eval', 'promoted', 'not_promoted') AS retrained, action = 'promoted' AS promoted,
+       round(best_after, 6) AS best_after
 FROM g""")
 def q_gate(spark, sf):
-    _, j, n = _spark_weekly(spark, sf)
-    weekly = j.join(n, "week", "left").select("week", F.col("jsd").cast("double"), F.col("ndcg").cast("double"))
-    g = D.weekly_gate(weekly)
-    return g.select("week", rnd("jsd", 6).alias("jsd"), rnd("ndcg", 6).alias("ndcg"), "retrained", "promoted",
+    g = D.weekly_gate(D.weekly_report(features(spark, sf).clean, WEEK1, BASELINES))
+    return g.select("week", rnd("jsd", 6).alias("jsd"), rnd("ndcg", 6).alias("ndcg"), "action", "retrained", "promoted",
                     rnd("best_after", 6).alias("best_after"))
-

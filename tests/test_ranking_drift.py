@@ -1,3 +1,4 @@
+import datetime as dt
 import math
 
 import pytest
@@ -59,13 +60,41 @@ def test_jsd_identical_disjoint_one_sided(spark):
 
 
 def test_weekly_gate_fold(spark):
-    w = spark.createDataFrame([(1, None, 0.10), (2, 0.05, 0.20), (3, 0.2, 0.1003), (4, 0.3, 0.101)],
-                              "week int, jsd double, ndcg double")
-    out = {r.week: (r.retrained, r.promoted, r.best_after) for r in D.weekly_gate(w).collect()}
-    assert out[1] == (True, True, 0.10)
-    assert out[2] == (False, False, 0.10)   # low drift: skipped although better
-    assert out[3] == (True, False, 0.10)    # gain below 0.0005
-    assert out[4] == (True, True, 0.101)
+    w = spark.createDataFrame([(1, 500, 80, 0.02, 0.10), (2, 500, 80, 0.05, 0.20), (3, 500, 80, 0.2, 0.1003), (4, 500, 80, 0.3, 0.101),
+                               (5, 99, 80, 0.9, 0.9), (6, 500, 49, 0.9, 0.9), (7, 99, 9, 0.0, 0.9), (8, 500, 80, 0.1, None)],
+                              "week int, n_events long, n_sessions long, jsd double, ndcg double")
+    out = {r.week: (r.action, r.retrained, r.promoted, r.best_after) for r in D.weekly_gate(w).collect()}
+    assert out[1] == ("promoted", True, True, 0.10)            # week 1 is always retrained
+    assert out[2] == ("no_finetune", False, False, 0.10)       # low drift: skipped although better
+    assert out[3] == ("not_promoted", True, False, 0.10)       # gain below 0.0005
+    assert out[4] == ("promoted", True, True, 0.101)
+    assert out[5] == ("too_few_events", False, False, 0.101)
+    assert out[6] == ("too_few_sessions", False, False, 0.101)
+    assert out[7] == ("too_few_events", False, False, 0.101)
+    assert out[8] == ("trained_no_eval", True, False, 0.101)   # drift of exactly the threshold is not below it
+
+
+def test_weekly_jsd_against_its_baseline(spark):
+    day = lambda d: dt.datetime(2024, 1, d)
+    rows = [(day(1), 1), (day(2), 2), (day(9), 1), (day(9), 2), (day(16), 1), (day(16), 1), (day(30), 3)]
+    ev = spark.createDataFrame(rows, "event_time timestamp_ntz, product_id long")
+    tagged = D.weekly_windows(ev, day(8))
+    assert D.week_count(tagged) == 4
+    got = {r.week: r.jsd for r in D.weekly_jsd(tagged, ev, [(1, day(1), day(8)), (None, day(8), day(15))]).collect()}
+    assert got[1] == pytest.approx(0.0, abs=1e-12)   # same mix as 1-7 January
+    assert got[4] == pytest.approx(1.0)              # disjoint from 8-14 January
+    want = 0.5 * (0.5 * math.log(0.5 / 0.75) + 0.5 * math.log(0.5 / 0.25)) + 0.5 * math.log(1 / 0.75)
+    assert got[2] == pytest.approx(want / math.log(2))
+
+
+def test_drift_alert_is_strict(spark):
+    a = spark.createDataFrame([(i,) for i in (1, 1, 2)], "product_id long")
+    b = spark.createDataFrame([(i,) for i in (1, 2, 2)], "product_id long")
+    jsd = D.drift_report(a, b).first().jsd
+    value = D.jsd_smoothed(D.item_counts(a), D.item_counts(b)).first().jsd
+    assert jsd == pytest.approx(value, abs=1e-6)
+    assert D.drift_report(a, b, alert=value).first().alert is False
+    assert D.drift_report(a, b, alert=value - 1e-9).first().alert is True
 
 
 def test_popularity_recs_exclude_seen_and_history_unbounded(spark):
