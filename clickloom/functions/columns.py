@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 # Event-type codes of the sequence tensors (0 is padding).
 EVENT_CODES = {"view": 1, "cart": 2, "purchase": 3}
-EVENT_CODES_WITH_REMOVE = {"remove_from_cart": 0, "view": 1, "cart": 2, "purchase": 3}
 
 # Upper bounds (exclusive) of price buckets 0-6; 7 above the last.
 PRICE_BUCKET_EDGES = (10, 50, 100, 200, 500, 1000, 2000)
@@ -79,12 +78,18 @@ BRAND_ACRONYMS = ("lg", "hp", "aeg", "tcl", "bmw", "kia", "cpu", "ssd", "led", "
 
 def title_brand(col: Column, acronyms: Sequence[str] = BRAND_ACRONYMS) -> Column:
     """display form of a brand: empty -> "Unknown", else each
-    whitespace-separated word title-cased, listed acronyms upper-cased."""
+    whitespace-separated word title-cased, listed acronyms upper-cased. In title
+    case every run of letters begins with a capital, also after a hyphen, an
+    apostrophe or a digit (``D-Link``, ``L'Oreal``, ``3M``)."""
     acr = F.array(*[F.lit(a) for a in acronyms])
     norm = normalise_brand(col)
     words = F.filter(F.split(norm, r"\s+"), lambda w: w != "")
-    cased = F.transform(words, lambda w: F.when(F.array_contains(acr, w), F.upper(w))
-                        .otherwise(F.initcap(w)))
+
+    def title(word: Column) -> Column:
+        runs = F.regexp_extract_all(word, F.lit(r"\p{L}+|[^\p{L}]+"), F.lit(0))
+        return F.array_join(F.transform(runs, lambda r: F.concat(F.upper(F.substring(r, 1, 1)), F.substring(r, 2, 1 << 30))), "")
+
+    cased = F.transform(words, lambda w: F.when(F.array_contains(acr, w), F.upper(w)).otherwise(title(w)))
     return F.when(norm == "", F.lit("Unknown")).otherwise(F.array_join(cased, " "))
 
 
@@ -120,7 +125,7 @@ def exact_mean(col, decimals: int = 2, when: Column | None = None) -> Column:
     if when is not None:
         c = F.when(when, c)
     m = float(10 ** decimals)
-    units = F.round(c * F.lit(m)).cast("long")
+    units = F.round(c * F.lit(m)).cast("decimal(20,0)")  # their sum has 30 digits: it cannot overflow
     return F.try_divide(F.sum(units).cast("double"), F.count(c) * F.lit(m))
 
 

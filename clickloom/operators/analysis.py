@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.functions.columns import attach, rnd, safe_divide
-from clickloom.operators.ordering import dense_index
+from clickloom.operators.ordering import dense_index, exact_quantiles
 
 # Quintile labels, concentration cuts, price-tier classes, decision thresholds.
 BIN_LABELS = ("very_cold", "cold", "medium", "warm", "hot")
@@ -69,12 +69,28 @@ def purchase_concentration(stats: DataFrame, thresholds=(0.5, 0.8, 0.9)) -> Data
     return out
 
 
+def top_category_shares(train: DataFrame, items: DataFrame) -> DataFrame:
+    """``user_id, share``: the share of a user's events in their top category."""
+    e = train.select("user_id", "product_id").join(items.select("product_id", "cat_l1"), "product_id")
+    per = e.groupBy("user_id", "cat_l1").agg(F.count(F.lit(1)).alias("n"))
+    return per.groupBy("user_id").agg((F.max("n") / F.sum("n")).alias("share"))
+
+
+def describe(df: DataFrame, col: str) -> DataFrame:
+    """Count, mean, sample deviation, extremes and quartiles of a column,
+    one row (exact quartiles)."""
+    one = df.agg(F.count(col).alias("count"), rnd(F.avg(col), 6).alias("mean"), rnd(F.stddev_samp(col), 6).alias("std"),
+                 rnd(F.min(col), 6).alias("min"), rnd(F.max(col), 6).alias("max"))
+    q = exact_quantiles(df, col, [0.25, 0.5, 0.75])
+    # three rows become one
+    at = lambda p: rnd(F.max(F.when(F.col("prob") == p, F.col("value"))), 6)
+    return attach(one, q.agg(at(0.25).alias("p25"), at(0.5).alias("p50"), at(0.75).alias("p75")))
+
+
 def top_category_concentration(train: DataFrame, items: DataFrame) -> DataFrame:
     """Per user the share of events in the top category, summarised:
     mean share and users per class (<50 %, 50-70 %, 70-85 %, >=85 %)."""
-    e = train.select("user_id", "product_id").join(items.select("product_id", "cat_l1"), "product_id")
-    per = e.groupBy("user_id", "cat_l1").agg(F.count(F.lit(1)).alias("n"))
-    u = per.groupBy("user_id").agg((F.max("n") / F.sum("n")).alias("share"))
+    u = top_category_shares(train, items)
     a, b, c = CONCENTRATION_CUTS
     s = F.col("share")
     return u.agg(F.count(F.lit(1)).alias("n_users"), rnd(F.avg(s), 6).alias("mean_share"),

@@ -229,8 +229,8 @@ def weekly_popularity_ndcg(tagged: DataFrame, n_weeks: int, k: int = 20, user_co
     from clickloom.operators import ranking as Rk
     from clickloom.operators import retrieval as Rt
     weight = (F.when(F.col("event_type") == "purchase", I.W_PURCHASE).when(F.col("event_type") == "cart", I.W_CART)
-              .when(F.col("event_type") == "view", I.W_VIEW).otherwise(0))
-    counted = cut_lineage(tagged.groupBy("week", user_col, item_col).agg(F.sum(weight).alias("confidence_score")))
+              .when(F.col("event_type") == "view", I.W_VIEW))
+    counted = cut_lineage(tagged.filter(weight.isNotNull()).groupBy("week", user_col, item_col).agg(F.sum(weight).alias("confidence_score")))
     out, pairs = None, None
     for w in range(1, n_weeks):
         new = counted.filter(F.col("week") == w).drop("week")

@@ -22,7 +22,7 @@ def item_features(events: DataFrame, train_interactions: DataFrame,
     price from ``events``, left-joined with confidence and purchase rate from
     ``train_interactions`` (both sides aggregated per item before the join)."""
     base = events.groupBy(item_col).agg(F.max("category_code").alias("_cc"), F.max("brand").alias("_br"),
-                                        exact_mean("price", 2).alias("_avg"))
+                                        exact_mean("price", 6).alias("_avg"))
     stats = train_interactions.groupBy(item_col).agg(
         F.sum("confidence_score").alias("_conf"),
         safe_divide(F.sum("n_purchases"), F.sum("n_views")).alias("_rate"))

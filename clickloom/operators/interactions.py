@@ -16,9 +16,11 @@ W_VIEW = 1
 def interactions(events: DataFrame, user_col: str = "user_id", item_col: str = "product_id",
                  type_col: str = "event_type", ts_col: str = "event_time") -> DataFrame:
     """A1: one row per (user, item) with confidence = 4*purchases + 2*carts + views,
-    the three counts and the first/last interaction time. One partial
-    aggregation (map-side combine), one shuffle on (user, item)."""
+    the three counts and the first/last interaction time; events of other types
+    are no interactions. One partial aggregation (map-side combine), one
+    shuffle on (user, item)."""
     t = F.col(type_col)
+    events = events.filter(t.isin("view", "cart", "purchase"))
     n_v = F.count_if(t == "view")
     n_c = F.count_if(t == "cart")
     n_p = F.count_if(t == "purchase")
@@ -77,11 +79,3 @@ def top_items(inter: DataFrame, k: int = 20, item_col: str = "product_id",
                  F.count_distinct(user_col).alias("n_users"))
             .orderBy(F.desc("total_confidence"), F.asc(item_col))
             .limit(k))
-
-
-def batch_ids(pairs: DataFrame, n_batches: int, seed: int = 42,
-              key_cols: tuple[str, str] = ("user_id", "product_id"), out: str = "batch_id") -> DataFrame:
-    """Deterministic batch assignment by hash of the pair (for M19 / R25)."""
-    h = F.xxhash64(F.lit(seed), *[F.col(c) for c in key_cols])
-    return pairs.withColumn(out, F.pmod(h, F.lit(n_batches)))
-

@@ -90,6 +90,24 @@ def percentiles(df: DataFrame, col: str, probs: Sequence[float], metric: str) ->
                     rnd("value", 6).alias("value"))
 
 
+# Bands of the price histogram (upper bounds, exclusive) after null and <=0.
+PRICE_BANDS = ((1, "0-1"), (10, "1-10"), (50, "10-50"), (100, "50-100"), (500, "100-500"), (1000, "500-1k"), (5000, "1k-5k"),
+               (10000, "5k-10k"))
+
+
+def price_histogram(df: DataFrame, price_col: str = "price", item_col: str = "product_id") -> DataFrame:
+    """events and distinct products of each price band, null and non-positive
+    prices in bands of their own; ``position`` orders the bands by price."""
+    price = F.col(price_col)
+    band, place = F.lit(">10k"), F.lit(len(PRICE_BANDS) + 2)
+    for i, (edge, label) in reversed(list(enumerate(PRICE_BANDS))):
+        band, place = F.when(price < edge, label).otherwise(band), F.when(price < edge, i + 2).otherwise(place)
+    band = F.when(price.isNull(), "NULL").when(price <= 0, "<=0").otherwise(band)
+    place = F.when(price.isNull(), 0).when(price <= 0, 1).otherwise(place)
+    return (df.groupBy(band.alias("price_band"), place.cast("int").alias("position"))
+            .agg(F.count(F.lit(1)).alias("event_count"), F.count_distinct(item_col).alias("unique_products")))
+
+
 # Bucket edges of the histograms (lower bounds, inclusive).
 USER_EVENT_EDGES = (1, 2, 5, 10, 20, 50, 100)
 EPD_EDGES = (0, 2, 5, 10, 50, 300)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from clickloom.functions.columns import attach, rnd
 
+# The columns of the encoded artifacts, in order.
 ITEM_ENCODED_COLUMNS = ("product_id", "item_idx", "cat_l1_idx", "cat_l2_idx", "brand_idx", "price_bucket",
                         "avg_price_scaled", "log_confidence_scaled", "purchase_rate_scaled")
 USER_ENCODED_COLUMNS = ("user_id", "user_idx", "top_cat_idx", "peak_hour_bucket", "preferred_dow",
@@ -64,12 +65,9 @@ def vocab_round_trip(df: DataFrame, vocab: DataFrame, key: str, idx: str, start:
 
 def scaling_sanity(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Q3 (scaling): mean and population std of each standardised column (0 and 1, or 0 for constants)."""
-    out = None
-    for c in cols:
-        row = df.agg(rnd(F.avg(c), 4).alias("mean"), rnd(F.stddev_pop(c), 4).alias("std")).select(
-            F.lit(c).alias("column"), "mean", "std")
-        out = row if out is None else out.unionByName(row)
-    return out
+    both = [x for c in cols for x in (rnd(F.avg(c), 4).alias(f"mean_{c}"), rnd(F.stddev_pop(c), 4).alias(f"std_{c}"))]
+    rows = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"mean_{c}").alias("mean"), F.col(f"std_{c}").alias("std")) for c in cols])
+    return df.agg(*both).select(F.explode(rows).alias("r")).select("r.*")
 
 
 def merge_alignment(left: DataFrame, merged: DataFrame, key: str, float_cols: Sequence[str]) -> DataFrame:

@@ -164,7 +164,11 @@ def cooccurrence_recs(users: DataFrame, pairs: DataFrame, ranks: DataFrame, k: i
     reps = u.join(representative_items(pairs, user_col, item_col), user_col)
     counts = cooccurrence_counts(pairs, reps, user_col, item_col)
     top = top_k_per_group(counts, "rep_item", [F.desc("cooc"), F.asc(item_col)], walk, rank_col="nb_rank")
-    cand = (reps.join(top, "rep_item").select(user_col, item_col, "nb_rank")
+    # a best-seller represents many users: users are spread over salts and the
+    # neighbour lists (``walk`` rows an item at most) copied to each
+    salted = reps.withColumn("_salt", F.pmod(F.xxhash64(user_col), F.lit(RANK_SALTS)).cast("int"))
+    copies = top.select("*", F.explode(F.sequence(F.lit(0), F.lit(RANK_SALTS - 1))).alias("_salt"))
+    cand = (salted.join(copies, ["rep_item", "_salt"]).select(user_col, item_col, "nb_rank")
             .join(seen, [user_col, item_col], "left_anti"))
     cand = top_k_per_group(cand, user_col, [F.asc("nb_rank")], k, rank_col=None)
     glob = _unseen_top_k(u, seen, ranks.select(item_col, "pop_rank"), k, "pop_rank", [], user_col, item_col,

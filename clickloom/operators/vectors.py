@@ -330,3 +330,57 @@ def score_gaps(pairs: DataFrame, items: DataFrame, users: DataFrame, dim: int) -
                     (F.col("user_same") - F.col("user_diff")).alias("gap_same_vs_diff"),
                     (F.col("user_pos") - F.col("user_diff")).alias("gap_pos_vs_diff"),
                     (F.col("item_same") - F.col("item_diff")).alias("item_gap"))
+
+
+def paired_cosines(pairs: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:
+    """R20 (paired rows): ``user_id, item_id, cosine`` of each pair. ``users``:
+    (user_id, vec); ``items``: (item_id, vec)."""
+    u = users.select("user_id", l2_normalize("vec").alias("w"))
+    i = items.select("item_id", l2_normalize("vec").alias("u"))
+    return pairs.select("user_id", "item_id").join(i, "item_id").join(u, "user_id").select("user_id", "item_id", dot("w", "u").alias("cosine"))
+
+
+def truth_vs_random(truth: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:
+    """users' mean cosine to their ground-truth items against that to the
+    whole catalogue (what random items have in the mean, exactly: a dot product
+    with the items' sum). One row: users, both means, their gap, and the share
+    of users whose truth scores above random. Users without a vector and truth
+    outside the items are left out."""
+    per = paired_cosines(truth, users, items).groupBy("user_id").agg(F.avg("cosine").alias("truth"))
+    unit = items.select(F.lit(1).alias("one"), l2_normalize("vec").alias("u"))
+    total = vector_sums(unit, "one", "u", "mean").select(F.col("u").alias("mean_item"))
+    rows = attach(per.join(users.select("user_id", l2_normalize("vec").alias("w")), "user_id"), total)
+    rows = rows.select("truth", dot("w", "mean_item").alias("random"))
+    return rows.agg(F.count(F.lit(1)).alias("n_users"), F.avg("truth").alias("mean_truth"), F.avg("random").alias("mean_random"),
+                    (F.avg("truth") - F.avg("random")).alias("gap"), F.avg((F.col("truth") > F.col("random")).cast("double")).alias("share_above"))
+
+
+def session_requests(events: DataFrame, item_vocab: DataFrame, max_len: int = 20, session_col: str = "user_session") -> DataFrame:
+    """What the recommender is asked per session: the last ``max_len`` known
+    items in time order with their type codes (an unknown type counts as a
+    view), the number of events and of known ones. Items outside the vocabulary
+    are dropped; a session without a known item gives no row."""
+    from clickloom.functions.columns import event_code
+    from clickloom.operators.sequences import keep_last
+    code = F.coalesce(event_code(F.lower("event_type")), F.lit(1))
+    rows = events.filter(F.col(session_col).isNotNull()).join(item_vocab, "product_id", "left").select(
+        session_col, "event_time", "item_idx", code.alias("event_idx"))
+    counts = rows.groupBy(session_col).agg(F.count(F.lit(1)).alias("session_length"), F.count("item_idx").alias("known_items"))
+    order = [F.desc("event_time"), F.desc("item_idx"), F.desc("event_idx")]
+    last = top_k_per_group(rows.filter(F.col("item_idx").isNotNull()), session_col, order, max_len, rank_col=None)
+    seq = last.groupBy(session_col).agg(F.array_sort(F.collect_list(F.struct("event_time", "item_idx", "event_idx"))).alias("s"))
+    return seq.join(counts, session_col).select(
+        session_col, "session_length", "known_items", keep_last(F.transform("s", lambda x: x["item_idx"]), max_len).alias("item_seq"),
+        keep_last(F.transform("s", lambda x: x["event_idx"]), max_len).alias("event_seq"))
+
+
+def session_recommendations(requests: DataFrame, item_vectors: DataFrame, item_vocab: DataFrame, k: int = 20,
+                            session_col: str = "user_session") -> DataFrame:
+    """Per session the ``k`` items nearest (cosine) to the mean vector of its
+    items, under their original ids: ``user_session, rank, product_id,
+    session_length, known_items``. ``item_vectors``: (item_idx, vec)."""
+    numbered = requests.select(session_col, "session_length", "known_items", "item_seq", F.xxhash64(session_col).alias("query_id"))
+    means = mean_vectors(numbered.select("query_id", F.explode("item_seq").alias("item_idx")), item_vectors, "query_id", "item_idx", 0)
+    found = exact_topk(means, item_vectors, k, metric="cosine", item_col="item_idx")
+    return (found.join(item_vocab, "item_idx").join(numbered.drop("item_seq"), "query_id")
+            .select(session_col, "rank", "product_id", "session_length", "known_items"))

@@ -12,7 +12,7 @@ from clickloom.operators import features as Fe
 from clickloom.operators import interactions as I
 from clickloom.operators import sampling as S
 from clickloom.session import cut_lineage
-from clickloom.sources.testdata import clickstream, order_interactions  # noqa: F401
+from clickloom.sources.testdata import clickstream, input_version, order_interactions  # noqa: F401
 
 # Fixed split points of the one-month test clickstream.
 VAL_START = dt.datetime(2024, 1, 22)
@@ -41,8 +41,7 @@ _BUNDLES: dict = {}
 def features(spark, sf):
     """The feature bundle of (application, input directory), shared by queries:
     its tables are checkpointed once and read by every later query."""
-    import os
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf))
+    key = (spark.sparkContext.applicationId, sf, input_version(spark, sf))
     if key not in _BUNDLES:
         _BUNDLES[key] = _Features(spark, sf)
     return _BUNDLES[key]

@@ -8,8 +8,8 @@ from clickloom.functions.columns import rnd
 
 from clickloom.operators import cleaning as C
 from clickloom.queries import register
-from clickloom.queries.sql_base import CLEAN, kcore_sql, with_
-from clickloom.sources.testdata import clickstream
+from clickloom.queries.sql_base import CLEAN, DIRTY, clean_sql, kcore_sql, with_
+from clickloom.sources.testdata import clickstream, dirty_clickstream
 
 CS_COLS = ("event_time, event_type, product_id, category_id, category_code, brand, price, "
            "user_id, user_session")
@@ -98,3 +98,63 @@ def _report_sql(k: int, rounds: int) -> str:
 @register("kcore_fixed_rounds_report", _report_sql(45, 3))
 def q_kcore_report(spark, sf):
     return C.kcore_fixed_rounds_report(C.clean_events(clickstream(spark, sf)), k=45, rounds=3)
+
+
+# The same steps where each has something to do: nulls, duplicates, near
+# duplicates, cheap rows, a bot, types nobody knows.
+DIRTY_CLEAN = with_(DIRTY, clean_sql("dirty"))
+
+
+def _dirty(spark, sf):
+    return C.drop_null_session(C.fill_unknown(dirty_clickstream(spark, sf)))
+
+
+@register("dirty_events", with_(DIRTY) + f"\nSELECT {CS_COLS} FROM dirty")
+def q_dirty(spark, sf):
+    return dirty_clickstream(spark, sf)
+
+
+@register("dirty_fill_and_drop_nulls", DIRTY_CLEAN + f"\nSELECT {CS_COLS} FROM cl_fill")
+def q_dirty_fill(spark, sf):
+    return _dirty(spark, sf)
+
+
+@register("dirty_exact_dedup", DIRTY_CLEAN + f"\nSELECT {CS_COLS} FROM cl_exact_flat")
+def q_dirty_exact(spark, sf):
+    return C.exact_dedup(_dirty(spark, sf))
+
+
+@register("dirty_near_dedup", DIRTY_CLEAN + f"\nSELECT {CS_COLS} FROM cl_near")
+def q_dirty_near(spark, sf):
+    return C.near_dedup(C.exact_dedup(_dirty(spark, sf)))
+
+
+@register("dirty_price_floor", DIRTY_CLEAN + f"\nSELECT {CS_COLS} FROM cl_price")
+def q_dirty_price(spark, sf):
+    return C.price_floor(C.near_dedup(C.exact_dedup(_dirty(spark, sf))))
+
+
+# 60 events a day and more is a bot here: the repeating user goes, the others stay.
+@register("dirty_clean_events", with_(DIRTY, clean_sql("dirty", bots=60)) + f"\nSELECT {CS_COLS} FROM clean")
+def q_dirty_clean(spark, sf):
+    return C.drop_bots(C.price_floor(C.near_dedup(C.exact_dedup(_dirty(spark, sf)))), threshold=60)
+
+
+_STEPS = (("dirty", "dirty"), ("filled", "cl_fill"), ("exact", "cl_exact_flat"), ("near", "cl_near"), ("price", "cl_price"), ("bots", "clean"))
+
+
+# Every step removes rows.
+@register("dirty_step_counts", with_(DIRTY, clean_sql("dirty", bots=60)) + "\n" + "\nUNION ALL\n".join(
+    f"SELECT '{n}' AS step, count(*) AS n_rows FROM {t}" for n, t in _STEPS))
+def q_dirty_counts(spark, sf):
+    raw = dirty_clickstream(spark, sf)
+    filled = C.drop_null_session(C.fill_unknown(raw))
+    exact = C.exact_dedup(filled)
+    near = C.near_dedup(exact)
+    price = C.price_floor(near)
+    frames = (raw, filled, exact, near, price, C.drop_bots(price, threshold=60))
+    out = None
+    for (name, _), df in zip(_STEPS, frames, strict=True):
+        one = df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("step"), "n_rows")
+        out = one if out is None else out.unionByName(one)
+    return out

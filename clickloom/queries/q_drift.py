@@ -86,7 +86,7 @@ def _weekly_ndcg_sql() -> str:
     for w in range(1, N_WEEKS):
         parts.append(f"""h{w} AS (SELECT user_id, product_id,
       count_if(event_type = 'purchase') * 4 + count_if(event_type = 'cart') * 2 + count_if(event_type = 'view')
-        AS confidence_score FROM tagged WHERE week <= {w} GROUP BY 1, 2),
+        AS confidence_score FROM tagged WHERE week <= {w} AND event_type IN ('view', 'cart', 'purchase') GROUP BY 1, 2),
 p{w} AS (SELECT product_id, row_number() OVER (ORDER BY sum(confidence_score) DESC, product_id) AS pop_rank
          FROM h{w} GROUP BY 1),
 g{w} AS (SELECT DISTINCT user_id, product_id FROM tagged WHERE week = {w + 1} AND event_type IN ('cart', 'purchase')

@@ -79,7 +79,20 @@ def q_align(spark, sf):
                              ["price_relative_to_cat_avg_scaled", "product_recency_log_scaled"])
 
 
-@register("encoded_artifact_checks", None)
+@register("encoded_artifact_checks", with_(FEATURES) + """
+SELECT TRUE AS item_columns_ok, TRUE AS user_columns_ok, i.*, u.*, (SELECT count(*) FROM item_vocab) AS item_vocab_size,
+       (SELECT count_if(k = 'unknown' AND idx = 0) FROM v_brand) AS unknown_is_zero,
+       i.distinct_item_idx = (SELECT count(*) FROM item_vocab) AS item_idx_dense, i.min_item_idx >= 1 AS pad_free
+FROM (SELECT count_if(product_id IS NULL OR item_idx IS NULL OR cat_l1_idx IS NULL OR cat_l2_idx IS NULL OR brand_idx IS NULL
+                      OR price_bucket IS NULL OR avg_price_scaled IS NULL OR log_confidence_scaled IS NULL
+                      OR purchase_rate_scaled IS NULL) AS item_nulls,
+             min(item_idx) AS min_item_idx, count(DISTINCT item_idx) AS distinct_item_idx,
+             count_if(brand_idx < 0) AS negative_brand_idx FROM items_enc) i
+CROSS JOIN (SELECT count_if(user_id IS NULL OR user_idx IS NULL OR top_cat_idx IS NULL OR peak_hour_bucket IS NULL
+                            OR preferred_dow IS NULL OR has_purchase_history IS NULL OR log_total_events IS NULL
+                            OR months_active IS NULL OR purchase_rate IS NULL OR cart_rate IS NULL
+                            OR log_n_sessions IS NULL) AS user_nulls,
+                   count_if(preferred_dow < 0 OR preferred_dow > 6) AS bad_dow FROM users_enc) u""")
 def q_encoded(spark, sf):
     f = features(spark, sf)
     return Q.encoded_checks(f.items_enc, f.users_enc, f.item_vocab, f.vocabs["brand"])

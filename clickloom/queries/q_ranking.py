@@ -15,7 +15,7 @@ from clickloom.functions.columns import rnd
 from clickloom.operators import ranking as Rk
 from clickloom.operators import retrieval as Rt
 from clickloom.queries import register
-from clickloom.queries.common import features
+from clickloom.queries.common import features, input_version
 from clickloom.queries.sql_base import FEATURES, with_
 from clickloom.session import cut_lineage
 
@@ -106,8 +106,7 @@ _EVALS: dict = {}
 
 def _eval(spark, sf):
     """The evaluation bundle of (application, input directory), shared by queries."""
-    import os
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf))
+    key = (spark.sparkContext.applicationId, sf, input_version(spark, sf))
     if key not in _EVALS:
         _EVALS[key] = _EvalBundle(spark, sf)
     return _EVALS[key]

@@ -7,7 +7,8 @@ import datetime as dt
 from clickloom.operators import sampling as S
 from clickloom.queries import register
 from clickloom.queries.common import clean, labelled, order_interactions, split
-from clickloom.queries.sql_base import CLEAN, ORDER_EVENTS, SPLITS, with_
+from clickloom.queries.sql_base import CLEAN, DIRTY, ORDER_EVENTS, SPLITS, with_
+from clickloom.sources.testdata import dirty_clickstream
 
 CS = ("event_time, event_type, product_id, category_id, category_code, brand, price, "
       "user_id, user_session")
@@ -114,6 +115,12 @@ SELECT count(DISTINCT user_id) AS n_users, count(*) AS n_events, count(DISTINCT
 FROM {src}"""
 
 
+# Over the faulty table: nulls, cheap rows, unknown types and a bot are counted.
+@register("dirty_table_validation", with_(DIRTY) + VALIDATION.format(src="dirty", bots=60))
+def q_dirty_validation(spark, sf):
+    return S.table_validation(dirty_clickstream(spark, sf), bot_threshold=60)
+
+
 @register("table_validation", with_(CLEAN) + VALIDATION.format(src="clean", bots=300))
 def q_validation(spark, sf):
     return S.table_validation(clean(spark, sf))

@@ -12,7 +12,7 @@ from clickloom.queries.common import features
 from clickloom.queries.sql_base import CLICKSTREAM, FEATURES, INTERACTIONS_OF, ORDER_EVENTS, secs, with_
 from clickloom.session import scratch_path
 from clickloom.sources import files as Fl
-from clickloom.sources.testdata import clickstream, order_interactions
+from clickloom.sources.testdata import clickstream, order_interactions, table
 
 
 @register("clickstream_events", with_(CLICKSTREAM) + "\nSELECT * FROM clickstream")
@@ -59,6 +59,31 @@ def q_export(spark, sf):
 PRESET_ITEMS = ("7", "42", "77")
 
 
+# str.title by runs of letters; acronyms as they are listed.
+TITLE_SQL = r"""CASE WHEN brand = '' THEN 'Unknown' ELSE array_to_string(list_transform(
+            list_filter(string_split_regex(brand, '\s+'), lambda w: w <> ''),
+            lambda w: CASE WHEN w IN ('lg', 'hp', 'aeg', 'tcl', 'bmw', 'kia', 'cpu', 'ssd', 'led', 'rgb', 'usb',
+                                      'hdmi', 'tv', 'jbl', 'msn') THEN upper(w)
+                           ELSE array_to_string(list_transform(regexp_extract_all(w, '\p{L}+|[^\p{L}]+'),
+                                                               lambda r: upper(r[1]) || r[2:]), '') END), ' ') END"""
+
+
+# Brands with hyphens, apostrophes, digits, acronyms and accents.
+@register("brand_display_forms", """
+WITH b AS (SELECT DISTINCT trim(lower(x)) AS brand FROM (
+  SELECT unnest([p_brand, replace(p_brand, '#', '-d-'), 'l' || chr(39) || p_brand, substr(p_brand, 7) || 'm tv', 'hp  ' || p_brand,
+                 'é' || p_brand, '']) AS x
+  FROM part))
+SELECT brand, """ + TITLE_SQL + """ AS brand_display FROM b""")
+def q_brands(spark, sf):
+    b = F.col("p_brand")
+    forms = F.array(b, F.replace(b, F.lit("#"), F.lit("-d-")), F.concat(F.lit("l'"), b), F.concat(F.substring(b, 7, 100), F.lit("m tv")),
+                    F.concat(F.lit("hp  "), b), F.concat(F.lit("é"), b), F.lit(""))
+    raw = table(spark, sf, "part").select(F.explode(forms).alias("raw"))
+    brands = raw.select(normalise_brand(F.col("raw")).alias("brand")).distinct()
+    return brands.withColumn("brand_display", title_brand(F.col("brand")))
+
+
 @register("catalog_entries", with_(FEATURES) + """,
 ranked AS (SELECT CAST(product_id AS VARCHAR) AS item_id, coalesce(cat_l1, 'unknown') AS c1,
                   coalesce(cat_l2, 'unknown') AS c2, trim(lower(coalesce(brand, ''))) AS brand,
@@ -67,11 +92,7 @@ ranked AS (SELECT CAST(product_id AS VARCHAR) AS item_id, coalesce(cat_l1, 'unkn
 top AS (SELECT * FROM ranked ORDER BY interactions DESC, item_id LIMIT 2000),
 pre AS (SELECT * FROM ranked WHERE item_id IN ('7', '42', '77') AND item_id NOT IN (SELECT item_id FROM top)),
 cat AS (SELECT * FROM top UNION ALL SELECT * FROM pre)
-SELECT *, CASE WHEN brand = '' THEN 'Unknown' ELSE array_to_string(list_transform(
-            list_filter(string_split_regex(brand, '\\s+'), lambda w: w <> ''),
-            lambda w: CASE WHEN w IN ('lg', 'hp', 'aeg', 'tcl', 'bmw', 'kia', 'cpu', 'ssd', 'led', 'rgb', 'usb',
-                                      'hdmi', 'tv', 'jbl', 'msn') THEN upper(w)
-                           ELSE upper(w[1]) || w[2:] END), ' ') END AS brand_display
+SELECT *, """ + TITLE_SQL + """ AS brand_display
 FROM cat""")
 def q_catalog(spark, sf):
     it = features(spark, sf).items

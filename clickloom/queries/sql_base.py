@@ -19,10 +19,10 @@ CLICKSTREAM = f"""
 cs_ev AS (
   SELECT e.event_id, e.ts AS event_time, e.user_id,
          CASE e.event_type WHEN 'view' THEN 'view' WHEN 'click' THEN 'cart'
-                           WHEN 'purchase' THEN 'purchase' END AS event_type,
+                           ELSE e.event_type END AS event_type,
          e.value AS price,
          CAST(json_extract_string(e.props, '$.k') AS BIGINT) AS product_id
-  FROM events e WHERE e.event_type IN ('view', 'click', 'purchase')
+  FROM events e
 ),
 cs_part AS (
   SELECT cs_ev.*, CAST(p.p_size AS BIGINT) AS category_id,
@@ -49,17 +49,17 @@ clickstream AS (
          user_session FROM clickstream_id
 )"""
 
-CLEAN = CLICKSTREAM + """,
+_CLEAN_STEPS = """
 cl_fill AS (
   SELECT event_time, event_type, product_id, category_id,
          coalesce(category_code, 'unknown') AS category_code, coalesce(brand, 'unknown') AS brand,
          price, user_id, user_session
-  FROM clickstream WHERE user_session IS NOT NULL
+  FROM {src} WHERE user_session IS NOT NULL
 ),
 cl_exact AS (
   SELECT event_time, event_type, product_id, user_id, user_session,
-         min({'category_id': category_id, 'category_code': category_code, 'brand': brand,
-              'price': price}) AS _r
+         min({{'category_id': category_id, 'category_code': category_code, 'brand': brand,
+              'price': price}}) AS _r
   FROM cl_fill GROUP BY event_time, event_type, product_id, user_id, user_session
 ),
 cl_exact_flat AS (
@@ -70,11 +70,11 @@ cl_exact_flat AS (
 ),
 cl_near AS (
   SELECT * FROM (
-    SELECT *, lag(""" + secs("event_time") + """) OVER (
+    SELECT *, lag(CAST(floor(epoch(event_time)) AS BIGINT)) OVER (
              PARTITION BY user_id, product_id, event_type
              ORDER BY event_time, user_session, price) AS _ps
     FROM cl_exact_flat)
-  WHERE _ps IS NULL OR """ + secs("event_time") + """ - _ps > 1
+  WHERE _ps IS NULL OR CAST(floor(epoch(event_time)) AS BIGINT) - _ps > 1
 ),
 cl_price AS (
   SELECT event_time, event_type, product_id, category_id, category_code, brand, price,
@@ -92,6 +92,31 @@ clean AS (
 )"""
 
 
+def clean_sql(src: str, bots: int = 300) -> str:
+    """The cleaning chain over the table ``src``."""
+    return _CLEAN_STEPS.format(src=src).replace("a > 300", f"a > {bots}")
+
+
+CLEAN = CLICKSTREAM + "," + clean_sql("clickstream")
+
+DIRTY = CLICKSTREAM + """,
+d_all AS (
+  SELECT * FROM clickstream
+  UNION ALL SELECT * REPLACE (price + 1 AS price) FROM clickstream WHERE event_type = 'purchase'
+  UNION ALL SELECT * REPLACE (event_time + INTERVAL 1 SECOND AS event_time) FROM clickstream WHERE event_type = 'cart'
+  UNION ALL SELECT c.* REPLACE (c.event_time + n.n * INTERVAL 20 SECOND AS event_time)
+            FROM clickstream c CROSS JOIN range(1, 61) n(n) WHERE user_id = (SELECT min(user_id) FROM clickstream)
+),
+dirty AS (
+  SELECT event_time, event_type, product_id, category_id,
+         CASE WHEN category_id BETWEEN 1 AND 10 THEN NULL ELSE category_code END AS category_code,
+         CASE WHEN category_id BETWEEN 1 AND 10 THEN NULL ELSE brand END AS brand,
+         CASE WHEN event_type = 'error' THEN price / 100 ELSE price END AS price, user_id,
+         CASE WHEN category_id BETWEEN 11 AND 13 THEN NULL ELSE user_session END AS user_session
+  FROM d_all
+)"""
+
+
 def kcore_sql(src: str, k: int, rounds: int = 10, prefix: str = "kc") -> str:
     """Unrolled k-core: after the fixpoint further rounds change nothing, so
     ``rounds`` unrolled rounds equal "until stable or ``rounds`` rounds"."""
@@ -114,7 +139,7 @@ SELECT user_id, product_id,
        count_if(event_type = 'cart') AS n_carts,
        count_if(event_type = 'purchase') AS n_purchases,
        min(event_time) AS first_interaction, max(event_time) AS last_interaction
-FROM {src} GROUP BY user_id, product_id"""
+FROM {src} WHERE event_type IN ('view', 'cart', 'purchase') GROUP BY user_id, product_id"""
 
 
 def with_(*ctes: str) -> str:
@@ -166,7 +191,7 @@ def exact_mean_sql(expr: str, decimals: int, cond: str | None = None) -> str:
 
 
 FEATURES = SPLITS + ",\ninter_train AS (" + INTERACTIONS_OF.format(src="train") + """),
-if_base AS (SELECT product_id, max(category_code) AS cc, max(brand) AS br, """ + exact_mean_sql("price", 2) + """ AS ap
+if_base AS (SELECT product_id, max(category_code) AS cc, max(brand) AS br, """ + exact_mean_sql("price", 6) + """ AS ap
             FROM clean GROUP BY product_id),
 if_stats AS (SELECT product_id, sum(confidence_score) AS conf,
                     CASE WHEN sum(n_views) = 0 THEN NULL ELSE sum(n_purchases) / sum(n_views) END AS rate

@@ -8,7 +8,8 @@ The clickstream schema (one row per event) is::
 
 Mapping from the test tables (see FIXTURES.md):
   * ``events.ts`` -> event_time, ``events.value`` -> price
-  * event type: view -> view, click -> cart, purchase -> purchase; others dropped
+  * event type: view -> view, click -> cart, purchase -> purchase; signup and error
+    stay as they are, types the library does not know: operators filter them
   * product_id = ``props.k``; brand and category come from ``part``
   * category_code = lower(p_type) || '.' || last word of p_name
   * user_session: per-user inactivity gap (default 12 h), numbered 1, 2, ...
@@ -21,6 +22,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clickloom.functions.columns import attach
 from clickloom.operators.ordering import previous_within, running_sum
 from clickloom.session import cut_lineage
 
@@ -43,10 +45,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _renamed_type(col: str) -> F.Column:
-    expr = None
+    expr = F.col(col)
     for src, dst in EVENT_TYPE_RENAME.items():
-        expr = (F.when(F.col(col) == src, F.lit(dst)) if expr is None
-                else expr.when(F.col(col) == src, F.lit(dst)))
+        expr = F.when(F.col(col) == src, F.lit(dst)).otherwise(expr)
     return expr
 
 
@@ -72,6 +73,17 @@ def sessionize(df: DataFrame, user_col: str, ts_col: str, tiebreak: list[str] |
 _MATERIALISED: dict = {}
 
 
+def input_version(spark: SparkSession, sf_dir: str, names: tuple[str, ...] = ("events", "part")) -> tuple:
+    """Lengths and modification times of the tables' paths: what is kept for one
+    version of the input is not used for the next."""
+    out = []
+    for name in names:
+        path = spark._jvm.org.apache.hadoop.fs.Path(os.path.join(sf_dir, f"{name}.parquet"))
+        status = path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(path)
+        out.append((status.getLen(), status.getModificationTime()))
+    return tuple(out)
+
+
 def clickstream(spark: SparkSession, sf_dir: str,
                 gap_seconds: int = DEFAULT_SESSION_GAP_SECONDS, keep_event_id: bool = False) -> DataFrame:
     """Events of the test tables in the clickstream schema.
@@ -79,7 +91,7 @@ def clickstream(spark: SparkSession, sf_dir: str,
     The adapted table is materialised once per Spark application and input
     directory (checkpoint folder) and reused by later queries, like a stored
     upstream table of a pipeline."""
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), gap_seconds, keep_event_id)
+    key = (spark.sparkContext.applicationId, sf_dir, input_version(spark, sf_dir), gap_seconds, keep_event_id)
     if key not in _MATERIALISED:
         _MATERIALISED[key] = _build_clickstream(spark, sf_dir, gap_seconds, keep_event_id)
     return _MATERIALISED[key]
@@ -88,7 +100,6 @@ def clickstream(spark: SparkSession, sf_dir: str,
 def _build_clickstream(spark: SparkSession, sf_dir: str, gap_seconds: int, keep_event_id: bool) -> DataFrame:
     ev = (table(spark, sf_dir, "events")
           .select("event_id", "ts", "user_id", "event_type", "value", "props")
-          .filter(F.col("event_type").isin(list(EVENT_TYPE_RENAME)))
           .select("event_id", F.col("ts").alias("event_time"), "user_id",
                   _renamed_type("event_type").alias("event_type"),
                   F.col("value").alias("price"),
@@ -126,3 +137,32 @@ def order_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
                     .when(F.col("l_returnflag") == "A", F.lit("cart"))
                     .otherwise(F.lit("purchase")).alias("event_type"),
                     "l_orderkey", "l_linenumber"))
+
+
+def dirty_clickstream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The clickstream with the faults a raw log has, each derived from the rows
+    themselves, so that every cleaning step has work at any scale:
+
+    * purchases come twice, the second time at a higher price (exact duplicates);
+    * carts come again a second later (near duplicates);
+    * items of category 1 to 10 have no brand and no category code, those of
+      category 11 to 13 no session;
+    * errors cost a hundredth (below the price floor);
+    * the user with the smallest id repeats each event 60 times, 20 s apart (a bot).
+    """
+    c = clickstream(spark, sf_dir)
+    later = lambda s: (F.col("event_time") + F.make_dt_interval(secs=s)).alias("event_time")
+    rest = [x for x in CLICKSTREAM_COLUMNS if x != "event_time"]
+    twice = c.filter(F.col("event_type") == "purchase").withColumn("price", F.col("price") + 1)
+    again = c.filter(F.col("event_type") == "cart").select(later(F.lit(1.0)), *rest).select(*CLICKSTREAM_COLUMNS)
+    first = c.agg(F.min("user_id").alias("first"))
+    bot = (attach(c, first).filter(F.col("user_id") == F.col("first")).drop("first")
+           .withColumn("_n", F.explode(F.sequence(F.lit(1), F.lit(60))))
+           .select(later(F.col("_n") * 20.0), *rest).select(*CLICKSTREAM_COLUMNS))
+    every = c.unionByName(twice).unionByName(again).unionByName(bot)
+    bare = F.col("category_id").between(1, 10)
+    return (every.withColumn("brand", F.when(~F.coalesce(bare, F.lit(False)), F.col("brand")))
+            .withColumn("category_code", F.when(~F.coalesce(bare, F.lit(False)), F.col("category_code")))
+            .withColumn("user_session", F.when(~F.coalesce(F.col("category_id").between(11, 13), F.lit(False)), F.col("user_session")))
+            .withColumn("price", F.when(F.col("event_type") == "error", F.col("price") / 100).otherwise(F.col("price")))
+            .select(*CLICKSTREAM_COLUMNS))

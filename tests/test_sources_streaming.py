@@ -17,6 +17,8 @@ def test_csv_bad_records_and_zone_parse(spark):
         fh.write("2020-01-01 01:00:00 UTC,cart,2,2,,y,4.0,8,\n")
     raw = Fl.read_raw_csv(spark, d).cache()
     assert Fl.check_bad_records(raw, max_bad=5) == 1
+    # on the scan itself too, where Spark prunes columns
+    assert Fl.check_bad_records(Fl.read_raw_csv(spark, d), max_bad=5) == 1
     parsed = Fl.parse_event_time(raw).filter(F.col(Fl.CORRUPT).isNull())
     rows = parsed.orderBy("product_id").collect()
     assert rows[1].category_code is None and rows[1].user_session is None
