@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.functions.columns import rnd
+from clickloom.operators.ordering import lookup_join
 
 # Confidence weights per event type.
 W_PURCHASE = 4
@@ -64,9 +65,10 @@ def normalised_weights(pairs: DataFrame, batch_col: str, score_col: str = "confi
     """Confidence divided by its batch mean (mean weight 1 per batch).
 
     The batch mean is a grouped aggregate joined back, not a window, so a huge
-    batch is combined map-side."""
+    batch is combined map-side; the join back is salted, as there are few and
+    large batches."""
     means = pairs.groupBy(batch_col).agg(F.avg(score_col).alias("_m"))
-    return (pairs.join(means, batch_col)
+    return (lookup_join(pairs, means, batch_col, F.struct(*pairs.columns))
             .withColumn(out, F.col(score_col) / F.col("_m")).drop("_m"))
 
 

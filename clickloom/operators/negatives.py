@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from clickloom.functions.columns import attach
 
-from clickloom.operators.ordering import dense_index
+from clickloom.operators.ordering import dense_index, lookup_join
 
 N_HARD = 3
 WARM_THRESHOLD = 20
@@ -152,8 +152,9 @@ def pool_sizes(pairs: DataFrame, items: DataFrame) -> DataFrame:
     it = items.select("item_idx", "cat_l2_idx", "price_bucket")
     cat_n = it.filter(F.col("cat_l2_idx") != 0).groupBy("cat_l2_idx").agg(F.count(F.lit(1)).alias("cat_n"))
     b_n = it.groupBy("price_bucket").agg(F.count(F.lit(1)).alias("b_n"))
-    pa = pairs.select("user_idx", "item_idx").join(it, "item_idx").join(cat_n, "cat_l2_idx", "left").join(
-        b_n, "price_bucket")
+    pa = pairs.select("user_idx", "item_idx").join(it, "item_idx")
+    pa = lookup_join(pa, cat_n, "cat_l2_idx", F.col("user_idx"), how="left")
+    pa = lookup_join(pa, b_n, "price_bucket", F.col("user_idx"))
     return pa.select("user_idx", "item_idx", (F.when(F.col("cat_l2_idx") != 0, F.col("cat_n"))
                                               .otherwise(F.col("b_n")) - 1).alias("pool_size"))
 

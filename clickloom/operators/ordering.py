@@ -136,6 +136,19 @@ def dense_index(df: DataFrame, key_cols: Sequence[str] | str, index_col: str,
             .select(*key_cols, (F.col("_off") + pos + F.lit(start)).cast("long").alias(index_col)))
 
 
+def lookup_join(rows: DataFrame, small: DataFrame, keys: Sequence[str] | str, spread: Column, salts: int = 32,
+                how: str = "inner") -> DataFrame:
+    """``rows`` joined with ``small`` on a few hot keys (price buckets, days).
+
+    Joined plainly, all rows would be shuffled onto as many tasks as there are
+    keys. Here a row's key gets one of ``salts`` salts by the hash of ``spread``
+    and ``small``, one row a key, is copied to each."""
+    keys = _cols(keys)
+    salted = rows.withColumn("_lk", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
+    copies = small.withColumn("_lk", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return salted.join(copies, keys + ["_lk"], how).drop("_lk")
+
+
 def first_n(df: DataFrame, key_cols: Sequence[str] | str, order_col: Column, n: int) -> DataFrame:
     """The ``n`` distinct keys that come first by (``order_col``, keys).
 

@@ -34,10 +34,9 @@ def seen_counts(seen: DataFrame, user_col: str = "user_idx") -> DataFrame:
 HEAD_RANKS = 4096
 # Buckets of the salted (key, rank) lookup of per-key rankings.
 RANK_SALTS = 8
-# Co-occurrence salting: users with more distinct items than HOT_USER_ITEMS
-# have their pair work split over COOC_SALTS tasks.
-HOT_USER_ITEMS = 10_000
-COOC_SALTS = 32
+# Co-occurrence: (rep, item) pairs of one user that one join key may hold; a user
+# with more is split over as many salts as the measured pair work needs.
+PAIRS_A_KEY = 2_000_000
 
 
 def _unseen_top_k(users: DataFrame, seen: DataFrame, ranked: DataFrame, k: int, rank_col: str,
@@ -140,16 +139,16 @@ def cooccurrence_counts(pairs: DataFrame, reps: DataFrame, user_col: str = "user
     ui = pairs.select(user_col, item_col).distinct()
     rep_set = reps.select(F.col("rep_item").alias(item_col)).distinct()
     left = ui.join(rep_set, item_col, "left_semi").select(user_col, F.col(item_col).alias("rep_item"))
-    # Hot users (more than HOT_USER_ITEMS distinct items) are salted: their
-    # (user, rep) rows go to one of COOC_SALTS buckets by rep item and their
-    # (user, item) rows are copied into every bucket, so one user's pair work
-    # is split over COOC_SALTS tasks; each (user, rep, item) still meets once.
-    hot = (ui.groupBy(user_col).agg(F.count(F.lit(1)).alias("_n"))
-           .filter(F.col("_n") > HOT_USER_ITEMS).select(user_col, F.lit(True).alias("_hot")))
-    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64("rep_item"), F.lit(COOC_SALTS))).otherwise(F.lit(0))
-    left = left.join(hot, user_col, "left").select(user_col, "rep_item", salt.cast("int").alias("_salt"))
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(COOC_SALTS - 1))).otherwise(F.array(F.lit(0)))
-    right = ui.join(hot, user_col, "left").select(user_col, item_col, F.explode(copies).alias("_salt"))
+    # A user's pair work is their representative items times their items. Their
+    # (user, rep) rows go to one of as many salts as that work needs by rep item and
+    # their (user, item) rows are copied to each; each (user, rep, item) still
+    # meets once. Ordinary users need one salt.
+    work = (left.groupBy(user_col).agg(F.count(F.lit(1)).alias("_r"))
+            .join(ui.groupBy(user_col).agg(F.count(F.lit(1)).alias("_n")), user_col)
+            .select(user_col, F.ceil(F.col("_r") * F.col("_n") / F.lit(PAIRS_A_KEY)).alias("_salts")).filter(F.col("_salts") > 1))
+    salts = F.coalesce("_salts", F.lit(1))
+    left = left.join(work, user_col, "left").select(user_col, "rep_item", F.pmod(F.xxhash64("rep_item"), salts).alias("_salt"))
+    right = ui.join(work, user_col, "left").select(user_col, item_col, F.explode(F.sequence(F.lit(0).cast("long"), salts - 1)).alias("_salt"))
     joined = left.join(right, [user_col, "_salt"]).filter(F.col(item_col) != F.col("rep_item"))
     return joined.groupBy("rep_item", item_col).agg(F.count(F.lit(1)).alias("cooc"))
 

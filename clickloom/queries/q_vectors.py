@@ -115,6 +115,22 @@ def q_conc(spark, sf):
     return V.concordance(exact, approx, 10)
 
 
+# Probing every list is exact search: what k-means found does not matter then.
+@register("vector_topk_ivf_all_lists", TOPK_SQL.format(f="list_inner_product"))
+def q_ivf_all(spark, sf):
+    e = _emb(spark, sf)
+    out = V.ivf_topk(e.select(F.col("vec_id").alias("query_id"), "vec"), e.select(F.col("vec_id").alias("item_id"), "vec"), 10,
+                     n_lists=8, n_probe=8, exclude_self=True, block_rows=100)
+    return out.select("query_id", "item_id", rnd("score", 6).alias("score"), "rank")
+
+
+@register("ivf_concordance_all_lists", "SELECT count(*) AS n_queries, CAST(1.0 AS DOUBLE) AS concordance FROM embeddings")
+def q_conc_all(spark, sf):
+    e = _emb(spark, sf)
+    q, it = e.select(F.col("vec_id").alias("query_id"), "vec"), e.select(F.col("vec_id").alias("item_id"), "vec")
+    return V.concordance(V.exact_topk(q, it, 10, exclude_self=True), V.ivf_topk(q, it, 10, n_lists=8, n_probe=8, exclude_self=True), 10)
+
+
 @register("user_embedding_centroids", with_(SEQ) + f""",
 good AS (SELECT user_id, product_id FROM inter_train WHERE confidence_score >= 2),
 ex AS (SELECT g.user_id, i.i, e.embedding[i.i] AS x

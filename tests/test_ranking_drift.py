@@ -127,11 +127,10 @@ def test_popularity_recs_head_broadcast_and_tail_join_agree(spark, monkeypatch,
     assert got == want
 
 
-@pytest.mark.parametrize("hot_items,salts", [(2, 3), (10_000, 32)])
-def test_cooccurrence_counts_salted_hot_users_exact(spark, monkeypatch, hot_items, salts):
-    # Salting hot users (here: users with more than 2 items) leaves every count exact.
-    monkeypatch.setattr(Rt, "HOT_USER_ITEMS", hot_items)
-    monkeypatch.setattr(Rt, "COOC_SALTS", salts)
+@pytest.mark.parametrize("pairs_a_key", [2, 7, 2_000_000])
+def test_cooccurrence_counts_salted_hot_users_exact(spark, monkeypatch, pairs_a_key):
+    # Splitting users by their pair work leaves every count exact.
+    monkeypatch.setattr(Rt, "PAIRS_A_KEY", pairs_a_key)
     rows = [(u, i, 1) for u in range(1, 6) for i in range(1, 9) if (u * i) % 4 != 0 or u == 1]
     pairs = spark.createDataFrame(rows, "user_idx long, item_idx long, confidence_score long")
     reps = spark.createDataFrame([(1, 2), (2, 3), (3, 1)], "user_idx long, rep_item long")
