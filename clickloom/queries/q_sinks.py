@@ -97,3 +97,17 @@ def q_bulk(spark, sf):
     loaded, bad = cut_lineage(back), F.col(Fl.CORRUPT).isNotNull()
     return loaded.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(bad).alias("n_bad"), F.count_if(~bad).alias("n_good")).withColumn(
         "n_counted_by_gate", F.lit(counted).cast("long"))
+
+
+# Files named by their month (here: by their split); the hold-out is routed
+# away by name, unread.
+@register("bulk_load_holdout_by_name", with_(FEATURES) + f"""
+SELECT {secs('event_time')} AS event_epoch, event_type, product_id, price, user_id, user_session FROM labelled WHERE split <> 'test'""")
+def q_holdout(spark, sf):
+    labelled, target = features(spark, sf).labelled, _path(spark, "named-csv")
+    for split in ("train", "val", "test"):
+        path = _path(spark, f"csv-{split}")
+        Fl.write_raw_csv(labelled.filter(F.col("split") == split), path)
+        Fl.name_parts(spark, path, split, target)
+    rest = Fl.parse_event_time(Fl.months_from_file_stem(Fl.read_raw_csv(spark, target), ["test"]))
+    return rest.select(F.unix_timestamp("event_time").alias("event_epoch"), "event_type", "product_id", "price", "user_id", "user_session")

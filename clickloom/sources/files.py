@@ -60,13 +60,26 @@ def check_bad_records(df: DataFrame, max_bad: int = 1000) -> int:
 
 
 def months_from_file_stem(df: DataFrame, months: Sequence[str], exclude: bool = True) -> DataFrame:
-    """Route hold-out months away by the source file name (``2020-Jan``-style stems).
-    Apply directly on the scan: a cached frame no longer knows its files."""
-    stem = F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.csv(\.gz)?$", 1)
+    """Route hold-out months away by the source file name (``2020-Jan``-style
+    stems, a part number ``-part7`` aside). Apply directly on the scan: a cached
+    frame no longer knows its files."""
+    stem = F.regexp_extract(F.col("_metadata.file_name"), r"^(.*?)(?:-part[0-9]+)?\.csv(?:\.gz)?$", 1)
     hit = stem.isin(list(months))
     return df.filter(~hit if exclude else hit)
 
 
+def name_parts(spark: SparkSession, path: str, stem: str, target: str) -> int:
+    """Move the part files under ``path`` to ``target`` as ``<stem>-part<i>.csv``;
+    their number. Names only: no data passes through the driver."""
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = fs_path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(fs_path(target))
+    found = fs.globStatus(fs_path(path + "/part-*"))
+    for i, status in enumerate(found):
+        fs.rename(status.getPath(), fs_path(f"{target}/{stem}-part{i}.csv"))
+    return len(found)
+
+
 def write_raw_csv(df: DataFrame, path: str) -> None:
     """Writes events in the raw CSV layout (event_time text with zone)."""
     out = df.withColumn("event_time", F.concat(F.date_format("event_time", "yyyy-MM-dd HH:mm:ss"), F.lit(" UTC")))
