@@ -61,3 +61,11 @@ def test_null_group_keys_are_one_group(spark):
     assert sums == {1: 1, 2: 2, 3: 3, 4: 1}
     sessions = {r.id: r.session_no for r in sessionize(df, "u", "t", "id", 5000).collect()}
     assert sessions == {1: 1, 2: 1, 3: 2, 4: 1}
+
+
+def test_lookup_join_is_a_plain_join_spread_out(spark):
+    rows = spark.range(200).select("id", F.when(F.col("id") % 5 > 0, F.col("id") % 5).alias("k"))
+    small = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "k long, v string")
+    for how in ("inner", "left"):
+        got = sorted((r.id, r.v or "") for r in O.lookup_join(rows, small, "k", F.col("id"), salts=7, how=how).collect())
+        assert got == sorted((r.id, r.v or "") for r in rows.join(small, "k", how).collect())

@@ -48,3 +48,15 @@ def test_streaming_dedup_and_popularity(spark):
     q2.awaitTermination(120)
     got = {r.product_id: r.n for r in spark.sql("SELECT * FROM pop_out").collect()}
     assert got == {1: 3, 2: 1}
+
+
+def test_stems_with_part_numbers(spark):
+    d = tempfile.mkdtemp(prefix="clickloom-stems-")
+    for month in ("2020-Jan", "2020-Feb"):
+        path = os.path.join(d, month)
+        spark.range(6).select(F.lit("2020-01-01 00:00:05 UTC").alias("event_time"), F.lit(month).alias("event_type"), "id").repartition(
+            3).write.option("header", True).csv(path)
+        assert Fl.name_parts(spark, path, month, os.path.join(d, "named")) == 3
+    raw = Fl.read_raw_csv(spark, os.path.join(d, "named"))
+    assert {r.event_type for r in Fl.months_from_file_stem(raw, ["2020-Jan"]).select("event_type").collect()} == {"2020-Feb"}
+    assert Fl.months_from_file_stem(raw, ["2020-Jan"], exclude=False).select("event_type").count() == 6
