@@ -7,12 +7,13 @@ classes share:
     P_c(w)     = disc(c_c(w)) / N         + l    * P_s(w)
 
 ``disc`` takes off the absolute discount, ``P_s`` is the Kneser-Ney
-continuation probability (distinct left neighbours, counted over both classes
-together) and the backoff weights l come from both classes' counts as well.
-Rare expressions back off to shared counts altogether: c_c is half of both
-classes' count unless the split between the classes is beyond chance. They then
-have the same probability under either class and say nothing; only what one
-class uses again and again moves the score.
+continuation probability (distinct left neighbours, counted without labels over
+all documents) and the backoff weights l come from both classes' counts. What
+may be chance backs off to shared counts altogether: c_c is half of both
+classes' count unless the split between the classes is beyond chance, and how
+far beyond is chosen, at every size, by the likelihood of texts the models have
+not counted. An expression counts once a class of near-duplicates, so that a
+family of near copies is no evidence for what it repeats.
 
 The score of a text is the difference of its two length-normalised
 log-likelihoods - over the whole text and over its most toxic run of
@@ -20,8 +21,9 @@ log-likelihoods - over the whole text and over its most toxic run of
 models have not counted.
 
 Fitting uses a bounded sample: at most about ``PER_CLASS`` labelled texts a
-class, chosen by a hash of doc_id, whole texts. Counting runs in Spark; only
-n-grams met at least ``MIN_COUNT`` times reach the driver. Every text is scored
+class, chosen by a hash of doc_id, whole texts. Near-duplicates go to the same
+part of it. Counting runs in Spark; only n-grams met at least ``MIN_COUNT``
+times, and the continuation counts of their words, reach the driver. Every text is scored
 whole. Labels of held-out rows, crc32(doc_id) mod 3 = 1, are never read by it.
 """
 
@@ -35,7 +37,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clickloom.llm import probminhash
 from clickloom.llm.textops import PUNCTUATION, U64, Words, map_batches, mix, texts_of
+from clickloom.session import cut_lineage
 
 #: labelled texts a class the models and the curve are fitted on, at most (in the mean)
 PER_CLASS = 3000
@@ -48,9 +52,8 @@ DISCOUNT = 0.75
 #: evidence (about chi-square) below which a count is shared by the classes; the
 #: likelihood of the texts kept for the curve chooses
 EVIDENCE = (6.0, 10.0, 20.0, 40.0)
-#: the least evidence, as a share of a class's texts: an expression of fewer
-#: texts is rare, even if a family of near copies repeats it
-LEAST_SHARE = 0.06
+#: distinct pairs a task holds before it hands them on
+PAIRS_HELD = 1 << 20
 #: share of the sample kept for the curve, 1 in so many
 CURVE_PART = 4
 THRESHOLD = 0.7
@@ -162,10 +165,10 @@ def build(words: np.ndarray, uni: np.ndarray, cont: np.ndarray, pairs: np.ndarra
     return Model(words[said], ratio[said], np.unique(left[told]), pairs[told], pair_ratio, NO_CURVE)
 
 
-def fit_curve(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
+def fit_curve(x: np.ndarray, y: np.ndarray, share: np.ndarray) -> tuple[np.ndarray, float]:
     """Logistic weights by Newton steps with a small ridge, classes weighted
-    alike, and the mean loss."""
-    weight = np.where(y == 1, 0.5 / max(1, (y == 1).sum()), 0.5 / max(1, (y == 0).sum()))
+    alike and texts within them by ``share``, and the mean loss."""
+    weight = 0.5 * share / np.where(y == 1, share[y == 1].sum(), share[y == 0].sum())
     w = np.zeros(x.shape[1])
     ridge = np.diag([1e-6, 1e-3, 1e-3])
     for _ in range(40):
@@ -178,8 +181,9 @@ def fit_curve(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
 
 
 def sample(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> DataFrame:
-    """``text, toxic, curve`` of a bounded sample of the rows that may be learnt
-    from: about ``per_class`` a class, by a hash of doc_id."""
+    """``text, toxic, family, curve`` of a bounded sample of the rows that may be
+    learnt from: about ``per_class`` a class, by a hash of doc_id. ``family`` is
+    the text's class of near-duplicates; all of it is in the curve part or none."""
     known = (labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out())
              .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
     sizes = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
@@ -187,69 +191,100 @@ def sample(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Da
     # as many texts of one class as of the other: a count then means the same in both
     n = min(per_class, sizes.get(0, 0), sizes.get(1, 0))
     share = F.when(F.col("toxic") == 1, n / max(1, sizes.get(1, 0))).otherwise(n / max(1, sizes.get(0, 0)))
-    chosen = known.where(draw < share).select(
-        F.col("doc_id").alias("_id"), "toxic",
-        (F.pmod(F.xxhash64(F.lit("curve part"), "doc_id"), F.lit(CURVE_PART)) == 0).alias("curve"))
+    chosen = known.where(draw < share).select(F.col("doc_id").alias("_id"), "toxic")
     # at most about 2 * per_class ids: a proven bound for the broadcast
-    return (docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))
-            .select(F.coalesce("text", F.lit("")).alias("text"), "toxic", "curve")
-            .groupBy("text").agg(F.max("toxic").alias("toxic"), F.max("curve").alias("curve")))
+    texts = (docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))
+             .select(F.coalesce("text", F.lit("")).alias("text"), "toxic")
+             .groupBy("text").agg(F.max("toxic").alias("toxic")))
+    # numbered by the text itself: rows of one doc_id may differ
+    texts = cut_lineage(texts.withColumn("doc_id", F.xxhash64("text")))
+    family = probminhash.classes(texts).select("doc_id", F.col("class_id").alias("family"))
+    curve = F.pmod(F.xxhash64(F.lit("curve part"), "family"), F.lit(CURVE_PART)) == 0
+    return texts.join(family, "doc_id").select("text", "toxic", "family", curve.alias("curve"))
 
 
 def count(texts: DataFrame) -> DataFrame:
-    """n-gram counts ``v, w, t, o`` (toxic and ordinary) of ``text, toxic``; v is
-    null for single words. An n-gram counts once a text, so that a text which
-    repeats itself has no more say than another."""
-    schema = pa.schema([("v", pa.int64()), ("w", pa.int64()), ("toxic", pa.int32()), ("n", pa.int64())])
+    """n-gram counts ``v, w, t, o`` (toxic and ordinary) of ``text, toxic,
+    family``; v is null for single words. An n-gram counts once a family and
+    label, so that neither a text which repeats itself nor a family of near
+    copies has more say than another text."""
+    schema = pa.schema([("v", pa.int64()), ("w", pa.int64()), ("toxic", pa.int32()), ("family", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             label = np.array(b.column("toxic").to_pylist(), np.int32)
+            family = np.array(b.column("family").to_pylist(), np.int64)
             words = Words(texts_of(b), PUNCTUATION, True)
             h = words.hash.view(np.int64)
             follows = np.flatnonzero(words.doc[1:] == words.doc[:-1]) + 1
-            single = np.unique(np.column_stack((words.doc, h)), axis=0)
-            double = np.unique(np.column_stack((words.doc[follows], h[follows - 1], h[follows])), axis=0)
-            for c in (0, 1):
-                one, n = np.unique(single[label[single[:, 0]] == c, 1], return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.nulls(len(one), pa.int64()), pa.array(one), pa.array(np.full(len(one), c, np.int32)), pa.array(n)], schema=schema)
-                two, n = np.unique(double[label[double[:, 0]] == c, 1:], axis=0, return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(two[:, 0]), pa.array(two[:, 1]), pa.array(np.full(len(two), c, np.int32)), pa.array(n)], schema=schema)
+            one = np.unique(np.column_stack((words.doc, h)), axis=0)
+            two = np.unique(np.column_stack((words.doc[follows], h[follows - 1], h[follows])), axis=0)
+            for doc, v, w in ((one[:, 0], pa.nulls(len(one), pa.int64()), one[:, 1]), (two[:, 0], pa.array(two[:, 1]), two[:, 2])):
+                yield pa.RecordBatch.from_arrays([v, pa.array(w), pa.array(label[doc]), pa.array(family[doc])], schema=schema)
 
-    parts = map_batches(texts.select("text", F.col("toxic").cast("int").alias("toxic")), run, "v long, w long, toxic int, n long")
-    return (parts.groupBy("v", "w").agg(F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("t"),
-                                        F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("o")))
+    parts = map_batches(texts.select("text", F.col("toxic").cast("int").alias("toxic"), "family"), run,
+                        "v long, w long, toxic int, family long")
+    return (parts.distinct().groupBy("v", "w").agg(F.sum(F.when(F.col("toxic") == 1, 1).otherwise(0)).alias("t"),
+                                                   F.sum(F.when(F.col("toxic") == 0, 1).otherwise(0)).alias("o")))
+
+
+def continuations(docs: DataFrame, words: np.ndarray) -> DataFrame:
+    """``w, cont``: the number of distinct words before each of ``words`` (sorted
+    hashes; ``w`` is the place there) over all rows of ``docs``. A pair crosses
+    the exchange as one number: the place, above it as many bits as are left of
+    the hash of the word before."""
+    bits = max(1, len(words) - 1).bit_length()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        for b in batches:
+            said = Words(texts_of(b), PUNCTUATION, True)
+            at = np.flatnonzero(said.doc[1:] == said.doc[:-1]) + 1
+            at = at[_has(words, said.hash[at])]
+            place = np.searchsorted(words, said.hash[at]).astype(U64)
+            held.append(np.unique((said.hash[at - 1] << U64(bits)) | place))
+            if sum(map(len, held)) > PAIRS_HELD:
+                yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(held)).view(np.int64))], ["pair"])
+                held = []
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(held)).view(np.int64))], ["pair"])
+
+    place = F.col("pair").bitwiseAND(F.lit((1 << bits) - 1))
+    return (map_batches(docs.select("text"), run, "pair long").distinct()
+            .groupBy(place.alias("w")).agg(F.count("*").alias("cont")))
 
 
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model:
     """The model with the evidence and curve of the least loss on the curve part."""
-    from clickloom.session import cut_lineage
-
     texts = cut_lineage(sample(docs, labels, per_class))
-    grams = cut_lineage(count(texts.where(~F.col("curve"))))
+    counted = texts.where(~F.col("curve"))
+    grams = cut_lineage(count(counted))
     often = F.col("t") + F.col("o") >= MIN_COUNT
-    cont = grams.where(F.col("v").isNotNull()).groupBy("w").agg(F.count("*").alias("cont"))
-    single = (grams.where(F.col("v").isNull() & often).select("w", "t", "o").join(cont, "w", "left")
-              .select("w", "t", "o", F.coalesce("cont", F.lit(0)).alias("cont")).toPandas())
+    single = grams.where(F.col("v").isNull() & often).select("w", "t", "o").toPandas()
     double = grams.where(F.col("v").isNotNull() & often).select("v", "w", "t", "o").toPandas()
-    held = texts.where("curve").select("text", "toxic").toPandas()
+    held = texts.where("curve").select("text", "toxic", "family").toPandas()
 
     words = single["w"].to_numpy(np.int64).view(U64)
     order = np.argsort(words)
-    words, uni, conts = words[order], single[["t", "o"]].to_numpy(float)[order], single["cont"].to_numpy(float)[order]
+    words, uni = words[order], single[["t", "o"]].to_numpy(float)[order]
+    conts = np.zeros(len(words))
+    if len(words):
+        cont = continuations(docs, words).toPandas()
+        conts[cont["w"].to_numpy()] = cont["cont"].to_numpy(float)
+    # families of either class may be more: a count then means the same in both
+    families = {r["toxic"]: r["n"] for r in counted.groupBy("toxic").agg(F.countDistinct("family").alias("n")).collect()}
+    scale = np.array([sum(families.values()) / (2 * families[c]) if len(families) == 2 else 1.0 for c in (1, 0)])
     left, right = double["v"].to_numpy(np.int64).view(U64), double["w"].to_numpy(np.int64).view(U64)
     pairs = _pair(left, right)
     order = np.argsort(pairs)
-    args = words, uni, conts, pairs[order], left[order], right[order], double[["t", "o"]].to_numpy(float)[order]
+    args = words, uni * scale, conts, pairs[order], left[order], right[order], double[["t", "o"]].to_numpy(float)[order] * scale
     y = held["toxic"].to_numpy(float)
+    share = 1 / held.groupby(["family", "toxic"])["text"].transform("size").to_numpy(float)
     best: tuple[float, Model] | None = None
-    least = LEAST_SHARE * texts.where(~F.col("curve")).count() / 2
-    for evidence in sorted({max(e, least) for e in EVIDENCE}):
+    for evidence in EVIDENCE:
         model = build(*args, evidence)
         if len(set(y.tolist())) == 2:
-            model.weights, loss = fit_curve(model.features(held["text"].tolist()), y)
+            model.weights, loss = fit_curve(model.features(held["text"].tolist()), y, share)
         else:
             loss = 0.0
         if best is None or loss < best[0]:

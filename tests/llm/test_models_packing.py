@@ -163,6 +163,45 @@ def test_toxicity_awkward_rows(spark):
         assert kn_toxicity.score(table, kn_toxicity.fit(table, odd)).count() == table.count()
 
 
+def test_toxicity_finds_expressions_rare_in_their_class(spark):
+    """Every toxic expression is in about 4 % of the toxic texts only."""
+    draw = random.Random(17)
+    word = lambda: "".join(draw.choice(["th", "er", "on", "an", "re"]) for _ in range(draw.randint(1, 4)))
+    texts = []
+    for i in range(1200):
+        words = [word() for _ in range(draw.randint(20, 60))]
+        if i % 2:
+            for _ in range(2):
+                words[draw.randrange(len(words))] = f"slur{draw.randrange(50)}"
+        texts.append(" ".join(words))
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(1200)], "doc_id long, quality int, toxic int")
+    docs = documents(spark, texts)
+    got = {r["doc_id"]: r["predicted"] for r in kn_toxicity.score(docs, kn_toxicity.fit(docs, labels)).collect()}
+    held = [d for d in got if _held(d)]
+    assert np.mean([got[d] for d in held if d % 2]) > 0.9
+    assert np.mean([got[d] for d in held if not d % 2]) < 0.05
+
+
+def test_toxicity_counts_near_copies_once(spark):
+    draw = random.Random(19)
+    passage = [f"w{draw.randrange(10**6)}" for _ in range(60)]
+    texts = [" ".join([*passage, f"end{i}"]) for i in range(90)] + [f"own words number {i} of a text" for i in range(90)]
+    docs = documents(spark, texts)
+    labels = spark.createDataFrame([(i, 1, int(i < 90)) for i in range(180)], "doc_id long, quality int, toxic int")
+    sample = kn_toxicity.sample(docs, labels)
+    parts = {(r["family"], r["curve"]) for r in sample.where("toxic = 1").collect()}
+    assert len(parts) == 1 and sample.where("toxic = 1").count() > 40
+    assert kn_toxicity.count(sample).agg({"t": "max"}).first()[0] == 1
+
+
+def test_toxicity_continuations_of_all_documents(spark, monkeypatch):
+    monkeypatch.setattr(kn_toxicity, "PAIRS_HELD", 3)
+    texts = ["a x b x", "c x", None, "x", "c X. d y", "a x y"] * 2
+    words = np.sort([Words([w], SPACES).hash[0] for w in "xy"])
+    got = kn_toxicity.continuations(documents(spark, texts).repartition(3), words).collect()
+    assert {words[r["w"]]: r["cont"] for r in got} == {Words(["x"], SPACES).hash[0]: 3, Words(["y"], SPACES).hash[0]: 2}
+
+
 def sequences(pieces):
     out = {}
     for r in pieces:
