@@ -21,6 +21,8 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import json
+import os
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -143,19 +145,27 @@ class Packer:
                 yield part
 
 
-def read_encoding(vocabulary: str, pattern: str) -> tuple[str, dict[bytes, int]]:
+def read_encoding(vocabulary: str, added: str) -> tuple[dict[bytes, int], dict[str, int]]:
+    """Ranks, and the added tokens of the vocabulary's JSON form. Those must be
+    plain ones: cut out of the text as they stand, white space around them kept."""
     with open(vocabulary, "rb") as lines:
-        return pattern, {base64.b64decode(piece): int(rank) for piece, rank in map(bytes.split, lines)}
+        ranks = {base64.b64decode(piece): int(rank) for piece, rank in map(bytes.split, lines)}
+    with open(added, encoding="utf-8") as form:
+        tokens = json.load(form)["added_tokens"]
+    for t in tokens:
+        if t["lstrip"] or t["rstrip"] or t["single_word"]:
+            raise ValueError(f"added token {t['content']!r} takes more of the text than itself")
+    return ranks, {t["content"]: t["id"] for t in tokens}
 
 
 _LOADED: dict[str, tiktoken.Encoding] = {}
 
 
-def _encoding(pattern: str, ranks: dict[bytes, int]) -> tiktoken.Encoding:
+def _encoding(pattern: str, ranks: dict[bytes, int], added: dict[str, int]) -> tiktoken.Encoding:
     """One encoder a worker, whatever the number of its tasks."""
-    key = hashlib.sha256(pattern.encode() + b"".join(ranks)).hexdigest()
+    key = hashlib.sha256(repr((pattern, sorted(added.items()))).encode() + b"".join(ranks)).hexdigest()
     if key not in _LOADED:
-        _LOADED[key] = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        _LOADED[key] = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens=added)
     return _LOADED[key]
 
 
@@ -203,20 +213,21 @@ def pack_documents(docs: DataFrame, vocabulary: str, pattern: str, with_ids: boo
     """All documents in pieces: ``doc_id, start, length, ids_crc32, doc_tokens,
     sequence_id, offset`` (and the ids themselves with ``with_ids``).
 
-    A document's ids are those of the byte-level BPE of the rank file (equal to
-    the same vocabulary's JSON form without special tokens), then ``END_ID``; its
-    first id bears no loss. A null or empty text is the end id alone; repeated
+    A document's ids are those of the byte-level BPE of the rank file with the
+    added tokens of the JSON form beside it (same name, ``.json``), as the
+    tokenizers library gives them without its own special tokens, then
+    ``END_ID``; its first id bears no loss. A null or empty text is the end id alone; repeated
     rows are packed one by one; an empty table gives no rows; other columns are
     not read."""
-    pattern, ranks = read_encoding(vocabulary, pattern)
+    ranks, added = read_encoding(vocabulary, os.path.splitext(vocabulary)[0] + ".json")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _encoding(pattern, ranks).encode_to_numpy
+        encode = _encoding(pattern, ranks, added).encode_to_numpy
 
         def examples() -> Iterator[Example]:
             for b in batches:
                 for doc, text in zip(b.column("doc_id").to_pylist(), texts_of(b), strict=True):
-                    ids = np.concatenate((encode(text, disallowed_special=()).astype("<u4"), np.array([END_ID], "<u4")))
+                    ids = np.concatenate((encode(text, allowed_special="all").astype("<u4"), np.array([END_ID], "<u4")))
                     bears = np.ones(len(ids), np.int8)
                     bears[0] = 0
                     yield example(doc, ids, bears)

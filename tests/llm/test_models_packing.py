@@ -241,6 +241,19 @@ def test_packing_tables(spark):
     assert padding <= 0.02 * total
 
 
+def test_packing_ids_of_added_tokens(spark):
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    end = "<|endoftext|>"
+    texts = [f"hello {end} world", end, f"{end}{end}", f"a  {end}\n\n b", f"  {end}  ", f"x{end}y", "<|endoftext|", f"<|{end}|>", f"é{end} 's"]
+    draw = random.Random(23)
+    texts += ["".join(draw.choice([end, " ", "  ", "\n", "a", "don't", "é", "<|", "|>", "12"]) for _ in range(draw.randint(1, 12))) for _ in range(300)]
+    got = {}
+    for r in packing.pack_documents(documents(spark, texts), VOCABULARY, public_tokenizers.PATTERN, with_ids=True).collect():
+        got.setdefault(r["doc_id"], []).append((r["start"], r["ids"]))
+    for i, text in enumerate(texts):
+        assert [x for _, ids in sorted(got[i]) for x in ids] == [*tokenizer.encode(text, add_special_tokens=False).ids, 1], text
+
+
 def test_packing_awkward_rows(spark):
     table = awkward(spark)
     pieces = packing.pack_documents(table, VOCABULARY, public_tokenizers.PATTERN).collect()
