@@ -8,6 +8,9 @@ arrival is later than every slot's earliest, so long texts need little more
 than one arrival an element. Two texts agree in a slot with the probability
 Jaccard similarity of their weighted shingles.
 
+Links are judged by plain sets, so a text that repeats a passage is signed a
+second time with all weights 1; the bands of both signatures are its keys, and
+those of a text without repeats, whose signatures are equal, stand for both.
 Texts that agree in all slots of a band are candidates; a pair is a link when
 the Jaccard similarity of its shingle sets, computed exactly, is at least
 ``SIMILAR`` / ``OF``. Classes are the components of the links.
@@ -68,6 +71,15 @@ def signatures(element: np.ndarray, owner: np.ndarray, weight: np.ndarray, n: in
     return winner.reshape(n, SLOTS)
 
 
+def band_keys(signed: np.ndarray) -> np.ndarray:
+    """[text, band] keys of signatures [text, slot]."""
+    signed = signed.reshape(len(signed), BANDS, ROWS)
+    keys = np.zeros((len(signed), BANDS), U64) + np.arange(1, BANDS + 1, dtype=U64)
+    for r in range(ROWS):
+        keys = mix(keys + signed[:, :, r])
+    return keys
+
+
 def _elements(words: Words, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct (shingle, text) with counts, by text."""
     shingle, doc = words.shingles(SHINGLE)
@@ -94,12 +106,16 @@ def sign(docs: DataFrame) -> DataFrame:
                 total = np.concatenate((np.zeros(1, U64), np.cumsum(mix(words.hash * U64(a | 1) + place * U64(c)), dtype=U64)))
                 digest.append((total[words.start[1:]] - total[words.start[:-1]]).view(np.int64))
             element, owner, count = _elements(words, k)
-            signed = signatures(element, owner, 1 + np.log(count), k).reshape(k, BANDS, ROWS)
-            keys = np.full((k, BANDS), 0, U64) + np.arange(1, BANDS + 1, dtype=U64)
-            for r in range(ROWS):
-                keys = mix(keys + signed[:, :, r])
+            keys = band_keys(signatures(element, owner, 1 + np.log(count), k))
             n = np.bincount(owner, minlength=k)
             bands = [row if m else [] for row, m in zip(keys.view(np.int64), n, strict=True)]
+            # with all weights 1 only texts that repeat a shingle are signed otherwise
+            again = np.unique(owner[count > 1])
+            if len(again):
+                part = np.isin(owner, again)
+                plain = signatures(element[part], np.searchsorted(again, owner[part]), np.ones(part.sum()), len(again))
+                for i, row in zip(again, band_keys(plain).view(np.int64), strict=True):
+                    bands[i] = np.union1d(bands[i], row)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(digest[0]), pa.array(digest[1]), pa.array(n),
                                               pa.array(bands, pa.list_(pa.int64()))], ["doc_id", "c1", "c2", "n", "bands"])
 

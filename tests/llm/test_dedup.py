@@ -127,6 +127,20 @@ def test_near_large_bucket_of_unlike_texts(spark, monkeypatch, block, columns):
     assert [labels.get(i, i) for i in range(len(texts))] == brute(texts)
 
 
+def test_near_finds_texts_that_repeat_a_passage(spark):
+    """Set similarity above 0.8, weighted similarity far below it."""
+    draw = random.Random(29)
+    texts = []
+    for _ in range(12):
+        plain = [f"w{draw.randrange(10**9)}" for _ in range(109)]
+        passage = [f"w{draw.randrange(10**9)}" for _ in range(18)]
+        texts += [" ".join(plain), " ".join(plain + passage * 500)]
+    s = sets(texts)
+    assert all(len(s[i] & s[i + 1]) >= 0.8 * len(s[i] | s[i + 1]) for i in range(0, len(s), 2))
+    got = {r[0]: r[1] for r in rows(probminhash.classes(documents(spark, texts)))}
+    assert [got[i] for i in range(len(texts))] == brute(texts)
+
+
 def test_near_awkward_rows(spark):
     docs = awkward(spark)
     got = {r[0]: r[1] for r in rows(probminhash.classes(docs))}
