@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from clickloom.operators import negatives as N
@@ -152,3 +153,11 @@ def test_draws_are_spread_evenly(spark):
     out = spark.range(3000).select(N.draw_places(F.lit(free), 3, 42, F.col("id")).alias("p")).collect()
     hits = np.bincount([x for r in out for x in r.p], minlength=free)
     assert all(len(set(r.p)) == 3 and max(r.p) < free for r in out) and abs(hits / 1500 - 1).max() < 0.1
+
+
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_registered_ivf_search_finds_nine_of_ten(spark, sf):
+    from clickloom.queries import q_vectors
+    got = q_vectors.q_conc(spark, f"/root/testdata/{sf}").first()
+    print(sf, got)
+    assert got["concordance"] >= 0.9
