@@ -3,7 +3,8 @@
 Markup is stripped into lines, one a block element, in page order. Elements
 that never hold the article (menus, headers, footers, sidebars, forms, scripts
 and those whose class or id names an advert, notice, sidebar, share bar or
-reader comments) leave a gap of empty lines. Text lengths - links do not count -
+reader comments) leave a gap of empty lines. Inside an article only a whole class
+name or id, or a compound like ``share-buttons``, counts as such a name, and no id of a heading or section. Text lengths - links do not count -
 are summed over sliding windows of ``WINDOW`` lines: text begins where the sum
 surges and ends where it dives to nothing; every line between the two points is
 kept, and so is a page's second text after a gap. Where the page marks an
@@ -42,6 +43,12 @@ APART_WORDS = frozenset((
     "widget", "menu", "nav", "navbar", "navigation", "breadcrumb", "breadcrumbs", "header", "footer", "masthead", "toolbar",
     "share", "social", "related", "recommended", "comment", "comments", "replies", "disqus", "login", "signup", "search",
     "pagination", "pager", "copyright"))
+#: words that such a word is compounded with in the name of a box
+BOX_WORDS = frozenset((
+    "area", "articles", "bar", "block", "box", "button", "buttons", "container", "form", "icons", "item", "link", "links", "list",
+    "panel", "posts", "slot", "stories", "unit", "wrapper"))
+#: elements whose id, inside an article, names what they are about
+OWN_IDS = frozenset(("h2", "h3", "h4", "h5", "h6", "section"))
 #: elements that begin and end a line
 BLOCKS = frozenset((
     "address", "article", "blockquote", "body", "caption", "center", "dd", "details", "div", "dl", "dt", "fieldset",
@@ -59,6 +66,9 @@ def _is_apart(tag: str, rest: str, inside: int) -> bool:
     if "=" not in rest or tag in ("html", "body", "article", "main", "h1"):
         return tag in ("article", "main") and "=" in rest and any(
             w in ("comment", "comments", "reply", "ad", "advert", "sponsored") for w in _words(rest))
+    if inside:
+        # the article's own headings and sections bear such words as topics
+        return any(_names_apart(name) for name in _whole_names(rest, tag not in OWN_IDS))
     return any(w in APART_WORDS for w in _words(rest))
 
 
@@ -66,6 +76,18 @@ def _words(rest: str) -> list[str]:
     return [w for m in _NAMES.finditer(rest) for w in re.split(r"[^a-z]+", (m[1] or m[2] or m[3] or "").lower())]
 
 
+def _names_apart(name: str) -> bool:
+    """A listed word, or a compound of such words and words for boxes only."""
+    parts = [p for p in re.split(r"[^a-z]+", name) if p]
+    return any(p in APART_WORDS for p in parts) and all(p in APART_WORDS or p in BOX_WORDS for p in parts)
+
+
+def _whole_names(rest: str, ids: bool) -> list[str]:
+    """Whole class and role names, and the id where ``ids``, without their case."""
+    return [name for m in _NAMES.finditer(rest) if ids or not m[0].lower().startswith("id")
+            for name in (m[1] or m[2] or m[3] or "").lower().split()]
+
+
 class _Lines:
     """Lines of a page: text, text length without links, inside an article?"""
 

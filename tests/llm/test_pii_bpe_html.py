@@ -135,6 +135,15 @@ def test_html_main_text(page, text):
     assert html_text.main_text(page) == text
 
 
+@pytest.mark.parametrize("part", [
+    '<h2 id="related-work">own</h2>', '<section id="search-methods"><p>own</p></section>', '<section id="social-history"><p>own</p></section>',
+    '<div class="side-by-side"><p>own</p></div>', '<h3 id="search">own</h3>', '<p id="alert-levels" class="first">own</p>',
+])
+def test_html_article_keeps_parts_about_such_words(part):
+    page = f"<article><p>before</p>{part}<div class='x ad'>buy</div><div id=comments>reader</div><div class='share-buttons'>tweet</div><p>after</p></article>"
+    assert html_text.main_text(page) == "before\nown\nafter"
+
+
 def test_html_odd_markup_stays_linear():
     for page in ("<" * 50_000, '<a "' * 20_000, "<!--" * 20_000, "<div " * 20_000, "<div class=ad>" * 300, "<p>" * 50_000):
         html_text.main_text(page)
