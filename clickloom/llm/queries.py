@@ -9,7 +9,10 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from clickloom.llm import bloom_cascade, bpe, chat_trees, gbt_quality, grace, html_text, kn_toxicity, packing, pii, probminhash
+from clickloom.llm import (
+    benchmark_windows, best_position, bloom_cascade, bpe, chat_trees, fm_phrases, gbt_quality, grace, html_text, kn_toxicity, packing, pii,
+    probminhash,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -129,3 +132,98 @@ def op5_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op2_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return probminhash.classes(table(spark, sf_dir, "documents"))
+
+
+@query(r"""
+WITH w AS (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[ \t]+'), lambda x: x <> '') AS w
+  FROM (SELECT coalesce(lang, 'und') AS lang,
+               unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                            '[.,;:!?\x0A-\x0D]')) AS piece
+        FROM documents)
+), f AS (
+  SELECT lang, size, array_to_string(w[i:i + size - 1], ' ') AS phrase, count(*) AS f
+  FROM (SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM w, range(1, 4) s(size))
+  GROUP BY ALL HAVING count(*) >= 10
+), cuts AS (
+  SELECT c.lang, c.size, c.phrase, c.f AS a, k, l.f AS l, r.f AS r,
+         CAST(CAST(1000000 AS HUGEINT) * c.f * c.f // (CAST(l.f AS HUGEINT) * r.f) AS BIGINT) AS score
+  FROM (SELECT *, string_split(phrase, ' ') AS w, unnest(range(1, size)) AS k FROM f WHERE size > 1) c
+  JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[:k], ' ')
+  JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[k + 1:], ' ')
+), least AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), longer AS (
+  SELECT lang, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS phrase, f
+  FROM (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE size = 3)
+), kept AS (
+  SELECT * FROM least c
+  WHERE size = 3 OR NOT EXISTS (SELECT 1 FROM longer WHERE longer.lang = c.lang AND longer.phrase = c.phrase AND 100 * longer.f >= 50 * c.a)
+), n AS (
+  SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM kept JOIN n USING (lang) QUALIFY rank <= 2000
+""")
+def op11_fm_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fm_phrases.mine(table(spark, sf_dir, "documents"))
+
+
+@query(r"""
+WITH t AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), q AS (
+  SELECT item_id, term, count(*) AS times
+  FROM (SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark)
+  GROUP BY ALL
+), s AS (
+  SELECT count(*) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_terms FROM t WHERE len(w) > 0
+), p AS (
+  SELECT doc_id, term, count(*) AS tf, any_value(n) AS n
+  FROM (SELECT doc_id, len(w) AS n, unnest(w) AS term FROM t) WHERE term IN (SELECT term FROM q) GROUP BY doc_id, term
+), i AS (
+  SELECT doc_id, term, (1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * n_docs) // n_terms)) AS impact,
+         CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / (2 * count(*) OVER (PARTITION BY term) + 1))) AS BIGINT) AS weight
+  FROM p, s
+), f AS (
+  SELECT item_id, doc_id, CAST(sum(times * weight * impact) AS BIGINT) AS score FROM q JOIN i USING (term) GROUP BY ALL
+)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM f WHERE score > 0 QUALIFY rank <= 20
+""")
+def op12_best_position(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_position.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query(r"""
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS row,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), b AS (
+  SELECT CAST(item_id AS VARCHAR) AS item_id, least(len(w), 10) AS size, w
+  FROM (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                           '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark) WHERE len(w) > 0
+), g AS (
+  SELECT DISTINCT item_id, size, array_to_string(w[pos:pos + size - 1], ' ') AS gram
+  FROM (SELECT *, unnest(range(1, len(w) - size + 2)) AS pos FROM b)
+), o AS (
+  SELECT row, pos, size, array_to_string(w[pos:pos + size - 1], ' ') AS gram
+  FROM (SELECT row, w, size, unnest(range(1, len(w) - size + 2)) AS pos FROM d, (SELECT DISTINCT size FROM g))
+), h AS (
+  SELECT row, pos, item_id, size FROM o JOIN g USING (size, gram)
+), n AS (
+  SELECT row, count(DISTINCT word) AS n_hit FROM (SELECT row, unnest(range(pos, pos + size)) AS word FROM h) GROUP BY row
+), i AS (
+  SELECT row, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items FROM (SELECT DISTINCT row, item_id FROM h) GROUP BY row
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+       n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN n USING (row) LEFT JOIN i USING (row)
+""")
+def op13_benchmark_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return benchmark_windows.mark(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
