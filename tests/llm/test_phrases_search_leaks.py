@@ -46,7 +46,10 @@ def phrases_by_hand(docs, least, covered, first):
 
 
 @pytest.mark.parametrize("shard_bytes", [1 << 20, 2000])
-def test_phrases_equal_plain_counting(spark, shard_bytes):
+def test_phrases_equal_plain_counting(spark, shard_bytes, monkeypatch):
+    if shard_bytes == 2000:
+        monkeypatch.setattr(fm_phrases, "BUCKET_BYTES", 3000)
+        monkeypatch.setattr(fm_phrases, "PHRASES_A_KEY", 5)
     draw = random.Random(3)
     docs = [(draw.choice(["en", "de", None]), prose(draw, draw.randrange(120))) for _ in range(60)] + [("en", None), ("en", ""), ("en", "only")]
     docs += [("en", "kept together always. ")] * 7
@@ -68,7 +71,7 @@ def test_index_intervals_hold_both_directions():
     ids = np.append(draw.integers(0, 5, 400), 0)
     index = fm_phrases.BidirectionalIndex(ids, 4, 3)
     pairs = index.right(index.words())
-    for made in (index.left(pairs), index.right(pairs), index.left(index.left(index.words()))):
+    for made in (index.left(pairs), index.right(pairs), index.left(index.left(index.words())), index.right(index.left(index.words()))):
         want = collections.Counter(tuple(w) for w in zip(ids, ids[1:], ids[2:]) if 0 not in w)
         assert {tuple(w): n for w, n in zip(made.words.tolist(), made.count.tolist(), strict=True)} == want
 
