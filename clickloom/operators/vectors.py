@@ -8,23 +8,26 @@ per-query limit that Spark applies before the shuffle. Neither side is ever
 collected, and a query's ties are broken by item id before any cut, so the
 result is the same for every block size.
 
-Approximate search (inverted file) clusters items with Spark ML KMeans; a
-query meets the items of its ``nprobe`` nearest lists in the same block product,
-one group per (list, salt).
+The inverted file clusters items with Spark ML KMeans; a query meets the items
+of a list in the same block product, one group per (list, salt). ``ivf_topk``
+looks into a fixed number of nearest lists and is approximate;
+``ivf_exact_topk`` bounds what a list can hold and goes on until no list can
+hold anything better, so it is exact and its work follows the data.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.functions.columns import attach
-from clickloom.operators.ordering import top_k_per_group
+from clickloom.operators.ordering import dense_index, exact_quantiles, lookup_join, top_k_per_group
 from clickloom.session import cut_lineage
 
 SCORE_BUDGET = 20_000_000  # scores materialised per matmul chunk (~160 MB of float64)
@@ -216,6 +219,99 @@ def ivf_topk(queries: DataFrame, items: DataFrame, k: int, n_lists: int, n_probe
     return out.select(F.col("query_id").alias(query_col), F.col("item_id").alias(item_col), "score", "rank")
 
 
+def list_bounds(lists: DataFrame, centroids: DataFrame) -> DataFrame:
+    """``cluster, n, radius, longest`` of every list that has items: how far its
+    items (item_id, vec, cluster) lie from the centroid and how long they are, at most."""
+    rows = centroids.collect()  # n_lists rows
+    centre = {r["cluster"]: np.array(r["centroid"], float) for r in rows}
+
+    def partial(batches):
+        for b in batches:
+            m, cluster = _matrix(pa.chunked_array([b.column("vec")])), b.column("cluster").to_numpy()
+            out = []
+            for c in np.unique(cluster):
+                own = m[cluster == c]
+                out.append((int(c), len(own), float(np.sqrt(((own - centre[c]) ** 2).sum(axis=1)).max()), float(np.sqrt((own * own).sum(axis=1)).max())))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), (pa.int32(), pa.int64(), pa.float64(), pa.float64()))],
+                                                 ["cluster", "n", "radius", "longest"])
+
+    parts = lists.select("vec", "cluster").mapInArrow(partial, "cluster int, n long, radius double, longest double")
+    return parts.groupBy("cluster").agg(F.sum("n").alias("n"), F.max("radius").alias("radius"), F.max("longest").alias("longest"))
+
+
+def _next_lists(queries: DataFrame, tables: tuple[np.ndarray, ...], start: int, end: int) -> DataFrame:
+    """Each query's (query_id, vec, kth) lists at the places ``start`` to ``end`` in the
+    order of what they can score at most, those that cannot reach ``kth`` left out."""
+    ids, mat, radius, longest = tables
+
+    def run(batches):
+        for b in batches:
+            q = _matrix(pa.chunked_array([b.column("vec")]))
+            if not len(q):
+                continue
+            norm = np.sqrt((q * q).sum(axis=1))[:, None]
+            # x = c + d with |d| <= radius: q.x = q.c + q.d; and q.x <= |q| |x|
+            bound = np.minimum(q @ mat.T + norm * radius, norm * longest)
+            bound += 1e-9 * (np.abs(bound) + norm * (longest + radius))  # above what rounding can take away
+            order = np.lexsort((np.broadcast_to(ids, bound.shape), -bound), axis=1)[:, start:end]
+            kth = pc.fill_null(b.column("kth"), float("-inf")).to_numpy(zero_copy_only=False)
+            row, place = np.nonzero(np.take_along_axis(bound, order, axis=1) >= kth[:, None])
+            at = pa.array(row)
+            yield pa.RecordBatch.from_arrays([b.column("query_id").take(at), b.column("vec").take(at), pa.array(ids[order[row, place]], pa.int32())],
+                                             ["query_id", "vec", "cluster"])
+
+    return queries.select("query_id", "vec", "kth").mapInArrow(run, "query_id long, vec array<double>, cluster int")
+
+
+def ivf_exact_topk(queries: DataFrame, items: DataFrame, k: int, n_lists: int, seed: int = 42, query_col: str = "query_id",
+                   item_col: str = "item_id", vec_col: str = "vec", exclude_self: bool = False, block_rows: int = 50_000,
+                   work: list | None = None) -> DataFrame:
+    """R2: the exact ``k`` best items by inner product, from an inverted file.
+
+    A list's items lie within its radius of the centroid and are no longer than
+    its longest, which bounds any query's score in it. A query visits lists by
+    falling bound: one at first, then as many again as it has visited, and stops
+    where the next bound is below its k-th score (a list whose bound equals it
+    may hold a tie and is visited). How many lists that takes follows from the
+    data, from one in clear clusters to all where there are none; never more
+    than ``log2(n_lists) + 1`` rounds. Queries that are done drop out of later rounds.
+
+    Ties go by item id as in ``exact_topk``; rows without a vector take no part;
+    an empty side gives no rows. Per-list numbers (``n_lists`` rows) are all that
+    tasks share. ``work`` (optional list) receives (round, queries asking, lists
+    visited, scores computed)."""
+    q = queries.where(F.col(vec_col).isNotNull()).select(F.col(query_col).cast("long").alias("query_id"), F.col(vec_col).cast("array<double>").alias("vec"))
+    it = items.where(F.col(vec_col).isNotNull()).select(F.col(item_col).cast("long").alias("item_id"), F.col(vec_col).cast("array<double>").alias("vec"))
+    best = q.sparkSession.createDataFrame([], "query_id long, item_id long, score double, rank int")
+    if not it.isEmpty():
+        q = cut_lineage(q)
+        cents = kmeans_centroids(it, n_lists, seed)
+        lists = cut_lineage(nearest_clusters(it, cents, 1, "item_id"))
+        known = cents.join(list_bounds(lists, cents), "cluster").orderBy("cluster").collect()  # n_lists rows
+        tables = (np.array([r["cluster"] for r in known], np.int64), np.array([r["centroid"] for r in known], float).reshape(len(known), -1),
+                  np.array([r["radius"] for r in known]), np.array([r["longest"] for r in known]))
+        size = {r["cluster"]: r["n"] for r in known}
+        # a long list is cut by a salt, each by its own number: other lists' probes are not copied
+        parts = F.create_map(*[F.lit(x) for c, n in size.items() for x in (c, math.ceil(n / block_rows))])
+        lists = lists.withColumn("salt", F.pmod(F.xxhash64("item_id"), F.element_at(parts, F.col("cluster"))).cast("int"))
+        start, end = 0, 1
+        while start < len(known):
+            kth = best.where(F.col("rank") == k).select("query_id", F.col("score").alias("kth"))
+            probes = cut_lineage(_next_lists(q.join(kth, "query_id", "left"), tables, start, end))
+            visits = {r["cluster"]: r["n"] for r in probes.groupBy("cluster").agg(F.count(F.lit(1)).alias("n")).collect()}
+            if not visits:
+                break
+            if work is not None:
+                work.append((len(work) + 1, probes.select("query_id").distinct().count(), sum(visits.values()), sum(n * size[c] for c, n in visits.items())))
+            salted = probes.withColumn("salt", F.explode(F.sequence(F.lit(0), F.element_at(parts, F.col("cluster")) - 1)))
+            found = _block_product(salted, lists, ["cluster", "salt"], k, exclude_self)
+            merged = best.select("query_id", "item_id", "score").unionByName(found)
+            best = cut_lineage(top_k_per_group(merged, "query_id", [F.desc("score"), F.asc("item_id")], k, rank_col="rank"))
+            start, end = end, 2 * end
+    return best.select(F.col("query_id").alias(query_col), F.col("item_id").alias(item_col), "score", "rank")
+
+
 def concordance(exact: DataFrame, approx: DataFrame, k: int, query_col: str = "query_id",
                 item_col: str = "item_id") -> DataFrame:
     """Per query |exact top-k ∩ approximate top-k| / k, and its mean."""
@@ -286,6 +382,83 @@ def offdiagonal_cosine_moments(vectors: DataFrame, dim: int, vec_col: str = "vec
                     F.sqrt(F.greatest(mean_sq - mean * mean, F.lit(0.0))).alias("std_cosine"))
 
 
+def _quantile_ranks(probs: Sequence[float], n: int) -> list[tuple[int, int, float]]:
+    """(lower rank, upper rank, weight of the upper) of each quantile among ``n`` values."""
+    out = []
+    for p in probs:
+        h = float(p) * (n - 1)
+        out.append((math.floor(h), math.ceil(h), h - math.floor(h)))
+    return out
+
+
+def offdiagonal_cosine_quantiles(vectors: DataFrame, probs: Sequence[float] = (0.1, 0.5, 0.9), id_col: str = "vec_id", vec_col: str = "vec",
+                                 block_rows: int = 20_000, bins: int = 4096, passes: int = 3) -> DataFrame:
+    """Quantiles (linear interpolation) of the cosine similarity over all
+    ordered pairs i != j: rows ``prob, value``, and ``n_pairs``.
+
+    No pair leaves a task. Each product of two blocks gives a histogram; the
+    histograms are added up and tell which bins hold the wanted ranks. The next
+    pass counts within those bins alone, ``bins`` times finer; three passes fix
+    a value to 3e-11. Each unordered pair of blocks is multiplied once and counts
+    twice. What reaches the driver is at most ``bins`` counts for each wanted rank.
+
+    Zero vectors have cosine 0 to all; rows without a vector take no part; fewer
+    than two rows give null values. Equal vectors are pairs like any others."""
+    spark = vectors.sparkSession
+    unit = vectors.where(F.col(vec_col).isNotNull()).select(F.col(id_col).cast("long").alias("item_id"), l2_normalize(vec_col).alias("vec"))
+    n = unit.count()
+    blocked, n_blocks = _numbered(cut_lineage(unit), "item_id", block_rows, "block")
+    every = F.sequence(F.lit(0), F.lit(n_blocks - 1))
+    other = F.col("other")
+    left = blocked.withColumn("other", F.explode(every)).where(other >= F.col("block")).select(F.col("block").alias("a"), other.alias("b"), "item_id", "vec")
+    right = blocked.withColumn("other", F.explode(every)).where(other <= F.col("block")).select(other.alias("a"), F.col("block").alias("b"), "item_id", "vec")
+
+    def histogram(spans: list[tuple[float, float]]):
+        def run(key, x: pa.Table, y: pa.Table) -> pa.Table:
+            total = np.zeros((len(spans), bins), np.int64)
+            if len(x) and len(y):
+                p, q = _matrix(x["vec"]), _matrix(y["vec"])
+                step = max(1, SCORE_BUDGET // len(q))
+                inner = key[0].as_py() == key[1].as_py()
+                if inner:
+                    p, q = (m[np.argsort(t["item_id"].to_numpy(), kind="stable")] for m, t in ((p, x), (q, y)))
+                for at in range(0, len(p), step):
+                    score = p[at:at + step] @ q.T
+                    if inner:  # a pair of one block is met twice, a row with itself once: above the diagonal only
+                        score = score[np.arange(len(q))[None, :] > np.arange(at, at + len(score))[:, None]]
+                    for i, (lo, width) in enumerate(spans):
+                        here = np.floor((score - lo) * (bins / width))
+                        here = here[(here >= 0) & (here < bins)].astype(np.int64)
+                        total[i] += np.bincount(here, minlength=bins)
+            span, at = np.nonzero(total)
+            return pa.table({"span": pa.array(span, pa.int32()), "at": pa.array(at, pa.int32()), "n": pa.array(total[span, at])})
+
+        found = left.groupBy("a", "b").cogroup(right.groupBy("a", "b")).applyInArrow(run, "span int, at int, n long")
+        counts = np.zeros((len(spans), bins), np.int64)
+        for r in found.groupBy("span", "at").agg(F.sum("n").alias("n")).collect():  # at most bins a span
+            counts[r["span"], r["at"]] = r["n"]
+        return counts
+
+    pairs = n * (n - 1)
+    schema = "prob double, value double, n_pairs long"
+    if not pairs:
+        return spark.createDataFrame([(float(p), None, pairs) for p in probs], schema)
+    ranks = _quantile_ranks(probs, pairs)
+    # wanted rank among unordered pairs -> (its span, ranks below the span)
+    where = {r // 2: ((-1.0 - 1e-6, 2.0 + 2e-6), 0) for lo, hi, _ in ranks for r in (lo, hi)}
+    for _ in range(passes):
+        spans = sorted({span for span, _ in where.values()})
+        counts = histogram(spans)
+        for r, (span, below) in where.items():
+            own = np.cumsum(counts[spans.index(span)])
+            at = min(int(np.searchsorted(own, r - below, side="right")), bins - 1)
+            width = span[1] / bins
+            where[r] = ((span[0] + at * width, width), below + (int(own[at - 1]) if at else 0))
+    middle = {r: span[0] + span[1] / 2 for r, (span, _) in where.items()}
+    rows = [(float(p), middle[lo // 2] + w * (middle[hi // 2] - middle[lo // 2]), pairs) for p, (lo, hi, w) in zip(probs, ranks, strict=True)]
+    return spark.createDataFrame(rows, schema)
+
+
 def _label_sums(items: DataFrame, dim: int) -> DataFrame:
     """Per label the element-wise sum of unit item vectors and the item count."""
     counts = items.groupBy("label").agg(F.count(F.lit(1)).alias("n_label"))
@@ -355,6 +528,83 @@ def truth_vs_random(truth: DataFrame, users: DataFrame, items: DataFrame) -> Dat
                     (F.avg("truth") - F.avg("random")).alias("gap"), F.avg((F.col("truth") > F.col("random")).cast("double")).alias("share_above"))
 
 
+def describe_scores(scores: DataFrame, groups: Sequence[str], probs: Sequence[float] = (0.1, 0.5, 0.9)) -> DataFrame:
+    """One row for each of ``groups``: ``group, n, mean, std`` (of the whole
+    population) and ``p10, p50, ...`` of the scores (``group, score``). The
+    quantiles are exact and distributed; a group without scores has n 0."""
+    scores = cut_lineage(scores.select("group", "score"))
+    one = scores.groupBy("group").agg(F.count("score").alias("n"), F.avg("score").alias("mean"), F.stddev_pop("score").alias("std"))
+    names = scores.sparkSession.createDataFrame([(g,) for g in groups], "group string")
+    out, quantiles = names.join(one, "group", "left").fillna(0, ["n"]), None
+    for g in groups:
+        own = exact_quantiles(scores.where(F.col("group") == g), "score", probs).withColumn("group", F.lit(g))
+        quantiles = own if quantiles is None else quantiles.unionByName(own)
+    wide = quantiles.groupBy("group").agg(*[F.max(F.when(F.col("prob") == float(p), F.col("value"))).alias(f"p{round(100 * p)}") for p in probs])
+    return out.join(wide, "group").select("group", "n", "mean", "std", *[f"p{round(100 * p)}" for p in probs])
+
+
+def _drawn_scores(drawn: DataFrame, users: DataFrame, placed: DataFrame) -> DataFrame:
+    """``user_id, group, score`` of rows (user_id, group, place, spread). Popular users and
+    items, and the few items of a small category, are drawn by very many rows: salted lookups."""
+    rows = lookup_join(drawn, placed.select("place", "u"), "place", F.col("spread"), salts=8)
+    rows = lookup_join(rows, users.select("user_id", l2_normalize("vec").alias("w")), "user_id", F.col("spread"), salts=8)
+    return rows.select("user_id", "group", dot("w", "u").alias("score"))
+
+
+def _placed(items: DataFrame) -> DataFrame:
+    """Items (item_id, label, vec) in the order of label and id, ``place`` from 0."""
+    rows = items.where(F.col("vec").isNotNull()).select("item_id", "label", l2_normalize("vec").alias("u"))
+    return cut_lineage(rows.join(dense_index(rows.select("label", "item_id"), ["label", "item_id"], "place", start=0), ["label", "item_id"]))
+
+
+def score_distributions(pairs: DataFrame, items: DataFrame, users: DataFrame, n_draws: int = 20, seed: int = 42) -> DataFrame:
+    """The distribution of users' cosines to their positives, to ``n_draws``
+    items of the positive's category and to ``n_draws`` of other categories, drawn
+    for every pair by place (md5 of seed, pair and slot: the same in any run).
+
+    ``pairs``: (user_id, item_id); ``items``: (item_id, label, vec); ``users``: (user_id,
+    vec). One row a group as in ``describe_scores``, of groups positive,
+    same_category, other_category. A draw never gives the positive itself; where
+    a category holds nothing else, or there is no other, nothing is drawn. Pairs
+    whose user or item has no vector take no part; a repeated pair draws the
+    same items again."""
+    from clickloom.operators.negatives import draw
+    placed = _placed(items)
+    labels = placed.groupBy("label").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n_label"))
+    spread = F.xxhash64("user_id", "item_id")
+    known = lookup_join(pairs.select("user_id", "item_id"), placed.select("item_id", "place", "label"), "item_id", F.col("user_id"), salts=8)
+    rows = attach(lookup_join(known, labels, "label", spread), placed.agg(F.count(F.lit(1)).alias("n_all")))
+
+    def drawn(group: str, free: Column, place) -> DataFrame:
+        u = F.pmod(draw(seed, F.col("user_id"), F.col("item_id"), F.col("slot"), group), free)
+        own = rows.where(free > 0).withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(n_draws - 1)))).withColumn("u", u)
+        return own.select("user_id", F.lit(group).alias("group"), place(F.col("u")).alias("place"), F.xxhash64("item_id", "slot").alias("spread"))
+
+    own = F.col("place") - F.col("first")
+    same = drawn("same_category", F.col("n_label") - 1, lambda u: F.col("first") + u + (u >= own).cast("long"))
+    other = drawn("other_category", F.col("n_all") - F.col("n_label"), lambda u: u + F.when(u >= F.col("first"), F.col("n_label")).otherwise(0))
+    positive = rows.select("user_id", F.lit("positive").alias("group"), "place", F.col("item_id").cast("long").alias("spread"))
+    scores = _drawn_scores(positive.unionByName(same).unionByName(other), users, placed)
+    return describe_scores(scores, ("positive", "same_category", "other_category"))
+
+
+def truth_score_distributions(truth: DataFrame, users: DataFrame, items: DataFrame, n_draws: int = 1000, seed: int = 42) -> DataFrame:
+    """Over users, the distribution of the mean cosine to their ground truth
+    (``truth``: user_id, item_id) and to ``n_draws`` items drawn from the
+    catalogue by place, with replacement: one row each (groups truth, random) as
+    in ``describe_scores``. Users without a vector or any truth inside the items
+    take no part."""
+    from clickloom.operators.negatives import draw
+    placed = _placed(items.select("item_id", F.lit(0).alias("label"), "vec"))
+    rows = lookup_join(truth.select("user_id", "item_id").distinct(), placed.select("item_id", "place"), "item_id", F.col("user_id"), salts=8)
+    own = rows.select("user_id", F.lit("truth").alias("group"), "place", F.col("item_id").cast("long").alias("spread"))
+    slots = attach(own.select("user_id").distinct(), placed.agg(F.count(F.lit(1)).alias("n_all"))).withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(n_draws - 1))))
+    random = slots.select("user_id", F.lit("random").alias("group"), F.pmod(draw(seed, F.col("user_id"), F.col("slot"), "random"), F.col("n_all")).alias("place"),
+                          F.col("slot").cast("long").alias("spread"))
+    scores = _drawn_scores(own.unionByName(random), users, placed)
+    return describe_scores(scores.groupBy("user_id", "group").agg(F.avg("score").alias("score")), ("truth", "random"))
+
+
 def session_requests(events: DataFrame, item_vocab: DataFrame, max_len: int = 20, session_col: str = "user_session") -> DataFrame:
     """What the recommender is asked per session: the last ``max_len`` known
     items in time order with their type codes (an unknown type counts as a

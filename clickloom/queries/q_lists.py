@@ -120,6 +120,55 @@ def q_truth(spark, sf):
     return out.select("n_users", *[rnd(c, 6).alias(c) for c in ("mean_truth", "mean_random", "gap", "share_above")])
 
 
+SCORE_STATS = """count(s) AS n, round(avg(s), 6) AS mean, round(stddev_pop(s), 6) AS std, round(quantile_cont(s, 0.1), 6) AS p10,
+       round(quantile_cont(s, 0.5), 6) AS p50, round(quantile_cont(s, 0.9), 6) AS p90"""
+
+
+def _rounded(out):
+    return out.select("group", "n", *[rnd(c, 6).alias(c) for c in ("mean", "std", "p10", "p50", "p90")])
+
+
+# Positives against drawn items of their category and of others.
+@register("score_distributions", with_(FEATURES) + USER_VECTORS + f""",
+il AS (SELECT iv.product_id, iv.e, emb.label FROM iv JOIN embeddings emb ON emb.vec_id = iv.product_id),
+pr AS (SELECT t.user_id, t.product_id, il.label, il.e, uv.w FROM inter_train t JOIN uv USING (user_id) JOIN il USING (product_id)),
+lists AS (SELECT label, list(product_id ORDER BY product_id) AS own, (SELECT list(o.product_id ORDER BY o.label, o.product_id) FROM il o WHERE o.label <> il.label) AS others
+          FROM il GROUP BY label),
+dr AS (SELECT user_id, product_id, w, slot, list_filter(own, lambda x: x <> product_id) AS same, others
+       FROM pr JOIN lists USING (label), range(20) r(slot)),
+sc AS (
+  SELECT 'positive' AS "group", list_cosine_similarity(w, e) AS s FROM pr
+  UNION ALL
+  SELECT 'same_category', list_cosine_similarity(d.w, il.e) FROM dr d
+  JOIN il ON il.product_id = d.same[{N.draw_sql("42", "d.user_id", "d.product_id", "d.slot", "'same_category'")} % len(d.same) + 1]
+  UNION ALL
+  SELECT 'other_category', list_cosine_similarity(d.w, il.e) FROM dr d
+  JOIN il ON il.product_id = d.others[{N.draw_sql("42", "d.user_id", "d.product_id", "d.slot", "'other_category'")} % len(d.others) + 1])
+SELECT "group", {SCORE_STATS} FROM sc GROUP BY ALL""")
+def q_score_distributions(spark, sf):
+    f, users, items = _vectors(spark, sf)
+    labels = _emb(spark, sf).select(F.col("vec_id").alias("product_id"), "label")
+    items = items.join(labels, "product_id").select(F.col("product_id").alias("item_id"), "label", "vec")
+    return _rounded(V.score_distributions(f.inter.select("user_id", F.col("product_id").alias("item_id")), items, users))
+
+
+# The same over users, of what they bought in the test period.
+@register("truth_score_distributions", with_(FEATURES) + USER_VECTORS + f""",
+tr AS (SELECT DISTINCT t.user_id, t.product_id FROM test t JOIN uv USING (user_id) JOIN iv USING (product_id) WHERE event_type = 'purchase'),
+al AS (SELECT list(product_id ORDER BY product_id) AS every FROM iv),
+sc AS (
+  SELECT 'truth' AS "group", avg(list_cosine_similarity(uv.w, iv.e)) AS s FROM tr JOIN uv USING (user_id) JOIN iv USING (product_id) GROUP BY tr.user_id
+  UNION ALL
+  SELECT 'random', avg(list_cosine_similarity(uv.w, iv.e))
+  FROM (SELECT user_id, every[{N.draw_sql("42", "user_id", "slot", "'random'")} % len(every) + 1] AS product_id
+        FROM (SELECT DISTINCT user_id FROM tr), al, range(1000) r(slot)) JOIN uv USING (user_id) JOIN iv USING (product_id) GROUP BY user_id)
+SELECT "group", {SCORE_STATS} FROM sc GROUP BY ALL""")
+def q_truth_distributions(spark, sf):
+    f, users, items = _vectors(spark, sf)
+    truth = f.split("test").filter(F.col("event_type") == "purchase").select("user_id", F.col("product_id").alias("item_id"))
+    return _rounded(V.truth_score_distributions(truth, users, items.select(F.col("product_id").alias("item_id"), "vec")))
+
+
 # Quantiles of the sessions' pool sizes.
 @register("session_negative_pool_quantiles", with_(FEATURES) + SESS_NEG + """
 SELECT 'pool_size' AS metric, round(unnest([0.1, 0.25, 0.5, 0.75, 0.9]::DOUBLE[]), 6) AS prob,
