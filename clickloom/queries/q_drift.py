@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import functions as F
 
 from clickloom.functions.columns import rnd
 from clickloom.operators import drift as D
+from clickloom.operators import weekly_state as S
 from clickloom.queries import register
 from clickloom.queries.common import features
 from clickloom.queries.sql_base import FEATURES, secs, with_
+from clickloom.session import scratch_path
 
 # The first week of January is the baseline of weeks 1 and 2, the two weeks after
 # it that of all later ones. Week 4 is the month's last two days.
@@ -95,12 +98,12 @@ r{w} AS (SELECT * FROM (SELECT u.user_id, p.product_id, row_number() OVER (PARTI
            AS rank FROM (SELECT DISTINCT user_id FROM g{w}) u CROSS JOIN p{w} p
            WHERE NOT EXISTS (SELECT 1 FROM h{w} s WHERE s.user_id = u.user_id AND s.product_id = p.product_id))
          WHERE rank <= 20),
-m{w} AS (SELECT g.user_id, coalesce(h.dcg, 0.0) / i.idcg AS ndcg
+m{w} AS (SELECT g.user_id, coalesce(h.dcg, 0.0) / i.idcg AS ndcg, CASE WHEN h.dcg IS NULL THEN 0.0 ELSE 1.0 END AS hit
   FROM (SELECT user_id, least(count(*), 20) AS n_ideal FROM g{w} GROUP BY 1) g
   LEFT JOIN (SELECT r.user_id, sum(gn.gain) AS dcg FROM r{w} r JOIN g{w} USING (user_id, product_id)
              JOIN gains_20 gn ON gn.rank = r.rank GROUP BY 1) h USING (user_id)
   JOIN gains_20 i ON i.rank = g.n_ideal)""")
-        sels.append(f"SELECT {w} AS week, avg(ndcg) AS ndcg FROM m{w}")
+        sels.append(f"SELECT {w} AS week, avg(ndcg) AS ndcg, avg(hit) AS hr_20 FROM m{w}")
     parts.append("wndcg AS (" + " UNION ALL ".join(sels) + ")")
     return ",\n" + ",\n".join(parts)
 
@@ -109,7 +112,7 @@ WEEKLY = TAGGED + _weekly_ndcg_sql()
 
 
 WK = """,
-wk AS (SELECT v.week, v.n_events, v.n_sessions, j.jsd, n.ndcg FROM wvol v LEFT JOIN wjsd j USING (week) LEFT JOIN wndcg n USING (week))"""
+wk AS (SELECT v.week, v.n_events, v.n_sessions, j.jsd, n.ndcg, n.hr_20 FROM wvol v LEFT JOIN wjsd j USING (week) LEFT JOIN wndcg n USING (week))"""
 
 
 @register("weekly_drift_metrics", with_(FEATURES) + WEEKLY + WK + """
@@ -139,3 +142,22 @@ def q_gate(spark, sf):
     g = D.weekly_gate(D.weekly_report(features(spark, sf).clean, WEEK1, BASELINES))
     return g.select("week", rnd("jsd", 6).alias("jsd"), rnd("ndcg", 6).alias("ndcg"), "action", "retrained", "promoted",
                     rnd("best_after", 6).alias("best_after"))
+
+
+# R17 with stored state: two weeks in one run, the rest in the next, the second judged again in a third.
+@register("weekly_state_resumed", "WITH RECURSIVE " + with_(FEATURES)[len("WITH "):] + WEEKLY + WK + f""",
+g AS (
+  SELECT {_gate_sql("CAST(0.0 AS DOUBLE)")}, CAST(0.0 AS DOUBLE) AS best_before FROM wk w WHERE w.week = 1
+  UNION ALL
+  SELECT {_gate_sql("g.best_after")}, g.best_after AS best_before FROM g JOIN wk w ON w.week = g.week + 1)
+SELECT week, n_events, n_sessions, round(wk.jsd, 6) AS jsd, round(wk.ndcg, 6) AS ndcg, round(hr_20, 6) AS hr_20, action,
+       CASE WHEN action IN ('promoted', 'not_promoted') THEN round(wk.ndcg - best_before, 6) END AS improvement,
+       action IN ('trained_no_eval', 'promoted', 'not_promoted') AS retrained, action = 'promoted' AS promoted, round(best_after, 6) AS best_after
+FROM g JOIN wk USING (week)""")
+def q_state(spark, sf):
+    clean, state = features(spark, sf).clean, scratch_path(spark, f"weekly-state-{uuid.uuid4().hex}")
+    S.advance(clean, state, WEEK1, BASELINES, weeks=[1, 2])
+    S.advance(clean, state, WEEK1, BASELINES)
+    out = S.advance(clean, state, WEEK1, BASELINES, weeks=[2], redo=[2])
+    return out.select("week", "n_events", "n_sessions", "action", "retrained", "promoted",
+                      *[rnd(c, 6).alias(c) for c in ("jsd", "ndcg", "hr_20", "improvement", "best_after")])
