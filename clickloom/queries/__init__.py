@@ -36,7 +36,7 @@ def _load() -> None:
     from clickloom.queries import (  # noqa: F401
         q_sources, q_cleaning, q_sampling, q_interactions, q_profiling, q_features,
         q_sequences, q_ranking, q_drift, q_vectors, q_negatives, q_analysis, q_quality,
-        q_sinks, q_lists,
+        q_sinks, q_lists, q_sketches,
     )
     _LOADED.append(True)
 

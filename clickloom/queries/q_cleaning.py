@@ -8,8 +8,8 @@ from clickloom.functions.columns import rnd
 
 from clickloom.operators import cleaning as C
 from clickloom.queries import register
-from clickloom.queries.sql_base import CLEAN, DIRTY, clean_sql, kcore_sql, with_
-from clickloom.sources.testdata import clickstream, dirty_clickstream
+from clickloom.queries.sql_base import CLEAN, DIRTY, ORDER_EVENTS, clean_sql, kcore_sql, with_
+from clickloom.sources.testdata import clickstream, dirty_clickstream, order_interactions
 
 CS_COLS = ("event_time, event_type, product_id, category_id, category_code, brand, price, "
            "user_id, user_session")
@@ -84,6 +84,20 @@ def q_kcore36(spark, sf):
     return C.kcore(C.clean_events(clickstream(spark, sf)), k=36)
 
 
+ORDER_ROWS = "user_id, product_id, event_type, l_orderkey, l_linenumber"
+
+
+# Customers and parts: stable after a few rounds, and still shrinking when the tenth ends it.
+@register("kcore_orders_k20", with_(ORDER_EVENTS, kcore_sql("oi", 20)) + f"\nSELECT {ORDER_ROWS} FROM kc10")
+def q_kcore_orders(spark, sf):
+    return C.kcore(order_interactions(spark, sf), k=20).select(*ORDER_ROWS.split(", "))
+
+
+@register("kcore_orders_k24_cut", with_(ORDER_EVENTS, kcore_sql("oi", 24)) + f"\nSELECT {ORDER_ROWS} FROM kc10")
+def q_kcore_orders_cut(spark, sf):
+    return C.kcore(order_interactions(spark, sf), k=24, pairs_a_bucket=8192).select(*ORDER_ROWS.split(", "))
+
+
 def _report_sql(k: int, rounds: int) -> str:
     sel = []
     for i in range(rounds + 1):
