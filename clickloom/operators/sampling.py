@@ -97,8 +97,7 @@ def split_overlap(train: DataFrame, test: DataFrame, user_col: str = "user_id",
                   gate: tuple[float, float] = (65.0, 85.0)) -> DataFrame:
     """A23 + Q5: one row of train/test users, overlap and the 65-85 % gate.
 
-    Built as one-row aggregates cross-joined (J12): each side is reduced to one
-    row first, so the cross join is 1 x 1."""
+    One-row aggregates of each side (J12), attached as scalar subqueries."""
     tr = train.select(user_col).distinct()
     te = test.select(user_col).distinct()
     a = tr.agg(F.count(F.lit(1)).alias("train_users"))
@@ -110,14 +109,34 @@ def split_overlap(train: DataFrame, test: DataFrame, user_col: str = "user_id",
                       ((pct >= gate[0]) & (pct <= gate[1])).alias("gate_pass"))
 
 
+# The event table's columns and their types.
+EVENT_TYPES = {"event_time": "timestamp", "event_type": "string", "product_id": "bigint", "category_id": "bigint", "category_code": "string",
+               "brand": "string", "price": "double", "user_id": "bigint", "user_session": "string"}
+
+
+def _same_type(found: str | None, expected: str) -> bool:
+    """Times with and without a zone are both timestamps; text is not."""
+    return found == expected or (expected == "timestamp" and found in ("timestamp_ntz", "timestamp_ltz"))
+
+
+def schema_validation(df: DataFrame, expected: dict[str, str] = EVENT_TYPES) -> DataFrame:
+    """One row a column, expected or found: ``column, expected_type, found_type,
+    status`` (ok, wrong_type, missing, unexpected). Read from the schema: no data is scanned."""
+    found = {f.name: f.dataType.simpleString() for f in df.schema}
+    rows = [(c, expected.get(c), found.get(c), "missing" if c not in found else "unexpected" if c not in expected
+             else "ok" if _same_type(found[c], expected[c]) else "wrong_type") for c in sorted({*expected, *found})]
+    return df.sparkSession.createDataFrame(rows, "column string, expected_type string, found_type string, status string")
+
+
 def table_validation(df: DataFrame, user_col: str = "user_id", item_col: str = "product_id",
                      ts_col: str = "event_time", price_col: str = "price", session_col: str = "user_session",
                      type_col: str = "event_type", price_floor: float = 1.0, bot_threshold: float = 300.0,
                      null_cols: Sequence[str] = ("category_code", "brand"),
                      types: Sequence[str] = ("view", "cart", "purchase")) -> DataFrame:
     """One row of users, events, items, time range, rows below the price
-    floor, nulls by column, events by type (and of no known type), and the
-    number of users whose mean events a day exceed ``bot_threshold``."""
+    floor, nulls by column, events by type (and of no known type), the number of
+    users whose mean events a day exceed ``bot_threshold``, and whether the time
+    column is a timestamp and every column of ``EVENT_TYPES`` there with its type."""
     one = df.agg(F.count_distinct(user_col).alias("n_users"),
                  F.count(F.lit(1)).alias("n_events"),
                  F.count_distinct(item_col).alias("n_items"),
@@ -130,7 +149,10 @@ def table_validation(df: DataFrame, user_col: str = "user_id", item_col: str = "
                  F.count_if(F.coalesce(~F.col(type_col).isin(list(types)), F.lit(True))).alias("n_other_types"))
     daily = df.groupBy(user_col, F.to_date(ts_col).alias("_d")).agg(F.count(F.lit(1)).alias("_n"))
     bots = daily.groupBy(user_col).agg(F.avg("_n").alias("_a")).filter(F.col("_a") > bot_threshold)
-    return attach(one, bots.agg(F.count(F.lit(1)).alias("n_bot_users")))
+    found = dict(df.dtypes)
+    typed = all(_same_type(found.get(c), t) for c, t in EVENT_TYPES.items())
+    out = attach(one, bots.agg(F.count(F.lit(1)).alias("n_bot_users")))
+    return out.withColumns({"time_is_timestamp": F.lit(_same_type(found.get(ts_col), "timestamp")), "schema_ok": F.lit(typed)})
 
 
 def sample_profile(frames: dict[str, DataFrame], type_col: str = "event_type",

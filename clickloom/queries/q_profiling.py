@@ -271,14 +271,13 @@ def q_pop_share(spark, sf):
     return out.select("product_id", "weight", rnd("share", 6).alias("share"))
 
 
-# Dynamic pivot columns (one per calendar month): rows-only check; the long form above is oracle-checked.
-# A dynamic pivot sees no CTE: the interactions are written out inside.
-@register("month_overlap_matrix_orders", """
-SELECT month_a, coalesce(COLUMNS(* EXCLUDE (month_a)), 0) FROM (
-  PIVOT (SELECT a.m AS month_a, b.m AS month_b, count(*) AS n
-         FROM (SELECT DISTINCT o_custkey AS u, strftime(o_orderdate, '%Y-%m') AS m FROM orders JOIN lineitem ON l_orderkey = o_orderkey) a
-         JOIN (SELECT DISTINCT o_custkey AS u, strftime(o_orderdate, '%Y-%m') AS m FROM orders JOIN lineitem ON l_orderkey = o_orderkey) b
-           USING (u) GROUP BY 1, 2)
-  ON month_b USING first(n) GROUP BY month_a)""")
+# A column for each month of the orders, in the oracle by conditional sums.
+ORDER_MONTHS = [f"{y}-{m:02d}" for y in range(1995, 2002) for m in range(1, 13)][:80]
+
+
+@register("month_overlap_matrix_orders", with_(ORDER_EVENTS) + """,
+um AS (SELECT DISTINCT user_id, strftime(event_time, '%Y-%m') AS m FROM oi)
+SELECT a.m AS month_a, """ + ", ".join(f"count_if(b.m = '{m}') AS \"{m}\"" for m in ORDER_MONTHS) + """
+FROM um a JOIN um b USING (user_id) GROUP BY a.m""")
 def q_overlap_matrix(spark, sf):
     return P.month_overlap_matrix(P.month_overlap(order_interactions(spark, sf)))

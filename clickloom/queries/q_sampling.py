@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from clickloom.operators import sampling as S
 from clickloom.queries import register
 from clickloom.queries.common import clean, labelled, order_interactions, split
@@ -111,7 +113,8 @@ SELECT count(DISTINCT user_id) AS n_users, count(*) AS n_events, count(DISTINCT
        count_if(event_type = 'cart') AS n_cart, count_if(event_type = 'purchase') AS n_purchase,
        count_if(event_type IS NULL OR event_type NOT IN ('view', 'cart', 'purchase')) AS n_other_types,
        (SELECT count(*) FROM (SELECT user_id FROM (SELECT user_id, CAST(event_time AS DATE) AS d, count(*) AS n FROM {src} GROUP BY 1, 2)
-                              GROUP BY user_id HAVING avg(n) > {bots})) AS n_bot_users
+                              GROUP BY user_id HAVING avg(n) > {bots})) AS n_bot_users,
+       true AS time_is_timestamp, true AS schema_ok
 FROM {src}"""
 
 
@@ -126,6 +129,18 @@ def q_validation(spark, sf):
     return S.table_validation(clean(spark, sf))
 
 
+# A table whose times are text, whose prices are missing and that has a column too many.
+@register("table_schema_validation", """
+SELECT c AS "column", e AS expected_type, f AS found_type, s AS status FROM (VALUES
+  ('brand', 'string', 'string', 'ok'), ('category_code', 'string', 'string', 'ok'), ('category_id', 'bigint', 'bigint', 'ok'),
+  ('event_time', 'timestamp', 'string', 'wrong_type'), ('event_type', 'string', 'string', 'ok'), ('loaded', NULL, 'date', 'unexpected'),
+  ('price', 'double', NULL, 'missing'), ('product_id', 'bigint', 'bigint', 'ok'), ('user_id', 'bigint', 'bigint', 'ok'),
+  ('user_session', 'string', 'string', 'ok')) t(c, e, f, s)""")
+def q_schema(spark, sf):
+    raw = clean(spark, sf).withColumn("event_time", F.col("event_time").cast("string")).withColumn("loaded", F.current_date())
+    return S.schema_validation(raw.drop("price"))
+
+
 def _profile_sql(label: str, src: str) -> str:
     return (f"SELECT '{label}' AS label, count(*) AS n_events, "
             + ", ".join(f"round(count_if(event_type = '{t}') * 100.0 / count(*), 6) AS pct_{t}"

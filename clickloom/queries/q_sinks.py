@@ -10,10 +10,13 @@ from pyspark.sql import functions as F
 from clickloom.queries import register
 from clickloom.queries.common import features
 from clickloom.queries.q_sources import TITLE_SQL, q_catalog
-from clickloom.queries.sql_base import CLICKSTREAM, FEATURES, secs, with_
+from clickloom.queries.sql_base import CLICKSTREAM, FEATURES, ORDER_EVENTS, secs, with_
 from clickloom.session import cut_lineage, scratch_path
 from clickloom.sources import files as Fl
-from clickloom.sources.testdata import clickstream
+from clickloom.sources import staged as St
+from clickloom.sources.testdata import clickstream, order_interactions
+
+RELOADED = "1995-06"
 
 
 def _path(spark, name):
@@ -111,3 +114,48 @@ def q_holdout(spark, sf):
         Fl.name_parts(spark, path, split, target)
     rest = Fl.parse_event_time(Fl.months_from_file_stem(Fl.read_raw_csv(spark, target), ["test"]))
     return rest.select(F.unix_timestamp("event_time").alias("event_epoch"), "event_type", "product_id", "price", "user_id", "user_session")
+
+
+# A table replaced by a checked one, also where the new rows come from the old; a refused one changes nothing.
+@register("replaced_table_checked", with_(FEATURES) + "\nSELECT * FROM inter_train WHERE confidence_score >= 2")
+def q_replaced_checked(spark, sf):
+    path, name = _path(spark, "replaced"), f"clickloom_{uuid.uuid4().hex}"
+    St.replace_table(features(spark, sf).clean.select("user_id", "product_id"), name, path)
+    St.replace_table(features(spark, sf).inter, name, path)
+    St.replace_table(spark.table(name).where(F.col("confidence_score") >= 2), name, path)
+
+    def refuse(df):
+        raise ValueError("refused")
+    try:
+        St.replace_table(spark.table(name).limit(1), name, path, refuse)
+    except ValueError:
+        return spark.table(name)
+    raise AssertionError("the check was not asked")
+
+
+# A month of orders loaded again, the others' files as they were.
+@register("month_reload_orders", with_(ORDER_EVENTS) + """
+SELECT strftime(event_time, '%Y-%m') AS month, count(*) AS n, count_if(event_type = 'reloaded') AS n_reloaded FROM (
+  SELECT event_time, CASE WHEN strftime(event_time, '%Y-%m') = '{month}' THEN 'reloaded' ELSE event_type END AS event_type FROM oi) GROUP BY 1""".replace(
+    "{month}", RELOADED))
+def q_reload(spark, sf):
+    path = _path(spark, "by-month")
+    orders = order_interactions(spark, sf).withColumn("month", F.date_format("event_time", "yyyy-MM"))
+    St.reload_partitions(orders, path)
+    St.reload_partitions(orders.where(F.col("month") == RELOADED).withColumn("event_type", F.lit("reloaded")), path, only=[RELOADED])
+    found = spark.read.option("basePath", path).schema(orders.schema).parquet(path)
+    return found.groupBy("month").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("event_type") == "reloaded").alias("n_reloaded"))
+
+
+# Good rows and rejects counted by the write itself, each in its table.
+@register("bulk_load_gate", with_(CLICKSTREAM) + """
+SELECT CASE WHEN event_type = 'signup' THEN 'rejected' ELSE 'loaded' END AS table_name, count(*) AS n_rows, count(*) AS n_observed,
+       count(DISTINCT user_id) AS n_users FROM clickstream GROUP BY 1""")
+def q_gate(spark, sf):
+    source, path, quarantine = (_path(spark, p) for p in ("gate-csv", "gate-loaded", "gate-rejected"))
+    price = F.when(F.col("event_type") == "signup", F.lit("no number")).otherwise(F.col("price").cast("string"))
+    _zoned(clickstream(spark, sf)).withColumn("price", price).write.option("header", True).csv(source)
+    n = St.load_csv(spark, source, path, quarantine, max_bad=1 << 40)
+    table = lambda where, name, seen: spark.read.parquet(where).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.lit(seen).cast("long").alias("n_observed"), F.count_distinct("user_id").alias("n_users")).withColumn("table_name", F.lit(name))
+    return table(path, "loaded", n["good"]).unionByName(table(quarantine, "rejected", n["bad"]))

@@ -84,30 +84,43 @@ def q_brands(spark, sf):
     return brands.withColumn("brand_display", title_brand(F.col("brand")))
 
 
-@register("catalog_entries", with_(FEATURES) + """,
+CATALOG_SQL = with_(FEATURES) + """,
 ranked AS (SELECT CAST(product_id AS VARCHAR) AS item_id, coalesce(cat_l1, 'unknown') AS c1,
                   coalesce(cat_l2, 'unknown') AS c2, trim(lower(coalesce(brand, ''))) AS brand,
                   round(avg_price, 2) AS price, CAST(item_total_confidence AS BIGINT) AS interactions
            FROM item_feats),
-top AS (SELECT * FROM ranked ORDER BY interactions DESC, item_id LIMIT 2000),
+top AS (SELECT * FROM ranked ORDER BY interactions DESC, item_id LIMIT {n}),
 pre AS (SELECT * FROM ranked WHERE item_id IN ('7', '42', '77') AND item_id NOT IN (SELECT item_id FROM top)),
 cat AS (SELECT * FROM top UNION ALL SELECT * FROM pre)
-SELECT *, """ + TITLE_SQL + """ AS brand_display
-FROM cat""")
-def q_catalog(spark, sf):
+SELECT *, {title} AS brand_display
+FROM cat"""
+
+
+def _catalog_sql(n):
+    return CATALOG_SQL.replace("{n}", str(n)).replace("{title}", TITLE_SQL)
+
+
+@register("catalog_entries", _catalog_sql(2000))
+def q_catalog(spark, sf, n=2000):
     it = features(spark, sf).items
     ranked = it.select(F.col("product_id").cast("string").alias("item_id"),
                        F.coalesce("cat_l1", F.lit("unknown")).alias("c1"),
                        F.coalesce("cat_l2", F.lit("unknown")).alias("c2"),
                        normalise_brand(F.col("brand")).alias("brand"), rnd("avg_price", 2).alias("price"),
                        F.col("item_total_confidence").cast("long").alias("interactions"))
-    top = ranked.orderBy(F.desc("interactions"), F.asc("item_id")).limit(2000)
+    top = ranked.orderBy(F.desc("interactions"), F.asc("item_id")).limit(n)
     pre = ranked.filter(F.col("item_id").isin(list(PRESET_ITEMS))).join(top.select("item_id"), "item_id",
                                                                        "left_anti")
     cat = top.unionByName(pre)
     return cat.withColumn("brand_display", title_brand(F.col("brand")))
 
 
+# A list so short that presets lie outside it.
+@register("catalog_entries_top10", _catalog_sql(10))
+def q_catalog_top10(spark, sf):
+    return q_catalog(spark, sf, 10)
+
+
 @register("catalog_json_lines", None)
 def q_catalog_json(spark, sf):
     cat = q_catalog(spark, sf)
