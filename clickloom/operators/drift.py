@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickloom.functions.columns import attach, rnd
+from clickloom.operators.ordering import lookup_join
 from clickloom.session import cut_lineage
 
 # Fixed values of the drift monitor.
@@ -158,10 +159,11 @@ def weekly_jsd(tagged: DataFrame, events: DataFrame, baselines: list[Baseline],
         counts = own if counts is None else counts.unionByName(own)
     cur = cut_lineage(tagged.groupBy("week", F.col(item_col).alias("item")).agg(F.count(F.lit(1)).alias("n_q")))
     weeks = cur.select("week").distinct().withColumn("period", period)
-    ref = weeks.join(counts, "period").select("week", "item", "n_p")
+    # two keys each (period, then week) for whole catalogues: salted
+    ref = lookup_join(counts, weeks, "period", F.col("item")).select("week", "item", "n_p")
     j = ref.join(cur, ["week", "item"], "full_outer").fillna(0, ["n_p", "n_q"])
     tot = j.groupBy("week").agg(F.sum("n_p").alias("t_p"), F.sum("n_q").alias("t_q"))
-    j = j.join(tot, "week")
+    j = lookup_join(j, tot, "week", F.col("item"))
     p = F.when(F.col("t_p") > 0, F.col("n_p") / F.col("t_p")).otherwise(F.lit(0.0))
     q = F.when(F.col("t_q") > 0, F.col("n_q") / F.col("t_q")).otherwise(F.lit(0.0))
     m = (p + q) / 2

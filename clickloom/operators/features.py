@@ -1,8 +1,8 @@
 """Item/user features, vocabularies, scaling and encoding.
 
 Vocabularies are two-column DataFrames joined to the data, never driver
-dictionaries. Scaling statistics are one-row aggregates cross-joined (a 1 x n
-join), so nothing but a single row is ever broadcast.
+dictionaries. Scaling statistics are one-row aggregates, attached as scalar
+subqueries.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.functions.columns import attach, category_level, exact_mean, price_bucket, rnd, safe_divide
-from clickloom.operators.ordering import dense_index, top_k_per_group
+from clickloom.operators.ordering import dense_index, lookup_join, top_k_per_group
 
 
 def item_features(events: DataFrame, train_interactions: DataFrame,
@@ -47,15 +47,20 @@ def user_features(train_events: DataFrame, items: DataFrame, user_col: str = "us
     rounded mean day of week (1 = Sunday): averages, not modes.
     """
     t = F.col("event_type")
-    n = F.count(F.lit(1))
-    base = train_events.groupBy(user_col).agg(
+    # a session first: distinct sessions are then rows, distinct months a short array, and no event is expanded
+    sessions = train_events.groupBy(user_col, "user_session").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(t == "purchase").alias("n_purchase"), F.count_if(t == "cart").alias("n_cart"),
+        F.sum(F.hour("event_time")).alias("hours"), F.sum(F.dayofweek("event_time")).alias("dows"), F.count("event_time").alias("n_times"),
+        F.collect_set(F.date_format("event_time", "yyyy-MM")).alias("months"))
+    n, times = F.sum("n"), F.sum("n_times")
+    base = sessions.groupBy(user_col).agg(
         n.alias("total_events"),
-        F.count_distinct(F.date_format("event_time", "yyyy-MM")).alias("months_active"),
-        rnd(F.count_if(t == "purchase") / n, 4).alias("purchase_rate"),
-        rnd(F.count_if(t == "cart") / n, 4).alias("cart_rate"),
-        F.count_distinct("user_session").alias("n_sessions"),
-        F.floor(F.avg(F.hour("event_time")) / 6).cast("int").alias("peak_hour_bucket"),
-        rnd(F.avg(F.dayofweek("event_time"))).cast("int").alias("preferred_dow"))
+        F.size(F.array_distinct(F.flatten(F.collect_set("months")))).cast("long").alias("months_active"),
+        rnd(F.sum("n_purchase") / n, 4).alias("purchase_rate"),
+        rnd(F.sum("n_cart") / n, 4).alias("cart_rate"),
+        F.count("user_session").alias("n_sessions"),
+        F.floor(F.try_divide(F.sum("hours"), times) / 6).cast("int").alias("peak_hour_bucket"),
+        rnd(F.try_divide(F.sum("dows"), times)).cast("int").alias("preferred_dow"))
     enriched = train_events.select(user_col, item_col, "event_type").join(
         items.select(item_col, "cat_l1", "avg_price"), item_col)
     cats = enriched.groupBy(user_col, "cat_l1").agg(F.count(F.lit(1)).alias("_n"))
@@ -102,9 +107,10 @@ def standard_scale(df: DataFrame, cols: dict[str, Column], digits: int | None =
 
 
 def _lookup(df: DataFrame, vocab: DataFrame, col: str, index_col: str, out: str) -> DataFrame:
-    v = vocab.select(F.col(col).alias("_k"), F.col(index_col).alias(out))
-    return (df.join(v, df[col] == v["_k"], "left").drop("_k")
-            .withColumn(out, F.coalesce(F.col(out), F.lit(0)).cast("long")))
+    """``df`` with the index of its ``col`` (0 if unknown). A brand or category may
+    hold most rows: salted by the first column, the row's id."""
+    v = vocab.select(F.col(col), F.col(index_col).alias(out))
+    return lookup_join(df, v, col, F.col(df.columns[0]), how="left").withColumn(out, F.coalesce(F.col(out), F.lit(0)).cast("long"))
 
 
 def encode_items(items: DataFrame, item_vocab: DataFrame, cat_l1_vocab: DataFrame, cat_l2_vocab: DataFrame,
@@ -174,7 +180,7 @@ def augment_items(items_enc: DataFrame, items: DataFrame, inter: DataFrame, cuto
     m = (items_enc.select("product_id", "item_idx", "cat_l2_idx").join(price, "product_id", "left")
          .withColumn("avg_price", F.greatest(F.coalesce(F.col("avg_price"), F.lit(0.0)), F.lit(0.0))))
     cat_mean = m.groupBy("cat_l2_idx").agg(F.avg("avg_price").alias("_cm"))
-    m = m.join(cat_mean, "cat_l2_idx")
+    m = lookup_join(m, cat_mean, "cat_l2_idx", F.col("product_id"))
     rel = (F.col("avg_price") - F.col("_cm")) / F.when(F.col("_cm") == 0, F.lit(1.0)).otherwise(F.col("_cm"))
     first = inter.groupBy("product_id").agg(F.min("first_interaction").alias("_fs"))
     days = F.greatest((F.unix_timestamp(cutoff) - F.unix_timestamp("_fs")) / 86400.0, F.lit(0.0))

@@ -99,7 +99,7 @@ def hard_negatives(pairs: DataFrame, items: DataFrame, n_neg: int = N_HARD, warm
     slots = F.explode(F.sequence(F.lit(0), F.lit(n_neg - 1))).alias("slot")
     wd = pa.filter(warm).select("user_idx", "item_idx", "touched", "n_untouched", slots)
     wd = wd.withColumn("place", past(F.pmod(draw(seed, u, i, slot, "category"), F.col("n_untouched")), F.col("touched")))
-    wd = wd.join(cats, "place").withColumn("pos", F.pmod(draw(seed, u, i, slot, "item"), F.col("n")))
+    wd = lookup_join(wd, cats, "place", F.xxhash64(u, i, slot)).withColumn("pos", F.pmod(draw(seed, u, i, slot, "item"), F.col("n")))
     warm_out = (wd.join(pools.filter(F.col("kind") == "cat").select("key", "pos", F.col("item_idx").alias("neg_item_idx")), ["key", "pos"])
                 .select("user_idx", "item_idx", "slot", "neg_item_idx", F.lit("warm_anti_category").alias("route")))
 
@@ -110,7 +110,7 @@ def hard_negatives(pairs: DataFrame, items: DataFrame, n_neg: int = N_HARD, warm
         F.when(known, F.col("cat_l2_idx")).otherwise(F.col("price_bucket")).cast("long").alias("key"))
     taken = p.join(pools.select("item_idx", "kind", "key", "pos"), "item_idx")
     held = taken.groupBy("user_idx", "kind", "key").agg(F.count(F.lit(1)).alias("m"))
-    rest = (rest.join(sizes, ["kind", "key"]).join(held, ["user_idx", "kind", "key"], "left")
+    rest = (lookup_join(rest, sizes, ["kind", "key"], F.xxhash64(u, i)).join(held, ["user_idx", "kind", "key"], "left")
             .withColumn("free", F.col("n") - F.coalesce("m", F.lit(0))))
     places = F.posexplode(draw_places(F.col("free"), n_neg, seed, u, i)).alias("slot", "place")
     drawn = rest.filter(F.col("free") > 0).select("user_idx", "item_idx", "kind", "key", "free", places)

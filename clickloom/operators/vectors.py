@@ -482,10 +482,8 @@ def score_gaps(pairs: DataFrame, items: DataFrame, users: DataFrame, dim: int) -
         .agg(F.transform(F.array_sort(F.collect_list(F.struct("p", "t"))), lambda t: t["t"]).alias("s_total"))
     n_all = it.agg(F.count(F.lit(1)).alias("n_total"))
     us = users.select("user_id", l2_normalize("vec").alias("w"))
-    # one row per category: no hint, AQE broadcasts it when its measured size is
-    # small; total and n_all are one row each
-    j = (pairs.select("user_id", "item_id").join(it, "item_id").join(us, "user_id")
-         .join(ls, "label"))
+    # one row a category, which may hold most pairs: salted; total and n_all are one row each
+    j = lookup_join(pairs.select("user_id", "item_id").join(it, "item_id").join(us, "user_id"), ls, "label", F.xxhash64("user_id", "item_id"))
     j = attach(j, total, n_all)
     s_other = F.zip_with("s_total", "s_label", lambda a, b: a - b)
     s_same_wo = F.zip_with("s_label", "u", lambda a, b: a - b)

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from clickloom.functions.columns import rnd
-
 from clickloom.operators import features as Fe
 from clickloom.operators import interactions as I
 from clickloom.queries import register
 from clickloom.queries.common import TEST_START, features
 from clickloom.queries.sql_base import FEATURES, scaled, with_
+from clickloom.session import scratch_path
+from clickloom.sources import files as Fl
 
 
 @register("item_features", with_(FEATURES) + "\nSELECT * FROM item_feats")
@@ -23,6 +26,27 @@ def q_users(spark, sf):
     return features(spark, sf).users
 
 
+def by_user(spark, df, buckets=4):
+    """``df`` as a table dealt and sorted by user."""
+    name = f"clickloom_{uuid.uuid4().hex}"
+    Fl.save_bucketed(df, name, "user_id", buckets, path=scratch_path(spark, name))
+    return spark.table(name)
+
+
+# The same over events that are stored by user: no exchange on the user side (tests/test_bucketed.py).
+@register("user_features_bucketed", with_(FEATURES) + "\nSELECT * FROM user_feats")
+def q_users_bucketed(spark, sf):
+    f = features(spark, sf)
+    return Fe.user_features(by_user(spark, f.train), f.items)
+
+
+@register("interactions_bucketed", with_(FEATURES) + """
+SELECT i.*, u.total_events, u.n_sessions FROM inter_train i JOIN user_feats u USING (user_id)""")
+def q_inter_bucketed(spark, sf):
+    f = features(spark, sf)
+    return I.interactions(by_user(spark, f.train)).join(by_user(spark, f.users).select("user_id", "total_events", "n_sessions"), "user_id")
+
+
 @register("item_vocab", with_(FEATURES) + "\nSELECT * FROM item_vocab")
 def q_item_vocab(spark, sf):
     return features(spark, sf).item_vocab

@@ -118,6 +118,15 @@ def save_table(df: DataFrame, name: str, mode: str = "overwrite", path: str | No
     (w.option("path", path) if path else w).saveAsTable(name)
 
 
+def save_bucketed(df: DataFrame, name: str, by: str, buckets: int, path: str | None = None) -> None:
+    """A table dealt into ``buckets`` by the hash of ``by`` and sorted by it in
+    each. Aggregates and joins on that key then need no exchange, and neither do
+    those between tables of the same key and number of buckets. The rows are
+    dealt before the write: one file a bucket. Size buckets for one task each."""
+    dealt = df.repartition(buckets, by).write.mode("overwrite").bucketBy(buckets, by).sortBy(by)
+    (dealt.option("path", path) if path else dealt).saveAsTable(name)
+
+
 def to_json_lines(df: DataFrame) -> DataFrame:
     """One JSON document per row (column ``json``)."""
     return df.select(F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias("json"))
@@ -135,10 +144,11 @@ def load_bundle(spark: SparkSession, directory: str, names: Sequence[str]) -> di
 
 def read_month_in_vocab(spark: SparkSession, paths: Sequence[str] | str, user_vocab: DataFrame,
                         item_vocab: DataFrame, fmt: str = RAW_TIME_FORMAT) -> DataFrame:
-    """S3: a month of raw CSV (plain or gzip, Spark splits it into tasks) with
-    ids read as text and coerced (``try_cast``: dirty ids become null and are
-    dropped), restricted to known users and items by semi joins, then mapped
-    to dense indices."""
+    """S3: a month of raw CSV with ids read as text and coerced (``try_cast``: dirty
+    ids become null and are dropped), restricted to known users and items and
+    mapped to dense indices by joins. Plain files are split into tasks; a gzip
+    file cannot be and is one task up to the joins, which deal its rows out: split
+    a month into several files."""
     text = T.StructType([T.StructField(f.name, T.StringType()) for f in RAW_SCHEMA.fields])
     raw = spark.read.schema(text).option("header", True).option("mode", "PERMISSIVE").csv(
         list(paths) if not isinstance(paths, str) else paths)
