@@ -12,7 +12,8 @@ The inverted file clusters items with Spark ML KMeans; a query meets the items
 of a list in the same block product, one group per (list, salt). ``ivf_topk``
 looks into a fixed number of nearest lists and is approximate;
 ``ivf_exact_topk`` bounds what a list can hold and goes on until no list can
-hold anything better, so it is exact and its work follows the data.
+hold anything better, so it is exact and its work follows the data;
+``norm_ordered_topk`` does the same with blocks of items by falling length.
 """
 
 from __future__ import annotations
@@ -283,33 +284,74 @@ def ivf_exact_topk(queries: DataFrame, items: DataFrame, k: int, n_lists: int, s
     visited, scores computed)."""
     q = queries.where(F.col(vec_col).isNotNull()).select(F.col(query_col).cast("long").alias("query_id"), F.col(vec_col).cast("array<double>").alias("vec"))
     it = items.where(F.col(vec_col).isNotNull()).select(F.col(item_col).cast("long").alias("item_id"), F.col(vec_col).cast("array<double>").alias("vec"))
-    best = q.sparkSession.createDataFrame([], "query_id long, item_id long, score double, rank int")
-    if not it.isEmpty():
-        q = cut_lineage(q)
-        cents = kmeans_centroids(it, n_lists, seed)
-        lists = cut_lineage(nearest_clusters(it, cents, 1, "item_id"))
-        known = cents.join(list_bounds(lists, cents), "cluster").orderBy("cluster").collect()  # n_lists rows
-        tables = (np.array([r["cluster"] for r in known], np.int64), np.array([r["centroid"] for r in known], float).reshape(len(known), -1),
-                  np.array([r["radius"] for r in known]), np.array([r["longest"] for r in known]))
-        size = {r["cluster"]: r["n"] for r in known}
-        # a long list is cut by a salt, each by its own number: other lists' probes are not copied
-        parts = F.create_map(*[F.lit(x) for c, n in size.items() for x in (c, math.ceil(n / block_rows))])
-        lists = lists.withColumn("salt", F.pmod(F.xxhash64("item_id"), F.element_at(parts, F.col("cluster"))).cast("int"))
-        start, end = 0, 1
-        while start < len(known):
-            kth = best.where(F.col("rank") == k).select("query_id", F.col("score").alias("kth"))
-            probes = cut_lineage(_next_lists(q.join(kth, "query_id", "left"), tables, start, end))
-            visits = {r["cluster"]: r["n"] for r in probes.groupBy("cluster").agg(F.count(F.lit(1)).alias("n")).collect()}
-            if not visits:
-                break
-            if work is not None:
-                work.append((len(work) + 1, probes.select("query_id").distinct().count(), sum(visits.values()), sum(n * size[c] for c, n in visits.items())))
-            salted = probes.withColumn("salt", F.explode(F.sequence(F.lit(0), F.element_at(parts, F.col("cluster")) - 1)))
-            found = _block_product(salted, lists, ["cluster", "salt"], k, exclude_self)
-            merged = best.select("query_id", "item_id", "score").unionByName(found)
-            best = cut_lineage(top_k_per_group(merged, "query_id", [F.desc("score"), F.asc("item_id")], k, rank_col="rank"))
-            start, end = end, 2 * end
-    return best.select(F.col("query_id").alias(query_col), F.col("item_id").alias(item_col), "score", "rank")
+    if it.isEmpty():
+        return _renamed(q.sparkSession.createDataFrame([], _RANKED), query_col, item_col)
+    cents = kmeans_centroids(it, n_lists, seed)
+    lists = cut_lineage(nearest_clusters(it, cents, 1, "item_id"))
+    known = cents.join(list_bounds(lists, cents), "cluster").orderBy("cluster").collect()  # n_lists rows
+    tables = (np.array([r["cluster"] for r in known], np.int64), np.array([r["centroid"] for r in known], float).reshape(len(known), -1),
+              np.array([r["radius"] for r in known]), np.array([r["longest"] for r in known]))
+    return _renamed(_bounded_search(q, lists, tables, {r["cluster"]: r["n"] for r in known}, k, exclude_self, block_rows, work), query_col, item_col)
+
+
+_RANKED = "query_id long, item_id long, score double, rank int"
+
+
+def _renamed(found: DataFrame, query_col: str, item_col: str) -> DataFrame:
+    return found.select(F.col("query_id").alias(query_col), F.col("item_id").alias(item_col), "score", "rank")
+
+
+def _bounded_search(q: DataFrame, lists: DataFrame, tables: tuple[np.ndarray, ...], size: dict[int, int], k: int, exclude_self: bool,
+                    block_rows: int, work: list | None) -> DataFrame:
+    """The exact ``k`` best of ``lists`` (item_id, vec, cluster) for each of ``q``, list
+    after list by falling bound (``tables``: numbers, centroids, radii, longest), twice
+    as many lists from round to round."""
+    q = cut_lineage(q)
+    best = q.sparkSession.createDataFrame([], _RANKED)
+    # a long list is cut by a salt, each by its own number: other lists' probes are not copied
+    parts = F.create_map(*[F.lit(x) for c, n in size.items() if n > block_rows for x in (c, math.ceil(n / block_rows))] or [F.lit(-1), F.lit(1)])
+    salts = F.coalesce(F.try_element_at(parts, F.col("cluster")), F.lit(1))
+    lists = lists.withColumn("salt", F.pmod(F.xxhash64("item_id"), salts).cast("int"))
+    start, end = 0, 1
+    while start < len(size):
+        kth = best.where(F.col("rank") == k).select("query_id", F.col("score").alias("kth"))
+        probes = cut_lineage(_next_lists(q.join(kth, "query_id", "left"), tables, start, end))
+        visits = {r["cluster"]: r["n"] for r in probes.groupBy("cluster").agg(F.count(F.lit(1)).alias("n")).collect()}
+        if not visits:
+            break
+        if work is not None:
+            work.append((len(work) + 1, probes.select("query_id").distinct().count(), sum(visits.values()), sum(n * size[c] for c, n in visits.items())))
+        salted = probes.withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1)))
+        found = _block_product(salted, lists, ["cluster", "salt"], k, exclude_self)
+        merged = best.select("query_id", "item_id", "score").unionByName(found)
+        best = cut_lineage(top_k_per_group(merged, "query_id", [F.desc("score"), F.asc("item_id")], k, rank_col="rank"))
+        start, end = end, 2 * end
+    return best
+
+
+def norm_ordered_topk(queries: DataFrame, items: DataFrame, k: int, query_col: str = "query_id", item_col: str = "item_id",
+                      vec_col: str = "vec", exclude_self: bool = False, block_rows: int = 50_000, work: list | None = None) -> DataFrame:
+    """The exact ``k`` best items by inner product, longest items first.
+
+    Items are cut into blocks by falling length. No score in a block exceeds the
+    query's length times the block's longest, so a query that has ``k`` better
+    scores skips that block and all after it: where lengths differ (popular
+    items' often do) most block products are never made. Rounds, ties, missing
+    vectors and ``work`` as in ``ivf_exact_topk``; with equal lengths every block is
+    visited, as ``exact_topk`` does at once. One row a block is all that tasks share."""
+    q = queries.where(F.col(vec_col).isNotNull()).select(F.col(query_col).cast("long").alias("query_id"), F.col(vec_col).cast("array<double>").alias("vec"))
+    it = items.where(F.col(vec_col).isNotNull()).select(F.col(item_col).cast("long").alias("item_id"), F.col(vec_col).cast("array<double>").alias("vec"))
+    if it.isEmpty():
+        return _renamed(q.sparkSession.createDataFrame([], _RANKED), query_col, item_col)
+    it = cut_lineage(it.withColumn("shorter", -F.sqrt(dot("vec", "vec"))))
+    place = dense_index(it.select("shorter", "item_id"), ["shorter", "item_id"], "place", start=0)
+    lists = cut_lineage(it.join(place, ["shorter", "item_id"]).withColumn("cluster", F.floor(F.col("place") / block_rows).cast("int")))
+    known = lists.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.max(-F.col("shorter")).alias("longest"), F.first(F.size("vec")).alias("dim")).orderBy("cluster").collect()
+    longest = np.array([r["longest"] for r in known])
+    # a block is a list around the origin
+    tables = (np.array([r["cluster"] for r in known], np.int64), np.zeros((len(known), known[0]["dim"])), longest, longest)
+    lists = lists.select("item_id", "vec", "cluster")
+    return _renamed(_bounded_search(q, lists, tables, {r["cluster"]: r["n"] for r in known}, k, exclude_self, block_rows, work), query_col, item_col)
 
 
 def concordance(exact: DataFrame, approx: DataFrame, k: int, query_col: str = "query_id",

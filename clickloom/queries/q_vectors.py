@@ -138,6 +138,22 @@ def q_ivf_work(spark, sf):
     return c.agg(F.count(F.lit(1)).alias("n_vectors"), (F.lit(4 * scores) < F.count(F.lit(1)) * F.count(F.lit(1))).alias("under_a_quarter"))
 
 
+# R1 by falling length: the embeddings stretched, as items' lengths grow with their popularity.
+STRETCHED = """
+c AS (SELECT vec_id, list_transform(embedding::DOUBLE[], lambda x: x * (1 + 20.0 / (1 + vec_id * 7919 % 97))) AS embedding FROM embeddings)"""
+
+
+def _stretched(spark, sf):
+    by = 1 + F.lit(20.0) / (1 + F.col("vec_id") * 7919 % 97)
+    return _emb(spark, sf).select("vec_id", F.transform("vec", lambda x: x.cast("double") * by).alias("vec"))
+
+
+@register("vector_topk_norm_ordered", "WITH" + STRETCHED + TOPK_SQL.format(f="list_inner_product").replace("FROM embeddings a JOIN embeddings b", "FROM c a JOIN c b"))
+def q_norm_ordered(spark, sf):
+    out = V.norm_ordered_topk(*_sides(_stretched(spark, sf)), 10, exclude_self=True, block_rows=32)
+    return out.select("query_id", "item_id", rnd("score", 6).alias("score"), "rank")
+
+
 # R2 with a fixed number of lists. K-means has no SQL form, so its concordance is held against 0.9
 # where the clusters are, with 4 lists of 16.
 @register("ivf_fixed_probes_clustered", "SELECT count(*) AS n_queries, true AS concordant FROM embeddings")

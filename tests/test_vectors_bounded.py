@@ -92,3 +92,19 @@ def test_list_bounds_hold_every_item(spark):
         assert np.linalg.norm(np.array(r["vec"]) - centre[r["cluster"]]) <= bounds[r["cluster"]]["radius"] + 1e-12
         assert np.linalg.norm(r["vec"]) <= bounds[r["cluster"]]["longest"] + 1e-12
     assert sum(b["n"] for b in bounds.values()) == 60 and lists.agg(F.count_distinct("cluster")).first()[0] == len(bounds)
+
+
+@pytest.mark.parametrize("shape", ["spread", "equal", "tied"])
+def test_norm_ordered_search_is_exact_and_skips_blocks(spark, shape):
+    rng = np.random.default_rng(12)
+    m = rng.normal(size=(300, 6))
+    if shape == "spread":
+        m *= rng.pareto(1.0, (300, 1)) + 0.01
+    if shape == "tied":
+        m = rng.integers(-2, 3, (300, 3)).astype(float)
+    items, queries, work = _table(spark, m, "item_id"), _table(spark, m[::3], "query_id"), []
+    got = V.norm_ordered_topk(queries, items, 5, exclude_self=True, block_rows=20, work=work)
+    assert _rows(got) == _rows(V.exact_topk(queries, items, 5, exclude_self=True))
+    products = sum(w[2] for w in work)  # (query, block) products of 100 x 15
+    assert products < 100 * 15 / 2 if shape == "spread" else products <= 100 * 15
+    assert V.norm_ordered_topk(queries, items.limit(0), 5).count() == 0 and V.norm_ordered_topk(queries.limit(0), items, 5).count() == 0
