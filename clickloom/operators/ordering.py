@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from clickloom.session import cut_lineage
 
 _B = "_tb"  # time-bucket column
+# Rows of a group beyond which its order is worked out in time buckets.
+HOT_ROWS = 5_000_000
 
 
 def _cols(names: Sequence[str] | str) -> list[str]:
@@ -34,31 +36,41 @@ def _join_null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataF
     return left.join(right, same, "left").drop(*[f"_r_{k}" for k in keys])
 
 
-def with_time_bucket(df: DataFrame, ts_col: str, bucket_seconds: int) -> DataFrame:
-    """Adds the integer time bucket of ``ts_col`` (works for TIMESTAMP and TIMESTAMP_NTZ)."""
-    secs = F.unix_timestamp(F.col(ts_col))
-    return df.withColumn(_B, F.floor(secs / F.lit(bucket_seconds)).cast("long"))
+def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
+    """The keys with more than ``hot_rows`` rows (at most one for every ``hot_rows``
+    rows of ``df``), counted with a map-side combine; None if there are none."""
+    found = cut_lineage(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows).select(*keys))
+    return None if found.isEmpty() else found
+
+
+def _sliced(df: DataFrame, keys: Sequence[str], ts_col: str, bucket_seconds: int, hot: DataFrame) -> DataFrame:
+    """Adds the slice of a row's key: its time bucket for a hot key, else null."""
+    b = F.floor(F.unix_timestamp(F.col(ts_col)) / F.lit(bucket_seconds)).cast("long")
+    # one row for every hot_rows rows at most: small against any row's task
+    marked = _join_null_safe(df, F.broadcast(hot.withColumn("_hot", F.lit(True))), list(keys))
+    return marked.withColumn(_B, F.when(F.col("_hot"), b)).drop("_hot")
 
 
 def previous_row(df: DataFrame, keys: Sequence[str] | str, ts_col: str,
                  tiebreak: Sequence[str] | str, values: Sequence[str] | str,
-                 out: str = "_prev", bucket_seconds: int = 3600) -> DataFrame:
-    """``lag(struct(values))`` over ``keys`` ordered by ``(ts_col, *tiebreak)``.
-
-    Adds struct column ``out`` (null for the first row of a group) and keeps the
-    time-bucket column ``_tb``. Exact: the previous row is either in the same
-    bucket (window lag) or is the last row of the closest earlier non-empty
-    bucket (lag over the bucket summary).
-    """
+                 out: str = "_prev", bucket_seconds: int = 3600, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """``lag(struct(values))`` over ``keys`` ordered by ``(ts_col, *tiebreak)``, as struct
+    column ``out`` (null for the first row of a group).
+
+    One window pass over the groups. Groups of more than ``hot_rows`` rows, if
+    there are any, are cut into time buckets: the previous row is then either in
+    the same bucket or the last row of the closest earlier one that has rows,
+    which a table of those buckets alone tells."""
     keys, tiebreak, values = _cols(keys), _cols(tiebreak), _cols(values)
     order = [ts_col] + tiebreak
-    b = with_time_bucket(df, ts_col, bucket_seconds)
-    w_in = Window.partitionBy(*keys, _B).orderBy(*order)
     payload = F.struct(*[F.col(v) for v in values])
-    b = b.withColumn("_lag_in", F.lag(payload).over(w_in))
-
+    hot = hot_keys(df, keys, hot_rows)
+    if hot is None:
+        return df.withColumn(out, F.lag(payload).over(Window.partitionBy(*keys).orderBy(*order)))
+    b = _sliced(df, keys, ts_col, bucket_seconds, hot)
+    b = b.withColumn("_lag_in", F.lag(payload).over(Window.partitionBy(*keys, _B).orderBy(*order)))
     last_key = F.struct(*[F.col(c) for c in order], *[F.col(v).alias(f"_v_{v}") for v in values])
-    summary = b.groupBy(*keys, _B).agg(F.max(last_key).alias("_last"))
+    summary = b.where(F.col(_B).isNotNull()).groupBy(*keys, _B).agg(F.max(last_key).alias("_last"))
     w_b = Window.partitionBy(*keys).orderBy(_B)
     summary = summary.select(
         *keys, _B,
@@ -68,30 +80,30 @@ def previous_row(df: DataFrame, keys: Sequence[str] | str, ts_col: str,
     return (joined
             .withColumn(out, F.when(F.col("_lag_in").isNotNull(), F.col("_lag_in"))
                         .otherwise(F.col("_lag_bucket")))
-            .drop("_lag_in", "_lag_bucket"))
+            .drop("_lag_in", "_lag_bucket", _B))
 
 
 def running_sum(df: DataFrame, keys: Sequence[str] | str, ts_col: str,
                 tiebreak: Sequence[str] | str, value: Column, out: str,
-                bucket_seconds: int = 3600) -> DataFrame:
+                bucket_seconds: int = 3600, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Cumulative ``sum(value)`` over ``keys`` ordered by ``(ts_col, *tiebreak)``,
-    rows from the first to the current one. ``df`` must already carry ``_tb``
-    (from :func:`with_time_bucket` or :func:`previous_row`) for the same bucket size.
-    """
+    rows from the first to the current one. One window pass; groups of more than
+    ``hot_rows`` rows are cut into time buckets, whose totals are added up."""
     keys, tiebreak = _cols(keys), _cols(tiebreak)
-    if _B not in df.columns:
-        df = with_time_bucket(df, ts_col, bucket_seconds)
     order = [ts_col] + tiebreak
-    w_in = (Window.partitionBy(*keys, _B).orderBy(*order)
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    df = df.withColumn("_v", value).withColumn("_cum_in", F.sum("_v").over(w_in))
-    totals = df.groupBy(*keys, _B).agg(F.sum("_v").alias("_tot"))
+    upto = lambda *by: Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    hot = hot_keys(df, keys, hot_rows)
+    if hot is None:
+        return df.withColumn("_v", value).withColumn(out, F.sum("_v").over(upto(*keys))).drop("_v")
+    df = _sliced(df, keys, ts_col, bucket_seconds, hot)
+    df = df.withColumn("_v", value).withColumn("_cum_in", F.sum("_v").over(upto(*keys, _B)))
+    totals = df.where(F.col(_B).isNotNull()).groupBy(*keys, _B).agg(F.sum("_v").alias("_tot"))
     w_b = (Window.partitionBy(*keys).orderBy(_B)
            .rowsBetween(Window.unboundedPreceding, -1))
     totals = totals.select(*keys, _B, F.coalesce(F.sum("_tot").over(w_b), F.lit(0)).alias("_before"))
     return (_join_null_safe(df, totals, keys + [_B])
             .withColumn(out, F.col("_cum_in") + F.coalesce("_before", F.lit(0)))
-            .drop("_v", "_cum_in", "_before"))
+            .drop("_v", "_cum_in", "_before", _B))
 
 
 def top_k_per_group(df: DataFrame, keys: Sequence[str] | str, order: Sequence[Column],

@@ -42,7 +42,7 @@ def drop_consecutive_repeats(mapped: DataFrame, group: Sequence[str]) -> DataFra
     """Removes an event whose item equals the previous event's item in the same
     group (event type ignored; the first occurrence is kept)."""
     prev = previous_row(mapped, list(group), "event_time", ["item_idx", "event_idx"], ["item_idx"], out="_p")
-    return prev.filter(F.col("_p").isNull() | (F.col("_p.item_idx") != F.col("item_idx"))).drop("_p", "_tb")
+    return prev.filter(F.col("_p").isNull() | (F.col("_p.item_idx") != F.col("item_idx"))).drop("_p")
 
 
 def _collect_sorted(df: DataFrame, group: Sequence[str]) -> DataFrame:
@@ -82,7 +82,7 @@ def user_sequences(mapped: DataFrame, min_len: int = 2, chunk: int = USER_CHUNK)
 def user_sequence_events(mapped: DataFrame) -> DataFrame:
     """M8 (flat form): every event of every user with its 1-based position in
     the user's chronology; the unbounded sequence as rows, not one array."""
-    return running_sum(mapped, "user_idx", "event_time", ["item_idx", "event_idx"], F.lit(1), "pos").drop("_tb")
+    return running_sum(mapped, "user_idx", "event_time", ["item_idx", "event_idx"], F.lit(1), "pos")
 
 
 def val_targets(mapped_window: DataFrame, types: Sequence[str] = ("cart", "purchase")) -> DataFrame:

@@ -58,7 +58,7 @@ def sessionize(df: DataFrame, user_col: str, ts_col: str, tiebreak: list[str] |
 
     Skew-safe: the gap test is one window pass per (user, time bucket) with
     the bucket tails copied forward (``previous_within``); the running count
-    is per (user, bucket) plus a per-bucket summary (``running_sum``).
+    (``running_sum``) cuts only hot users into buckets.
     """
     bucket = bucket_seconds or max(2 * gap_seconds, 3600)
     tb = [tiebreak] if isinstance(tiebreak, str) else list(tiebreak)
@@ -66,8 +66,7 @@ def sessionize(df: DataFrame, user_col: str, ts_col: str, tiebreak: list[str] |
     with_prev = previous_within(df.withColumn("_secs", secs), user_col, ts_col, tb, ["_secs"], gap_seconds,
                                 out="_p", bucket_seconds=bucket)
     start = (F.col("_p").isNull() | ((F.col("_secs") - F.col("_p._secs")) > gap_seconds)).cast("long")
-    return (running_sum(with_prev, user_col, ts_col, tb, start, out, bucket_seconds=bucket)
-            .drop("_p", "_secs", "_tb"))
+    return running_sum(with_prev.drop("_tb"), user_col, ts_col, tb, start, out, bucket_seconds=bucket).drop("_p", "_secs")
 
 
 _MATERIALISED: dict = {}

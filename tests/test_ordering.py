@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -15,18 +16,25 @@ def _random_frame(spark, n=400, seed=3):
     return spark.createDataFrame(rows, "id long, k long, t timestamp_ntz")
 
 
-def test_previous_row_equals_plain_lag(spark):
+# no group, some groups and every group of 400 rows in four counts as hot
+HOT = [1 << 20, 99, 3]
+
+
+@pytest.mark.parametrize("hot_rows", HOT)
+def test_previous_row_equals_plain_lag(spark, hot_rows):
     df = _random_frame(spark)
-    got = previous_row(df, "k", "t", ["id"], ["id"], out="p", bucket_seconds=600)
+    got = previous_row(df, "k", "t", ["id"], ["id"], out="p", bucket_seconds=600, hot_rows=hot_rows)
+    assert got.columns == ["id", "k", "t", "p"]
     got = {r.id: (r.p.id if r.p else None) for r in got.collect()}
     w = Window.partitionBy("k").orderBy("t", "id")
     want = {r.id: r.p for r in df.select("id", F.lag("id").over(w).alias("p")).collect()}
     assert got == want
 
 
-def test_running_sum_equals_plain_window(spark):
+@pytest.mark.parametrize("hot_rows", HOT)
+def test_running_sum_equals_plain_window(spark, hot_rows):
     df = _random_frame(spark).withColumn("v", (F.col("id") % 3).cast("long"))
-    got = running_sum(df, "k", "t", ["id"], F.col("v"), "cum", bucket_seconds=900)
+    got = running_sum(df, "k", "t", ["id"], F.col("v"), "cum", bucket_seconds=900, hot_rows=hot_rows)
     got = {r.id: r.cum for r in got.collect()}
     w = Window.partitionBy("k").orderBy("t", "id").rowsBetween(Window.unboundedPreceding, 0)
     want = {r.id: r.c for r in df.select("id", F.sum("v").over(w).alias("c")).collect()}
@@ -61,3 +69,10 @@ def test_top_k_per_group_is_partial_limit(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert sorted((r.g, r.v) for r in out.collect()) == [(0, 996), (0, 999), (1, 994), (1, 997), (2, 995), (2, 998)]
     assert "WindowGroupLimit" in plan or "AdaptiveSparkPlan" in plan
+
+
+def test_order_of_ordinary_groups_takes_one_exchange(spark):
+    df = _random_frame(spark)
+    both = running_sum(previous_row(df, "k", "t", ["id"], ["id"], out="p"), "k", "t", ["id"], F.lit(1), "pos")
+    plan = both._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan

@@ -55,10 +55,11 @@ def test_replay_takes_what_the_ratio_asks(spark):
 def test_null_group_keys_are_one_group(spark):
     rows = [(None, ts(0), 1), (None, ts(4000), 2), (None, ts(90_000), 3), (7, ts(10), 4)]
     df = spark.createDataFrame(rows, "u long, t timestamp_ntz, id long")
-    prev = {r.id: r._prev for r in O.previous_row(df, "u", "t", "id", "id", bucket_seconds=3600).collect()}
-    assert prev[1] is None and prev[2].id == 1 and prev[3].id == 2 and prev[4] is None
-    sums = {r.id: r.s for r in O.running_sum(df, "u", "t", "id", F.lit(1), "s").collect()}
-    assert sums == {1: 1, 2: 2, 3: 3, 4: 1}
+    for hot_rows in (100, 1):
+        prev = {r.id: r._prev for r in O.previous_row(df, "u", "t", "id", "id", bucket_seconds=3600, hot_rows=hot_rows).collect()}
+        assert prev[1] is None and prev[2].id == 1 and prev[3].id == 2 and prev[4] is None
+        sums = {r.id: r.s for r in O.running_sum(df, "u", "t", "id", F.lit(1), "s", hot_rows=hot_rows).collect()}
+        assert sums == {1: 1, 2: 2, 3: 3, 4: 1}
     sessions = {r.id: r.session_no for r in sessionize(df, "u", "t", "id", 5000).collect()}
     assert sessions == {1: 1, 2: 1, 3: 2, 4: 1}
 
