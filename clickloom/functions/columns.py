@@ -135,3 +135,11 @@ def attach(df: DataFrame, *one_row: DataFrame) -> DataFrame:
     no join, each aggregate runs once (Spark merges subqueries over the same
     plan) and its value is inlined into the projection."""
     return df.select("*", *[o.select(c).scalar().alias(c) for o in one_row for c in o.columns])
+
+
+def distinct_counts(df: DataFrame, **columns: str) -> DataFrame:
+    """One row with the number of distinct non-null values of each column, under
+    the given names. Each column is reduced map-side on its own: several
+    ``count_distinct`` in one aggregate would copy every row once a column."""
+    counts = [df.where(F.col(c).isNotNull()).select(c).distinct().agg(F.count(F.lit(1)).alias(name)) for name, c in columns.items()]
+    return attach(counts[0], *counts[1:])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.functions.columns import rnd
+from clickloom.functions.columns import attach, distinct_counts, rnd
 from clickloom.operators.ordering import lookup_join
 
 # Confidence weights per event type.
@@ -38,11 +38,10 @@ def interaction_quality(inter: DataFrame, user_col: str = "user_id",
     sparsity (percent), with the > 99 % sparsity gate."""
     s = F.col(score_col)
     agg = inter.agg(F.count(F.lit(1)).alias("total_pairs"),
-                    F.count_distinct(user_col).alias("unique_users"),
-                    F.count_distinct(item_col).alias("unique_items"),
                     F.avg(s).alias("avg_score"), F.max(s).cast("long").alias("max_score"),
                     F.count_if(s == 1).alias("score_eq_1"), F.count_if(s == 2).alias("score_eq_2"),
                     F.count_if(s >= 4).alias("score_ge_4"))
+    agg = attach(agg, distinct_counts(inter, unique_users=user_col, unique_items=item_col))
     sparsity = (F.lit(1.0) - F.col("total_pairs") /
                 (F.col("unique_users") * F.col("unique_items"))) * 100
     return agg.select(

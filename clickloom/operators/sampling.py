@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.functions.columns import attach, rnd
+from clickloom.functions.columns import attach, distinct_counts, rnd
 from clickloom.operators.ordering import first_n
 
 
@@ -137,9 +137,7 @@ def table_validation(df: DataFrame, user_col: str = "user_id", item_col: str = "
     floor, nulls by column, events by type (and of no known type), the number of
     users whose mean events a day exceed ``bot_threshold``, and whether the time
     column is a timestamp and every column of ``EVENT_TYPES`` there with its type."""
-    one = df.agg(F.count_distinct(user_col).alias("n_users"),
-                 F.count(F.lit(1)).alias("n_events"),
-                 F.count_distinct(item_col).alias("n_items"),
+    one = df.agg(F.count(F.lit(1)).alias("n_events"),
                  F.min(ts_col).alias("min_time"), F.max(ts_col).alias("max_time"),
                  F.count_if(F.col(price_col) < price_floor).alias("n_below_price_floor"),
                  F.count_if(F.col(user_col).isNull()).alias("n_null_users"),
@@ -151,7 +149,7 @@ def table_validation(df: DataFrame, user_col: str = "user_id", item_col: str = "
     bots = daily.groupBy(user_col).agg(F.avg("_n").alias("_a")).filter(F.col("_a") > bot_threshold)
     found = dict(df.dtypes)
     typed = all(_same_type(found.get(c), t) for c, t in EVENT_TYPES.items())
-    out = attach(one, bots.agg(F.count(F.lit(1)).alias("n_bot_users")))
+    out = attach(one, distinct_counts(df, n_users=user_col, n_items=item_col), bots.agg(F.count(F.lit(1)).alias("n_bot_users")))
     return out.withColumns({"time_is_timestamp": F.lit(_same_type(found.get(ts_col), "timestamp")), "schema_ok": F.lit(typed)})
 
 
