@@ -121,7 +121,9 @@ def q_catalog_top10(spark, sf):
     return q_catalog(spark, sf, 10)
 
 
-@register("catalog_json_lines", None)
+@register("catalog_json_lines", f"""
+SELECT CAST(to_json({{'item_id': item_id, 'e': {{'c1': c1, 'c2': c2, 'brand': brand_display, 'price': price}}}}) AS VARCHAR) AS json
+FROM ({_catalog_sql(2000)})""")
 def q_catalog_json(spark, sf):
     cat = q_catalog(spark, sf)
     entries = cat.select("item_id", F.struct("c1", "c2", F.col("brand_display").alias("brand"), "price").alias("e"))
