@@ -46,11 +46,14 @@ _IP = re.compile(r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _VALUE = re.compile(r"(?:\s{1,2}(?:number|no\.?|nr\.?))?\s{0,2}[:=#]?\s{0,2}[\"']?"
-                    r"([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?|[A-Za-z0-9][A-Za-z0-9-]{6,62}[A-Za-z0-9])(?![A-Za-z0-9])")
+                    r"([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?|[A-Za-z0-9](?:-*+[A-Za-z0-9])*+)(?![A-Za-z0-9])")
 _IBAN = re.compile(r"[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}")
-_NUMBER_LEFT = re.compile(r"(?<![\w.])[0-9]{1,5}[A-Za-z]?,?\s(?:[^\W\d_][\w.'-]*\s){0,3}$")
-_NUMBER_RIGHT = re.compile(r"(?:\s[^\W\d_][\w.'-]*){0,3}?,?\s[0-9]{1,5}[A-Za-z]?(?![\w.])")
-_USERINFO = re.compile(r"[^\s/?#@:]{1,256}:[^\s/?#@]{1,256}@[^\s/?#]+")
+_NUMBER = re.compile(r"(?<![\w.])[0-9]{1,5}[A-Za-z]?,?\Z")
+_NAME = re.compile(r"[^\W\d_][\w.'-]*+\Z")
+_NUMBER_RIGHT = re.compile(r"(?:\s[^\W\d_][\w.'-]*+){0,3}?,?\s[0-9]{1,5}[A-Za-z]?(?![\w.])")
+_USERINFO = re.compile(r"[^\s/?#@:]++:[^\s/?#@]++@[^\s/?#]+")
+#: characters of the shortest value after an account cue, and names between house number and street word
+LEAST_VALUE, STREET_NAMES = 8, 3
 _DIGITS = frozenset("0123456789")
 
 Span = tuple[str, int, int]
@@ -86,12 +89,29 @@ def _valid_ip(text: str) -> bool:
 
 
 def _valid_account(value: str) -> bool:
-    """Identifiers hold at least four digits; what looks like an IBAN must pass
-    its check digits instead."""
+    """Identifiers have ``LEAST_VALUE`` characters and four digits at least, and no
+    greatest length; what looks like an IBAN must pass its check digits instead."""
     bare = value.replace(" ", "").replace("-", "")
     if _IBAN.fullmatch(bare):
         return int("".join(str(int(c, 36)) for c in bare[4:] + bare[:4])) % 97 == 1
-    return " " not in value and sum(c in _DIGITS for c in bare) >= 4
+    return " " not in value and len(value) >= LEAST_VALUE and sum(c in _DIGITS for c in bare) >= 4
+
+
+def _number_left(text: str, end: int) -> int | None:
+    """Where the house number begins that stands before ``end``, with up to
+    ``STREET_NAMES`` names of any length between, each followed by one blank."""
+    for _ in range(STREET_NAMES + 1):
+        if not end or not text[end - 1].isspace():
+            return None
+        lo = stop = end - 1
+        while lo and not text[lo - 1].isspace():
+            lo -= 1
+        if m := _NUMBER.search(text, max(lo, stop - 7), stop):
+            return m.start()
+        if not _NAME.match(text, lo, stop):
+            return None
+        end = lo
+    return None
 
 
 class Finder:
@@ -146,10 +166,10 @@ class Finder:
                         found["account"].append(m.span(1))
             elif kind == "street":
                 lo = at - size + 1
-                left = _NUMBER_LEFT.search(text, max(0, lo - 80), lo)
-                right = None if left else _NUMBER_RIGHT.match(text, at + 1, at + 81)
-                if left and not text[at + 1:at + 2].isalnum():
-                    found["address"].append((left.start(), at + 1))
+                left = _number_left(text, lo)
+                right = None if left is not None else _NUMBER_RIGHT.match(text, at + 1)
+                if left is not None and not text[at + 1:at + 2].isalnum():
+                    found["address"].append((left, at + 1))
                 elif right:
                     while lo and (text[lo - 1].isalpha() or text[lo - 1] == "-"):
                         lo -= 1
