@@ -2,14 +2,19 @@
 
 Markup is stripped into lines, one a block element, in page order. Elements
 that never hold the article (menus, headers, footers, sidebars, forms, scripts
-and those whose class or id names an advert, notice, sidebar, share bar or
-reader comments) leave a gap of empty lines. Inside an article only a whole class
-name or id, or a compound like ``share-buttons``, counts as such a name, and no id of a heading or section. Text lengths - links do not count -
-are summed over sliding windows of ``WINDOW`` lines: text begins where the sum
-surges and ends where it dives to nothing; every line between the two points is
-kept, and so is a page's second text after a gap. Where the page marks an
-``article`` or ``main``, the distribution is taken inside it, so that a short
-article's few words are a surge already.
+and those whose class, id or role names an advert, notice, sidebar, share bar or
+reader comments) leave a gap of empty lines. A name counts as a whole: a listed
+word, or a compound of such words with words for boxes and, outside an article,
+for places on the page (``share-buttons``, ``site-header``, not ``menu-planning``);
+inside an article no id of a heading or section does. Where that leaves nothing
+of a page, it is read again without names.
+
+Text lengths - links do not count - are summed over sliding windows of ``WINDOW``
+lines over the whole page: text begins where the sum surges and ends where it
+dives to nothing; every line between the two points is kept, and so is a page's
+second text after a gap. Linked lines between two texts stay where they are
+shorter than either. An ``article`` or ``main`` counts where it holds at least half
+of the text: all of its lines then belong to one text, linked ones included.
 """
 
 from __future__ import annotations
@@ -23,8 +28,7 @@ from pyspark.sql import DataFrame
 
 from clickloom.llm.textops import map_batches, texts_of
 
-#: lines of one window, and the text length (code points) that is a surge when
-#: the page marks no article
+#: lines of one window, and the text length (code points) that is a surge
 WINDOW, SURGE = 3, 40
 
 _TOKEN = re.compile(
@@ -47,6 +51,12 @@ APART_WORDS = frozenset((
 BOX_WORDS = frozenset((
     "area", "articles", "bar", "block", "box", "button", "buttons", "container", "form", "icons", "item", "link", "links", "list",
     "panel", "posts", "slot", "stories", "unit", "wrapper"))
+#: words that say where on a page, or of what, such a box is
+PLACE_WORDS = frozenset((
+    "blog", "bottom", "fixed", "global", "inner", "left", "main", "mobile", "outer", "page", "primary", "right", "secondary", "site",
+    "sticky", "top", "user"))
+#: the same of an article, whose header is its own
+TEXT_WORDS = frozenset(("article", "entry", "post", "story"))
 #: elements whose id, inside an article, names what they are about
 OWN_IDS = frozenset(("h2", "h3", "h4", "h5", "h6", "section"))
 #: elements that begin and end a line
@@ -59,27 +69,32 @@ VOID = frozenset(("area", "base", "br", "col", "embed", "hr", "img", "input", "l
 _SPACED = frozenset(("br", "td", "th", "img", "option", "input"))
 
 
-def _is_apart(tag: str, rest: str, inside: int) -> bool:
+def _is_apart(tag: str, rest: str, inside: int, by_name: bool) -> bool:
     if tag in APART:
         # an article's own header holds its headline
         return not (tag == "header" and inside)
     if "=" not in rest or tag in ("html", "body", "article", "main", "h1"):
         return tag in ("article", "main") and "=" in rest and any(
             w in ("comment", "comments", "reply", "ad", "advert", "sponsored") for w in _words(rest))
-    if inside:
-        # the article's own headings and sections bear such words as topics
-        return any(_names_apart(name) for name in _whole_names(rest, tag not in OWN_IDS))
-    return any(w in APART_WORDS for w in _words(rest))
+    # the article's own headings and sections bear such words as topics
+    return by_name and any(_names_apart(name, inside > 0) for name in _whole_names(rest, not inside or tag not in OWN_IDS))
 
 
 def _words(rest: str) -> list[str]:
     return [w for m in _NAMES.finditer(rest) for w in re.split(r"[^a-z]+", (m[1] or m[2] or m[3] or "").lower())]
 
 
-def _names_apart(name: str) -> bool:
-    """A listed word, or a compound of such words and words for boxes only."""
+def _names_apart(name: str, inside: bool) -> bool:
+    """A listed word, or a compound of such words and words for boxes only; outside
+    an article words for places and texts may be part of it too."""
     parts = [p for p in re.split(r"[^a-z]+", name) if p]
-    return any(p in APART_WORDS for p in parts) and all(p in APART_WORDS or p in BOX_WORDS for p in parts)
+    listed = {p for p in parts if p in APART_WORDS}
+    rest = [p for p in parts if p not in listed and p not in BOX_WORDS]
+    if inside or not listed:
+        return bool(listed) and not rest
+    if any(p in TEXT_WORDS for p in rest) and listed <= {"header"}:
+        return False
+    return all(p in PLACE_WORDS or p in TEXT_WORDS for p in rest)
 
 
 def _whole_names(rest: str, ids: bool) -> list[str]:
@@ -122,7 +137,7 @@ class _Lines:
             self.inside.append(inside)
 
 
-def lines_of(page: str) -> _Lines:
+def lines_of(page: str, by_name: bool = True) -> _Lines:
     out = _Lines()
     at = inside = links = 0
     skip, depth, skip_from = "", 0, 0
@@ -165,7 +180,7 @@ def lines_of(page: str) -> _Lines:
             elif tag in _SPACED:
                 out.add(" ", False)
             continue
-        if at not in unclosed and not m["rest"].endswith("/") and _is_apart(tag, m["rest"], inside):
+        if at not in unclosed and not m["rest"].endswith("/") and _is_apart(tag, m["rest"], inside, by_name):
             out.gap(inside > 0)
             skip, depth, skip_from = tag, 1, at
         elif tag == "a":
@@ -191,25 +206,39 @@ def between(length: list[int], surge: int) -> Iterator[tuple[int, int]]:
         last, j, best = i, i, 0
         while j < n and j - last < WINDOW:
             if length[j]:
-                last = j
-            best = max(best, sum(length[j:j + WINDOW]))
+                last, best = j, max(best, sum(length[j:j + WINDOW]))
             j += 1
         if best >= surge:
             yield i, last + 1
         i = j
 
 
+def _joined(spans: list[tuple[int, int]], lines: _Lines) -> list[tuple[int, int]]:
+    """Neighbouring texts as one where only linked lines, shorter than either, lie between."""
+    size = lambda a, b: sum(lines.length[a:b])
+    out: list[tuple[int, int]] = []
+    for a, b in spans:
+        if out:
+            lo, hi = out[-1]
+            between_ = lines.text[hi:a]
+            if all(between_) and sum(map(len, between_)) < min(size(lo, hi), size(a, b)):
+                out[-1] = lo, b
+                continue
+        out.append((a, b))
+    return out
+
+
+def _text_of(lines: _Lines) -> str:
+    total, marked = sum(lines.length), sum(n for n, inside in zip(lines.length, lines.inside, strict=True) if inside)
+    if marked and 2 * marked >= total:
+        return "\n".join(t for t, inside in zip(lines.text, lines.inside, strict=True) if inside and t)
+    spans = list(between(lines.length, SURGE)) or list(between(lines.length, 1))
+    return "\n".join(t for a, b in _joined(spans, lines) for t in lines.text[a:b] if t)
+
+
 def main_text(page: str | None) -> str:
     """The page's article, blocks joined by line feeds; empty if there is none."""
-    lines = lines_of(page or "")
-    if any(n for n, inside in zip(lines.length, lines.inside, strict=True) if inside):
-        rows = [i for i, inside in enumerate(lines.inside) if inside]
-        surge = 1
-    else:
-        rows, surge = list(range(len(lines.text))), SURGE
-    length = [lines.length[i] for i in rows]
-    spans = list(between(length, surge)) or list(between(length, 1))
-    return "\n".join(lines.text[rows[i]] for a, b in spans for i in range(a, b) if lines.text[rows[i]])
+    return _text_of(lines_of(page or "")) or _text_of(lines_of(page or "", by_name=False))
 
 
 def extract(pages: DataFrame) -> DataFrame:

@@ -1,10 +1,12 @@
 import base64
 import hashlib
+import html
 import random
 import re
 
 import numpy as np
 import public_tokenizers
+import pyarrow.parquet as pq
 import pytest
 import tiktoken
 
@@ -47,6 +49,15 @@ def test_pii_base_equals_patterns():
     ("an müller@example.com b", "email_ext", "müller@example.com"),
     ("see https://bob:pw@example.com/x", "url_auth", "bob:pw"),
     ("see https://example.com/x", "url_auth", None),
+    # no greatest length
+    ("secret: " + "0a9f" * 32 + " end", "account", "0a9f" * 32),
+    ("secret: " + "0a9f-" * 2000 + " end", "account", "0a9f-" * 1999 + "0a9f"),
+    ("token a1b2c3", "account", None),
+    ("x https://" + "u" * 400 + ":" + "p4" * 300 + "@example.com/ y", "url_auth", "u" * 400 + ":" + "p4" * 300),
+    ("at 77b, Saint" + "e" * 90 + " O'Hara-" + "x" * 50 + " Avenue, x", "address", "77b, Saint" + "e" * 90 + " O'Hara-" + "x" * 50 + " Avenue"),
+    ("rue Sainte" + "e" * 100 + " 12 b", "address", "rue Sainte" + "e" * 100 + " 12"),
+    ("at 5 one two three four Road", "address", None), ("at 123456 Main Road", "address", None), ("at x7 Main Road", "address", None),
+    ("(12 Main Street)", "address", "12 Main Street"),
 ])
 def test_pii_added(text, kind, found):
     assert [text[s:e] for k, s, e in pii.Finder().spans(text)[1] if k == kind] == ([found] if found else [])
@@ -54,7 +65,8 @@ def test_pii_added(text, kind, found):
 
 def test_pii_long_runs_stay_linear():
     find = pii.Finder().spans
-    for text in ("1" * 200_000, "1." * 100_000, "@a." * 50_000, "a@" * 100_000, "+1 " * 90_000, "token " * 40_000):
+    for text in ("1" * 200_000, "1." * 100_000, "@a." * 50_000, "a@" * 100_000, "+1 " * 90_000, "token " * 40_000,
+                 "token " + "a-" * 200_000, "street " * 40_000, "a" * 300_000 + " street" * 20_000, "://" * 60_000, "://a:" * 60_000, "street" + " a" * 200_000):
         find(text)
 
 
@@ -115,6 +127,9 @@ def test_bpe_tables(spark):
     assert rows(bpe.round_trip(awkward(spark, []), path, public_tokenizers.PATTERN)) == []
 
 
+SAID, SLOGAN = "Some words that make up a paragraph of the article, long enough to be a surge. ", "The site that tells you all you want to know"
+
+
 @pytest.mark.parametrize("page, text", [
     (None, ""), ("", ""), ("plain words", "plain words"),
     ("<html><head><title>T</title><style>p{}</style><script>var t='</p>';</script></head><body><nav><ul><li><a href=x>m</a></li></ul></nav>"
@@ -130,11 +145,59 @@ def test_bpe_tables(spark):
     ("<main><p>x &lt;b&gt; &#233; &nbsp; y</p></main>", "x <b> é y"),
     ("<article><p>kept</p><section class='comments'><article><p>a comment</p></article></section></article>", "kept"),
     ("<article><p>cut off &am", "cut off &am"),
+    # an article that is a box of the page only; linked blocks between and after an article's own; names about such words
+    (f"<div><p>{SAID * 3}</p><p>{SAID}</p></div><article>Teaser box</article>", f"{(SAID * 3).strip()}\n{SAID.strip()}\nTeaser box"),
+    (f"<article><p>{SAID}</p><p><a href=x>one</a></p><p><a href=x>two</a></p><p><a>three</a></p><p>b</p></article>", f"{SAID.strip()}\none\ntwo\nthree\nb"),
+    (f"<article><p><a>first</a></p><p>{SAID}</p><ul><li><a>r 1</a></li><li><a>r 2</a></li><li><a>r 3</a></li><li><a>r 4</a></li></ul></article>",
+     f"first\n{SAID.strip()}\nr 1\nr 2\nr 3\nr 4"),
+    (f"<div id='menu-planning'><p>{SAID}</p></div>", SAID.strip()), (f"<section id='search-methods'><p>{SAID}</p></section>", SAID.strip()),
+    (f"<div class=menu><p>{SAID}</p></div>", SAID.strip()),
+    # outside an article: linked lines between two texts, a menu between a slogan and the text, boxes by compound names
+    (f"<div><p>{SAID}</p><p><a>one</a></p><p><a>two</a></p><p><a>three</a></p><p>{SAID}</p></div>", f"{SAID.strip()}\none\ntwo\nthree\n{SAID.strip()}"),
+    (f"<div>{SLOGAN}</div>" + "<div><a>A menu of this site</a></div>" * 9 + f"<div><p>{SAID * 9}</p></div>", f"{SLOGAN}\n{(SAID * 9).strip()}"),
+    (f"<div class='site-header'>{SLOGAN}</div><div class='article-header'><h1>Head</h1></div><p>{SAID}</p><ul id=post-comments><li>{SAID}</ul>"
+     f"<div class='x left-sidebar'>{SAID}</div>", f"Head\n{SAID.strip()}"),
 ])
 def test_html_main_text(page, text):
     assert html_text.main_text(page) == text
 
 
+def line_blocks(length, surge):
+    """The distribution by its definition: a line belongs to a text if it lies
+    between two text lines less than a window apart, or is one; a text is kept if
+    a window in it reaches the surge."""
+    n, w = len(length), html_text.WINDOW
+    block = [sum(length[i:i + w]) for i in range(n)]
+    out = []
+    for i in range(n):
+        if length[i] and not any(length[max(0, i - w + 1):i]):
+            j = last = i
+            while (j := next((x for x in range(last + 1, min(n, last + w)) if length[x]), None)) is not None:
+                last = j
+            if max(block[i:last + 1]) >= surge:
+                out.append((i, last + 1))
+    return out
+
+
+def test_line_blocks_equal_their_definition():
+    draw = random.Random(31)
+    for _ in range(3000):
+        length = [draw.choice([0, 0, 0, 5, 12, 60]) for _ in range(draw.randrange(0, 25))]
+        for surge in (1, 20, 70):
+            assert list(html_text.between(length, surge)) == line_blocks(length, surge), (length, surge)
+
+
+def test_given_pages_keep_their_articles():
+    pages = pq.read_table("/root/testdata/sf0.01/pages.parquet", columns=["html"])["html"].to_pylist()
+    for page in pages:
+        inside = re.search(r"<article[^>]*>(.*)</article>", page, re.S)
+        text = html_text.main_text(page)
+        assert text and inside
+        # every kept line is one of the article's, and every paragraph outside a marked box is kept
+        own = " ".join(html.unescape(re.sub(r"<[^>]*>", " ", inside[1])).split())
+        assert all(" ".join(re.sub(r"\s+", " ", line).split())[:20] in own for line in text.split("\n"))
+
+
 @pytest.mark.parametrize("part", [
     '<h2 id="related-work">own</h2>', '<section id="search-methods"><p>own</p></section>', '<section id="social-history"><p>own</p></section>',
     '<div class="side-by-side"><p>own</p></div>', '<h3 id="search">own</h3>', '<p id="alert-levels" class="first">own</p>',
