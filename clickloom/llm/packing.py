@@ -9,8 +9,9 @@ tokens is cut to fill what is left, and its rest waits on. A sequence is so
 full unless segments or loss run out first.
 
 Each task packs its own partition as it streams by, with a bounded pool of
-waiting examples and no shuffle. What is left at a partition's end is cut into
-sequences whose lengths are powers of two, which need no padding.
+waiting examples and no shuffle. A sequence that stops short, as those of many
+short examples and those at a partition's end do, is cut into sequences whose
+lengths are powers of two, which need no padding.
 
 Sequence ids are the partition's number in the high bits and a count in the
 low ones. A task that runs again, on a scan of the same files, packs the same
@@ -37,6 +38,8 @@ from clickloom.llm.textops import map_batches, texts_of
 
 #: limits of one sequence: tokens, segments, loss-bearing tokens
 MAX_TOKENS, MAX_SEGMENTS, MAX_LOSS = 2048, 64, 2048
+#: a sequence is cut rather than padded beyond 1 in so many of its tokens
+PADDING_PART = 64
 #: examples and tokens that may wait in a task
 POOL_EXAMPLES, POOL_TOKENS = 256, 1 << 20
 #: id put after each document
@@ -84,7 +87,7 @@ class Packer:
         self.pool.append(one)
         self.tokens += len(one.ids)
         while len(self.pool) > POOL_EXAMPLES or self.tokens > POOL_TOKENS:
-            yield self._fill()
+            yield from self._cut(self._fill())
 
     def _demand(self) -> np.ndarray:
         size = np.array([e.size() for e in self.pool], float)
@@ -125,24 +128,31 @@ class Packer:
         self.pool = [e for e in self.pool if e.start < len(e.ids)]
         return out
 
+    def _cut(self, pieces: list[Piece]) -> Iterator[list[Piece]]:
+        """The sequence itself if hardly any of it is padding; one that stops short
+        (its segments or loss are used up, or nothing waits) is cut at powers of two."""
+        total = sum(n for _, _, n in pieces)
+        size = int(self.limits[0])
+        if size - total <= size // PADDING_PART:
+            yield pieces
+            return
+        while pieces:
+            while size > total:
+                size = 1 << ((size - 1).bit_length() - 1)
+            part, room = [], size
+            while room and pieces:
+                one, start, n = pieces.pop(0)
+                part.append((one, start, min(n, room)))
+                if n > room:
+                    pieces.insert(0, (one, start + room, n - room))
+                room -= min(n, room)
+            total -= size
+            yield part
+
     def finish(self) -> Iterator[list[Piece]]:
-        """Sequences of what still waits; those that end short are cut at powers of two."""
+        """Sequences of what still waits."""
         while self.pool:
-            pieces = self._fill()
-            total = sum(n for _, _, n in pieces)
-            size = int(self.limits[0])
-            while pieces:
-                while size > total:
-                    size = 1 << ((size - 1).bit_length() - 1)
-                part, room = [], size
-                while room and pieces:
-                    one, start, n = pieces.pop(0)
-                    part.append((one, start, min(n, room)))
-                    if n > room:
-                        pieces.insert(0, (one, start + room, n - room))
-                    room -= min(n, room)
-                total -= size
-                yield part
+            yield from self._cut(self._fill())
 
 
 def read_encoding(vocabulary: str, added: str) -> tuple[dict[bytes, int], dict[str, int]]:

@@ -254,6 +254,18 @@ def test_packing_ids_of_added_tokens(spark):
         assert [x for _, ids in sorted(got[i]) for x in ids] == [*tokenizer.encode(text, add_special_tokens=False).ids, 1], text
 
 
+@pytest.mark.parametrize("words", [8, 18])
+def test_many_short_documents_leave_little_padding(spark, words):
+    docs = documents(spark, ["the of " * (words // 2) for _ in range(3000)])
+    pieces = packing.pack_documents(docs, VOCABULARY, public_tokenizers.PATTERN).collect()
+    used = padded = 0
+    for parts in sequences(pieces).values():
+        n = sum(p[3] for p in parts)
+        assert n <= packing.MAX_TOKENS and len(parts) <= packing.MAX_SEGMENTS
+        used, padded = used + n, padded + (n if n & (n - 1) == 0 else packing.MAX_TOKENS)
+    assert used == sum({r["doc_id"]: r["doc_tokens"] for r in pieces}.values()) and (padded - used) / padded < 0.02
+
+
 def test_packing_awkward_rows(spark):
     table = awkward(spark)
     pieces = packing.pack_documents(table, VOCABULARY, public_tokenizers.PATTERN).collect()
