@@ -1,19 +1,20 @@
 """Toxicity by two class-conditional Kneser-Ney models.
 
 For each class a word-bigram model is interpolated down to a lower order both
-classes share:
+classes share, D being the absolute discount:
 
-    P_c(w | v) = disc(c_c(v, w)) / c_c(v) + l(v) * P_c(w)
-    P_c(w)     = disc(c_c(w)) / N         + l    * P_s(w)
+    P_c(w | v) = max(c_c(v, w) - D, 0) / c_c(v .) + l_c(v) * P_c(w)
+    P_c(w)     = max(c_c(w) - D, 0) / N_c         + l_c    * P_s(w)
 
-``disc`` takes off the absolute discount, ``P_s`` is the Kneser-Ney
-continuation probability (distinct left neighbours, counted without labels over
-all documents) and the backoff weights l come from both classes' counts. What
-may be chance backs off to shared counts altogether: c_c is half of both
-classes' count unless the split between the classes is beyond chance, and how
-far beyond is chosen, at every size, by the likelihood of texts the models have
-not counted. An expression counts once a class of near-duplicates, so that a
-family of near copies is no evidence for what it repeats.
+``P_s`` is the Kneser-Ney continuation probability (distinct left neighbours,
+counted without labels over all documents), and each backoff weight is the
+probability that the discount has taken off, so that every distribution sums to
+one: l_c(v) = D * N1+(v .) / c_c(v .) where all counts exceed D. What may be
+chance backs off to shared counts altogether: c_c is half of both classes' count
+unless the split between the classes is beyond chance, and how far beyond is
+chosen, at every size, by the likelihood of texts the models have not counted.
+An expression counts once a class of near-duplicates, so that a family of near
+copies is no evidence for what it repeats.
 
 The score of a text is the difference of its two length-normalised
 log-likelihoods - over the whole text and over its most toxic run of
@@ -23,8 +24,8 @@ models have not counted.
 Fitting uses a bounded sample: at most about ``PER_CLASS`` labelled texts a
 class, chosen by a hash of doc_id, whole texts. Near-duplicates go to the same
 part of it. Counting runs in Spark; only n-grams met at least ``MIN_COUNT``
-times, and the continuation counts of their words, reach the driver. Every text is scored
-whole. Labels of held-out rows, crc32(doc_id) mod 3 = 1, are never read by it.
+times, the continuation counts of their words, and three numbers a model of each
+text kept for the curve reach the driver. Every text is scored whole. Labels of held-out rows, crc32(doc_id) mod 3 = 1, are never read by it.
 """
 
 from __future__ import annotations
@@ -72,11 +73,13 @@ def _pair(v: np.ndarray, w: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Model:
-    """Log-ratio tables, sorted by hash, and the curve's weights."""
+    """Log-ratio tables, sorted by hash, and the curve's weights. ``context_ratio``
+    is that of each word's backoff weight, ``unknown`` that of a word not in ``word``."""
 
     word: np.ndarray
     word_ratio: np.ndarray
-    context: np.ndarray
+    context_ratio: np.ndarray
+    unknown: float
     pair: np.ndarray
     pair_ratio: np.ndarray
     weights: np.ndarray
@@ -84,14 +87,19 @@ class Model:
     def ratios(self, words: Words) -> np.ndarray:
         """log P_toxic - log P_ordinary of each word after its predecessor."""
         h = words.hash
-        out = _look(self.word, self.word_ratio, h)
-        if len(h) > 1 and len(self.pair):
-            follows = np.concatenate(([False], words.doc[1:] == words.doc[:-1]))
-            prev = np.concatenate((h[:1], h[:-1]))
-            at = np.flatnonzero(follows & _has(self.context, prev))
-            key = _pair(prev[at], h[at])
-            known = _has(self.pair, key)
-            out[at[known]] = _look(self.pair, self.pair_ratio, key[known])
+        if not len(h) or not len(self.word):
+            return np.full(len(h), self.unknown)
+        place = np.minimum(np.searchsorted(self.word, h), len(self.word) - 1)
+        known = self.word[place] == h
+        out = np.where(known, self.word_ratio[place], self.unknown)
+        follows = np.flatnonzero((words.doc[1:] == words.doc[:-1]) & known[:-1]) + 1
+        out[follows] += self.context_ratio[place[follows - 1]]
+        if len(self.pair):
+            both = follows[known[follows]]
+            key = _pair(h[both - 1], h[both])
+            at = np.minimum(np.searchsorted(self.pair, key), len(self.pair) - 1)
+            found = self.pair[at] == key
+            out[both[found]] = self.pair_ratio[at[found]]
         return out
 
     def features(self, texts: list[str]) -> np.ndarray:
@@ -121,13 +129,6 @@ def _has(keys: np.ndarray, h: np.ndarray) -> np.ndarray:
     return keys[np.minimum(np.searchsorted(keys, h), len(keys) - 1)] == h
 
 
-def _look(keys: np.ndarray, values: np.ndarray, h: np.ndarray) -> np.ndarray:
-    if not len(keys):
-        return np.zeros(len(h))
-    at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
-    return np.where(keys[at] == h, values[at], 0.0)
-
-
 def _own(counts: np.ndarray, evidence: float) -> np.ndarray:
     """Counts [entry, class] that a class may call its own: where the split
     between the classes is no chance (squared difference over sum, about
@@ -144,25 +145,41 @@ def build(words: np.ndarray, uni: np.ndarray, cont: np.ndarray, pairs: np.ndarra
     ``left``/``right`` word hashes and ``bi`` [pair, class]."""
     if not len(words):
         none = np.zeros(0)
-        return Model(words, none, words, words, none, NO_CURVE)
+        return Model(words, none, none, 0.0, words, none, NO_CURVE)
+    p, rest = unigrams(uni, cont, evidence)
+    i, j = (np.minimum(np.searchsorted(words, x), len(words) - 1) for x in (left, right))
+    there = (words[i] == left) & (words[j] == right)
+    i, j = i[there], j[there]
+    cond, back = bigrams(i, j, bi[there], p, evidence)
+    ratio = lambda x: np.log(x[:, 0]) - np.log(x[:, 1])
+    word_ratio, context_ratio, pair_ratio = ratio(p), ratio(back), ratio(cond)
+    # a pair that says what its parts say needs no entry
+    tells = np.abs(pair_ratio - context_ratio[i] - word_ratio[j]) > 1e-9
+    return Model(words, word_ratio, context_ratio, float(np.log(rest[0]) - np.log(rest[1])), pairs[there][tells], pair_ratio[tells], NO_CURVE)
+
+
+def unigrams(uni: np.ndarray, cont: np.ndarray, evidence: float) -> tuple[np.ndarray, np.ndarray]:
+    """P_c(w) [word, class], and the share of each class that backs off to P_s."""
     shared = np.maximum(cont, 1) / np.maximum(cont, 1).sum()
     own = _own(uni, evidence)
-    backoff = DISCOUNT * len(words) / uni.sum() * 2
+    total = np.maximum(own.sum(0), 1e-300)
     kept = np.maximum(own - DISCOUNT, 0)
-    p = (1 - backoff) * kept / kept.sum(0).mean() + backoff * shared[:, None]
-    ratio = np.log(p[:, 0]) - np.log(p[:, 1])
-    i, j = np.searchsorted(words, left), np.searchsorted(words, right)
-    i, j = np.minimum(i, len(words) - 1), np.minimum(j, len(words) - 1)
-    own_pair = _own(bi, evidence)
-    told = (words[i] == left) & (words[j] == right) & (own_pair[:, 0] != own_pair[:, 1])
-    i, j, own_pair = i[told], j[told], own_pair[told]
-    seen = np.maximum(own[i], 1)
-    # what the pair leaves of its context goes to the word, alike in both classes
-    rest = np.clip(1 - own_pair.sum(1) / np.maximum(uni[i].sum(1), 1), 0.05, 1)[:, None]
-    cond = np.maximum(own_pair - DISCOUNT, 0) / seen + rest * p[j]
-    pair_ratio = np.log(cond[:, 0]) - np.log(cond[:, 1])
-    said = np.abs(ratio) > 1e-9
-    return Model(words[said], ratio[said], np.unique(left[told]), pairs[told], pair_ratio, NO_CURVE)
+    rest = np.where(own.sum(0) > 0, (own - kept).sum(0) / total, 1.0)
+    return kept / total + rest * shared[:, None], rest
+
+
+def bigrams(i: np.ndarray, j: np.ndarray, bi: np.ndarray, p: np.ndarray, evidence: float) -> tuple[np.ndarray, np.ndarray]:
+    """P_c(w | v) of the pairs (v, w), numbers ``i`` and ``j`` of words, and l_c(v)
+    [word, class] - 1 where a class has not met the context."""
+    own = _own(bi, evidence)
+    kept = np.maximum(own - DISCOUNT, 0)
+    context, said = np.zeros_like(p), np.zeros_like(p)
+    for c in (0, 1):
+        context[:, c] = np.bincount(i, own[:, c], len(p))
+        said[:, c] = np.bincount(i, own[:, c] - kept[:, c], len(p))
+    met = context > 0
+    back = np.where(met, said / np.where(met, context, 1), 1.0)
+    return kept / np.where(met, context, 1)[i] + back[i] * p[j], back
 
 
 def fit_curve(x: np.ndarray, y: np.ndarray, share: np.ndarray) -> tuple[np.ndarray, float]:
@@ -262,7 +279,6 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model
     often = F.col("t") + F.col("o") >= MIN_COUNT
     single = grams.where(F.col("v").isNull() & often).select("w", "t", "o").toPandas()
     double = grams.where(F.col("v").isNotNull() & often).select("v", "w", "t", "o").toPandas()
-    held = texts.where("curve").select("text", "toxic", "family").toPandas()
 
     words = single["w"].to_numpy(np.int64).view(U64)
     order = np.argsort(words)
@@ -278,18 +294,29 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model
     pairs = _pair(left, right)
     order = np.argsort(pairs)
     args = words, uni * scale, conts, pairs[order], left[order], right[order], double[["t", "o"]].to_numpy(float)[order] * scale
+    models = [build(*args, evidence) for evidence in EVIDENCE]
+    held = curve_features(texts.where("curve"), models).toPandas()
     y = held["toxic"].to_numpy(float)
-    share = 1 / held.groupby(["family", "toxic"])["text"].transform("size").to_numpy(float)
-    best: tuple[float, Model] | None = None
-    for evidence in EVIDENCE:
-        model = build(*args, evidence)
-        if len(set(y.tolist())) == 2:
-            model.weights, loss = fit_curve(model.features(held["text"].tolist()), y, share)
-        else:
-            loss = 0.0
-        if best is None or loss < best[0]:
-            best = (loss, model)
-    return best[1]
+    if len(set(y.tolist())) < 2:
+        return models[0]
+    share = 1 / held.groupby(["family", "toxic"])["toxic"].transform("size").to_numpy(float)
+    x = np.array(held["x"].tolist()).reshape(len(held), len(models), -1)
+    losses = []
+    for m, model in enumerate(models):
+        model.weights, loss = fit_curve(x[:, m], y, share)
+        losses.append(loss)
+    return models[int(np.argmin(losses))]
+
+
+def curve_features(texts: DataFrame, models: list[Model]) -> DataFrame:
+    """``toxic, family, x``: each text's features under every model, one after the other."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            said = texts_of(b)
+            x = np.column_stack([m.features(said) for m in models])
+            yield pa.RecordBatch.from_arrays([b.column("toxic"), b.column("family"), pa.array(x.tolist(), pa.list_(pa.float64()))], ["toxic", "family", "x"])
+
+    return map_batches(texts.select("text", F.col("toxic").cast("int").alias("toxic"), "family"), run, "toxic int, family long, x array<double>")
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

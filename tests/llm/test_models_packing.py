@@ -194,6 +194,68 @@ def test_toxicity_counts_near_copies_once(spark):
     assert kn_toxicity.count(sample).agg({"t": "max"}).first()[0] == 1
 
 
+def _counts(draw, n_words, n_pairs, dim=2):
+    words = np.sort(draw.choice(1 << 50, n_words, replace=False).astype(np.uint64))
+    i, j = draw.integers(0, n_words, n_pairs), draw.integers(0, n_words, n_pairs)
+    pairs, first = np.unique(kn_toxicity._pair(words[i], words[j]), return_index=True)
+    i, j = i[first], j[first]
+    uni = draw.integers(0, 30, (n_words, dim)).astype(float) + np.eye(2)[draw.integers(0, 2, n_words)]
+    bi = np.where(draw.random((len(pairs), dim)) < 0.4, 0, draw.integers(1, 25, (len(pairs), dim))).astype(float)
+    bi += np.eye(2)[draw.integers(0, 2, len(pairs))]
+    return words, uni, draw.integers(0, 9, n_words).astype(float), pairs, words[i], words[j], bi, i, j
+
+
+@pytest.mark.parametrize("evidence", [0.0, 6.0, 1e9])
+def test_toxicity_is_kneser_ney(evidence):
+    """Probabilities in plain Python: they sum to one, and the tables hold their ratios."""
+    words, uni, cont, pairs, left, right, bi, i, j = _counts(np.random.default_rng(4), 25, 130)
+    model = kn_toxicity.build(words, uni, cont, pairs, left, right, bi, evidence)
+    d, log = kn_toxicity.DISCOUNT, {}
+
+    def own(t, o):
+        return (t, o) if (t - o) ** 2 / max(t + o, 1) >= evidence else ((t + o) / 2, (t + o) / 2)
+    one, two = [own(*x) for x in uni], [own(*x) for x in bi]
+    shared = [max(c, 1) / sum(max(x, 1) for x in cont) for c in cont]
+    for c in (0, 1):
+        n = sum(x[c] for x in one)
+        low = [(max(x[c] - d, 0) + sum(min(y[c], d) for y in one) * s) / n for x, s in zip(one, shared, strict=True)]
+        assert sum(low) == pytest.approx(1)
+        for v in range(25):
+            met = {j[k]: two[k][c] for k in range(len(two)) if i[k] == v}
+            n_v = sum(met.values())
+            back = sum(min(x, d) for x in met.values()) / n_v if n_v else 1.0
+            p = [(max(met.get(w, 0) - d, 0) / n_v if n_v else 0) + back * low[w] for w in range(25)]
+            assert sum(p) == pytest.approx(1)
+            if n_v and min(x for x in met.values() if x) >= d:
+                assert back == pytest.approx(d * sum(x > 0 for x in met.values()) / n_v)  # D N1+(v .) / c(v .)
+            for w in range(25):
+                log[c, v, w] = np.log(p[w])
+        log[c, None] = np.log(low)
+
+    class Said:
+        hash = np.concatenate([words[[v, w]] for v in range(25) for w in range(25)])
+        doc = np.repeat(np.arange(625), 2)
+    got = model.ratios(Said).reshape(25, 25, 2)
+    for v in range(25):
+        assert np.allclose(got[v, :, 0], log[0, None][v] - log[1, None][v])
+        assert np.allclose(got[v, :, 1], [log[0, v, w] - log[1, v, w] for w in range(25)])
+
+
+def test_toxicity_of_few_large_families_keeps_its_words():
+    """Words met twice in a thousand ordinary families, three toxic families."""
+    draw = np.random.default_rng(5)
+    words = np.sort(draw.choice(1 << 50, 30_000, replace=False).astype(np.uint64))
+    uni = np.zeros((30_000, 2))
+    uni[:, 1] = 2
+    uni[:400] = (3, 0)
+    scale = np.array([1003 / 6, 1003 / 2000])
+    none = np.zeros(0, np.uint64)
+    for evidence in kn_toxicity.EVIDENCE:
+        model = kn_toxicity.build(words, uni * scale, np.ones(30_000), none, none, none, np.zeros((0, 2)), evidence)
+        assert len(model.word) == 30_000 and np.isfinite(model.word_ratio).all()
+        assert model.word_ratio[:400].min() > 3 and model.word_ratio[400:].max() < 0.1
+
+
 def test_toxicity_continuations_of_all_documents(spark, monkeypatch):
     monkeypatch.setattr(kn_toxicity, "PAIRS_HELD", 3)
     texts = ["a x b x", "c x", None, "x", "c X. d y", "a x y"] * 2
