@@ -1,20 +1,22 @@
 """Toxicity by two class-conditional Kneser-Ney models.
 
 For each class a word-bigram model is interpolated down to a lower order both
-classes share, D being the absolute discount:
-
-    P_c(w | v) = max(c_c(v, w) - D, 0) / c_c(v .) + l_c(v) * P_c(w)
-    P_c(w)     = max(c_c(w) - D, 0) / N_c         + l_c    * P_s(w)
-
-``P_s`` is the Kneser-Ney continuation probability (distinct left neighbours,
-counted without labels over all documents), and each backoff weight is the
-probability that the discount has taken off, so that every distribution sums to
-one: l_c(v) = D * N1+(v .) / c_c(v .) where all counts exceed D. What may be
-chance backs off to shared counts altogether: c_c is half of both classes' count
-unless the split between the classes is beyond chance, and how far beyond is
-chosen, at every size, by the likelihood of texts the models have not counted.
-An expression counts once a class of near-duplicates, so that a family of near
-copies is no evidence for what it repeats.
+classes share:
+
+    P_c(w | v) = (1 - l(v)) * disc(c_c(v, w)) / sum disc(c_c(v, .)) + l(v) * P_c(w)
+    P_c(w)     = (1 - l)    * disc(c_c(w))    / sum disc(c_c(.))    + l    * P_s(w)
+
+``disc`` takes off the absolute discount D, ``P_s`` is the Kneser-Ney continuation
+probability (distinct left neighbours, counted without labels over all
+documents). The backoff weights are those of both classes' counts together,
+l(v) = D * N1+(v .) / c(v .), so that a class does not back off more for having
+fewer texts; every distribution sums to one. What may be chance backs off to
+shared counts altogether: unless the split between the classes is beyond chance
+both classes' count is halved, for a pair split like its second word, and how far
+beyond is chosen, at every size, by the likelihood of texts the models have not
+counted. An expression
+counts once a class of near-duplicates, so that a family of near copies is no
+evidence for what it repeats.
 
 The score of a text is the difference of its two length-normalised
 log-likelihoods - over the whole text and over its most toxic run of
@@ -138,11 +140,21 @@ def _own(counts: np.ndarray, evidence: float) -> np.ndarray:
     return np.where(split[:, None], counts, both[:, None] / 2)
 
 
+def _own_pairs(counts: np.ndarray, p: np.ndarray, evidence: float) -> np.ndarray:
+    """The same for pairs, whose chance split is that of their second word: where
+    the likelihood ratio against it stays below ``evidence``, both classes' count
+    is split like the word's probabilities ``p`` [pair, class]."""
+    chance = counts.sum(1, keepdims=True) * p / p.sum(1, keepdims=True)
+    surprise = 2 * (counts * np.log(np.where(counts > 0, counts / np.maximum(chance, 1e-300), 1))).sum(1)
+    return np.where((surprise >= evidence)[:, None], counts, chance)
+
+
 def build(words: np.ndarray, uni: np.ndarray, cont: np.ndarray, pairs: np.ndarray, left: np.ndarray, right: np.ndarray,
-          bi: np.ndarray, evidence: float) -> Model:
+          bi: np.ndarray, rare: np.ndarray, evidence: float) -> Model:
     """Log-ratio tables from counts. ``words`` sorted hashes with ``uni`` [word,
     class] and ``cont`` (distinct left neighbours); ``pairs`` sorted hashes with
-    ``left``/``right`` word hashes and ``bi`` [pair, class]."""
+    ``left``/``right`` word hashes and ``bi`` [pair, class]; ``rare`` [word] counts each
+    word's other pairs, which have no entry."""
     if not len(words):
         none = np.zeros(0)
         return Model(words, none, none, 0.0, words, none, NO_CURVE)
@@ -150,7 +162,7 @@ def build(words: np.ndarray, uni: np.ndarray, cont: np.ndarray, pairs: np.ndarra
     i, j = (np.minimum(np.searchsorted(words, x), len(words) - 1) for x in (left, right))
     there = (words[i] == left) & (words[j] == right)
     i, j = i[there], j[there]
-    cond, back = bigrams(i, j, bi[there], p, evidence)
+    cond, back = bigrams(i, j, bi[there], rare, p, evidence)
     ratio = lambda x: np.log(x[:, 0]) - np.log(x[:, 1])
     word_ratio, context_ratio, pair_ratio = ratio(p), ratio(back), ratio(cond)
     # a pair that says what its parts say needs no entry
@@ -159,27 +171,28 @@ def build(words: np.ndarray, uni: np.ndarray, cont: np.ndarray, pairs: np.ndarra
 
 
 def unigrams(uni: np.ndarray, cont: np.ndarray, evidence: float) -> tuple[np.ndarray, np.ndarray]:
-    """P_c(w) [word, class], and the share of each class that backs off to P_s."""
+    """P_c(w) [word, class], and what of each class backs off to P_s."""
     shared = np.maximum(cont, 1) / np.maximum(cont, 1).sum()
-    own = _own(uni, evidence)
-    total = np.maximum(own.sum(0), 1e-300)
-    kept = np.maximum(own - DISCOUNT, 0)
-    rest = np.where(own.sum(0) > 0, (own - kept).sum(0) / total, 1.0)
-    return kept / total + rest * shared[:, None], rest
-
-
-def bigrams(i: np.ndarray, j: np.ndarray, bi: np.ndarray, p: np.ndarray, evidence: float) -> tuple[np.ndarray, np.ndarray]:
-    """P_c(w | v) of the pairs (v, w), numbers ``i`` and ``j`` of words, and l_c(v)
-    [word, class] - 1 where a class has not met the context."""
-    own = _own(bi, evidence)
-    kept = np.maximum(own - DISCOUNT, 0)
-    context, said = np.zeros_like(p), np.zeros_like(p)
-    for c in (0, 1):
-        context[:, c] = np.bincount(i, own[:, c], len(p))
-        said[:, c] = np.bincount(i, own[:, c] - kept[:, c], len(p))
-    met = context > 0
-    back = np.where(met, said / np.where(met, context, 1), 1.0)
-    return kept / np.where(met, context, 1)[i] + back[i] * p[j], back
+    both = uni.sum(1)
+    rest = 1 - np.maximum(both - DISCOUNT, 0).sum() / max(both.sum(), 1e-300)
+    kept = np.maximum(_own(uni, evidence) - DISCOUNT, 0)
+    total = kept.sum(0)
+    # a class that keeps nothing backs off whole
+    back = np.where(total > 0, rest, 1.0)
+    return (1 - back) * kept / np.where(total > 0, total, 1) + back * shared[:, None], back
+
+
+def bigrams(i: np.ndarray, j: np.ndarray, bi: np.ndarray, rare: np.ndarray, p: np.ndarray, evidence: float) -> tuple[np.ndarray, np.ndarray]:
+    """P_c(w | v) of the pairs (v, w), numbers ``i`` and ``j`` of words, and what of
+    each class backs off after v [word, class]. Pairs without an entry (``rare``:
+    their counts after each word) belong to their context and back off whole."""
+    both, n = bi.sum(1), len(p)
+    context = np.bincount(i, both, n) + rare
+    rest = 1 - np.bincount(i, np.maximum(both - DISCOUNT, 0), n) / np.where(context > 0, context, 1)
+    kept = np.maximum(_own_pairs(bi, p[j], evidence) - DISCOUNT, 0)
+    total = np.column_stack([np.bincount(i, kept[:, c], n) for c in (0, 1)])
+    back = np.where(total > 0, rest[:, None], 1.0)
+    return (1 - back[i]) * kept / np.where(total > 0, total, 1)[i] + back[i] * p[j], back
 
 
 def fit_curve(x: np.ndarray, y: np.ndarray, share: np.ndarray) -> tuple[np.ndarray, float]:
@@ -293,7 +306,13 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model
     left, right = double["v"].to_numpy(np.int64).view(U64), double["w"].to_numpy(np.int64).view(U64)
     pairs = _pair(left, right)
     order = np.argsort(pairs)
-    args = words, uni * scale, conts, pairs[order], left[order], right[order], double[["t", "o"]].to_numpy(float)[order] * scale
+    bi = double[["t", "o"]].to_numpy(float)
+    # what the words' contexts hold beside those pairs
+    whole = grams.where(F.col("v").isNotNull() & ~often).groupBy("v").agg(F.sum("t").alias("t"), F.sum("o").alias("o"))
+    whole = whole.join(grams.where(F.col("v").isNull() & often).select(F.col("w").alias("v")), "v", "left_semi").toPandas()
+    rare = np.zeros(len(words))
+    rare[np.searchsorted(words, whole["v"].to_numpy(np.int64).view(U64))] = whole[["t", "o"]].to_numpy(float) @ scale
+    args = words, uni * scale, conts, pairs[order], left[order], right[order], bi[order] * scale, rare
     models = [build(*args, evidence) for evidence in EVIDENCE]
     held = curve_features(texts.where("curve"), models).toPandas()
     y = held["toxic"].to_numpy(float)

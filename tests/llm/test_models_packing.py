@@ -206,28 +206,43 @@ def _counts(draw, n_words, n_pairs, dim=2):
 
 
 @pytest.mark.parametrize("evidence", [0.0, 6.0, 1e9])
-def test_toxicity_is_kneser_ney(evidence):
+@pytest.mark.parametrize("others", [0, 7])
+def test_toxicity_is_kneser_ney(evidence, others):
     """Probabilities in plain Python: they sum to one, and the tables hold their ratios."""
     words, uni, cont, pairs, left, right, bi, i, j = _counts(np.random.default_rng(4), 25, 130)
-    model = kn_toxicity.build(words, uni, cont, pairs, left, right, bi, evidence)
+    rare = np.random.default_rng(others).integers(0, others + 1, 25).astype(float)
+    model = kn_toxicity.build(words, uni, cont, pairs, left, right, bi, rare, evidence)
     d, log = kn_toxicity.DISCOUNT, {}
 
     def own(t, o):
         return (t, o) if (t - o) ** 2 / max(t + o, 1) >= evidence else ((t + o) / 2, (t + o) / 2)
-    one, two = [own(*x) for x in uni], [own(*x) for x in bi]
+    one = [own(*x) for x in uni]
     shared = [max(c, 1) / sum(max(x, 1) for x in cont) for c in cont]
+    every = [t + o for t, o in uni]
+    low_back = sum(min(x, d) for x in every) / sum(every)
+    assert low_back == pytest.approx(d * len(every) / sum(every))  # all are above D here
+    lows = []
     for c in (0, 1):
-        n = sum(x[c] for x in one)
-        low = [(max(x[c] - d, 0) + sum(min(y[c], d) for y in one) * s) / n for x, s in zip(one, shared, strict=True)]
-        assert sum(low) == pytest.approx(1)
+        n = sum(max(x[c] - d, 0) for x in one)
+        lows.append([(1 - low_back) * max(x[c] - d, 0) / n + low_back * s for x, s in zip(one, shared, strict=True)])
+        assert sum(lows[c]) == pytest.approx(1)
+
+    def own_pair(t, o, w):
+        chance = [(t + o) * lows[c][w] / (lows[0][w] + lows[1][w]) for c in (0, 1)]
+        surprise = 2 * sum(x * np.log(x / e) for x, e in zip((t, o), chance, strict=True) if x)
+        return (t, o) if surprise >= evidence else chance
+    two = [own_pair(*x, w) for x, w in zip(bi, j, strict=True)]
+    for c in (0, 1):
+        low = lows[c]
         for v in range(25):
-            met = {j[k]: two[k][c] for k in range(len(two)) if i[k] == v}
-            n_v = sum(met.values())
-            back = sum(min(x, d) for x in met.values()) / n_v if n_v else 1.0
-            p = [(max(met.get(w, 0) - d, 0) / n_v if n_v else 0) + back * low[w] for w in range(25)]
-            assert sum(p) == pytest.approx(1)
-            if n_v and min(x for x in met.values() if x) >= d:
-                assert back == pytest.approx(d * sum(x > 0 for x in met.values()) / n_v)  # D N1+(v .) / c(v .)
+            met = {j[k]: (two[k][c], sum(bi[k])) for k in range(len(two)) if i[k] == v}
+            context = sum(x for _, x in met.values()) + rare[v]
+            back = (d * len(met) + rare[v]) / context if met else 1.0  # D N1+(v .) / c(v .), and the pairs without an entry
+            kept = sum(max(x - d, 0) for x, _ in met.values())
+            if not kept:
+                back = 1.0
+            p = [((1 - back) * max(met[w][0] - d, 0) / kept if kept and w in met else 0) + back * low[w] for w in range(25)]
+            assert sum(p) == pytest.approx(1) and 0 < back <= 1
             for w in range(25):
                 log[c, v, w] = np.log(p[w])
         log[c, None] = np.log(low)
@@ -251,7 +266,7 @@ def test_toxicity_of_few_large_families_keeps_its_words():
     scale = np.array([1003 / 6, 1003 / 2000])
     none = np.zeros(0, np.uint64)
     for evidence in kn_toxicity.EVIDENCE:
-        model = kn_toxicity.build(words, uni * scale, np.ones(30_000), none, none, none, np.zeros((0, 2)), evidence)
+        model = kn_toxicity.build(words, uni * scale, np.ones(30_000), none, none, none, np.zeros((0, 2)), np.zeros(30_000), evidence)
         assert len(model.word) == 30_000 and np.isfinite(model.word_ratio).all()
         assert model.word_ratio[:400].min() > 3 and model.word_ratio[400:].max() < 0.1
 
