@@ -56,7 +56,9 @@ DISCOUNT = 0.75
 #: likelihood of the texts kept for the curve chooses
 EVIDENCE = (6.0, 10.0, 20.0, 40.0)
 #: distinct pairs a task holds before it hands them on
-PAIRS_HELD = 1 << 20
+PAIRS_HELD = 1 << 21
+#: bits of a left neighbour's hash that tell it from a word's others
+LEFT_BITS = 40
 #: share of the sample kept for the curve, 1 in so many
 CURVE_PART = 4
 THRESHOLD = 0.7
@@ -261,8 +263,8 @@ def count(texts: DataFrame) -> DataFrame:
 def continuations(docs: DataFrame, words: np.ndarray) -> DataFrame:
     """``w, cont``: the number of distinct words before each of ``words`` (sorted
     hashes; ``w`` is the place there) over all rows of ``docs``. A pair crosses
-    the exchange as one number: the place, above it as many bits as are left of
-    the hash of the word before."""
+    the exchange as one number: the place, above it ``LEFT_BITS`` of the hash of the
+    word before (a million different ones collide once, and count one less)."""
     bits = max(1, len(words) - 1).bit_length()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -272,7 +274,7 @@ def continuations(docs: DataFrame, words: np.ndarray) -> DataFrame:
             at = np.flatnonzero(said.doc[1:] == said.doc[:-1]) + 1
             at = at[_has(words, said.hash[at])]
             place = np.searchsorted(words, said.hash[at]).astype(U64)
-            held.append(np.unique((said.hash[at - 1] << U64(bits)) | place))
+            held.append(np.unique(((said.hash[at - 1] & U64((1 << LEFT_BITS) - 1)) << U64(bits)) | place))
             if sum(map(len, held)) > PAIRS_HELD:
                 yield pa.RecordBatch.from_arrays([pa.array(np.unique(np.concatenate(held)).view(np.int64))], ["pair"])
                 held = []
