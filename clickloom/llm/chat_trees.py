@@ -123,7 +123,8 @@ def format_paths(messages: DataFrame, chosen: DataFrame) -> DataFrame:
 
 def chain(conversations: DataFrame) -> DataFrame:
     """Conversations as trees of one branch: each row answers the one before it
-    by turn. Rows that share a turn follow each other by role, then text."""
+    by turn. Rows that share a turn follow each other by role, then
+    by a hash of the text; equal ones are alike, so their order does not show."""
     order = Window.partitionBy("conv_id").orderBy("turn", "role", "hash")
     rows = conversations.select("conv_id", "turn", "role", "text", F.xxhash64("text").alias("hash"))
     numbered = rows.withColumn("id", F.row_number().over(order).cast("long"))
