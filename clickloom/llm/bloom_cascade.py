@@ -9,23 +9,29 @@ answer about one is right.
 
 Only DataFrame functions are used. A level's bits are one array of longs,
 built by hashing, ``bit_or`` and one bounded collect, and reach the rows as a
-scalar subquery. Its size follows the number of encoded keys, which is counted
-first: past ``MAX_BITS`` the cascade is not built and a semi join answers.
+scalar subquery. A hash of the key deals the universe into shards, as many as
+the counted keys need for the levels of each to fit ``MAX_BITS``; every shard has
+its own cascade. A pass over the rows carries the bits of one shard and asks
+only for keys dealt to it. One shard holds about ten million listed keys; each
+further one costs a narrow pass, whose rows are written before the next.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from math import ceil, log, log2
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.session import cut_lineage
+from clickloom.llm.textops import fresh
+from clickloom.session import cut_lineage, scratch_path
 
-#: the most bits of all levels together (8 MB); the keys' number is checked against it
+#: the most bits of all levels of one shard (8 MB)
 MAX_BITS = 1 << 26
-MAX_LEVELS = 40
+#: a bound below this could not hold the levels of a handful of keys
+LEAST_BITS = 1 << 12
 
 #: (verdict, host, path prefix)
 RULES = (
@@ -84,9 +90,28 @@ class Level:
         return out
 
 
+def _rate(n: float, m: float, level: int) -> float:
+    """False positives a level aims at: few of the many others may pass the first, one in two a later one."""
+    return 0.5 if level else min(0.5, n / (1.4143 * max(1, m)))
+
+
+def _bits(n: float, rate: float) -> int:
+    return 64 * max(1, ceil(n * log(1 / rate) / log(2) ** 2 / 64))
+
+
+def expected_bits(n: float, m: float) -> int:
+    """Bits of all levels for ``n`` listed keys among ``m`` others."""
+    total = level = 0
+    while n >= 1:
+        rate = _rate(n, m, level)
+        total += _bits(n, rate)
+        n, m, level = m * rate, n, level + 1
+    return total
+
+
 def _level(keys: DataFrame, n: int, rate: float, seed: int) -> Level:
     """The filter of ``keys`` (column key, ``n`` rows) with false positives near ``rate``."""
-    bits = 64 * max(1, ceil(n * log(1 / rate) / log(2) ** 2 / 64))
+    bits = _bits(n, rate)
     level = Level(seed, bits, max(1, round(log2(1 / rate))), keys)
     at = F.explode(F.array(*level.positions(F.col("key"))))
     one = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("at").bitwiseAND(63).cast("int"))
@@ -100,59 +125,102 @@ def _level(keys: DataFrame, n: int, rate: float, seed: int) -> Level:
     return level
 
 
+def _shard_of(key: Column, shards: int) -> Column:
+    return F.pmod(F.xxhash64(F.lit(0), key), F.lit(shards))
+
+
 @dataclass
 class Cascade:
-    """Levels, or beyond their bound the listed keys themselves."""
+    """The levels of every shard that holds a listed key, by shard."""
 
-    levels: list[Level]
-    listed: DataFrame | None = None
+    shards: int
+    levels: dict[int, list[Level]]
 
     def mark(self, rows: DataFrame, host: str, into: str) -> DataFrame:
-        """``rows`` with a boolean: is the host or a parent domain listed?"""
-        keys = domains(F.col(host))
-        if self.listed is not None:
-            hits = (rows.select(F.col(host).alias("_host")).distinct().withColumn("key", F.explode(domains(F.col("_host"))))
-                    .join(self.listed, "key", "left_semi").select("_host").distinct().withColumn(into, F.lit(True)))
-            return (rows.join(hits, F.col(host) == F.col("_host"), "left").drop("_host")
-                    .withColumn(into, F.coalesce(into, F.lit(False))))
-        names = [f"_bits{i}" for i in range(len(self.levels))]
-        rows = rows.withColumns({n: level.words.scalar() for n, level in zip(names, self.levels, strict=True)})
+        """``rows`` with a boolean: is the host or a parent domain listed?
+
+        All columns of ``rows`` are written between the passes of two shards."""
+        marked = rows.withColumn(into, F.lit(False))
+        for i, (shard, levels) in enumerate(self.levels.items()):
+            if i:
+                # or the optimiser would put the bits of all shards into one pass
+                marked = cut_lineage(marked)
+            marked = self._pass(marked, host, into, shard, levels)
+        return marked
+
+    def _pass(self, rows: DataFrame, host: str, into: str, shard: int, levels: list[Level]) -> DataFrame:
+        names = fresh(rows, *[f"_bits{i}" for i in range(len(levels))])
+        rows = rows.withColumns({n: level.words.scalar() for n, level in zip(names, levels, strict=True)})
 
         def listed(key: Column) -> Column:
             # passing every level decides by their number, failing one by its place
-            answer = F.lit(len(self.levels) % 2 == 1)
-            for i in reversed(range(len(self.levels))):
-                answer = F.when(self.levels[i].passes(key, F.col(names[i])), answer).otherwise(F.lit(i % 2 == 1))
-            return answer
+            answer = F.lit(len(levels) % 2 == 1)
+            for i in reversed(range(len(levels))):
+                answer = F.when(levels[i].passes(key, F.col(names[i])), answer).otherwise(F.lit(i % 2 == 1))
+            return answer if self.shards == 1 else (_shard_of(key, self.shards) == shard) & answer
 
-        return rows.withColumn(into, F.exists(keys, listed)).drop(*names)
+        return rows.withColumn(into, F.col(into) | F.exists(domains(F.col(host)), listed)).drop(*names)
 
 
-def build(universe: DataFrame, listed: DataFrame, max_bits: int = MAX_BITS) -> Cascade:
-    """The cascade for the keys ``listed`` over the complete key ``universe``
-    (column key each, nulls ignored)."""
-    universe = cut_lineage(universe.select("key").where(F.col("key").isNotNull()).distinct())
-    inside = cut_lineage(universe.join(listed.select("key").distinct(), "key", "left_semi"))
-    outside = cut_lineage(universe.join(inside, "key", "left_anti"))
-    encoded, other = inside, outside
+def _levels(encoded: DataFrame, other: DataFrame, max_bits: int) -> list[Level] | None:
+    """The levels that tell the keys ``encoded`` from ``other``; None beyond ``max_bits``.
+
+    Every level hashes anew, so that two keys that agree in one part in the next."""
     n, m = encoded.count(), other.count()
     levels: list[Level] = []
     total = 0
     while n:
-        # first level: few of the many others may pass; afterwards one in two may
-        rate = 0.5 if levels else min(0.5, max(1e-6, n / (1.4143 * max(1, m))))
-        total += ceil(n * log(1 / rate) / log(2) ** 2)
-        if total > max_bits or len(levels) == MAX_LEVELS:
-            return Cascade([], inside)
+        rate = _rate(n, m, len(levels))
+        total += _bits(n, rate)
+        if total > max_bits:
+            return None
         level = _level(encoded, n, rate, len(levels) + 1)
         levels.append(level)
         if not m:
             break
-        passing = (other.withColumn("_bits", level.words.scalar())
-                   .where(level.passes(F.col("key"), F.col("_bits"))).select("key"))
+        (bits,) = fresh(other, "_bits")
+        passing = other.withColumn(bits, level.words.scalar()).where(level.passes(F.col("key"), F.col(bits))).select("key")
         encoded, other = cut_lineage(passing), encoded
         n, m = encoded.count(), n
-    return Cascade(levels)
+    return levels
+
+
+def _dealt(keys: DataFrame, shards: int) -> list[DataFrame]:
+    """The keys of every shard, each read from a folder of its own."""
+    if shards == 1:
+        return [keys]
+    path = scratch_path(keys.sparkSession, f"keys-{uuid.uuid4().hex}")
+    dealt = keys.select("key", _shard_of(F.col("key"), shards).alias("shard"))
+    # a shard's keys by several tasks, as the keys not listed may be many
+    dealt.repartition("shard", F.pmod(F.xxhash64(F.lit(-1), "key"), F.lit(8))).write.partitionBy("shard").parquet(path)
+    kept = keys.sparkSession.read.schema("key string, shard long").parquet(path)
+    return [kept.where(F.col("shard") == s).select("key") for s in range(shards)]
+
+
+def build(universe: DataFrame, listed: DataFrame, max_bits: int = MAX_BITS) -> Cascade:
+    """The cascade for the keys ``listed`` over the complete key ``universe``
+    (column key each, nulls ignored); no shard has more than ``max_bits``."""
+    if max_bits < LEAST_BITS:
+        raise ValueError(f"max_bits {max_bits} is below {LEAST_BITS}")
+    universe = cut_lineage(universe.select("key").where(F.col("key").isNotNull()).distinct())
+    inside = cut_lineage(universe.join(listed.select("key").distinct(), "key", "left_semi"))
+    outside = cut_lineage(universe.join(inside, "key", "left_anti"))
+    expected = expected_bits(inside.count(), outside.count())
+    shards = 1
+    while 1.1 * expected > shards * max_bits:
+        shards *= 2
+    while True:
+        found: dict[int, list[Level]] = {}
+        for shard, (ins, out) in enumerate(zip(_dealt(inside, shards), _dealt(outside, shards), strict=True)):
+            levels = _levels(ins, out, max_bits)
+            if levels is None:
+                break
+            if levels:
+                found[shard] = levels
+        else:
+            return Cascade(shards, found)
+        # hashing dealt one shard more than its share
+        shards *= 2
 
 
 def listed_hosts(keys: DataFrame) -> DataFrame:

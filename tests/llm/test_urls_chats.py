@@ -19,7 +19,7 @@ def test_cascade_is_exact_over_the_universe(spark):
     names = [f"h{i}.example" for i in range(3000)]
     listed = set(draw.sample(names, 700))
     cascade = bloom_cascade.build(keys(spark, names), keys(spark, sorted(listed) + ["not-in-corpus.example"]))
-    assert len(cascade.levels) > 1 and cascade.listed is None
+    assert cascade.shards == 1 and len(cascade.levels[0]) > 1
     marked = cascade.mark(keys(spark, names), "key", "hit")
     assert {r["key"] for r in marked.where("hit").collect()} == listed
     plan = marked._jdf.queryExecution().executedPlan().toString()
@@ -32,12 +32,32 @@ def test_cascade_of_none_and_all(spark, listed):
     assert {r["key"] for r in cascade.mark(keys(spark, ["a.b", "c.d"]), "key", "hit").where("hit").collect()} == set(listed)
 
 
-def test_cascade_beyond_its_bound_joins(spark):
-    names = [f"h{i}.example" for i in range(500)]
-    cascade = bloom_cascade.build(keys(spark, names), keys(spark, names[:200]), max_bits=64)
-    assert cascade.listed is not None
-    marked = cascade.mark(keys(spark, names + ["www.h3.example"]), "key", "hit")
-    assert {r["key"] for r in marked.where("hit").collect()} == set(names[:200]) | {"www.h3.example"}
+def test_cascade_beyond_one_shard_is_exact_without_joins(spark):
+    names = [f"h{i}.example" for i in range(3000)]
+    listed = set(random.Random(3).sample(names, 900))
+    rows_ = keys(spark, names + ["www.h3.example"] + ["h5.example"] * 3).withColumn("_bits0", F.lit("own"))
+    cascade = bloom_cascade.build(keys(spark, names), keys(spark, sorted(listed)), max_bits=bloom_cascade.LEAST_BITS)
+    assert cascade.shards > 1 and all(sum(level.bits for level in levels) <= bloom_cascade.LEAST_BITS for levels in cascade.levels.values())
+    marked = cascade.mark(rows_, "key", "hit")
+    plan = marked._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and not any(p in plan for p in PYTHON)
+    got = marked.collect()
+    assert len(got) == 3004 and all(r["_bits0"] == "own" for r in got)
+    assert {r["key"] for r in got if r["hit"]} == listed | ({"www.h3.example"} if "h3.example" in listed else set())
+
+
+def test_cascade_without_listed_keys(spark):
+    names = [f"h{i}.example" for i in range(2000)]
+    cascade = bloom_cascade.build(keys(spark, names), keys(spark, []))
+    assert cascade.levels == {} and cascade.mark(keys(spark, names), "key", "hit").where("hit").count() == 0
+    with pytest.raises(ValueError):
+        bloom_cascade.build(keys(spark, names), keys(spark, names), max_bits=64)
+
+
+def test_bits_follow_the_keys():
+    # the levels for n keys among ten times as many need a bounded number of bits a key, at every size
+    a_key = [bloom_cascade.expected_bits(n, 10 * n) / n for n in (10**4, 10**6, 10**8)]
+    assert max(a_key) < 12 and max(a_key) / min(a_key) < 1.05
 
 
 def test_url_verdicts(spark):
