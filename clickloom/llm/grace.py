@@ -35,6 +35,8 @@ from clickloom.llm.textops import fresh, map_batches
 
 #: bytes of distinct contents one table may hold before it spills
 TABLE_BYTES = 48 << 20
+#: memory of one salt in a set, about
+SALT_BYTES = 64
 #: spill files a level, and levels before a bucket is taken as it is (its hashes
 #: agree in every bit used, so further partitioning could not part them)
 FAN_OUT_BITS, MAX_DEPTH = 4, 12
@@ -83,11 +85,13 @@ class OpenTable:
             self.keep.append(keep)
             self.rows.append(rows)
             self.salts.append(set(salts))
-            self.bytes += len(content) + 200
+            self.bytes += len(content) + 200 + SALT_BYTES * len(salts)
             return True
         self.keep[i] = max(self.keep[i], keep)
         self.rows[i] += rows
+        self.bytes -= SALT_BYTES * len(self.salts[i])
         self.salts[i] |= salts
+        self.bytes += SALT_BYTES * len(self.salts[i])
         return True
 
     def _grow(self) -> None:
@@ -115,7 +119,9 @@ def _unspill(path: str) -> Iterator[Record]:
 def grace(records: Iterable[Record], table_bytes: int = TABLE_BYTES, depth: int = 0) -> Iterator[Record]:
     """One record for each distinct content of ``records``."""
     table = OpenTable()
-    with tempfile.TemporaryDirectory(prefix="grace-") as folder:
+    # the executor's own spill folders, which Spark names to its Python workers
+    spill = os.environ.get("SPARK_LOCAL_DIRS", "").split(",")[0] or None
+    with tempfile.TemporaryDirectory(prefix="grace-", dir=spill) as folder:
         files: dict[int, object] = {}
         try:
             for r in records:
@@ -212,10 +218,11 @@ def dedup(docs: DataFrame, table_bytes: int = TABLE_BYTES) -> DataFrame:
 
 def keep_one(docs: DataFrame, table_bytes: int = TABLE_BYTES) -> DataFrame:
     """The rows of ``docs`` that stay, all columns: one for each distinct text."""
-    sha, keep, kept_sha = fresh(docs, "sha", "keep", "kept_sha")
+    sha, here, keep, kept_sha = fresh(docs, "sha", "here", "keep", "kept_sha")
     kept = groups(docs, table_bytes).select(F.col("keep_id").alias(keep), F.col("text_sha256").alias(kept_sha)).distinct()
     digest = F.sha2(F.translate(F.coalesce("text", F.lit("")), UPPER, LOWER), 256)
     # a group whose doc_ids are all null is kept under the least long
-    same = (F.coalesce("doc_id", F.lit(-(1 << 63))) == F.col(keep)) & (F.col(sha) == F.col(kept_sha))
-    found = docs.withColumn(sha, digest).join(kept, same, "left_semi")
-    return found.dropDuplicates(["doc_id", sha]).select(*docs.columns)
+    rows = docs.withColumns({sha: digest, here: F.coalesce("doc_id", F.lit(-(1 << 63)))})
+    found = rows.join(kept, (F.col(here) == F.col(keep)) & (F.col(sha) == F.col(kept_sha)), "left_semi")
+    # by the join's own columns: the texts are not shuffled again
+    return found.dropDuplicates([here, sha]).select(*docs.columns)

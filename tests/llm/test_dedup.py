@@ -111,6 +111,12 @@ def test_near_classes_equal_brute_force(spark):
     assert [got[i] for i in range(len(texts))] == want
 
 
+def test_near_kept_rows_stand_once(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f"), (1, "a b c d e f"), (2, "g h i j k"), (None, "l m n"), (None, "l m n")], "doc_id long, text string")
+    assert sorted(rows(probminhash.keep_one(docs)), key=repr) == sorted([(1, "a b c d e f"), (2, "g h i j k"), (None, "l m n")], key=repr)
+    assert probminhash.keep_one(docs.where("doc_id = 2")).count() == 1
+
+
 @pytest.mark.parametrize("block, columns", [(512, 8192), (16, 100)])
 def test_near_large_bucket_of_unlike_texts(spark, monkeypatch, block, columns):
     """One band key for all: every pair in the bucket must still be compared."""
