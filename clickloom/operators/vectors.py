@@ -31,7 +31,17 @@ from clickloom.functions.columns import attach
 from clickloom.operators.ordering import dense_index, exact_quantiles, lookup_join, top_k_per_group
 from clickloom.session import cut_lineage
 
-SCORE_BUDGET = 20_000_000  # scores materialised per matmul chunk (~160 MB of float64)
+SCORE_BUDGET = 2_000_000  # scores materialised per matmul chunk (~16 MB of float64)
+FULL_BLOCK = 50_000  # rows of one side of a block product at most
+MOST_BLOCKS = 16  # blocks a side while none is above FULL_BLOCK: each costs a copy of the other side
+MOST_LISTS = 32  # blocks by length while none is above FULL_BLOCK
+
+
+def _n_blocks(rows: int, block_rows: int, most: int = MOST_BLOCKS) -> int:
+    """Blocks of about ``block_rows`` rows, but no more than ``most`` as long as
+    these hold ``FULL_BLOCK`` rows or fewer: a row is copied for every block of
+    the other side, so blocks of a fixed small size would copy quadratically."""
+    return max(1, min(math.ceil(rows / block_rows), most), math.ceil(rows / FULL_BLOCK))
 
 
 def l2_normalize(col) -> F.Column:
@@ -39,7 +49,9 @@ def l2_normalize(col) -> F.Column:
     the zero vector stays zero. Pure JVM expression."""
     c = F.col(col) if isinstance(col, str) else col
     norm = F.sqrt(F.aggregate(c, F.lit(0.0), lambda acc, x: acc + x.cast("double") * x.cast("double")))
-    return F.transform(c, lambda x: F.when(norm > 0, x.cast("double") / norm).otherwise(F.lit(0.0)))
+    # the length is bound first: inside the inner transform it would be summed up anew for every element
+    unit = F.transform(F.array(norm), lambda n: F.transform(c, lambda x: F.when(n > 0, x.cast("double") / n).otherwise(F.lit(0.0))))
+    return F.get(unit, 0)
 
 
 def dot(a, b) -> F.Column:
@@ -56,26 +68,42 @@ def block_top_k(q: np.ndarray, qids: np.ndarray, m: np.ndarray, ids: np.ndarray,
     """(query id, item id, score) of each query's ``k`` best rows of ``m`` by
     inner product, ties by item id; ``seen`` are (row of q, row of m) to leave out.
 
-    The matrix product only proposes: rows within a small margin of the k-th
-    score are scored again in a fixed order of summation, so equal vectors get
+    The matrix product (of vectors scaled to length 1 at most, in single
+    precision) only proposes: rows within its error of the k-th score are scored
+    again in double precision and a fixed order of summation, so equal vectors get
     equal scores and a score does not depend on the block it was computed in."""
     dim = q.shape[1]
     kk = min(k, len(ids))
     if not kk or not len(q):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
-    norms = np.sqrt((m * m).sum(axis=1)).max(initial=0.0)
+    norms, lengths = np.sqrt(np.einsum("ij,ij->i", m, m)).max(initial=0.0), np.sqrt(np.einsum("ij,ij->i", q, q))
+    if np.isfinite(norms) and np.isfinite(lengths).all():
+        short_m, scale = (m / max(norms, 1e-150)).astype(np.float32), 1 / np.maximum(lengths, 1e-150)
+        margin = np.full(len(q), 4 * (dim + 4) * 2.0 ** -24)  # |q.x| <= 1: twice what rounding can move a sum
+    else:
+        short_m, scale, margin = m, np.ones(len(q)), 1e-12 * dim * np.maximum(1e-300, norms * lengths)
+    own = np.isin(qids, ids) if exclude_self else np.zeros(len(qids), bool)
+    # the k-th best of the columns' maxima is no better than the k-th best score: it tells
+    # nearly all columns away without ordering them
+    width = len(ids) // max(8 * kk, 256)
+    whole = len(ids) - len(ids) % max(1, width)
     out, step = [], max(1, SCORE_BUDGET // len(ids))
     for at in range(0, len(q), step):
         part, pids = q[at:at + step], qids[at:at + step]
-        rough = part @ m.T
+        rough = (part * scale[at:at + step, None]).astype(short_m.dtype) @ short_m.T
         if seen is not None:
             here = (seen[0] >= at) & (seen[0] < at + step)
             rough[seen[0][here] - at, seen[1][here]] = -np.inf
-        if exclude_self:
-            rough[pids[:, None] == ids[None, :]] = -np.inf
-        kth = -np.partition(-rough, kk - 1, axis=1)[:, kk - 1]
-        margin = 1e-12 * dim * np.maximum(1e-300, norms * np.sqrt((part * part).sum(axis=1)))
-        row, col = np.nonzero((rough >= np.where(np.isfinite(kth), kth - margin, -np.inf)[:, None]) & np.isfinite(rough))
+        if own[at:at + step].any():
+            mine = np.flatnonzero(own[at:at + step])
+            row, col = np.nonzero(pids[mine, None] == ids[None, :])
+            rough[mine[row], col] = -np.inf
+        top = rough if width < 2 else rough[:, :whole].reshape(len(part), width, -1).max(axis=1)
+        kth = np.partition(top, top.shape[1] - kk, axis=1)[:, top.shape[1] - kk]
+        least = np.where(np.isfinite(kth), kth - margin[at:at + step], -np.inf).astype(short_m.dtype)
+        row, col = np.nonzero(rough >= least[:, None])
+        finite = np.isfinite(rough[row, col])
+        row, col = row[finite], col[finite]
         score = np.zeros(len(row))
         for d in range(dim):
             score += part[row, d] * m[col, d]
@@ -92,7 +120,7 @@ _PARTIAL = "query_id long, item_id long, score double"
 
 def _matrix(column: pa.ChunkedArray) -> np.ndarray:
     column = column.combine_chunks()
-    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1) if len(column) else np.zeros((0, 1))
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False).reshape(len(column), -1) if len(column) else np.zeros((0, 1))
 
 
 def _rows_of(ids: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -131,7 +159,7 @@ def _block_product(queries: DataFrame, items: DataFrame, keys: list[str], k: int
 
 def _numbered(df: DataFrame, id_col: str, block_rows: int, block: str) -> tuple[DataFrame, int]:
     """``df`` with a block number by a hash of the id, and the number of blocks."""
-    n = max(1, math.ceil(df.count() / block_rows))
+    n = _n_blocks(df.count(), block_rows)
     return df.withColumn(block, F.pmod(F.xxhash64(id_col), F.lit(n)).cast("int")), n
 
 
@@ -143,7 +171,8 @@ def exact_topk(queries: DataFrame, items: DataFrame, k: int, metric: str = "ip",
 
     ``items`` are the items that may be returned: padding and untrained items
     are left out by the caller. Blocks hold about ``block_rows`` rows of either
-    side; a row is sent once for every block of the other side. ``exclude_self``
+    side, more where that would make more than ``MOST_BLOCKS`` (``_n_blocks``); a
+    row is sent once for every block of the other side. ``exclude_self``
     drops the item equal to the query id. Rows without a vector take no part.
 
     R4: pairs of ``seen`` (query id, item id) are left out before the cut, so a
@@ -189,33 +218,64 @@ def nearest_clusters(df: DataFrame, centroids: DataFrame, n: int, id_col: str, v
 
     def run(batches):
         for b in batches:
-            q = _matrix(pa.chunked_array([b.column("vec")]))
-            found = block_top_k(q, np.arange(len(q)), mat, ids, n) if len(q) else ([], [], [])
-            at = pa.array(found[0], pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column("id").take(at), b.column("vec").take(at), pa.array(found[1], pa.int64()).cast(pa.int32())],
-                                             ["id", "vec", "cluster"])
+            for b in _slices(b, n):
+                q = _matrix(pa.chunked_array([b.column("vec")]))
+                found = block_top_k(q, np.arange(len(q)), mat, ids, n) if len(q) else ([], [], [])
+                at = pa.array(found[0], pa.int64())
+                yield pa.RecordBatch.from_arrays([b.column("id").take(at), b.column("vec").take(at), pa.array(found[1], pa.int64()).cast(pa.int32())],
+                                                 ["id", "vec", "cluster"])
 
     out = (df.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("vec"))
            .mapInArrow(run, "id long, vec array<double>, cluster int"))
     return out.withColumnsRenamed({"id": id_col, "vec": vec_col})
 
 
+def _slices(batch: pa.RecordBatch, copies: int):
+    """``batch`` in pieces that hold at most about 20,000 rows when each row is copied ``copies`` times."""
+    step = max(1, 20_000 // max(1, copies))
+    for at in range(0, max(1, batch.num_rows), step):
+        yield batch.slice(at, step)
+
+
+def _by_cluster(numbers: dict[int, int]) -> Column:
+    """``numbers`` by cluster (those above 1), 1 for any other."""
+    known = F.create_map(*[F.lit(x) for c, n in numbers.items() if n > 1 for x in (c, n)] or [F.lit(-1), F.lit(1)])
+    return F.coalesce(F.try_element_at(known, F.col("cluster")), F.lit(1))
+
+
+def _list_products(probes: DataFrame, lists: DataFrame, visits: dict[int, int], parts: dict[int, int], k: int, exclude_self: bool) -> DataFrame:
+    """Partial top-k of the ``probes`` (query_id, vec, cluster; ``visits``: their number by
+    cluster) in the ``lists`` (item_id, vec, cluster) they name. Both sides of a
+    list are cut, its items into ``parts`` by a salt and its queries into parts of
+    ``FULL_BLOCK`` rows, each by its own number: no group holds more, however crowded a list."""
+    salts, asked = _by_cluster(parts), _by_cluster({c: math.ceil(n / FULL_BLOCK) for c, n in visits.items()})
+    q = (probes.withColumn("part", F.pmod(F.xxhash64("query_id"), asked).cast("int"))
+         .withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1))))
+    it = (lists.where(F.col("cluster").isin(*visits)).withColumn("salt", F.pmod(F.xxhash64("item_id"), salts).cast("int"))
+          .withColumn("part", F.explode(F.sequence(F.lit(0), asked - 1))))
+    return _block_product(q, it, ["cluster", "salt", "part"], k, exclude_self)
+
+
+def _counts(rows: DataFrame) -> dict[int, int]:
+    """Rows by cluster."""
+    return {r["cluster"]: r["n"] for r in rows.groupBy("cluster").agg(F.count(F.lit(1)).alias("n")).collect()}
+
+
 def ivf_topk(queries: DataFrame, items: DataFrame, k: int, n_lists: int, n_probe: int, seed: int = 42,
              query_col: str = "query_id", item_col: str = "item_id", vec_col: str = "vec",
              exclude_self: bool = False, block_rows: int = 50_000) -> DataFrame:
     """R2: inverted-file search by inner product: items live in their nearest
     centroid's list; a query scores only the items of its ``n_probe`` nearest
     lists, then keeps the top ``k``. A list longer than ``block_rows`` is split
-    by a salt, so a crowded list is not one task's work."""
+    by a salt, so a crowded list is not one task's work; a query meets no more
+    than ``MOST_BLOCKS`` such parts as long as they hold ``FULL_BLOCK`` rows or fewer."""
     q = queries.select(F.col(query_col).alias("query_id"), F.col(vec_col).alias("vec"))
     it = items.select(F.col(item_col).alias("item_id"), F.col(vec_col).alias("vec"))
     cents = kmeans_centroids(it, n_lists, seed)
     lists = cut_lineage(nearest_clusters(it, cents, 1, "item_id"))
-    longest = lists.groupBy("cluster").count().agg(F.max("count")).first()[0] or 0
-    salts = max(1, math.ceil(longest / block_rows))
-    lists = lists.withColumn("salt", F.pmod(F.xxhash64("item_id"), F.lit(salts)).cast("int"))
-    probes = nearest_clusters(q, cents, n_probe, "query_id").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    cand = _block_product(probes, lists, ["cluster", "salt"], k, exclude_self)
+    probes = cut_lineage(nearest_clusters(q, cents, n_probe, "query_id"))
+    parts = {c: _n_blocks(n, block_rows, max(1, MOST_BLOCKS // n_probe)) for c, n in _counts(lists).items()}
+    cand = _list_products(probes, lists, _counts(probes), parts, k, exclude_self)
     out = top_k_per_group(cand, "query_id", [F.desc("score"), F.asc("item_id")], k, rank_col="rank")
     return out.select(F.col("query_id").alias(query_col), F.col("item_id").alias(item_col), "score", "rank")
 
@@ -247,7 +307,7 @@ def _next_lists(queries: DataFrame, tables: tuple[np.ndarray, ...], start: int,
     ids, mat, radius, longest = tables
 
     def run(batches):
-        for b in batches:
+        for b in (s for b in batches for s in _slices(b, max(len(ids), end - start))):
             q = _matrix(pa.chunked_array([b.column("vec")]))
             if not len(q):
                 continue
@@ -308,21 +368,18 @@ def _bounded_search(q: DataFrame, lists: DataFrame, tables: tuple[np.ndarray, ..
     as many lists from round to round."""
     q = cut_lineage(q)
     best = q.sparkSession.createDataFrame([], _RANKED)
-    # a long list is cut by a salt, each by its own number: other lists' probes are not copied
-    parts = F.create_map(*[F.lit(x) for c, n in size.items() if n > block_rows for x in (c, math.ceil(n / block_rows))] or [F.lit(-1), F.lit(1)])
-    salts = F.coalesce(F.try_element_at(parts, F.col("cluster")), F.lit(1))
-    lists = lists.withColumn("salt", F.pmod(F.xxhash64("item_id"), salts).cast("int"))
+    # a query may visit every list: all their parts together stay within MOST_LISTS where FULL_BLOCK allows
+    parts = {c: _n_blocks(n, block_rows, max(1, MOST_LISTS // len(size))) for c, n in size.items()}
     start, end = 0, 1
     while start < len(size):
         kth = best.where(F.col("rank") == k).select("query_id", F.col("score").alias("kth"))
         probes = cut_lineage(_next_lists(q.join(kth, "query_id", "left"), tables, start, end))
-        visits = {r["cluster"]: r["n"] for r in probes.groupBy("cluster").agg(F.count(F.lit(1)).alias("n")).collect()}
+        visits = _counts(probes)
         if not visits:
             break
         if work is not None:
             work.append((len(work) + 1, probes.select("query_id").distinct().count(), sum(visits.values()), sum(n * size[c] for c, n in visits.items())))
-        salted = probes.withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1)))
-        found = _block_product(salted, lists, ["cluster", "salt"], k, exclude_self)
+        found = _list_products(probes, lists, visits, parts, k, exclude_self)
         merged = best.select("query_id", "item_id", "score").unionByName(found)
         best = cut_lineage(top_k_per_group(merged, "query_id", [F.desc("score"), F.asc("item_id")], k, rank_col="rank"))
         start, end = end, 2 * end
@@ -333,7 +390,8 @@ def norm_ordered_topk(queries: DataFrame, items: DataFrame, k: int, query_col: s
                       vec_col: str = "vec", exclude_self: bool = False, block_rows: int = 50_000, work: list | None = None) -> DataFrame:
     """The exact ``k`` best items by inner product, longest items first.
 
-    Items are cut into blocks by falling length. No score in a block exceeds the
+    Items are cut into blocks of ``block_rows`` by falling length, of more where that
+    would make more than ``MOST_LISTS`` (``_n_blocks``). No score in a block exceeds the
     query's length times the block's longest, so a query that has ``k`` better
     scores skips that block and all after it: where lengths differ (popular
     items' often do) most block products are never made. Rounds, ties, missing
@@ -345,7 +403,9 @@ def norm_ordered_topk(queries: DataFrame, items: DataFrame, k: int, query_col: s
         return _renamed(q.sparkSession.createDataFrame([], _RANKED), query_col, item_col)
     it = cut_lineage(it.withColumn("shorter", -F.sqrt(dot("vec", "vec"))))
     place = dense_index(it.select("shorter", "item_id"), ["shorter", "item_id"], "place", start=0)
-    lists = cut_lineage(it.join(place, ["shorter", "item_id"]).withColumn("cluster", F.floor(F.col("place") / block_rows).cast("int")))
+    n = it.count()
+    rows = max(1, min(FULL_BLOCK, max(block_rows, math.ceil(n / MOST_LISTS))))
+    lists = cut_lineage(it.join(place, ["shorter", "item_id"]).withColumn("cluster", F.floor(F.col("place") / rows).cast("int")))
     known = lists.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.max(-F.col("shorter")).alias("longest"), F.first(F.size("vec")).alias("dim")).orderBy("cluster").collect()
     longest = np.array([r["longest"] for r in known])
     # a block is a list around the origin
@@ -443,6 +503,8 @@ def offdiagonal_cosine_quantiles(vectors: DataFrame, probs: Sequence[float] = (0
     pass counts within those bins alone, ``bins`` times finer; three passes fix
     a value to 3e-11. Each unordered pair of blocks is multiplied once and counts
     twice. What reaches the driver is at most ``bins`` counts for each wanted rank.
+    A row is copied for each block: blocks grow with the table before their number
+    does (``_n_blocks``), up to ``FULL_BLOCK`` rows.
 
     Zero vectors have cosine 0 to all; rows without a vector take no part; fewer
     than two rows give null values. Equal vectors are pairs like any others."""
@@ -456,6 +518,9 @@ def offdiagonal_cosine_quantiles(vectors: DataFrame, probs: Sequence[float] = (0
     right = blocked.withColumn("other", F.explode(every)).where(other <= F.col("block")).select(other.alias("a"), F.col("block").alias("b"), "item_id", "vec")
 
     def histogram(spans: list[tuple[float, float]]):
+        # a span of the whole range takes every score; of a narrow one's, the few that can lie in it are picked first
+        edges = [(lo - 1e-3 * width, lo + width + 1e-3 * width) for lo, width in spans]
+
         def run(key, x: pa.Table, y: pa.Table) -> pa.Table:
             total = np.zeros((len(spans), bins), np.int64)
             if len(x) and len(y):
@@ -469,8 +534,12 @@ def offdiagonal_cosine_quantiles(vectors: DataFrame, probs: Sequence[float] = (0
                     if inner:  # a pair of one block is met twice, a row with itself once: above the diagonal only
                         score = score[np.arange(len(q))[None, :] > np.arange(at, at + len(score))[:, None]]
                     for i, (lo, width) in enumerate(spans):
-                        here = np.floor((score - lo) * (bins / width))
-                        here = here[(here >= 0) & (here < bins)].astype(np.int64)
+                        if score.size and lo <= score.min() and score.max() < lo + width * (1 - 1e-9):
+                            here = ((score.ravel() - lo) * (bins / width)).astype(np.int32)  # none outside, no fraction below 0
+                        else:
+                            near = score[(score >= edges[i][0]) & (score <= edges[i][1])]
+                            here = np.floor((near - lo) * (bins / width))
+                            here = here[(here >= 0) & (here < bins)].astype(np.int32)
                         total[i] += np.bincount(here, minlength=bins)
             span, at = np.nonzero(total)
             return pa.table({"span": pa.array(span, pa.int32()), "at": pa.array(at, pa.int32()), "n": pa.array(total[span, at])})
