@@ -637,27 +637,107 @@ def truth_vs_random(truth: DataFrame, users: DataFrame, items: DataFrame) -> Dat
                     (F.avg("truth") - F.avg("random")).alias("gap"), F.avg((F.col("truth") > F.col("random")).cast("double")).alias("share_above"))
 
 
+def _group_quantiles(scores: DataFrame, group: str, known, probs: Sequence[float], bins: int = 4096) -> DataFrame:
+    """Exact quantiles of one group's scores (``known``: their number, least and
+    greatest). A histogram tells the bins that hold the wanted ranks; only their
+    scores, a small share, are ordered."""
+    own = scores.where((F.col("group") == group) & F.col("score").isNotNull())
+    if known is None or not known["n"] or not math.isfinite(width := (known["high"] - known["low"]) / bins) or width <= 0:
+        return exact_quantiles(own, "score", probs)
+    own = own.withColumn("bin", F.least(F.floor((F.col("score") - F.lit(known["low"])) / F.lit(width)), F.lit(bins - 1)))
+    count = np.zeros(bins, np.int64)
+    for r in own.groupBy("bin").agg(F.count(F.lit(1)).alias("n")).collect():  # at most ``bins`` rows
+        count[r["bin"]] = r["n"]
+    upto = np.cumsum(count)
+    wanted = _quantile_ranks(probs, known["n"])
+    at = {r: int(np.searchsorted(upto, r, side="right")) for lo, hi, _ in wanted for r in (lo, hi)}
+    kept = sorted(set(at.values()))
+    first = {b: int(count[kept[:i]].sum()) for i, b in enumerate(kept)}  # ranks among the kept bins' scores
+    place = {r: first[b] + r - int(upto[b] - count[b]) for r, b in at.items()}
+    ranks = [(place[lo], place[hi], w) for lo, hi, w in wanted]
+    return exact_quantiles(own.where(F.col("bin").isin(kept)), "score", probs, ranks=ranks)
+
+
 def describe_scores(scores: DataFrame, groups: Sequence[str], probs: Sequence[float] = (0.1, 0.5, 0.9)) -> DataFrame:
     """One row for each of ``groups``: ``group, n, mean, std`` (of the whole
     population) and ``p10, p50, ...`` of the scores (``group, score``). The
     quantiles are exact and distributed; a group without scores has n 0."""
     scores = cut_lineage(scores.select("group", "score"))
-    one = scores.groupBy("group").agg(F.count("score").alias("n"), F.avg("score").alias("mean"), F.stddev_pop("score").alias("std"))
+    one = cut_lineage(scores.groupBy("group").agg(F.count("score").alias("n"), F.avg("score").alias("mean"), F.stddev_pop("score").alias("std"),
+                                                  F.min("score").alias("low"), F.max("score").alias("high")))
+    known = {r["group"]: r for r in one.where(F.col("group").isin(*groups)).collect()}
     names = scores.sparkSession.createDataFrame([(g,) for g in groups], "group string")
-    out, quantiles = names.join(one, "group", "left").fillna(0, ["n"]), None
+    out, quantiles = names.join(one.drop("low", "high"), "group", "left").fillna(0, ["n"]), None
     for g in groups:
-        own = exact_quantiles(scores.where(F.col("group") == g), "score", probs).withColumn("group", F.lit(g))
+        own = _group_quantiles(scores, g, known.get(g), probs).withColumn("group", F.lit(g))
         quantiles = own if quantiles is None else quantiles.unionByName(own)
     wide = quantiles.groupBy("group").agg(*[F.max(F.when(F.col("prob") == float(p), F.col("value"))).alias(f"p{round(100 * p)}") for p in probs])
     return out.join(wide, "group").select("group", "n", "mean", "std", *[f"p{round(100 * p)}" for p in probs])
 
 
-def _drawn_scores(drawn: DataFrame, users: DataFrame, placed: DataFrame) -> DataFrame:
-    """``user_id, group, score`` of rows (user_id, group, place, spread). Popular users and
-    items, and the few items of a small category, are drawn by very many rows: salted lookups."""
-    rows = lookup_join(drawn, placed.select("place", "u"), "place", F.col("spread"), salts=8)
-    rows = lookup_join(rows, users.select("user_id", l2_normalize("vec").alias("w")), "user_id", F.col("spread"), salts=8)
-    return rows.select("user_id", "group", dot("w", "u").alias("score"))
+CELL_ROWS = 20_000  # users, or items, whose vectors a cell holds
+CELL_DRAWS = 4_000_000  # places scored in a cell, about
+
+
+def _drawn_scores(rows: DataFrame, users: DataFrame, placed: DataFrame, groups: Sequence[str], asked: DataFrame, means: bool = False) -> DataFrame:
+    """``group, score`` of every place in ``rows`` (user_id, code, places), ``code`` a
+    number in ``groups``; ``asked`` (user_id, n) tells how many places a user has; with ``means`` the mean score
+    of each user and group (user_id, group, score).
+
+    Only ids and places travel with the draws. Users and items are dealt into
+    blocks; a cell gets one block of either, a vector once, and the draws
+    between them. A block of users with more than its share of draws (hot users)
+    is cut by a salt."""
+    users = cut_lineage(users.where(F.col("user_id").isNotNull() & F.col("vec").isNotNull()).select(F.col("user_id").cast("long").alias("user_id"), l2_normalize("vec").alias("vec")))
+    rows = rows.where(F.col("user_id").isNotNull()).withColumn("user_id", F.col("user_id").cast("long"))
+    n_ib = max(1, math.ceil(placed.count() / CELL_ROWS))
+    draws = asked.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    n_ub = max(1, math.ceil(users.count() / CELL_ROWS), math.ceil(draws / CELL_DRAWS))
+    ub = F.pmod(F.xxhash64("user_id"), F.lit(n_ub)).cast("int").alias("cluster")
+    sizes = {r["cluster"]: r["n"] for r in asked.select(F.col("user_id").cast("long").alias("user_id"), "n").groupBy(ub).agg(F.sum("n").alias("n")).collect()}  # one row a block of users
+    salts = _by_cluster({c: math.ceil(n / (2 * CELL_DRAWS)) for c, n in sizes.items()})
+    each = F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt")
+
+    block = lambda p: F.floor(p / F.lit(CELL_ROWS)).cast("int")
+    x = rows.select("user_id", "code", "places", ub).withColumn("salt", F.pmod(F.xxhash64("user_id", "code", "places"), salts).cast("int"))
+    x = x.withColumn("ib", F.explode(F.array_distinct(F.transform("places", block))) if n_ib > 1 else F.lit(0))
+    here = F.filter("places", lambda p: block(p) == F.col("ib")) if n_ib > 1 else F.col("places")
+    x = x.select("cluster", "salt", "ib", "user_id", "code", F.transform(here, lambda p: (p - F.col("ib") * F.lit(CELL_ROWS)).cast("int")).alias("places"))
+    w = (users.select(ub, "user_id", "vec").select("cluster", each, "user_id", "vec")
+         .withColumn("ib", F.explode(F.sequence(F.lit(0), F.lit(n_ib - 1)))).select("cluster", "salt", "ib", "user_id", F.lit(None).cast("int").alias("at"), "vec"))
+    u = (placed.select(block(F.col("place")).alias("ib"), "place", F.col("u").alias("vec"))
+         .withColumn("cluster", F.explode(F.sequence(F.lit(0), F.lit(n_ub - 1)))).select("cluster", each, "ib", "place", "vec")
+         .select("cluster", "salt", "ib", F.lit(None).cast("long").alias("user_id"), F.pmod(F.col("place"), F.lit(CELL_ROWS)).cast("int").alias("at"), "vec"))
+
+    def run(x: pa.Table, y: pa.Table) -> pa.Table:
+        is_user = pc.is_valid(y["user_id"])
+        own, it = y.filter(is_user), y.filter(pc.invert(is_user))
+        found, code, who = [np.zeros(0)], np.zeros(0, np.int32), np.zeros(0, np.int64)
+        n = np.zeros(0, np.int64)
+        if len(x) and len(own) and len(it):
+            known, at = _rows_of(own["user_id"].to_numpy(), x["user_id"].to_numpy())
+            x = x.take(pa.array(known))
+            lists = x["places"].combine_chunks()
+            who, code, n, places = x["user_id"].to_numpy(), x["code"].to_numpy(), pc.list_value_length(lists).to_numpy().astype(np.int64), lists.flatten().to_numpy()
+            w, items = _matrix(own["vec"]), _matrix(it["vec"])
+            u = np.zeros((int(it["at"].to_numpy().max()) + 1, items.shape[1]))
+            u[it["at"].to_numpy()] = items
+            row = np.repeat(at, n)
+            for at in range(0, len(places), 100_000):
+                found.append(np.einsum("ij,ij->i", w[row[at:at + 100_000]], u[places[at:at + 100_000]]))
+        score = np.concatenate(found)
+        if not means:
+            return pa.table({"code": pa.array(np.repeat(code, n), pa.int32()), "score": pa.array(score)})
+        total = np.bincount(np.repeat(np.arange(len(n)), n), weights=score, minlength=len(n))
+        return pa.table({"user_id": pa.array(who, pa.int64()), "code": pa.array(code, pa.int32()), "total": pa.array(total, pa.float64()), "n": pa.array(n)})
+
+    keys = ["cluster", "salt", "ib"]
+    cells = x.groupBy(*keys).cogroup(w.unionByName(u).groupBy(*keys))
+    group = F.element_at(F.array(*[F.lit(g) for g in groups]), F.col("code") + 1).alias("group")
+    if not means:
+        return cells.applyInArrow(run, "code int, score double").select(group, "score")
+    sums = cells.applyInArrow(run, "user_id long, code int, total double, n long").groupBy("user_id", "code").agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
+    return sums.select("user_id", group, (F.col("total") / F.col("n")).alias("score"))
 
 
 def _placed(items: DataFrame) -> DataFrame:
@@ -682,19 +762,19 @@ def score_distributions(pairs: DataFrame, items: DataFrame, users: DataFrame, n_
     labels = placed.groupBy("label").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n_label"))
     spread = F.xxhash64("user_id", "item_id")
     known = lookup_join(pairs.select("user_id", "item_id"), placed.select("item_id", "place", "label"), "item_id", F.col("user_id"), salts=8)
-    rows = attach(lookup_join(known, labels, "label", spread), placed.agg(F.count(F.lit(1)).alias("n_all")))
+    rows = cut_lineage(attach(lookup_join(known, labels, "label", spread), placed.agg(F.count(F.lit(1)).alias("n_all"))))
 
-    def drawn(group: str, free: Column, place) -> DataFrame:
-        u = F.pmod(draw(seed, F.col("user_id"), F.col("item_id"), F.col("slot"), group), free)
-        own = rows.where(free > 0).withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(n_draws - 1)))).withColumn("u", u)
-        return own.select("user_id", F.lit(group).alias("group"), place(F.col("u")).alias("place"), F.xxhash64("item_id", "slot").alias("spread"))
+    def drawn(group: str, free: Column, place) -> Column:
+        slots = F.transform(F.sequence(F.lit(0), F.lit(n_draws - 1)), lambda slot: F.pmod(draw(seed, F.col("user_id"), F.col("item_id"), slot, group), free))
+        return F.when(free > 0, F.transform(slots, place)).otherwise(F.array().cast("array<long>"))
 
     own = F.col("place") - F.col("first")
     same = drawn("same_category", F.col("n_label") - 1, lambda u: F.col("first") + u + (u >= own).cast("long"))
     other = drawn("other_category", F.col("n_all") - F.col("n_label"), lambda u: u + F.when(u >= F.col("first"), F.col("n_label")).otherwise(0))
-    positive = rows.select("user_id", F.lit("positive").alias("group"), "place", F.col("item_id").cast("long").alias("spread"))
-    scores = _drawn_scores(positive.unionByName(same).unionByName(other), users, placed)
-    return describe_scores(scores, ("positive", "same_category", "other_category"))
+    every = [F.struct(F.lit(i).alias("code"), places.alias("places")) for i, places in enumerate((F.array("place"), same, other))]
+    drawn_rows = rows.select("user_id", F.inline(F.array(*every)))
+    groups = ("positive", "same_category", "other_category")
+    return describe_scores(_drawn_scores(drawn_rows, users, placed, groups, rows.select("user_id", F.lit(1 + 2 * n_draws).alias("n"))), groups)
 
 
 def truth_score_distributions(truth: DataFrame, users: DataFrame, items: DataFrame, n_draws: int = 1000, seed: int = 42) -> DataFrame:
@@ -705,13 +785,14 @@ def truth_score_distributions(truth: DataFrame, users: DataFrame, items: DataFra
     take no part."""
     from clickloom.operators.negatives import draw
     placed = _placed(items.select("item_id", F.lit(0).alias("label"), "vec"))
-    rows = lookup_join(truth.select("user_id", "item_id").distinct(), placed.select("item_id", "place"), "item_id", F.col("user_id"), salts=8)
-    own = rows.select("user_id", F.lit("truth").alias("group"), "place", F.col("item_id").cast("long").alias("spread"))
-    slots = attach(own.select("user_id").distinct(), placed.agg(F.count(F.lit(1)).alias("n_all"))).withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(n_draws - 1))))
-    random = slots.select("user_id", F.lit("random").alias("group"), F.pmod(draw(seed, F.col("user_id"), F.col("slot"), "random"), F.col("n_all")).alias("place"),
-                          F.col("slot").cast("long").alias("spread"))
-    scores = _drawn_scores(own.unionByName(random), users, placed)
-    return describe_scores(scores.groupBy("user_id", "group").agg(F.avg("score").alias("score")), ("truth", "random"))
+    rows = cut_lineage(lookup_join(truth.select("user_id", "item_id").distinct(), placed.select("item_id", "place"), "item_id", F.col("user_id"), salts=8))
+    own = rows.select("user_id", F.lit(0).alias("code"), F.array("place").alias("places"))
+    asked = attach(rows.select("user_id").distinct(), placed.agg(F.count(F.lit(1)).alias("n_all")))
+    places = F.transform(F.sequence(F.lit(0), F.lit(n_draws - 1)), lambda slot: F.pmod(draw(seed, F.col("user_id"), slot, "random"), F.col("n_all")))
+    random = asked.select("user_id", F.lit(1).alias("code"), places.alias("places"))
+    groups = ("truth", "random")
+    n = rows.select("user_id", F.lit(1).alias("n")).unionByName(asked.select("user_id", F.lit(n_draws).alias("n")))
+    return describe_scores(_drawn_scores(own.unionByName(random), users, placed, groups, n, means=True), groups)
 
 
 def session_requests(events: DataFrame, item_vocab: DataFrame, max_len: int = 20, session_col: str = "user_session") -> DataFrame:
