@@ -675,6 +675,23 @@ def describe_scores(scores: DataFrame, groups: Sequence[str], probs: Sequence[fl
     return out.join(wide, "group").select("group", "n", "mean", "std", *[f"p{round(100 * p)}" for p in probs])
 
 
+def _runs(ids: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each of ``wanted`` the place of its first row among the sorted ``ids``, and their number."""
+    ids = np.sort(ids, kind="stable")
+    first = np.searchsorted(ids, wanted)
+    return first, np.searchsorted(ids, wanted, side="right") - first
+
+
+def _each(n: np.ndarray) -> np.ndarray:
+    """0 ``n[0]`` times, 1 ``n[1]`` times, ..."""
+    return np.repeat(np.arange(len(n)), n)
+
+
+def _within(n: np.ndarray) -> np.ndarray:
+    """0 to ``n[0]`` - 1, 0 to ``n[1]`` - 1, ..."""
+    return np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+
+
 CELL_ROWS = 20_000  # users, or items, whose vectors a cell holds
 CELL_DRAWS = 4_000_000  # places scored in a cell, about
 
@@ -712,24 +729,32 @@ def _drawn_scores(rows: DataFrame, users: DataFrame, placed: DataFrame, groups:
     def run(x: pa.Table, y: pa.Table) -> pa.Table:
         is_user = pc.is_valid(y["user_id"])
         own, it = y.filter(is_user), y.filter(pc.invert(is_user))
-        found, code, who = [np.zeros(0)], np.zeros(0, np.int32), np.zeros(0, np.int64)
-        n = np.zeros(0, np.int64)
+        found, drawn = [np.zeros(0)], [np.zeros(0, np.int64)]
+        code, who = np.zeros(0, np.int32), np.zeros(0, np.int64)
         if len(x) and len(own) and len(it):
-            known, at = _rows_of(own["user_id"].to_numpy(), x["user_id"].to_numpy())
-            x = x.take(pa.array(known))
+            # as in a join: an id or place that comes twice is met twice, one that is not there not at all
+            first, n = _runs(own["user_id"].to_numpy(), x["user_id"].to_numpy())
+            row, place = _each(n), it["at"].to_numpy()
+            w = _matrix(own["vec"])[np.argsort(own["user_id"].to_numpy(), kind="stable")][first[row] + _within(n)]
+            u = _matrix(it["vec"])[np.argsort(place, kind="stable")]
+            copies = np.bincount(place, minlength=CELL_ROWS)
+            start = np.cumsum(copies) - copies
+            x = x.take(pa.array(row))
             lists = x["places"].combine_chunks()
-            who, code, n, places = x["user_id"].to_numpy(), x["code"].to_numpy(), pc.list_value_length(lists).to_numpy().astype(np.int64), lists.flatten().to_numpy()
-            w, items = _matrix(own["vec"]), _matrix(it["vec"])
-            u = np.zeros((int(it["at"].to_numpy().max()) + 1, items.shape[1]))
-            u[it["at"].to_numpy()] = items
-            row = np.repeat(at, n)
+            who, code = x["user_id"].to_numpy(), x["code"].to_numpy()
+            row, places = _each(pc.list_value_length(lists).to_numpy().astype(np.int64)), lists.flatten().to_numpy()
             for at in range(0, len(places), 100_000):
-                found.append(np.einsum("ij,ij->i", w[row[at:at + 100_000]], u[places[at:at + 100_000]]))
-        score = np.concatenate(found)
+                wanted, n = places[at:at + 100_000], copies[places[at:at + 100_000]]
+                pick = _each(n)
+                drawn.append(row[at:at + 100_000][pick])
+                found.append(np.einsum("ij,ij->i", w[drawn[-1]], u[start[wanted[pick]] + _within(n)]))
+        score, row = np.concatenate(found), np.concatenate(drawn)
         if not means:
-            return pa.table({"code": pa.array(np.repeat(code, n), pa.int32()), "score": pa.array(score)})
-        total = np.bincount(np.repeat(np.arange(len(n)), n), weights=score, minlength=len(n))
-        return pa.table({"user_id": pa.array(who, pa.int64()), "code": pa.array(code, pa.int32()), "total": pa.array(total, pa.float64()), "n": pa.array(n)})
+            return pa.table({"code": pa.array(code[row], pa.int32()), "score": pa.array(score)})
+        n = np.bincount(row, minlength=len(who))
+        total, there = np.bincount(row, weights=score, minlength=len(who)), n > 0
+        return pa.table({"user_id": pa.array(who[there], pa.int64()), "code": pa.array(code[there], pa.int32()),
+                         "total": pa.array(total[there], pa.float64()), "n": pa.array(n[there], pa.int64())})
 
     keys = ["cluster", "salt", "ib"]
     cells = x.groupBy(*keys).cogroup(w.unionByName(u).groupBy(*keys))

@@ -34,3 +34,17 @@ def test_cells_of_any_size_give_the_same(spark, monkeypatch):
     monkeypatch.setattr(V, "CELL_ROWS", 7)
     monkeypatch.setattr(V, "CELL_DRAWS", 40)
     assert (draws(), truth()) == want
+
+
+def test_places_that_come_twice_or_never_are_joined_as_rows():
+    import numpy as np
+    first, n = V._runs(np.array([5, 3, 5]), np.array([5, 4, 3]))
+    assert first.tolist() == [1, 1, 0] and n.tolist() == [2, 0, 1]
+    assert V._each(n).tolist() == [0, 0, 2] and V._within(n).tolist() == [0, 1, 0]
+
+
+def test_items_given_twice_count_twice(spark):
+    pairs, items, users = _tables(spark)
+    once = _rounded(V.truth_score_distributions(pairs, users, items.select("item_id", "vec"), n_draws=20))
+    twice = _rounded(V.truth_score_distributions(pairs, users, items.select("item_id", "vec").union(items.select("item_id", "vec")), n_draws=20))
+    assert once["truth"] == twice["truth"]
