@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from clickloom.operators import cleaning as C
 from clickloom.operators import ordering as O
+from clickloom.operators import sequences as Sq
 from clickloom.sources import testdata as T
 
 START = dt.datetime(2024, 1, 1)
@@ -66,3 +67,45 @@ def test_clean_events_deduplicates_once(spark, stored):
     # what is left to run reads the stored rows: no deduplication, neither for the rows nor for the bots
     assert "SortAggregate" not in plan(out) and "Window" not in plan(out)
     assert sorted((r.user_id, r.event_time.second, r.price, r.brand) for r in out.collect()) == [(1, 0, 5.0, "x"), (1, 9, 5.0, "x"), (3, 0, 5.0, "unknown")]
+
+
+def test_number_rows_numbers_whole_rows_like_dense_index(spark):
+    df = spark.createDataFrame([(k * 37 % 101 if k else None, f"v{k}") for k in range(101)], "k long, v string")
+    want = {r.k: r.i for r in O.dense_index(df, "k", "i", start=3).collect()}
+    got = O.number_rows(df, "k", "i", start=3)
+    assert {r.k: r.i for r in got.collect()} == want and sorted(want.values()) == list(range(3, 104))
+    assert {(r.k, r.v) for r in got.collect()} == {(r.k, r.v) for r in df.collect()}
+
+
+def clicks(spark):
+    rows = []
+    for u in range(12):
+        for k in range(u * 4 + 1):
+            rows.append((u, None if u == 5 else f"{u}-{k // 30}", START + dt.timedelta(seconds=k // 2 * 10), (k * k + u) % 4, 1 + k % 3))
+    return spark.createDataFrame(rows, "user_idx long, user_session string, event_time timestamp_ntz, item_idx long, event_idx long")
+
+
+def by_hand(rows, max_len, min_len):
+    groups = {}
+    for r in rows:
+        groups.setdefault((r.user_idx, r.user_session), []).append((r.event_time, r.item_idx, r.event_idx))
+    out = []
+    for key, events in groups.items():
+        events.sort()
+        kept = [e for i, e in enumerate(events) if not i or events[i - 1][1] != e[1]][-max_len:]
+        if len(kept) >= min_len:
+            out.append((key, kept))
+    out.sort(key=lambda x: (x[0][0], x[0][1] or ""))
+    return [(n, key[0], [e[1] for e in kept], [e[2] for e in kept], len(kept)) for n, (key, kept) in enumerate(out) if key[1] is not None]
+
+
+def test_sessions_are_ordered_once_and_numbered_without_a_join(spark, stored):
+    df = clicks(spark)
+    plans = stored(Sq)
+    out = Sq.session_sequences(df, max_len=6)
+    assert [tuple(r) for r in out.orderBy("session_idx").collect()] == by_hand(df.collect(), 6, 2)
+    assert "SortMergeJoin" not in plan(out) and "ShuffledHashJoin" not in plan(out)
+    # one order of the events serves the previous item and the last events
+    ordered = next(p for p in plans if "collect_list" in p)
+    assert sum("event_time" in line for line in ordered.splitlines() if "Sort [" in line) == 1
+    assert ordered.count("Exchange hashpartitioning") == 1
