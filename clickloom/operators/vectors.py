@@ -437,9 +437,21 @@ def vector_sums(rows: DataFrame, key_col: str, vec_col: str, kind: str = "mean")
 
 def mean_vectors(pairs: DataFrame, vectors: DataFrame, key_col: str, item_col: str, dim: int,
                  vec_col: str = "vec") -> DataFrame:
-    """Per key the element-wise mean of its items' vectors."""
-    ex = pairs.select(key_col, item_col).join(vectors.select(F.col(item_col), F.col(vec_col)), item_col)
-    return vector_sums(ex, key_col, vec_col, "mean")
+    """Per key the element-wise mean of its items' vectors, of ``dim`` elements
+    (0: not known).
+
+    The elements are plain sums, which Spark keeps in its hash table and combines
+    map-side; a summary object a key would be sorted and serialised row by row.
+    The pairs lie in few files, each of which stands for many vectors: dealt out
+    by key first, while they are narrow."""
+    if not dim:
+        return vector_sums(pairs.select(key_col, item_col).join(vectors.select(item_col, vec_col), item_col), key_col, vec_col, "mean")
+    tasks = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = pairs.select(key_col, item_col).repartition(tasks, key_col)
+    ex = dealt.join(vectors.select(F.col(item_col), F.col(vec_col)), item_col)
+    sums = [F.sum(F.get(vec_col, i).cast("double")).alias(f"_s{i}") for i in range(dim)]
+    found = ex.groupBy(key_col).agg(F.count(F.lit(1)).alias("_n"), *sums)
+    return found.select(key_col, F.array(*[F.col(f"_s{i}") / F.col("_n") for i in range(dim)]).alias(vec_col))
 
 
 def user_centroids(pairs: DataFrame, vectors: DataFrame, users: DataFrame, dim: int, min_conf: int = 2,
@@ -628,10 +640,13 @@ def truth_vs_random(truth: DataFrame, users: DataFrame, items: DataFrame) -> Dat
     with the items' sum). One row: users, both means, their gap, and the share
     of users whose truth scores above random. Users without a vector and truth
     outside the items are left out."""
-    per = paired_cosines(truth, users, items).groupBy("user_id").agg(F.avg("cosine").alias("truth"))
-    unit = items.select(F.lit(1).alias("one"), l2_normalize("vec").alias("u"))
-    total = vector_sums(unit, "one", "u", "mean").select(F.col("u").alias("mean_item"))
-    rows = attach(per.join(users.select("user_id", l2_normalize("vec").alias("w")), "user_id"), total)
+    # of the users only those who are asked for; stored: joined to their truth and again to its mean
+    own = cut_lineage(users.join(truth.select("user_id").distinct(), "user_id", "left_semi").select("user_id", l2_normalize("vec").alias("w")))
+    unit = items.select("item_id", l2_normalize("vec").alias("u"))
+    scored = truth.select("user_id", "item_id").join(unit, "item_id").join(own, "user_id").select("user_id", dot("w", "u").alias("cosine"))
+    per = scored.groupBy("user_id").agg(F.avg("cosine").alias("truth"))
+    total = vector_sums(unit.withColumn("one", F.lit(1)), "one", "u", "mean").select(F.col("u").alias("mean_item"))
+    rows = attach(per.join(own, "user_id"), total)
     rows = rows.select("truth", dot("w", "mean_item").alias("random"))
     return rows.agg(F.count(F.lit(1)).alias("n_users"), F.avg("truth").alias("mean_truth"), F.avg("random").alias("mean_random"),
                     (F.avg("truth") - F.avg("random")).alias("gap"), F.avg((F.col("truth") > F.col("random")).cast("double")).alias("share_above"))

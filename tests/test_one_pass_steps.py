@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from clickloom.operators import cleaning as C
 from clickloom.operators import ordering as O
 from clickloom.operators import sequences as Sq
+from clickloom.operators import vectors as V
 from clickloom.sources import testdata as T
 
 START = dt.datetime(2024, 1, 1)
@@ -109,3 +110,32 @@ def test_sessions_are_ordered_once_and_numbered_without_a_join(spark, stored):
     ordered = next(p for p in plans if "collect_list" in p)
     assert sum("event_time" in line for line in ordered.splitlines() if "Sort [" in line) == 1
     assert ordered.count("Exchange hashpartitioning") == 1
+
+
+def test_mean_vectors_are_hashed_and_dealt_out(spark):
+    vecs = spark.createDataFrame([(i, [float(i), float(i * i % 7), -1.0 / (i + 1)]) for i in range(20)], "item_id long, vec array<double>")
+    pairs = spark.createDataFrame([(u, i) for u in range(6) for i in range(25) if (u + i) % 3 == 0 and u != 4], "user_id long, item_id long")
+    out = V.mean_vectors(pairs, vecs, "user_id", "item_id", 3)
+    assert "ObjectHashAggregate" not in plan(out) and "SortAggregate" not in plan(out)
+    assert "REPARTITION_BY_NUM" in plan(out)
+    of = {r.item_id: r.vec for r in vecs.collect()}
+    for r in out.collect():
+        mine = [of[p.item_id] for p in pairs.collect() if p.user_id == r.user_id and p.item_id in of]
+        assert r.vec == pytest.approx([sum(x) / len(mine) for x in zip(*mine, strict=True)])
+    assert out.count() == 5
+
+
+def test_truth_vs_random_works_out_wanted_users_once(spark, stored):
+    users = spark.createDataFrame([(u, [1.0 + u, 2.0, -1.0 * u]) for u in range(8)], "user_id long, vec array<double>")
+    items = spark.createDataFrame([(i, [1.0, float(i), -0.5 * i]) for i in range(10)], "item_id long, vec array<double>")
+    truth = spark.createDataFrame([(1, 2), (1, 3), (2, 5), (9, 1), (3, 77)], "user_id long, item_id long")
+    plans = stored(V)
+    out = V.truth_vs_random(truth, users, items).first()
+    assert len(plans) == 1 and "LeftSemi" in plans[0]
+    unit = lambda v: [x / sum(y * y for y in v) ** 0.5 for x in v]
+    cos = lambda a, b: sum(x * y for x, y in zip(unit(a), unit(b), strict=True))
+    user, item = {r.user_id: r.vec for r in users.collect()}, {r.item_id: r.vec for r in items.collect()}
+    own = {1: (cos(user[1], item[2]) + cos(user[1], item[3])) / 2, 2: cos(user[2], item[5])}
+    rand = {u: sum(cos(user[u], v) for v in item.values()) / 10 for u in own}
+    assert out.n_users == 2 and out.mean_truth == pytest.approx(sum(own.values()) / 2) and out.mean_random == pytest.approx(sum(rand.values()) / 2)
+    assert out.share_above == sum(own[u] > rand[u] for u in own) / 2
