@@ -139,3 +139,22 @@ def test_truth_vs_random_works_out_wanted_users_once(spark, stored):
     rand = {u: sum(cos(user[u], v) for v in item.values()) / 10 for u in own}
     assert out.n_users == 2 and out.mean_truth == pytest.approx(sum(own.values()) / 2) and out.mean_random == pytest.approx(sum(rand.values()) / 2)
     assert out.share_above == sum(own[u] > rand[u] for u in own) / 2
+
+
+def test_kcore_keeps_its_tables_of_users_and_items_off_the_driver(spark, stored):
+    rows = [(u, i) for u in range(40) for i in range(u, u + 8)]  # loses both ends in every round
+    df = spark.createDataFrame(rows, "user_id long, product_id long")
+    plans = stored(C)
+    history = []
+    out = C.kcore(df, k=6, history=history)
+    assert len(history) > 2
+    # of who falls, at most once each, keys may be broadcast; counts, and who has gone in all rounds, never
+    counts = [p for p in plans if "_lost" in p]
+    assert counts and not any("Broadcast" in p for p in counts)
+    left = {(r.user_id, r.product_id) for r in out.collect()}
+    for _ in range(10):
+        users, items = {}, {}
+        for u, i in rows:
+            users[u], items[i] = users.get(u, 0) + 1, items.get(i, 0) + 1
+        rows = [(u, i) for u, i in rows if users[u] >= 6 and items[i] >= 6]
+    assert left == set(rows)
